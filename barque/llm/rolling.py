@@ -45,9 +45,9 @@ _TABLE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 class Rolling:
     """64-bit hashes of any substrings of one byte string: equal bytes, equal hash, wherever they stand."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes | np.ndarray):
         self.n = len(data)
-        v = _TABLE[np.frombuffer(data, np.uint8)]
+        v = _TABLE[data if isinstance(data, np.ndarray) else np.frombuffer(data, np.uint8)]
         v *= _powers("up", _BASE, self.n)
         self.sums = np.empty(self.n + 1, np.uint64)
         self.sums[0] = 0
