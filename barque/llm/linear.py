@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,30 @@ from pyspark.sql import functions as F
 #: Labelled rows that a model is fitted on at most, the first by hash of the id.
 FIT_ROWS = 8000
 
-Model = tuple[np.ndarray, float, float, float]  # weights, bias, and slope and shift from margin to log-odds
+
+class Model(NamedTuple):
+    """Weights by feature id, or by the sorted `keys` of the features that have one; margin to log-odds by slope and shift."""
+
+    w: np.ndarray
+    bias: float
+    slope: float
+    shift: float
+    keys: np.ndarray | None = None
+
+    def score(self, margin: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * soft(margin) + self.shift, -30, 30)))
+
+    def margin(self, ids: np.ndarray) -> float:
+        """ids: distinct feature ids, or with keys any feature hashes."""
+        if self.keys is None:
+            return float(self.w[ids].sum(dtype=np.float64)) + self.bias
+        if not len(self.keys):
+            return self.bias
+        at = np.searchsorted(self.keys, ids)
+        at[at == len(self.keys)] = 0
+        hit = np.unique(at[self.keys[at] == ids])
+        return float(self.w[hit].sum(dtype=np.float64)) + self.bias
+
 
 
 def held_out(doc_id: Column | str) -> Column:
@@ -51,9 +75,15 @@ def dual_descent(rows: list[np.ndarray], y: np.ndarray, cost: np.ndarray, scale:
     return w, bias
 
 
+def soft(margin: np.ndarray) -> np.ndarray:
+    """Margins with little weight on what lies beyond the support vectors' own, so that far ones don't flatten the
+    probability curve; the order stays."""
+    return np.clip(margin, -1, 1) + 0.05 * margin
+
+
 def platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic curve through margins, by Newton steps; targets are smoothed by class size."""
-    n1, n0 = (y > 0).sum(), (y <= 0).sum()
+    """Slope and shift of a logistic curve through soft margins, by Newton steps; targets are smoothed by class size."""
+    margin, n1, n0 = soft(margin), (y > 0).sum(), (y <= 0).sum()
     t = np.where(y > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     a, b = 1.0, 0.0
     for _ in range(50):
@@ -71,10 +101,10 @@ def platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def constant(y: np.ndarray, dim: int) -> Model:
     """Without both classes: the smoothed share of the positive one."""
     p = ((y > 0).sum() + 1) / (len(y) + 2)
-    return np.zeros(dim), 0.0, 1.0, float(np.log(p / (1 - p)))
+    return Model(np.zeros(dim), 0.0, 1.0, float(np.log(p / (1 - p))), None if dim else np.empty(0, np.uint32))
 
 
-def fit_in_task(docs: DataFrame, labels: DataFrame, label: str, features: Callable[[bytes], np.ndarray], fit: Callable[[list, np.ndarray], Model], max_rows: int, id_col: str, text_col: str) -> Model:
+def fit_in_task(docs: DataFrame, labels: DataFrame, label: str, features: Callable[[bytes], np.ndarray], fit: Callable[[list, np.ndarray], Model], max_rows: int, id_col: str, text_col: str, kind: type = np.int32) -> Model:
     """Fit on the first max_rows labelled rows (by hash of id) outside the held-out third. Only these rows' features
     meet in a task; what comes back has the size of the model."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).filter(F.col("y").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
@@ -84,32 +114,32 @@ def fit_in_task(docs: DataFrame, labels: DataFrame, label: str, features: Callab
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [features(x.as_py()).astype(np.int32).tobytes() for x in batch.column("data")]
+            ids = [features(x.as_py()).tobytes() for x in batch.column("data")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(ids, pa.binary())], ["doc_id", "y", "ids"])
 
     def fitted(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("ids", "ascending")])
         y = np.where(table.column("y").to_numpy() > 0, 1, -1)
-        ids = [np.frombuffer(x, np.int32) for x in table.column("ids").to_pylist()]
-        w, bias, slope, shift = fit(ids, y)
-        return pa.table({"w": pa.array([w.astype(np.float32).tobytes()], pa.binary()), "bias": [float(bias)], "slope": [float(slope)], "shift": [float(shift)]})
+        ids = [np.frombuffer(x, kind) for x in table.column("ids").to_pylist()]
+        m = fit(ids, y)
+        binary = lambda x, kind: pa.array([None if x is None else x.astype(kind).tobytes()], pa.binary())
+        return pa.table({"w": binary(m.w, np.float32), "bias": [float(m.bias)], "slope": [float(m.slope)], "shift": [float(m.shift)], "keys": binary(m.keys, np.uint32)})
 
     sample = rows.mapInArrow(found, "doc_id long, y int, ids binary")
-    got = sample.groupBy(F.lit(1).alias("one")).applyInArrow(fitted, "w binary, bias double, slope double, shift double").first()
+    got = sample.groupBy(F.lit(1).alias("one")).applyInArrow(fitted, "w binary, bias double, slope double, shift double, keys binary").first()
     if got is None:
         return fit([], np.empty(0, np.int64))
-    return np.frombuffer(got["w"], np.float32), got["bias"], got["slope"], got["shift"]
+    keys = None if got["keys"] is None else np.frombuffer(got["keys"], np.uint32)
+    return Model(np.frombuffer(got["w"], np.float32), got["bias"], got["slope"], got["shift"], keys)
 
 
 def scored(docs: DataFrame, model: Model, features: Callable[[bytes], np.ndarray], id_col: str, text_col: str) -> DataFrame:
     """doc_id, held_out, score of every row; a null text counts as empty."""
-    w, bias, slope, shift = model
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            margin = np.array([w[features(x.as_py())].sum(dtype=np.float64) for x in batch.column("data")])
-            score = 1 / (1 + np.exp(-np.clip(slope * (margin + bias) + shift, -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score, pa.float64())], ["doc_id", "score"])
+            margin = np.array([model.margin(features(x.as_py())) for x in batch.column("data")])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(model.score(margin), pa.float64())], ["doc_id", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("data"))
     return rows.mapInArrow(task, "doc_id long, score double").select("doc_id", held_out("doc_id").alias("held_out"), "score")

@@ -62,7 +62,7 @@ def features(data: bytes) -> np.ndarray:
             if len(same) >= run and np.lib.stride_tricks.sliding_window_view(same, run).all(axis=1).any():
                 own.append(8 + run)
     parts.append(np.array(own, np.int32))
-    return distinct([np.maximum(p, _N) if i < len(parts) - 1 else p for i, p in enumerate(parts)], DIM)
+    return distinct([np.maximum(p, _N) if i < len(parts) - 1 else p for i, p in enumerate(parts)], DIM).astype(np.int32)
 
 
 def fit(rows: list[np.ndarray], y: np.ndarray) -> Model:
@@ -82,7 +82,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray) -> Model:
     w, bias = dual_descent(some, label, even, ratio)
     w = w * ratio
     margin = np.array([w[rows[i]].sum() + bias for i in np.flatnonzero(rest)])
-    return w, bias, *platt(margin, y[rest])
+    return Model(w, bias, *platt(margin, y[rest]))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, max_rows: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

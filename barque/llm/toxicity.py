@@ -6,15 +6,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barque.llm.linear import FIT_ROWS, Model, constant, dual_descent, fit_in_task, log_ratios, platt, scored
-from barque.llm.quality import distinct
+from barque.llm.linear import Model, constant, dual_descent, fit_in_task, log_ratios, platt, scored
 from barque.llm.rolling import Rolling
 from barque.llm.words import LOWER
 
-BITS = 18
-DIM = 1 << BITS
 PREFIXES = (4, 5, 6, 7, 8)
-VOTERS, LEAST, Z, LINKED = 600, 3, 1.64, 0.5
+FIT_ROWS = 16_000
+VOTERS, LEAST, SHARE, Z, LINKED = 600, 3, 0.85, 1.64, 0.5
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
 _LETTER[128:] = True
@@ -31,43 +29,85 @@ def lower(raw: np.ndarray) -> np.ndarray:
 def features(data: bytes) -> np.ndarray:
     """Indicators of words (runs of letters) and of their beginnings."""
     if not data:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.uint32)
     low = lower(np.frombuffer(data, np.uint8))
     inside = np.zeros(len(low) + 2, np.int8)
     inside[1:-1] = _LETTER[low]
     edge = np.diff(inside)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    roll, shift = Rolling(low), np.uint64(64 - BITS)
-    parts = [(roll.spans(starts, ends) >> shift).astype(np.int64)]
+    roll = Rolling(low)
+    parts = [roll.spans(starts, ends)]
     for n in PREFIXES:
-        long = ends - starts > n
-        h = roll.spans(starts[long], starts[long] + n) * np.uint64(0x9E3779B97F4A7C15)
-        parts.append((h >> shift).astype(np.int64))
-    return distinct(parts, DIM)
-
-
-def voters(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """The lexicon (words) and pattern (beginnings) voters: features whose share of toxic texts is surely over one half,
-    by the lower Wilson bound; at most VOTERS, those that speak most often first."""
-    counts = np.zeros((2, DIM))
-    for ids, label in zip(rows, y, strict=True):
-        counts[int(label > 0)][ids] += 1
+        long = starts[ends - starts > n]
+        parts.append(roll.spans(long, long + n) * np.uint64(0x9E3779B97F4A7C15))
+    return (np.concatenate(parts) >> np.uint64(32)).astype(np.uint32)
+
+
+def numbered(rows: list[np.ndarray], least: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The hashes that at least `least` texts have, sorted, and each text's distinct features as places among them."""
+    rows = [np.unique(x) for x in rows]
+    keys, n = np.unique(np.concatenate(rows), return_counts=True)
+    keys = keys[n >= least]
+    out = []
+    for x in rows:
+        at = np.searchsorted(keys, x)
+        at[at == len(keys)] = 0
+        out.append(at[keys[at] == x] if len(keys) else at[:0])
+    return keys, out
+
+
+def shares(rows: list[np.ndarray], dim: int, rare: int = 200, bands: int = 6, width: int = 3) -> np.ndarray:
+    """One over the number of texts that are near copies of a text, by MinHash bands over its rarer features; so that a
+    text that was copied often counts once, and its chance words don't look like evidence."""
+    df = np.zeros(dim, np.int64)
+    for ids in rows:
+        df[ids] += 1
+    odd = np.random.default_rng(11).integers(1, 1 << 32, bands * width, dtype=np.uint64) | np.uint64(1)
+    parent = np.arange(len(rows))
+
+    def top(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    seen: dict = {}
+    for i, ids in enumerate(rows):
+        own = ids[df[ids] <= rare].astype(np.uint64)
+        if not len(own):
+            continue
+        low = ((own[:, None] * odd[None, :]) & np.uint64(0xFFFFFFFF)).min(axis=0)
+        for b in range(bands):
+            j = seen.setdefault((b, *low[b * width : (b + 1) * width].tolist()), i)
+            parent[top(i)] = top(j)
+    group = np.array([top(i) for i in range(len(rows))], np.int64)
+    return 1 / np.bincount(group, minlength=len(rows))[group] if len(rows) else np.empty(0)
+
+
+def voters(rows: list[np.ndarray], y: np.ndarray, share_of: np.ndarray, dim: int, most: int = VOTERS) -> np.ndarray:
+    """The lexicon (words) and pattern (beginnings) voters: features whose texts are toxic in a share of SHARE, and
+    surely of one half by the lower Wilson bound; at most `most`, those that speak most often first."""
+    counts = np.zeros((2, dim))
+    for ids, label, part in zip(rows, y, share_of, strict=True):
+        counts[int(label > 0)][ids] += part
     n = np.maximum(counts.sum(axis=0), 1)
     share, z2 = counts[1] / n, Z * Z
     low = (share + z2 / (2 * n) - Z * np.sqrt(share * (1 - share) / n + z2 / (4 * n * n))) / (1 + z2 / n)
-    worth = np.where((low > 0.5) & (counts[1] >= LEAST), counts[1] * low, 0)
-    return np.argsort(-worth, kind="stable")[: min(VOTERS, int((worth > 0).sum()))]
+    least = LEAST if share_of[y > 0].sum() < 40 * LEAST else LEAST + 2
+    worth = np.where((low > 0.5) & (share >= SHARE) & (counts[1] >= least), counts[1] * low, 0)
+    return np.argsort(-worth, kind="stable")[: min(most, int((worth > 0).sum()))]
 
 
-def label_model(votes: np.ndarray, rounds: int = 30) -> np.ndarray:
-    """Posterior that each row is toxic, from votes (rows x voters, toxic or abstained) alone.
+def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 30) -> np.ndarray:
+    """Posterior that each row is toxic, from votes (rows x voters, toxic or abstained) and the given label, one more
+    voter of unknown accuracy.
 
     Expectation maximisation over each voter's rate of speaking in either class; one more voter says "clean" where all
     abstain. Voters that agree beyond what the class explains are correlated; each counts by the inverse of how many
     speak with it.
     """
     spoken = votes.any(axis=1)
-    post = np.where(spoken, 0.9, 0.05)
+    post = np.where(spoken, 0.7, 0.05) * 0.5 + np.where(given > 0, 0.5, 0.0)
     weight = np.ones(votes.shape[1])
     for i in range(rounds):
         prior = np.clip(post.mean(), 0.01, 0.99)
@@ -75,11 +115,13 @@ def label_model(votes: np.ndarray, rounds: int = 30) -> np.ndarray:
         speak1 = (post @ votes + 0.5) / (ones + 1)
         speak0 = ((1 - post) @ votes + 0.05) / (zeros + 1)
         clean = np.log(((post @ ~spoken) + 0.5) / (ones + 1)) - np.log((((1 - post) @ ~spoken) + 0.5) / (zeros + 1))
+        said1, said0 = (post @ (given > 0) + 1) / (ones + 2), ((1 - post) @ (given > 0) + 1) / (zeros + 2)
+        told = np.where(given > 0, np.log(said1 / said0), np.log((1 - said1) / (1 - said0)))
         if i % 10 == 0:  # correlations given the class
             rest = (votes - np.outer(post, speak1) - np.outer(1 - post, speak0)).astype(np.float32)
             size = np.sqrt((rest**2).sum(axis=0)) + 1e-6
             weight = 1 / np.maximum(1, ((rest.T @ rest) / np.outer(size, size) > LINKED).sum(axis=1))
-        logit = np.log(prior / (1 - prior)) + votes @ (weight * np.log(speak1 / speak0)) + np.where(spoken, 0.0, clean)
+        logit = np.log(prior / (1 - prior)) + votes @ (weight * np.log(speak1 / speak0)) + np.where(spoken, 0.0, clean) + told
         new = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
         if np.abs(new - post).max() < 1e-4:
             return new
@@ -90,35 +132,38 @@ def label_model(votes: np.ndarray, rounds: int = 30) -> np.ndarray:
 def fit(rows: list[np.ndarray], y: np.ndarray) -> Model:
     """Voters, their label model, then a linear model on its posteriors and a probability curve on held-back labels."""
     if len(set(y)) < 2 or min((y > 0).sum(), (y < 0).sum()) < 5:
-        return constant(y, DIM)
+        return constant(y, 0)
     rest = np.arange(len(rows)) % 5 == 4
-    train = np.flatnonzero(~rest) if len(set(y[rest])) == 2 and len(rows) >= 1000 else np.arange(len(rows))
-    if len(train) == len(rows):
+    if len(set(y[rest])) < 2 or len(rows) < 1000:
         rest[:] = True
-    some = [rows[i] for i in train]
-    chosen = voters(some, y[train])
+        train = np.arange(len(rows))
+    else:
+        train = np.flatnonzero(~rest)
+    keys, some = numbered([rows[i] for i in train], LEAST)
+    dim = len(keys)
+    share_of = shares(some, dim)
+    chosen = voters(some, y[train], share_of, dim)
     if not len(chosen):
-        return constant(y, DIM)
-    place = np.full(DIM, -1)
+        return constant(y, 0)
+    place = np.full(dim, -1)
     place[chosen] = np.arange(len(chosen))
     votes = np.zeros((len(some), len(chosen)), np.float32)
     for i, ids in enumerate(some):
         at = place[ids]
         votes[i, at[at >= 0]] = 1
-    post = label_model(votes)
+    post = label_model(votes, y[train])
     label = np.where(post > 0.5, 1, -1)
     if len(set(label)) < 2:
-        return constant(y, DIM)
-    ratio = np.maximum(log_ratios(some, label, DIM, alpha=0.2), 0)  # a word speaks for toxicity, none against it
-    counts = np.zeros(DIM)
-    for ids in some:
-        counts[ids] += 1
-    ratio = np.where(counts >= 2, ratio, 0) / ratio.max()
+        return constant(y, 0)
+    use = np.sort(voters(some, label, share_of, dim, dim))  # a word speaks for toxicity, none against it
+    ratio = np.zeros(dim)
+    ratio[use] = np.maximum(log_ratios(some, label, dim, alpha=0.5), 0)[use]
+    ratio /= ratio.max()
     even = len(label) / (2 * np.where(label > 0, (label > 0).sum(), (label < 0).sum()))
     w, bias = dual_descent(some, label, even * np.abs(2 * post - 1) * 10, ratio)
-    w = w * ratio
-    margin = np.array([w[rows[i]].sum() + bias for i in np.flatnonzero(rest)])
-    return w, bias, *platt(margin, y[rest])
+    model = Model((w * ratio)[use], bias, 1.0, 0.0, keys[use])
+    margin = np.array([model.margin(rows[i]) for i in np.flatnonzero(rest)])
+    return model._replace(**dict(zip(("slope", "shift"), platt(margin, y[rest]), strict=True)))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, max_rows: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -128,7 +173,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, max_rows: int = FIT_ROWS
     labels are no labels; without labels of both kinds every score is the smoothed share of toxic ones. A null or empty
     text has a score like any other; a null id stays null; an empty table gives no rows; other columns are ignored.
     """
-    model = fit_in_task(docs, labels, "toxic", features, fit, max_rows, id_col, text_col)
+    model = fit_in_task(docs, labels, "toxic", features, fit, max_rows, id_col, text_col, np.uint32)
     return scored(docs, model, features, id_col, text_col).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
