@@ -2,10 +2,42 @@
 
 from __future__ import annotations
 
+from barque.llm.audio import op9_audio
+from barque.llm.bpe import op7_bpe
+from barque.llm.html import op3_html
+from barque.llm.neardup import op2_neardup
+from barque.llm.packing import op4_pack
+from barque.llm.quality import op5_quality
 from barque.llm.repeats import op1_repeats
+from barque.llm.secrets import op6_secrets
+from barque.llm.topk import op10_topk
+from barque.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op1_repeats": op1_repeats,
+    "op2_neardup": op2_neardup,
+    "op3_html": op3_html,
+    "op4_pack": op4_pack,
+    "op5_quality": op5_quality,
+    "op6_secrets": op6_secrets,
+    "op7_bpe": op7_bpe,
+    "op8_toxicity": op8_toxicity,
+    "op9_audio": op9_audio,
+    "op10_topk": op10_topk,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: DuckDB SQL where it can express the operator on whole tables.
+ORACLE_SQL: dict[str, str] = {
+    "op10_topk": """
+WITH good AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM good q JOIN good c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10""",
+}

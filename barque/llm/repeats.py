@@ -20,6 +20,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -273,5 +274,24 @@ def _whole(data: bytes, s: int, e: int) -> tuple[int, int]:
     return s, e
 
 
+def cut_text():
+    """Column function (text, spans of bytes) to the text without the spans, in whole characters."""
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        out = []
+        for text, found in zip(texts, spans, strict=True):
+            data = (text or "").encode()
+            at = [0]
+            for s, e in merge_spans([(x["s"], x["e"]) for x in (found if found is not None else ())], len(data)):
+                s, e = _whole(data, s, e)
+                at += [s, max(s, e)]
+            at.append(len(data))
+            out.append(b"".join(data[at[i] : at[i + 1]] for i in range(0, len(at), 2)).decode())
+        return pd.Series(out)
+
+    return cut
+
+
 def op1_repeats(spark, sf_dir: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
