@@ -74,9 +74,9 @@ def bars_events(spark, d):
     return rounded(hourly(spark, d), ["amount"], 4)
 
 
-@query(f"SELECT symbol, ts, open, high, low, close, volume, round(amount, 1) AS amount FROM ({L_SQL})")
+@query(f"SELECT symbol, ts, open, high, low, close, volume, round(amount, 2) AS amount FROM ({L_SQL})")
 def bars_lineitem(spark, d):
-    return rounded(daily(spark, d), ["amount"], 1)
+    return rounded(daily(spark, d), ["amount"], 2)
 
 
 @query(f"SELECT symbol, ts, round(volume * (open + high + low + close) / 4, 4) AS amount FROM ({E_SQL})")
