@@ -1,0 +1,203 @@
+"""Training-data operators against plain versions, on a table with nulls, empty, long and repeated texts and clashing columns."""
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from barque.llm import audio, bpe, html, neardup, packing, quality, repeats, secrets, topk, toxicity
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, key string, id string, p int, spans_hex string"
+
+
+def corpus():
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgéß") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    passage, base = text(60), text(120)
+    texts = [None, "", "one two", "x" * 700, "ab" * 300, text(3000), base, base, base + " tail", text(40) + passage + text(30), passage + text(50), text(20) + passage]
+    near = base.split()
+    for i in range(6):
+        copy = list(near)
+        copy[10 * i] = "changed"
+        texts.append(" ".join(copy))
+    texts += [text(rng.randint(1, 200)) for _ in range(20)]
+    texts.append('token = "' + "0123456789abcdef" * 3 + '" and AKIA' + "A1" * 8 + " Password:short secret: abcdefgh1")
+    rows = [(i, t, "en", None, 0 if t is None else len(t), "k", "i", 1, "s") for i, t in enumerate(texts)]
+    return [*rows, rows[9], (None, base, None, None, None, None, None, None, None)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(corpus(), COLUMNS).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], COLUMNS)
+
+
+def by_text(rows):
+    return [(r[0], (r[1] or "").encode()) for r in rows]
+
+
+@pytest.mark.parametrize("limit", [256, 1])
+def test_repeats(docs, nothing, limit):
+    rows = by_text(corpus())
+    n = collections.Counter(t[i : i + 200] for _, t in rows for i in range(len(t) - 199))
+    got = sorted((repr(r.doc_id), r.n_bytes, r.n_removed, r.kept_sha256) for r in repeats.remove_repeats(docs, group_limit=limit).collect())
+    want = []
+    for d, t in rows:
+        mark = bytearray(len(t))
+        for i in range(len(t) - 199):
+            if n[t[i : i + 200]] > 1:
+                mark[i : i + 200] = b"\1" * 200
+        kept = bytes(b for b, m in zip(t, mark, strict=True) if not m)
+        want.append((repr(d), len(t), sum(mark), hashlib.sha256(kept).hexdigest()))
+    assert got == sorted(want)
+    assert repeats.remove_repeats(nothing).count() == 0
+
+
+def test_previous_factor_arrays():
+    place = np.array([3, 1, 4, 0, 2])
+    assert repeats.nearest_smaller(place).tolist() == [-1, -1, 1, -1, 3]
+    assert repeats.previous_factor(np.array([0, 0, 1, 1, 2]), place).tolist() == [True, False, True, False, False]
+
+
+def test_near_duplicates(docs, nothing):
+    lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    sets = {}
+    for d, t, *_ in corpus():
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(lower))
+        if d is not None:
+            sets[d] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
+    top = {d: d for d in sets}
+    for _ in sets:
+        for a, x in sets.items():
+            for b, y in sets.items():
+                if x and y and 100 * len(x & y) >= 75 * len(x | y):
+                    top[a] = top[b] = min(top[a], top[b])
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(docs).collect()}
+    assert got.pop(None)[1:] == (None, True)
+    assert got == {d: (len(x), top[d], top[d] == d) for d, x in sets.items()}
+    assert neardup.near_duplicates(nothing).count() == 0
+
+
+def test_bayesian_bound():
+    assert neardup.least_matches(16, 0.75, 1e-6) < 8 < neardup.least_matches(128, 0.75, 1e-6) < 96
+
+
+def test_html(spark):
+    page = '<body class="x"><nav><a href=/>Menu</a></nav><header>Site</header><article><h1>A &amp; B</h1><p><b>one<br><p>two\n  three<ul><li>four<li>five</ul><div class="comments">no</div><script>var a="</p>"</script></article><div class="ad">buy</div><footer>f</footer>'
+    got = html.extract(spark.createDataFrame([(1, "u", page), (2, None, None), (3, "u", ""), (4, "u", "<p>" * 3000 + "deep &lt;")], "page_id long, url string, html string")).collect()
+    assert [r.text for r in got] == ["A & B\none\ntwo three\nfour\nfive", "", "", "deep <"]
+    assert [r.n_chars for r in got] == [len(r.text) for r in got]
+
+
+def test_pack(docs, nothing):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing.vocabulary())
+    pieces = packing.pack(docs, packing.vocabulary(), length=64).collect()
+    want = collections.Counter()
+    for _, text, *_ in corpus():
+        want[tuple([*t.encode(text or "", add_special_tokens=False).ids, 2])] += 1
+    place = {}
+    for p in pieces:
+        ids = np.frombuffer(p.ids, "<u4")
+        assert len(ids) == p.length and zlib.crc32(p.ids) == p.ids_crc32
+        place[p.sequence_id * 64 + p.offset] = (p, ids)
+    stream = [x for at in sorted(place) for x in place[at][1]]
+    assert sorted(place) == [at for at in sorted(place)] and len(stream) == max(at + len(place[at][1]) for at in place)
+    found, at = collections.Counter(), 0
+    while at < len(stream):
+        n = place[at][0].doc_tokens
+        found[tuple(int(x) for x in stream[at : at + n])] += 1
+        at += n
+    assert found == want
+    assert packing.pack(nothing, packing.vocabulary()).count() == 0
+
+
+def test_secrets(docs, nothing):
+    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    found, ledger = secrets.scan(docs)
+    rows = {r.doc_id: r for r in found.collect()}
+    for d, t, *_ in corpus():
+        t = t or ""
+        assert [(x.start, x.end) for x in rows[d].spans_assign] == [m.span() for m in assign.finditer(t) if len(m[2]) >= 8]
+        assert [(x.start, x.end) for x in rows[d].spans_hex] == [m.span() for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32]
+        assert [(x.start, x.end) for x in rows[d].spans_access] == [m.span() for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+    again, more = secrets.scan(docs, ledger)
+    assert sorted(map(repr, again.drop("id").collect())) == sorted(map(repr, found.drop("id").collect()))
+    assert more.count() == ledger.count() and secrets.scan(nothing)[0].count() == 0
+
+
+@pytest.mark.parametrize("entries", [1000, 0])
+def test_bpe(spark, docs, nothing, entries):
+    import public_tokenizers
+    import tiktoken
+
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    odd = ["a  b\n\n c\t\td  ", " \n x", "I'm you'll it's", "日本語　全角 a", "naïve\x1cfoo", "\x85a\x85\x85b", "🎉 émojis", "a   b"]
+    rows = spark.createDataFrame([*((d, t) for d, t, *_ in corpus()), *((100 + i, t) for i, t in enumerate(odd))], "doc_id long, text string")
+    want = collections.Counter(np.array(plain.encode_ordinary(r.text or ""), "<u4").tobytes() for r in rows.collect())
+    got = bpe.encode_decode(rows, ranks, public_tokenizers.PATTERN, entries=entries).collect()
+    assert collections.Counter(r.ids for r in got) == want
+    assert collections.Counter(r.decoded for r in got) == collections.Counter((r.text or "").encode() for r in rows.collect())
+
+
+def test_audio(docs, nothing):
+    got = audio.audio_features(docs).collect()
+    for r in got:
+        assert audio.from_wav(r.media)[: r.n_bytes] + b"" == audio.from_wav(r.media)[: r.n_bytes] and r.payload_bytes % 576 == 0 < r.payload_bytes
+    assert collections.Counter(hashlib.sha256(audio.payload((t or "").encode())).hexdigest() for _, t, *_ in corpus()) == collections.Counter(r.payload_sha256 for r in got)
+    assert len({r.feature for r in got if r.doc_id in (6, 7, None)}) == 1
+    assert audio.audio_features(nothing).count() == 0
+
+
+def test_resampling_keeps_a_tone():
+    x = np.sin(2 * np.pi * 1000 * np.arange(24_000) / audio.RATE_IN).astype(np.float32)
+    y = audio.resample(x)
+    assert len(y) == 16_000 and np.argmax(np.abs(np.fft.rfft(y))) == 1000
+
+
+def test_top_k(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(300)] + [(1000 + i, [0.5] * 8) for i in range(40)] + [(500, None), (501, [None] * 8), (502, [float("nan")] * 8), (600, [1.0, 2.0])]
+    good = [(i, np.floor(1024 * np.array(v)).astype(int)) for i, v in rows if i < 400 or i >= 1000]
+    want = []
+    for q, v in good:
+        if q % 100 == 0:
+            best = sorted(((-int(v @ c), i) for i, c in good if i != q))[:10]
+            want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    assert sorted(map(tuple, topk.top_k(frame).collect())) == sorted(want)
+    assert topk.top_k(frame.limit(0)).count() == 0
+
+
+def test_classifiers(spark, docs, nothing):
+    d = "/root/testdata/sf0.01"
+    read = lambda t: spark.read.parquet(f"{d}/{t}.parquet")
+    for scores, label, least in ((quality.quality_scores, "quality", 0.95), (toxicity.toxicity_scores, "toxic", 0.85)):
+        got = scores(read("documents"), read("labels")).join(read("labels"), "doc_id").filter("held_out").toPandas()
+        y, s = got[label].to_numpy(), got["score"].to_numpy()
+        auc = (s[y == 1][:, None] > s[y == 0]).mean() + 0.5 * (s[y == 1][:, None] == s[y == 0]).mean()
+        assert auc > least
+        assert scores(nothing, read("labels")).count() == 0
+        assert scores(docs, read("labels").limit(0)).count() == docs.count()
+
+
+def test_pipeline(spark, docs, nothing):
+    for start in (docs, nothing):
+        now = start
+        for name, stage in corpus_pipeline.STAGES:
+            now = stage(spark, now, "/root/testdata/sf0.001")
+            assert name == "packing" or now.columns == start.columns
+            now = spark.createDataFrame(now.collect(), now.schema)
+        assert now.count() >= (1 if start is docs else 0)
