@@ -8,7 +8,7 @@
     its similarity reaches the threshold, given the matches so far, falls under `miss`. Survivors are confirmed on
     their full sets.
 4.  Buckets that still hold several components are compared in full, across components only, in blocks of bounded
-    size; only pairs that survive the pruning leave the task, and they are confirmed too.
+    size, pruned and confirmed in the task; only links leave it.
 """
 
 from __future__ import annotations
@@ -95,24 +95,35 @@ def _prune(threshold: float, miss: float):
     return task
 
 
-def _blocks(threshold: float, miss: float):
-    """Left rows of a block against its right rows of other components."""
+def _blocks(threshold: float, miss: float, words: int, percent: int, rows: int):
+    """Left rows of a block against its right rows of other components. A pair is looked at in the first band on which
+    its signatures agree, pruned, and confirmed on its full sets; only links leave the task."""
 
     def task(table: pa.Table) -> pa.Table:
         block = table.column("block").to_numpy()
         order = np.argsort(block, kind="stable")
-        ids, label = table.column("id").to_numpy(), table.column("label").to_numpy()
+        ids, label, band = (table.column(c).to_numpy() for c in ("id", "label", "band"))
         is_left, centre = table.column("is_left").to_numpy(zero_copy_only=False), table.column("centre").to_numpy()
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(len(ids), -1)
-        out = []
-        for rows in np.split(order, np.flatnonzero(np.diff(block[order])) + 1) if len(order) else []:
-            left, right = rows[is_left[rows]], rows[~is_left[rows]]
-            for x in left:
+        texts, sets, out = table.column("data"), {}, set()
+
+        def shingles(i: int) -> np.ndarray:
+            if ids[i] not in sets:
+                sets[ids[i]] = shingle_set(texts[int(i)].as_py(), words)
+            return sets[ids[i]]
+
+        for part in np.split(order, np.flatnonzero(np.diff(block[order])) + 1) if len(order) else []:
+            left, right = part[is_left[part]], part[~is_left[part]]
+            for x in left[ids[left] != centre[left]]:
                 other = right[(label[right] != label[x]) & (ids[right] != centre[x])]
-                if ids[x] != centre[x] and len(other):
-                    kept = other[survivors(np.broadcast_to(sig[x], (len(other), sig.shape[1])), sig[other], threshold, miss)]
-                    out += [(min(ids[x], y), max(ids[x], y)) for y in ids[kept]]
-        a, b = zip(*set(out), strict=True) if out else ((), ())
+                agree = (sig[other] == sig[x]).reshape(len(other), -1, rows).all(axis=2)
+                other = other[agree.argmax(axis=1) == band[x]] if len(other) else other
+                for y in other[survivors(np.broadcast_to(sig[x], (len(other), sig.shape[1])), sig[other], threshold, miss)]:
+                    a, b = shingles(x), shingles(y)
+                    both = len(np.intersect1d(a, b, assume_unique=True))
+                    if 100 * both >= percent * (len(a) + len(b) - both):
+                        out.add((min(ids[x], ids[y]), max(ids[x], ids[y])))
+        a, b = zip(*out, strict=True) if out else ((), ())
         return pa.table({"a": pa.array(np.array(a, np.int64)), "b": pa.array(np.array(b, np.int64))})
 
     return task
@@ -148,7 +159,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     pairs = pairs.join(many, "a").select("a", F.expr("pmod(r, salts)").alias("salt"), "b")
     heads = many.select("a", F.explode(F.expr("sequence(0L, salts - 1)")).alias("salt"), F.lit(None).cast("long").alias("b"))
     rows = pairs.withColumn("id", F.col("b")).unionByName(heads.withColumn("id", F.col("a")))
-    rows = rows.join(texts, "id").select("a", "salt", "b", "data")
+    rows = rows.hint("merge").join(texts, "id").select("a", "salt", "b", "data")
     return rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first()).mapInArrow(_confirm(words, percent), "a long, b long")
 
 
@@ -171,8 +182,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sigs = classes.select("id", "sig")
 
     width = 4 * rows
-    band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("sig"), i * width + 1, F.lit(width)))))
-    banded = classes.select("id", band.alias("key"))
+    band = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("sig"), i * width + 1, F.lit(width)))))
+    banded = classes.select("id", band.alias("band", "key"))
     buckets = stored(banded.groupBy("key").agg(F.min("id").alias("centre"), F.count(F.lit(1)).alias("m")).filter("m > 1"), "buckets")
     members = stored(banded.join(buckets, "key"), "members")
 
@@ -185,7 +196,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = stored(confirmed(stored(pruned(star), "candidates"), by_id, words, percent), "links")
     labels = stored(components(links), "labels")
 
-    labelled = members.join(labels, "id", "left").select("key", "centre", "id", F.coalesce("component", "id").alias("label"))
+    labelled = members.join(labels, "id", "left").select("key", "band", "centre", "id", F.coalesce("component", "id").alias("label"))
     counts = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     open_keys = counts.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("m"), F.count(F.lit(1)).alias("labels"))
     # with two members left apart, the pair was compared already
@@ -195,10 +206,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         left = rest.filter("label != main").select("*", F.lit(True).alias("is_left"), F.expr("pmod(xxhash64(id), lefts)").alias("i"), F.explode(F.expr("sequence(0L, rights - 1)")).alias("j"))
         right = rest.select("*", F.lit(False).alias("is_left"), F.explode(F.expr("sequence(0L, lefts - 1)")).alias("i"), F.expr("pmod(xxhash64(id, 1), rights)").alias("j"))
         block = F.xxhash64("key", "i", "j").alias("block")
-        rows_ = left.unionByName(right).select(block, "id", "label", "is_left", "centre").join(sigs, "id")
-        rows_ = rows_.withColumn("task", F.pmod("block", F.lit(partitions(spark) * 4)))
-        found = rows_.groupBy("task").applyInArrow(_blocks(threshold, miss), "a long, b long").distinct()
-        more = stored(confirmed(stored(found, "candidates"), by_id, words, percent), "links")
+        sides = left.unionByName(right).select(block, "band", "id", "label", "is_left", "centre").join(sigs, "id")
+        sides = sides.hint("merge").join(by_id, "id").withColumn("task", F.pmod("block", F.lit(partitions(spark) * 4)))
+        more = stored(sides.groupBy("task").applyInArrow(_blocks(threshold, miss, words, percent, rows), "a long, b long").distinct(), "links")
         if not more.isEmpty():
             labels = stored(components(links.unionByName(more)), "labels")
 
