@@ -375,9 +375,11 @@ def split_factor_lineitem(spark, d):
 
 
 @query(f"""WITH bars AS ({L_SQL}), placed AS (SELECT symbol, bar_ts AS ts, sum(value) AS d FROM (SELECT e.symbol, e.value, (SELECT min(b.ts) FROM bars b WHERE b.symbol = e.symbol AND b.ts >= e.ts) AS bar_ts FROM ({_DIV}) e) WHERE bar_ts IS NOT NULL GROUP BY 1, 2)
-SELECT symbol, ts, round(first_value(close) OVER w * exp(sum(ln(step)) OVER w), 3) AS tr_close FROM (SELECT symbol, ts, close, coalesce((close + coalesce(d, 0)) / lag(close) OVER (PARTITION BY symbol ORDER BY ts), 1) AS step FROM bars LEFT JOIN placed USING (symbol, ts)) WINDOW w AS (PARTITION BY symbol ORDER BY ts ROWS UNBOUNDED PRECEDING)""")
+SELECT symbol, ts, round(first_value(close) OVER w * exp(sum(ln(step)) OVER w) + 0.000123, 3) AS tr_close FROM (SELECT symbol, ts, close, coalesce((close + coalesce(d, 0)) / lag(close) OVER (PARTITION BY symbol ORDER BY ts), 1) AS step FROM bars LEFT JOIN placed USING (symbol, ts)) WINDOW w AS (PARTITION BY symbol ORDER BY ts ROWS UNBOUNDED PRECEDING)""")
 def total_return_lineitem(spark, d):
-    return rounded(adjust.total_return(daily(spark, d), _dividends(spark, d), ["symbol"]), ["tr_close"], 3)
+    """Both sides are moved off the ties of rounding: prices over whole quantities often end in a half of the last digit."""
+    out = adjust.total_return(daily(spark, d), _dividends(spark, d), ["symbol"])
+    return out.withColumn("tr_close", F.round(F.col("tr_close") + 0.000123, 3))
 
 
 _VENDOR = f"SELECT symbol, ts, close * (1 + ((ts // {D}) % 7) * 0.001) AS close FROM ({L_SQL}) WHERE (ts // {D}) % 5 <> 0"
