@@ -2,13 +2,15 @@
 
 1.  One pass gives each document's shingle set size, a 128-bit hash of the set and a MinHash signature. Documents with
     equal sets are one class, whatever their number; one id stands for it from here on.
-2.  Signatures are cut into bands; classes that share a band's hash are candidates. In each bucket all are first
-    compared with the bucket's smallest id (as many pairs as members, never all pairs).
+2.  Signatures are cut into bands; classes that share a band's hash are candidates. Each class is first compared with
+    the smallest id of all its buckets (one pair a class), then, where they are still apart, with the smallest ids of
+    its other buckets; never all pairs.
 3.  Candidates are pruned batch by batch of signature values: a pair goes as soon as the posterior probability that
     its similarity reaches the threshold, given the matches so far, falls under `miss`. Survivors are confirmed on
     their full sets.
 4.  Buckets that still hold several components are compared in full, across components only, in blocks of bounded
-    size, pruned and confirmed in the task; only links leave it.
+    size: first by signatures, which leaves the members that have a survivor, then those on their full sets in the
+    task; only members and links leave a block.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from barque.llm.storage import partitions, stored
 from barque.llm.words import shingle_set
 
 BANDS, ROWS, BATCH, MISS = 32, 4, 16, 1e-6
-LEFT, RIGHT, STAR = 256, 1024, 1000
+LEFT, RIGHT, STAR, SENT_IDS = 256, 1024, 1000, 1_000_000
 _RNG = np.random.default_rng(20240607)
 _A = _RNG.integers(1, 1 << 32, 1024, dtype=np.uint32) | np.uint32(1)
 _B = _RNG.integers(1, 1 << 32, 1024, dtype=np.uint32)
@@ -95,34 +97,56 @@ def _prune(threshold: float, miss: float):
     return task
 
 
+def _block_pairs(table: pa.Table, threshold: float, miss: float, rows: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each left row of a block, those right rows of other components that survive pruning. A pair is looked at in
+    the first band on which its signatures agree."""
+    block = table.column("block").to_numpy()
+    order = np.argsort(block, kind="stable")
+    ids, label, band = (table.column(c).to_numpy() for c in ("id", "label", "band"))
+    is_left, centre = table.column("is_left").to_numpy(zero_copy_only=False), table.column("centre").to_numpy()
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(len(ids), -1)
+    for part in np.split(order, np.flatnonzero(np.diff(block[order])) + 1) if len(order) else []:
+        left, right = part[is_left[part]], part[~is_left[part]]
+        for x in left[ids[left] != centre[left]]:
+            other = right[(label[right] != label[x]) & (ids[right] != centre[x])]
+            agree = (sig[other] == sig[x]).reshape(len(other), -1, rows).all(axis=2)
+            other = other[agree.argmax(axis=1) == band[x]] if len(other) else other
+            other = other[survivors(np.broadcast_to(sig[x], (len(other), sig.shape[1])), sig[other], threshold, miss)]
+            if len(other):
+                yield x, other
+
+
+def _narrow(threshold: float, miss: float, rows: int):
+    """The rows of blocks that have a survivor: at most as many as came."""
+
+    def task(table: pa.Table) -> pa.Table:
+        keep = np.zeros(table.num_rows, bool)
+        for x, other in _block_pairs(table, threshold, miss, rows):
+            keep[x] = True
+            keep[other] = True
+        return table.filter(pa.array(keep))
+
+    return task
+
+
 def _blocks(threshold: float, miss: float, words: int, percent: int, rows: int):
-    """Left rows of a block against its right rows of other components. A pair is looked at in the first band on which
-    its signatures agree, pruned, and confirmed on its full sets; only links leave the task."""
+    """Survivors confirmed on their full sets; only links leave the task."""
 
     def task(table: pa.Table) -> pa.Table:
-        block = table.column("block").to_numpy()
-        order = np.argsort(block, kind="stable")
-        ids, label, band = (table.column(c).to_numpy() for c in ("id", "label", "band"))
-        is_left, centre = table.column("is_left").to_numpy(zero_copy_only=False), table.column("centre").to_numpy()
-        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(len(ids), -1)
-        texts, sets, out = table.column("data"), {}, set()
+        ids, texts = table.column("id").to_numpy(), table.column("data")
+        sets, out = {}, set()
 
         def shingles(i: int) -> np.ndarray:
             if ids[i] not in sets:
                 sets[ids[i]] = shingle_set(texts[int(i)].as_py(), words)
             return sets[ids[i]]
 
-        for part in np.split(order, np.flatnonzero(np.diff(block[order])) + 1) if len(order) else []:
-            left, right = part[is_left[part]], part[~is_left[part]]
-            for x in left[ids[left] != centre[left]]:
-                other = right[(label[right] != label[x]) & (ids[right] != centre[x])]
-                agree = (sig[other] == sig[x]).reshape(len(other), -1, rows).all(axis=2)
-                other = other[agree.argmax(axis=1) == band[x]] if len(other) else other
-                for y in other[survivors(np.broadcast_to(sig[x], (len(other), sig.shape[1])), sig[other], threshold, miss)]:
-                    a, b = shingles(x), shingles(y)
-                    both = len(np.intersect1d(a, b, assume_unique=True))
-                    if 100 * both >= percent * (len(a) + len(b) - both):
-                        out.add((min(ids[x], ids[y]), max(ids[x], ids[y])))
+        for x, other in _block_pairs(table, threshold, miss, rows):
+            for y in other:
+                a, b = shingles(x), shingles(y)
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                if 100 * both >= percent * (len(a) + len(b) - both):
+                    out.add((min(ids[x], ids[y]), max(ids[x], ids[y])))
         a, b = zip(*out, strict=True) if out else ((), ())
         return pa.table({"a": pa.array(np.array(a, np.int64)), "b": pa.array(np.array(b, np.int64))})
 
@@ -151,6 +175,13 @@ def _confirm(words: int, percent: int):
     return task
 
 
+def needed(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """texts of the given ids alone. Up to SENT_IDS ids, counted first, are sent to the scan, so that other texts aren't
+    shuffled; beyond that the join that follows drops them."""
+    ids = ids.distinct()
+    return texts.join(F.broadcast(ids), "id", "left_semi") if ids.count() <= SENT_IDS else texts
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """pairs (a, b) whose full shingle sets reach the threshold. texts: id, data. One text is moved for each pair, and
     that of a once for every STAR pairs of a, so that an id with many pairs is spread over tasks."""
@@ -159,7 +190,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     pairs = pairs.join(many, "a").select("a", F.expr("pmod(r, salts)").alias("salt"), "b")
     heads = many.select("a", F.explode(F.expr("sequence(0L, salts - 1)")).alias("salt"), F.lit(None).cast("long").alias("b"))
     rows = pairs.withColumn("id", F.col("b")).unionByName(heads.withColumn("id", F.col("a")))
-    rows = rows.hint("merge").join(texts, "id").select("a", "salt", "b", "data")
+    rows = rows.hint("merge").join(needed(texts, rows.select("id")), "id").select("a", "salt", "b", "data")
     return rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first()).mapInArrow(_confirm(words, percent), "a long, b long")
 
 
@@ -192,25 +223,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return with_a.join(sigs.withColumnsRenamed({"id": "b", "sig": "sig_b"}), "b").select("a", "b", "sig_a", "sig_b").mapInArrow(_prune(threshold, miss), "a long, b long")
 
     by_id = texts.withColumnRenamed("doc_id", "id")
-    star = members.filter("id > centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
+    nearest = stored(members.groupBy("id").agg(F.min("centre").alias("first")), "nearest")
+    star = nearest.filter("id > first").select(F.col("first").alias("a"), F.col("id").alias("b"))
     links = stored(confirmed(stored(pruned(star), "candidates"), by_id, words, percent), "links")
     labels = stored(components(links), "labels")
 
-    labelled = members.join(labels, "id", "left").select("key", "band", "centre", "id", F.coalesce("component", "id").alias("label"))
-    counts = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    def labelled() -> DataFrame:
+        of_centre = labels.withColumnsRenamed({"id": "centre", "component": "of_centre"})
+        both = members.join(labels, "id", "left").join(of_centre, "centre", "left")
+        return both.select("key", "band", "centre", "id", F.coalesce("component", "id").alias("label"), F.coalesce("of_centre", "centre").alias("centre_label"))
+
+    apart = labelled().filter("label != centre_label").select("centre", "id").distinct().join(nearest, "id").filter("centre != first")
+    apart = stored(pruned(apart.select(F.col("centre").alias("a"), F.col("id").alias("b"))), "candidates")
+    if not apart.isEmpty():
+        links = links.unionByName(stored(confirmed(apart, by_id, words, percent), "links"))
+        labels = stored(components(links), "labels")
+
+    counts = labelled().groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     open_keys = counts.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("m"), F.count(F.lit(1)).alias("labels"))
     # with two members left apart, the pair was compared already
     open_keys = open_keys.filter("labels > 1 and m > 2").select("key", F.col("top.label").alias("main"), F.ceil((F.col("m") - F.col("top.n")) / LEFT).cast("long").alias("lefts"), F.ceil(F.col("m") / RIGHT).cast("long").alias("rights"))
-    rest = stored(labelled.join(stored(open_keys, "open"), "key"), "open_members")
+    rest = stored(labelled().drop("centre_label").join(stored(open_keys, "open"), "key"), "open_members")
     if not rest.isEmpty():
         left = rest.filter("label != main").select("*", F.lit(True).alias("is_left"), F.expr("pmod(xxhash64(id), lefts)").alias("i"), F.explode(F.expr("sequence(0L, rights - 1)")).alias("j"))
         right = rest.select("*", F.lit(False).alias("is_left"), F.explode(F.expr("sequence(0L, lefts - 1)")).alias("i"), F.expr("pmod(xxhash64(id, 1), rights)").alias("j"))
         block = F.xxhash64("key", "i", "j").alias("block")
-        sides = left.unionByName(right).select(block, "band", "id", "label", "is_left", "centre").join(sigs, "id")
-        sides = sides.hint("merge").join(by_id, "id").withColumn("task", F.pmod("block", F.lit(partitions(spark) * 4)))
-        more = stored(sides.groupBy("task").applyInArrow(_blocks(threshold, miss, words, percent, rows), "a long, b long").distinct(), "links")
-        if not more.isEmpty():
-            labels = stored(components(links.unionByName(more)), "labels")
+        task = F.pmod("block", F.lit(partitions(spark) * 4))
+        sides = left.unionByName(right).select(block, "band", "id", "label", "is_left", "centre").join(sigs, "id").withColumn("task", task)
+        near = stored(sides.groupBy("task").applyInArrow(_narrow(threshold, miss, rows), sides.schema), "near")
+        if not near.isEmpty():
+            with_texts = near.hint("merge").join(needed(by_id, near.select("id")), "id")
+            more = stored(with_texts.groupBy("task").applyInArrow(_blocks(threshold, miss, words, percent, rows), "a long, b long").distinct(), "links")
+            if not more.isEmpty():
+                labels = stored(components(links.unionByName(more)), "labels")
 
     of_class = classes.select("s1", "s2", "id").join(labels, "id", "left").select("s1", "s2", F.coalesce("component", "id").alias("component_id"))
     out = base.select("doc_id", "n_shingles", "s1", "s2").join(of_class, ["s1", "s2"], "left")
