@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barque.functions import sessions
-from barque.operators import adjust, audit, clean, features, registry, sketch, validate
+from barque.operators import adjust, audit, checks, clean, features, registry, sketch, validate
+from barque.sources import chunks
 from barque.sources.bars import bars_from_ticks, shard, synthesized_amount
 
 H, D = sessions.HOUR, sessions.DAY
@@ -505,3 +506,94 @@ def live_features_events(spark, d):
         return next(_step(key, iter([pdf]), Fresh()))
 
     return hourly(spark, d).groupBy("symbol").applyInPandas(once, OUTPUT)
+
+
+# ---- guards, red flags, verdicts, choice of files -------------------------------------------------------------------
+
+_MAJOR = ("click", "view", "1", "2")
+
+
+@query(f"""{_stats_of(E_SQL, RULE)}, per_series AS (SELECT symbol, max(total_bars) AS total, sum(bars_dropped) FILTER (rule = 'session_filter') AS closed, sum(bars_dropped) FILTER (rule <> 'session_filter') AS lost, sum(cuts) FILTER (rule = 'gap') AS cuts FROM stats GROUP BY 1),
+ flags AS (SELECT 'major_series_loss' AS "check", 'events/' || symbol AS subject, round_even(100.0 * lost / (total - closed), 3) AS value, 0.5::DOUBLE AS "limit" FROM per_series WHERE symbol IN ('click', 'view')
+  UNION ALL SELECT 'weekend_cut_as_gap', 'events', round_even(sum(cuts) / count(*), 1), 5::DOUBLE FROM per_series UNION ALL SELECT 'slice_loss', 'events', round_even(100.0 * sum(lost + closed) / sum(total), 3), 1::DOUBLE FROM per_series) SELECT * FROM flags WHERE value > "limit" """)
+def red_flags_events(spark, d):
+    stats = clean.drop_stats(hourly(spark, d), ["symbol"], RULE).withColumn("source", F.lit("events"))
+    return checks.red_flags(stats, ["source", "symbol"], ["source"], majors=_MAJOR, major_pct=0.5, splits=5, slice_pct=1)
+
+
+@query(f"""WITH c AS (SELECT x.symbol, median(abs(x.close - y.close) / y.close) AS m, count(*) AS n FROM ({L_SQL}) x JOIN ({_VENDOR}) y USING (symbol, ts) WHERE x.close > 0 AND y.close > 0 GROUP BY 1 HAVING n >= 60),
+ p AS (SELECT round((SELECT arg_max(close, ts) FROM ({L_SQL}) b WHERE b.symbol = s.symbol AND b.ts < s.ts) / (SELECT arg_min(close, ts) FROM ({L_SQL}) b WHERE b.symbol = s.symbol AND b.ts >= s.ts), 4) AS ratio FROM (SELECT DISTINCT symbol, ts FROM ({_SPLIT})) s),
+ a AS (SELECT count(ratio) AS decided, count(*) FILTER (abs(ratio - 1) > 0.25) AS cliffs, (SELECT count(*) FROM c) AS compared, (SELECT list_sort(list(m))[len(list(m)) // 2 + 1] FROM c) AS agreement FROM p)
+ SELECT 'lineitem' AS source, decided, compared, round(agreement, 8) AS agreement, CASE WHEN decided = 0 THEN 'unknown' WHEN cliffs > 0 THEN 'unadjusted' WHEN agreement <= 0.02 THEN 'split+dividend' ELSE 'split' END AS policy FROM a""")
+def adjustment_class_lineitem(spark, d):
+    bars, source = daily(spark, d), F.lit("lineitem").alias("source")
+    probes = adjust.split_discontinuity(bars, _splits(spark, d).select("symbol", "ts").distinct(), ["symbol"]).select(source, "verdict")
+    compared = adjust.close_agreement(bars, _vendor(spark, d), ["symbol"]).select(source, "status", "median_diff")
+    return rounded(checks.adjustment_class(probes, compared, ["source"]), ["agreement"], 8)
+
+
+@query(f"SELECT market, count(*) FILTER (m > 0) AS ranked, count(*) FILTER (m <= 0) AS zero_volume, count(*) FILTER (m IS NULL) AS unrankable, count(*) FILTER (m IS NULL) > 0.01 * count(*) AS refused FROM (SELECT market, CASE WHEN row_count >= 2 THEN median_dollar_volume END AS m FROM ({_REG})) GROUP BY 1")
+def ranking_summary_events(spark, d):
+    measured = _registry(spark, d).withColumn("m", F.when(F.col("row_count") >= 2, F.col("median_dollar_volume")))
+    return checks.ranking_summary(measured, ["market"], "m")
+
+
+@query("SELECT source, count(*) AS files, count(*) FILTER (text IS NULL OR text = '') AS unreadable, count(*) FILTER (text <> '' AND n_chars < 100) AS rejected, count(*) FILTER (text IS NULL OR text = '') > 0.001 * count(*) AS fails FROM documents GROUP BY 1")
+def failure_rates_documents(spark, d):
+    kind = F.when(F.col("text").isNull() | (F.col("text") == ""), "unreadable").when(F.col("n_chars") < 100, "rejected")
+    return checks.failure_rates(spark.read.parquet(f"{d}/documents.parquet").withColumn("failure_kind", kind), ["source"])
+
+
+@query("SELECT o_orderpriority, count(*) AS n_rows FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH') GROUP BY 1")
+def unruled_orders(spark, d):
+    orders = spark.read.parquet(f"{d}/orders.parquet")
+    rules = orders.select("o_orderpriority").distinct().withColumn("verified", F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+    return checks.unruled(orders, rules, ["o_orderpriority"])
+
+
+@query(f"""WITH l AS (SELECT * FROM ({_LONG})), r AS (SELECT CAST(count(*) AS BIGINT) AS n_rows FROM l)
+ SELECT 'geo' AS spec, n_rows, (SELECT count(*) FROM l WHERE x IS NULL OR isnan(x)) AS nans, (SELECT count(DISTINCT symbol) FROM ({E_SQL})) AS audits, (SELECT count(DISTINCT symbol) FROM ({E_SQL})) AS passed, 0::BIGINT AS failures, false AS fatal FROM r""")
+def contract_qa_events(spark, d):
+    bars, spec = hourly(spark, d), F.lit("geo").alias("spec")
+    splits = bars.groupBy("symbol").agg((F.count(F.lit(1)) / 2).cast("int").alias("split_row"))
+    audits = audit.prefix_audit(bars, ["symbol"], splits).select(spec, "differing")
+    refused = features.refusals(bars.withColumn("row", F.col("ts")), ["symbol"]).select(spec, "code")
+    return checks.contract_qa(_long(spark, d).select(spec, "x"), audits, refused, ["spec"])
+
+
+@query()
+def pinned_snapshots_events(spark, d):
+    """WIN26; the digest is of Spark's rows, not of another engine's bytes."""
+    segs = clean.segments(hourly(spark, d), ["symbol"], RULE)
+    return checks.pinned_snapshots(segs, _raw(spark, d), ["symbol"], ["gap", "body", "upper", "lower", "rel_volume", "rel_amount"])
+
+
+@query("""WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS period, o_orderpriority FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01'), f AS (SELECT DISTINCT o_orderpriority, 'monthly' AS kind, period FROM m UNION ALL SELECT DISTINCT o_orderpriority, 'daily', strftime(o_orderdate, '%Y-%m-%d') FROM orders),
+ l AS (SELECT o_orderpriority, max(period) AS last_month FROM f WHERE kind = 'monthly' GROUP BY 1)
+ SELECT o_orderpriority, kind, period, CAST(row_number() OVER (PARTITION BY o_orderpriority ORDER BY kind = 'daily', period) - 1 AS INTEGER) AS position FROM f LEFT JOIN l USING (o_orderpriority) WHERE kind = 'monthly' OR last_month IS NULL OR substr(period, 1, 7) > last_month""")
+def archive_selection_orders(spark, d):
+    orders = spark.read.parquet(f"{d}/orders.parquet").select("o_orderpriority", "o_orderdate")
+    months = orders.filter("o_orderdate < timestamp_ntz'2001-01-01'").select("o_orderpriority", F.lit("monthly").alias("kind"), F.date_format("o_orderdate", "yyyy-MM").alias("period"))
+    days = orders.select("o_orderpriority", F.lit("daily").alias("kind"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("period"))
+    return chunks.archive_selection(months.unionByName(days).distinct(), ["o_orderpriority"])
+
+
+@query("""SELECT symbol, year, token, sealed, sha256(CASE WHEN sealed THEN token ELSE token || '#2001-11-04' END) AS digest FROM (SELECT *, 'feed://' || symbol || '/' || year AS token, year < 2001 AS sealed FROM
+ (SELECT symbol, CAST(unnest(range(y, 2002)) AS INTEGER) AS year FROM (SELECT CAST(l_suppkey AS VARCHAR) AS symbol, min(year(l_shipdate)) AS y FROM lineitem GROUP BY 1)))""")
+def year_chunks_lineitem(spark, d):
+    series = spark.read.parquet(f"{d}/lineitem.parquet").groupBy(F.col("l_suppkey").cast("string").alias("symbol")).agg(F.min(F.year("l_shipdate")).alias("start"))
+    return chunks.year_chunks(series, ["symbol"], "feed", "start", "2001-11-04")
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS symbol, sha256(c_custkey || '#2001-11-04') AS digest FROM customer")
+def as_of_digests_customer(spark, d):
+    return chunks.as_of_digests(spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").cast("string").alias("symbol")), "symbol", "2001-11-04")
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN 'failed' WHEN doc_id % 7 = 0 THEN 'drifted' WHEN doc_id % 5 = 0 THEN 'mismatch' ELSE 'identical' END AS status FROM documents")
+def reproduced_documents(spark, d):
+    text, i = F.coalesce("text", F.lit("")), F.col("doc_id")
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.sha2(text, 256).alias("source_hash"), F.sha2(F.lower(text), 256).alias("content_hash"))
+    changed = (i % 7 == 0) | (i % 5 == 0)
+    again = docs.select("doc_id", F.when(i % 7 == 0, F.sha2("source_hash", 256)).otherwise(F.col("source_hash")).alias("source_hash"), F.when(i % 11 == 0, F.lit(None)).when(changed, F.sha2("content_hash", 256)).otherwise(F.col("content_hash")).alias("content_hash"))
+    return checks.reproduced(docs, again, ["doc_id"])

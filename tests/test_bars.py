@@ -6,7 +6,8 @@ import duckdb
 import pytest
 
 from barque.functions import sessions
-from barque.operators import adjust, clean, features, registry
+from barque.operators import adjust, checks, clean, features, registry
+from barque.sources import chunks
 from barque.plans.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -89,6 +90,60 @@ def test_live_features_equal_batch(spark):
     assert len(a) == len(b) and all(math.isclose(a[r.symbol, r.ts].rel_amount, r.rel_amount, abs_tol=2e-6) for r in b)
 
 
+def test_rules_must_be_verified(spark):
+    rules = spark.createDataFrame([("1h", True, 256), ("5m", False, 256)], "frequency string, verified boolean, min_bars int")
+    rows = lambda f: spark.createDataFrame([(f, 1)], "frequency string, x int")
+    assert checks.with_rules(rows("1h"), rules, ["frequency"]).first().min_bars == 256
+    for f in ("5m", "1w"):
+        with pytest.raises(Exception, match="no verified thresholds"):
+            checks.with_rules(rows(f), rules, ["frequency"]).collect()
+
+
+def test_red_flags_ignore_closed_sessions(spark):
+    rows = [("s", "SPY", r, 100, 90, n, c) for r, n, c in (("session_filter", 10, 0), ("gap", 0, 400), ("stagnant", 0, 0))]
+    stats = spark.createDataFrame(rows, "source string, symbol string, rule string, total_bars long, kept_bars long, bars_dropped long, cuts long")
+    assert [(r.check, r.value) for r in checks.red_flags(stats, ["source", "symbol"], ["source"]).collect()] == [("weekend_cut_as_gap", 400.0)]
+
+
+@pytest.mark.parametrize(("verdicts", "medians", "policy"), [(["inconclusive"], [0.0], "unknown"), (["adjusted", "unadjusted"], [0.0], "unadjusted"), (["adjusted"], [], "split"), (["adjusted"], [0.01, 0.02, 0.03, 0.01], "split+dividend"), (["adjusted"], [0.01, 0.03], "split")])
+def test_adjustment_class(spark, verdicts, medians, policy):
+    probes = spark.createDataFrame([("s", v) for v in verdicts], "source string, verdict string")
+    compared = spark.createDataFrame([("s", "compared", m) for m in medians], "source string, status string, median_diff double")
+    assert checks.adjustment_class(probes, compared, ["source"]).first().policy == policy
+
+
+def test_spec_comparison(spark):
+    rows = [("a", f, 10, 1, -1.0, 1.0) for f in checks.GEO] + [("a", f, 10, 0, -2.0, 2.0) for f in checks.RET] + [("b", "gap", 1, 0, 0.0, 1.0)]
+    table = spark.createDataFrame(rows, "cls string, feature string, n long, clipped long, q01 double, q99 double")
+    assert [tuple(r) for r in checks.spec_comparison(table, ["cls"]).collect()] == [("a", 10.0, 2.0, 0.0, 4.0)]
+
+
+def test_partial_runs_dont_replace_the_full_index(spark, tmp_path):
+    path, rows = str(tmp_path / "index"), spark.createDataFrame([("s", 1)], "segment_id string, n_bars long")
+    checks.write_index(spark, rows, path, partial=False)
+    with pytest.raises(ValueError, match="partial"):
+        checks.write_index(spark, rows, path, partial=True)
+    checks.write_index(spark, rows, path, partial=True, forced=True)
+    checks.write_index(spark, rows, path, partial=True)
+    assert spark.read.parquet(path).first().partial
+
+
+def test_total_return_only_where_accumulated(spark):
+    b = bars(spark, n=3, closes=[100.0, 100.0, 100.0])
+    b = b.union(b.selectExpr("'Y' symbol", *[c for c in b.columns if c != "symbol"]))
+    d = spark.createDataFrame([("X", START + HOUR, 1.0)], "symbol string, ts long, value double")
+    v = spark.createDataFrame([("X", "accumulate"), ("Y", "skip")], "symbol string, verdict string")
+    tier, coverage = checks.total_return_tier(b, d, v, ["symbol"])
+    assert {r.symbol for r in tier.collect()} == {"X"}
+    assert {(r.symbol, r.bars, r.dividends, r.derived) for r in coverage.collect()} == {("X", 3, 1, True), ("Y", 3, 0, False)}
+
+
+def test_archive_members(spark):
+    rows = [("d/us/nasdaq stocks/1/a.us.txt", 30), ("d/us/nyse etfs/b.us.TXT", 29), ("d/us/stocks/x.csv", 50), ("d/pl/stocks/x.txt", 50), ("d/us/indices/x.txt", 50), (None, 50)]
+    got = [r.status for r in chunks.member_class(spark.createDataFrame(rows, "path string, n_lines long")).collect()]
+    assert got == ["keep", "too_short", "not_text", "not_us", "not_equity", "not_text"]
+
+
 def norm(v):
     return round(float(v), 9) + 0.0 if isinstance(v, float) or hasattr(v, "is_finite") else v
 
