@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>""", re.S)
-ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+#: Every attribute of a tag in turn, its value whole: nothing is found inside names or values.
+ATTRIBUTE = re.compile(r"""([^\s/][^\s/=]*)(?:\s*=\s*(?:"([^"]*)(?:"|$)|'([^']*)(?:'|$)|([^\s>]+)))?""")
 WORD = re.compile(r"[A-Za-z]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -91,8 +92,12 @@ class Page:
             return True
         if not attributes or name in NEVER_NAMED:
             return False
+        seen = set()
         for m in ATTRIBUTE.finditer(attributes):
             key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+            if key in seen:  # the first of equal names holds
+                continue
+            seen.add(key)
             if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value in DROPPED_ROLES:
                 return True
             if key in ("class", "id"):

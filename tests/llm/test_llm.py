@@ -99,6 +99,19 @@ def test_html(spark):
     assert [r.n_chars for r in got] == [len(r.text) for r in got]
 
 
+@pytest.mark.parametrize(
+    "tag",
+    ['div style="overflow:hidden"', 'a href="/hidden-gems"', 'div title="the hidden valley"', 'div data-hidden="false"', 'div data-id="share"', 'a href="/x?id=ad"', "a href=/x?class=ad", "div title='id=\"ad\" hidden'", 'div data-class="ad" data-role="navigation"', 'div class="x" class="ad"', 'div aria-hidden="false"'],
+)
+def test_html_keeps_by_whole_attributes(tag):
+    assert html.main_text(f"<article><p>one</p><{tag}>two</{tag.split()[0]}><p>three</p></article>").split() == ["one", "two", "three"]
+
+
+@pytest.mark.parametrize("attributes", ["hidden", 'data-x="a b" HIDDEN=""', "aria-hidden = true", "class='x ad'", "id=share", 'title="x"role="navigation"', "/class=ad"])
+def test_html_drops_by_whole_attributes(attributes):
+    assert html.main_text(f"<article><p>one</p><div {attributes}>two</div><p>three</p></article>").split() == ["one", "three"]
+
+
 def test_pack(docs, nothing):
     from tokenizers import Tokenizer
 
