@@ -30,6 +30,8 @@ DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search di
 #: Words of class and id that mark what surrounds an article.
 DROPPED_NAMES = frozenset("ad ads advert adverts advertisement advertisements advertising banner banners promo promotion sponsor sponsored sponsors sidebar menu menus nav navbar navigation breadcrumb breadcrumbs footer cookie cookies notice notices consent gdpr popup modal overlay newsletter subscribe signup login comment comments disqus respond share sharing social related recommended widget widgets toolbar pagination pager".split())
 TEXT_ROOTS = frozenset({"article", "main"})
+#: What becomes of a node: it goes; it holds text roots only; its subtrees are judged without or with its own text; it stays.
+GONE, OUTSIDE, SPARSE, OPEN, TAKEN = range(5)
 NEVER_NAMED = frozenset({"html", "body", "article", "main"})
 
 
@@ -123,11 +125,13 @@ class Page:
 
 
 def main_text(html: str) -> str:
-    """The blocks of the densest subtree, each on a line.
+    """The blocks of the dense subtrees, each on a line.
 
     For every node: characters per tag, adjusted for links. The node whose children's densities have the largest sum
-    is taken, with the article or main element around it. Inside, blocks mostly of links whose density is under the
-    least one on the way from that node up to the body are left out.
+    is taken, with the outermost article or main element around it. The least density on the way from that node up to the body is
+    the threshold: every other subtree of the body that reaches it is taken too, or, where an article or main element
+    stands around the node, every other such element that reaches it. Inside what is taken, blocks
+    mostly of links under the threshold are left out.
     """
     page = Page(html)
     n = len(page.tag)
@@ -166,24 +170,38 @@ def main_text(html: str) -> str:
     best = max((i for i in range(n) if not page.dropped[i]), key=lambda i: (sums[i], -i))
     if not sums[best]:
         best = body
-    threshold, i, root = densities[best], best, best
-    found = page.tag[best] in TEXT_ROOTS
-    while i:
+    threshold, i, root = densities[best], best, -1
+    while True:
         threshold = min(threshold, densities[i])
-        if not found and page.tag[i] in TEXT_ROOTS:
-            root, found = i, True
-        if i == body:
+        if page.tag[i] in TEXT_ROOTS:
+            root = i
+        if i in (0, body):
             break
         i = page.parent[i]
-    inside = [False] * n
-    inside[root] = True
-    for i in range(1, n):
-        if inside[page.parent[i]] and not page.dropped[i]:
-            inside[i] = not (page.tag[i] in BLOCK and links[i] * 2 > chars[i] and densities[i] < threshold)
+    state = [GONE] * n
+    for i in range(n):
+        above = state[page.parent[i]] if i else OPEN if root < 0 else OUTSIDE
+        if page.dropped[i] or above == GONE and i:
+            continue
+        if i in (best, root):
+            state[i] = TAKEN
+        elif above == TAKEN:
+            mostly_links = page.tag[i] in BLOCK and links[i] * 2 > chars[i] and densities[i] < threshold
+            state[i] = GONE if mostly_links else TAKEN
+        elif above == OUTSIDE and page.tag[i] not in TEXT_ROOTS or above == OPEN and (i in (0, body) or page.tag[i] == "html" or page.tag[i] not in BLOCK):
+            state[i] = above
+        else:
+            state[i] = TAKEN if densities[i] >= threshold else SPARSE
     blocks: dict[int, list[str]] = {}
+    loose: dict[int, int] = {}
     for block, node, s in pieces:
-        if inside[node]:
+        if state[node] in (TAKEN, OPEN):
             blocks.setdefault(block, []).append(s)
+            if state[node] == OPEN:
+                loose[block] = loose.get(block, 0) + (len(s) - s.count(" ")) * (-1 if in_link[node] else 1)
+    for block, more in loose.items():
+        if more < 0:
+            del blocks[block]
     lines = (" ".join("".join(x).split()) for x in blocks.values())
     return "\n".join(x for x in lines if x)
 

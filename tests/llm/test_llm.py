@@ -112,6 +112,28 @@ def test_html_drops_by_whole_attributes(attributes):
     assert html.main_text(f"<article><p>one</p><div {attributes}>two</div><p>three</p></article>").split() == ["one", "three"]
 
 
+LINKS = "<div>" + "<a href=/>Elsewhere on this site</a>" * 8 + "</div>"
+
+
+@pytest.mark.parametrize("page", ["<html><head><title>t</title></head><body>{}</body></html>", "{}", "<body><div>{}</div></body>", "<body><main>{}</main></body>", "<body><div><p>about</p></div><x-app>{}</x-app></body>"])
+@pytest.mark.parametrize("part", ["div", "section", "article"])
+def test_html_split_bodies(page, part):
+    paragraphs = [f"{c} word{c}" * 60 for c in "abcde"]
+    wrapped = ["".join(f"<p>{x}</p>" for x in some) for some in (paragraphs[:3], paragraphs[3:])]
+    got = html.main_text(page.format(LINKS + "".join(f"<{part}>{x}</{part}>" for x in wrapped) + LINKS)).split("\n")
+    assert [x for x in got if x != "about"] == paragraphs
+
+
+def test_html_loose_text_beside_a_dense_part():
+    page = f"<body><a href=/>Home</a> <a href=/>News</a><div><p>{'x ' * 200}<p>{'y ' * 200}</div>and <b>a</b> last <a href=/>line</a>{LINKS}</body>"
+    assert html.main_text(page).split("\n") == ["x " * 199 + "x", "y " * 199 + "y", "and a last line"]
+
+
+def test_html_parts_of_an_article_stay_whole():
+    page = f"<body>{LINKS}<div>Some words around it</div><main><h1>Title</h1><article><p>{'x ' * 300}<ul><li>a<li>b</ul></article>{LINKS}<article><p>{'y ' * 90}</article></main></body>"
+    assert html.main_text(page).split("\n") == ["Title", "x " * 299 + "x", "a", "b", "y " * 89 + "y"]
+
+
 def test_pack(docs, nothing):
     from tokenizers import Tokenizer
 
