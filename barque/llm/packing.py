@@ -8,6 +8,7 @@ shuffled or sorted.
 
 from __future__ import annotations
 
+import os
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -45,14 +46,18 @@ class Words(dict):
     """Ids of a white-space-separated piece of text, as little-endian unsigned 32-bit bytes; a cache of bounded size.
 
     The vocabulary's normalizer and pre-tokenizer never look past white space, so a text's ids are those of its pieces
-    in turn.
+    in turn; only a text with an added token goes through the tokenizer whole, as those are matched before both.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [*self.tokenizer.get_added_tokens_decoder().values()]
+        # tokens that are matched in normalized text can't be looked for here: then every text goes through whole
+        names = [""] if any(t.normalized for t in added) else [t.content for t in added]
+        self.added = re.compile("|".join(map(re.escape, names)) if names else "(?!)").search
+        self.mark = os.path.commonprefix(names)  # quicker to look for than the tokens
         self.model = self.tokenizer.model
         self.split = regex.compile(PIECE).findall
         self.letters = byte_letters()
@@ -87,7 +92,7 @@ class Words(dict):
         return b"".join(i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
-        if _EXTRA_SPACE.search(text):
+        if _EXTRA_SPACE.search(text) or self.mark in text and self.added(text):
             return self.whole(text)
         return b"".join(map(self.__getitem__, text.split()))
 

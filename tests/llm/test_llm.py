@@ -158,6 +158,18 @@ def test_pack(docs, nothing):
     assert packing.pack(nothing, packing.vocabulary()).count() == 0
 
 
+def test_pack_added_tokens(spark):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing.vocabulary())
+    texts = ["see <|endoftext|> here", "<|startoftext|>", "glued<|endoftext|>words<|startoftext|><|endoftext|>", " \n<|endoftext|>\t ", "<|EndOfText|> <|endoftext| >", "é<|startoftext|>日本 ", "<|endoftext|>\u0338 'll\x1c<|endoftext|>"]
+    texts.append("plain text " * 500 + texts[2])
+    frame = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in packing.pack(frame, packing.vocabulary(), length=1 << 20).collect()}
+    assert got == {i: [*t.encode(x, add_special_tokens=False).ids, 2] for i, x in enumerate(texts)}
+    assert got[0] == [862, 49407, 763, 2]
+
+
 def test_secrets(docs, nothing):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     found, ledger = secrets.scan(docs)
