@@ -12,8 +12,9 @@ def forward_asof(events: DataFrame, bars: DataFrame, key: list[str]) -> DataFram
     """JN3: each event's first bar at or after it; events after the last bar go. By union and a window, no range join."""
     e = events.select(*key, "ts", F.lit(0).alias("is_bar"), F.col("value"))
     b = bars.select(*key, "ts", F.lit(1).alias("is_bar"), F.lit(None).cast("double").alias("value"))
-    w = Window.partitionBy(*key).orderBy("ts", "is_bar").rowsBetween(0, Window.unboundedFollowing)
-    both = e.unionByName(b).withColumn("bar_ts", F.first(F.when(F.col("is_bar") == 1, F.col("ts")), ignorenulls=True).over(w))
+    # backwards, as a frame that ends with the partition is summed up anew for each row; at equal times the bar comes first
+    w = Window.partitionBy(*key).orderBy(F.desc("ts"), F.desc("is_bar")).rowsBetween(Window.unboundedPreceding, 0)
+    both = e.unionByName(b).withColumn("bar_ts", F.last(F.when(F.col("is_bar") == 1, F.col("ts")), ignorenulls=True).over(w))
     return both.filter("is_bar = 0 and bar_ts is not null").select(*key, F.col("ts").alias("event_ts"), "bar_ts", "value")
 
 
@@ -21,8 +22,8 @@ def split_factor(dividends: DataFrame, splits: DataFrame, key: list[str]) -> Dat
     """JN5: product of the ratios of splits strictly after each dividend, over a union of both."""
     d = dividends.select(*key, "ts", F.lit(1).alias("is_div"), "value")
     s = splits.select(*key, "ts", F.lit(0).alias("is_div"), F.col("value"))
-    # at equal times the dividend stands after the split, so the split isn't after it
-    w = Window.partitionBy(*key).orderBy("ts", "is_div").rowsBetween(1, Window.unboundedFollowing)
+    # backwards; at equal times the dividend comes first, so the split isn't after it
+    w = Window.partitionBy(*key).orderBy(F.desc("ts"), F.desc("is_div")).rowsBetween(Window.unboundedPreceding, -1)
     factor = F.coalesce(F.product(F.when(F.col("is_div") == 0, F.col("value"))).over(w), F.lit(1.0))
     return d.unionByName(s).withColumn("factor", factor).filter("is_div = 1").select(*key, "ts", "value", "factor")
 
@@ -47,10 +48,13 @@ def close_agreement(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
 
 def split_discontinuity(bars: DataFrame, splits: DataFrame, key: list[str]) -> DataFrame:
     """AGG19: last close before over first close from the split on; adjusted if it is about 1."""
-    rows = splits.select(*key, F.col("ts").alias("split_ts")).join(bars.select(*key, "ts", "close"), key, "left")
-    before = F.max_by(F.when(F.col("ts") < F.col("split_ts"), F.col("close")), F.when(F.col("ts") < F.col("split_ts"), F.col("ts")))
-    after = F.min_by(F.when(F.col("ts") >= F.col("split_ts"), F.col("close")), F.when(F.col("ts") >= F.col("split_ts"), F.col("ts")))
-    out = rows.groupBy(*key, "split_ts").agg(before.alias("b"), after.alias("a")).withColumn("ratio", F.when(F.col("a") > 0, F.round(F.col("b") / F.col("a"), 4)))
+    b = bars.select(*key, "ts", F.lit(1).alias("is_bar"), F.struct("close").alias("bar"))
+    both = splits.select(*key, "ts").distinct().withColumn("is_bar", F.lit(0)).unionByName(b, allowMissingColumns=True)
+    # at equal times the bar stands after the split
+    before = F.last("bar", ignorenulls=True).over(Window.partitionBy(*key).orderBy("ts", "is_bar").rowsBetween(Window.unboundedPreceding, -1))
+    after = F.last("bar", ignorenulls=True).over(Window.partitionBy(*key).orderBy(F.desc("ts"), F.desc("is_bar")).rowsBetween(Window.unboundedPreceding, -1))
+    rows = both.withColumns({"b": before.getField("close"), "a": after.getField("close")}).filter("is_bar = 0").withColumnRenamed("ts", "split_ts")
+    out = rows.withColumn("ratio", F.when(F.col("a") > 0, F.round(F.col("b") / F.col("a"), 4)))
     return out.select(*key, "split_ts", "ratio", F.when(F.col("ratio").isNull(), "inconclusive").when(F.abs(F.col("ratio") - 1) <= TOLERANCE, "adjusted").otherwise("unadjusted").alias("verdict"))
 
 

@@ -383,6 +383,46 @@ def total_return_lineitem(spark, d):
     return out.withColumn("tr_close", F.round(F.col("tr_close") + 0.000123, 3))
 
 
+# The same over every row of lineitem: each a dividend and a split. Ratios near 1 keep the products finite.
+
+_EACH = f"SELECT CAST(l_linenumber AS VARCHAR) AS symbol, (epoch_ms(l_shipdate) // {D}) * {D}"
+_DIV_ALL = f"{_EACH} + 43200000 AS ts, l_discount AS value FROM lineitem"
+_SPLIT_ALL = f"{_EACH} AS ts, CASE WHEN l_orderkey % 2 = 0 THEN 1.001 ELSE 1 / 1.001 END::DOUBLE AS value FROM lineitem"
+_RATIO_ALL = f"(SELECT s.symbol, s.ts AS split_ts, round(b.close / a.close, 4) AS ratio FROM (SELECT DISTINCT symbol, ts FROM ({_SPLIT_ALL})) s ASOF LEFT JOIN ({L_SQL}) b ON b.symbol = s.symbol AND s.ts > b.ts ASOF LEFT JOIN ({L_SQL}) a ON a.symbol = s.symbol AND s.ts <= a.ts)"
+
+
+def _all_dividends(spark, d):
+    return _events_of(spark, d, 1, 43_200_000, F.col("l_discount"))
+
+
+def _all_splits(spark, d):
+    return _events_of(spark, d, 1, 0, F.when(F.col("l_orderkey") % 2 == 0, F.lit(1.001)).otherwise(F.lit(1.0) / 1.001))
+
+
+@query(f"SELECT e.symbol, e.ts AS event_ts, b.ts AS bar_ts, e.value FROM ({_DIV_ALL}) e ASOF JOIN ({L_SQL}) b ON b.symbol = e.symbol AND e.ts <= b.ts")
+def forward_asof_all_lineitem(spark, d):
+    return adjust.forward_asof(_all_dividends(spark, d), daily(spark, d), ["symbol"])
+
+
+@query(f"""SELECT d.symbol, d.ts, d.value, round(coalesce(s.factor, 1.0), 9) AS factor FROM ({_DIV_ALL}) d ASOF LEFT JOIN
+ (SELECT symbol, ts, product(p) OVER (PARTITION BY symbol ORDER BY ts DESC) AS factor FROM (SELECT symbol, ts, product(value) AS p FROM ({_SPLIT_ALL}) GROUP BY 1, 2)) s ON s.symbol = d.symbol AND d.ts < s.ts""")
+def split_factor_all_lineitem(spark, d):
+    return rounded(adjust.split_factor(_all_dividends(spark, d), _all_splits(spark, d), ["symbol"]), ["factor"], 9)
+
+
+@query(f"""WITH bars AS ({L_SQL}), placed AS (SELECT e.symbol, b.ts, sum(e.value) AS d FROM ({_DIV_ALL}) e ASOF JOIN bars b ON b.symbol = e.symbol AND e.ts <= b.ts GROUP BY 1, 2)
+SELECT symbol, ts, round(first_value(close) OVER w * product(step) OVER w + 0.0123, 1) AS tr_close FROM (SELECT symbol, ts, close, coalesce((close + coalesce(d, 0)) / lag(close) OVER (PARTITION BY symbol ORDER BY ts), 1) AS step FROM bars LEFT JOIN placed USING (symbol, ts)) WINDOW w AS (PARTITION BY symbol ORDER BY ts ROWS UNBOUNDED PRECEDING)""")
+def total_return_all_lineitem(spark, d):
+    """Off the ties of rounding, as total_return_lineitem."""
+    out = adjust.total_return(daily(spark, d), _all_dividends(spark, d), ["symbol"])
+    return out.withColumn("tr_close", F.round(F.col("tr_close") + 0.0123, 1))
+
+
+@query(f"SELECT symbol, split_ts, ratio, CASE WHEN ratio IS NULL THEN 'inconclusive' WHEN abs(ratio - 1) <= 0.25 THEN 'adjusted' ELSE 'unadjusted' END AS verdict FROM {_RATIO_ALL}")
+def split_discontinuity_all_lineitem(spark, d):
+    return adjust.split_discontinuity(daily(spark, d), _all_splits(spark, d).select("symbol", "ts").distinct(), ["symbol"])
+
+
 _VENDOR = f"SELECT symbol, ts, close * (1 + ((ts // {D}) % 7) * 0.001) AS close FROM ({L_SQL}) WHERE (ts // {D}) % 5 <> 0"
 
 
@@ -532,6 +572,16 @@ def adjustment_class_lineitem(spark, d):
     return rounded(checks.adjustment_class(probes, compared, ["source"]), ["agreement"], 8)
 
 
+@query(f"""WITH c AS (SELECT x.symbol, median(abs(x.close - y.close) / y.close) AS m, count(*) AS n FROM ({L_SQL}) x JOIN ({_VENDOR}) y USING (symbol, ts) WHERE x.close > 0 AND y.close > 0 GROUP BY 1 HAVING n >= 60),
+ a AS (SELECT count(ratio) AS decided, count(*) FILTER (abs(ratio - 1) > 0.25) AS cliffs, (SELECT count(*) FROM c) AS compared, (SELECT list_sort(list(m))[len(list(m)) // 2 + 1] FROM c) AS agreement FROM {_RATIO_ALL})
+ SELECT 'lineitem' AS source, decided, compared, round(agreement, 8) AS agreement, CASE WHEN decided = 0 THEN 'unknown' WHEN cliffs > 0 THEN 'unadjusted' WHEN agreement <= 0.02 THEN 'split+dividend' ELSE 'split' END AS policy FROM a""")
+def adjustment_class_all_lineitem(spark, d):
+    bars, source = daily(spark, d), F.lit("lineitem").alias("source")
+    probes = adjust.split_discontinuity(bars, _all_splits(spark, d).select("symbol", "ts").distinct(), ["symbol"]).select(source, "verdict")
+    compared = adjust.close_agreement(bars, _vendor(spark, d), ["symbol"]).select(source, "status", "median_diff")
+    return rounded(checks.adjustment_class(probes, compared, ["source"]), ["agreement"], 8)
+
+
 @query(f"SELECT market, count(*) FILTER (m > 0) AS ranked, count(*) FILTER (m <= 0) AS zero_volume, count(*) FILTER (m IS NULL) AS unrankable, count(*) FILTER (m IS NULL) > 0.01 * count(*) AS refused FROM (SELECT market, CASE WHEN row_count >= 2 THEN median_dollar_volume END AS m FROM ({_REG})) GROUP BY 1")
 def ranking_summary_events(spark, d):
     measured = _registry(spark, d).withColumn("m", F.when(F.col("row_count") >= 2, F.col("median_dollar_volume")))

@@ -144,6 +144,14 @@ def test_archive_members(spark):
     assert got == ["keep", "too_short", "not_text", "not_us", "not_equity", "not_text"]
 
 
+@pytest.mark.parametrize("name", ["forward_asof_all_lineitem", "split_factor_all_lineitem"])
+def test_events_of_every_row(spark, name):
+    rows = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    got = QUERIES[name](spark, SF)
+    assert got.count() == rows if name.startswith("split") else rows * 0.98 < got.count() <= rows
+    assert all(math.isfinite(x[0]) for x in got.select(got.columns[-1]).distinct().collect())
+
+
 def norm(v):
     return round(float(v), 9) + 0.0 if isinstance(v, float) or hasattr(v, "is_finite") else v
 
