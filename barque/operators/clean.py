@@ -1,4 +1,5 @@
-"""Six-stage cleaning of series into segments (WIN1 to WIN10) and its reports (AGG12 to AGG17, AGG29, AGG30).
+"""Six-stage cleaning of series into segments (WIN1 to WIN10) and its reports (AGG12 to AGG17, AGG29, AGG30),
+and the bars of its segments (JN4, FLT9).
 
 All windows are over the series or over pieces of it, so the rows are shuffled once.
 """
@@ -83,6 +84,12 @@ def segments(bars: DataFrame, key: list[str], t: Thresholds) -> DataFrame:
     return out.withColumn("segment_id", F.concat_ws(":", *key, F.col("start_ts").cast("string"))).drop("piece")
 
 
+def segment_bars(bars: DataFrame, segs: DataFrame, key: list[str], before_ts: int | None = None) -> DataFrame:
+    """JN4, FLT9: the bars of every segment with its segment_id; a bar at the firewall is behind it."""
+    rows = bars if before_ts is None else bars.filter(F.col("ts") < before_ts)
+    return rows.join(segs.select(*key, "segment_id", "start_ts", "end_ts"), key).filter("ts between start_ts and end_ts").drop("start_ts", "end_ts")
+
+
 def drop_stats(bars: DataFrame, key: list[str], t: Thresholds) -> DataFrame:
     """WIN10: per series and rule the bars dropped and runs excised, beside the series' total and kept bars."""
     rows = clean_rows(bars, key, t)

@@ -1,4 +1,4 @@
-"""Registry reports, universes and incremental sets over manifest-like rows (AGG7 to AGG12, AGG33 to AGG38, TOP1 to TOP7, JN6 to JN9, FLT12, FLT13, INC1 to INC5)."""
+"""Registry reports, universes and incremental sets over manifest-like rows (AGG7 to AGG12, AGG33, AGG35, AGG36, AGG38, TOP1 to TOP5, TOP7, JN6 to JN9, FLT12, FLT13, INC1 to INC5)."""
 
 from __future__ import annotations
 
@@ -50,6 +50,17 @@ def universe(registry: DataFrame, by: list[str], measure: str, n: int, symbol: s
     return registry.filter(F.col(measure) > 0).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n).select(*by, symbol, measure, "rank")
 
 
+def with_history(registry: DataFrame, years: float) -> DataFrame:
+    """FLT13: series with so many years of history at least."""
+    return registry.filter(F.col("history_days") >= years * 365.25)
+
+
+def top_counts(rows: DataFrame, column: str, limit: int) -> DataFrame:
+    """TOP5: the most common values, equal counts by the value as a string; a report of `limit` rows."""
+    counts = rows.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return counts.orderBy(F.col("n").desc(), F.col(column).cast("string")).limit(limit)
+
+
 def candidates(listing: DataFrame, quote: str, excluded: list[str]) -> DataFrame:
     """FLT12: symbols of one quote whose base is no excluded currency and no leveraged version of another base."""
     rows = listing.filter(F.col("symbol").endswith(quote)).withColumn("base", F.expr(f"left(symbol, length(symbol) - {len(quote)})")).filter((F.col("base") != "") & ~F.col("base").isin(excluded))
@@ -70,10 +81,16 @@ def stale(registry: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def carried(old: DataFrame, fresh: DataFrame, new: DataFrame) -> DataFrame:
-    """JN8: old rows of artifacts that are still fresh, and the new rows."""
+    """JN8: old rows of artifacts that are still fresh, and the new rows. Give old through `of_config`."""
     return old.join(fresh.select("artifact"), "artifact", "left_semi").unionByName(new)
 
 
+def of_config(index: DataFrame, config_hash: str) -> DataFrame:
+    """INC3: the index, refused with an error when it is read if any of its rows has another configuration."""
+    same = F.col("clean_config_hash").eqNullSafe(F.lit(config_hash))
+    return index.filter(F.when(same, F.lit(True)).otherwise(F.raise_error(F.lit("segments of another configuration: run in full")).cast("boolean")))
+
+
 def content_hash(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """AGG33: SHA-256 of the rows as a set, whatever their order and partitions; two levels, so that no task holds all."""
     row = F.sha2(F.to_json(F.struct(*sorted(c for c in df.columns if c not in (by or []))), {"ignoreNullFields": "false"}), 256)

@@ -313,6 +313,18 @@ def fit_constants_events(spark, d):
     return rounded(sketch.center_scale(_sketch(spark, d), ["feature"]), ["center", "scale"], 8)
 
 
+FIREWALL = 1_705_708_800_000  # 2024-01-20
+
+
+@query()
+def fit_constants_segments_events(spark, d):
+    """Constants of the bars of cleaned segments before the firewall."""
+    bars = hourly(spark, d)
+    rows = clean.segment_bars(bars, clean.segments(bars, ["symbol"], RULE), ["symbol"], FIREWALL)
+    long = features.long_features(features.raw_features(rows, ["segment_id"]), ["segment_id"], _NAMES)
+    return rounded(sketch.center_scale(sketch.sketch(long, ["feature"]), ["feature"]), ["center", "scale"], 8)
+
+
 @query(f"SELECT feature, count(*) AS n, count(*) FILTER (abs((x - center) / scale) > 5) AS clipped, round(avg(CAST(greatest(least((x - center) / scale, 5), -5) AS FLOAT)), 4) AS mean FROM ({_LONG}) JOIN ({_constants_sql()}) USING (feature) GROUP BY 1")
 def clip_table_events(spark, d):
     z = features.scaled(_long(spark, d), sketch.center_scale(_sketch(spark, d), ["feature"]), [])
@@ -497,6 +509,11 @@ def universe_events(spark, d):
     return rounded(registry.universe(_registry(spark, d), ["market"], "median_dollar_volume", 10), ["median_dollar_volume"], 4)
 
 
+@query(f"SELECT market, symbol, history_days FROM ({_REG}) WHERE history_days >= 0.05 * 365.25")
+def with_history_events(spark, d):
+    return registry.with_history(_registry(spark, d), 0.05).select("market", "symbol", "history_days")
+
+
 @query(f"SELECT DISTINCT symbol FROM ({_REG}) WHERE market = 'click' AND row_count >= 2 INTERSECT SELECT DISTINCT symbol FROM ({_REG}) WHERE market = 'view' AND row_count >= 2")
 def in_both_markets_events(spark, d):
     r = _registry(spark, d).filter("row_count >= 2")

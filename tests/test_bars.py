@@ -152,6 +152,31 @@ def test_events_of_every_row(spark, name):
     assert all(math.isfinite(x[0]) for x in got.select(got.columns[-1]).distinct().collect())
 
 
+def test_segment_bars_end_before_the_firewall(spark):
+    df = bars(spark, skip={30})
+    segs = clean.segments(df, ["symbol"], RULE)
+    by = lambda x: sorted((r.segment_id, r["count"]) for r in x.groupBy("segment_id").count().collect())
+    assert by(clean.segment_bars(df, segs, ["symbol"])) == [(f"X:{START}", 30), (f"X:{START + 31 * HOUR}", 29)]
+    assert by(clean.segment_bars(df, segs, ["symbol"], START + 33 * HOUR)) == [(f"X:{START}", 30), (f"X:{START + 31 * HOUR}", 2)]
+
+
+def test_constants_of_segments(spark):
+    got = QUERIES["fit_constants_segments_events"](spark, "/root/testdata/sf0.01").collect()  # no segments at the smallest scale
+    assert sorted(r.feature for r in got) == sorted(r.feature for r in QUERIES["fit_constants_events"](spark, SF).collect())
+
+
+def test_history_counts_and_config(spark):
+    r = spark.createDataFrame([("a", 730.5), ("b", 730.4), ("c", None)], "symbol string, history_days double")
+    assert [x.symbol for x in registry.with_history(r, 2).collect()] == ["a"]
+    v = spark.createDataFrame([(x,) for x in (10, 9, 9, 10, 2, None)], "v int")
+    assert [tuple(x) for x in registry.top_counts(v, "v", 2).collect()] == [(10, 2), (9, 2)]
+    index = spark.createDataFrame([("a", "h"), ("b", "h")], "artifact string, clean_config_hash string")
+    assert registry.of_config(index, "h").select("artifact").count() == 2
+    for other in ("i", None):
+        with pytest.raises(Exception, match="another configuration"):
+            registry.of_config(index.union(spark.createDataFrame([("c", other)], index.schema)), "h").select("artifact").collect()
+
+
 def norm(v):
     return round(float(v), 9) + 0.0 if isinstance(v, float) or hasattr(v, "is_finite") else v
 
