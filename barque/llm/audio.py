@@ -79,9 +79,12 @@ def mel_bank() -> np.ndarray:
 
 
 def log_mel(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Overlapped frames to (frames, MELS) log energies and each frame's energy in dB; at least one frame."""
-    if len(x) < FRAME:
-        x = np.concatenate((x, np.zeros(FRAME - len(x), np.float32)))
+    """Overlapped frames to (frames, MELS) log energies and each frame's energy in dB; at least one frame.
+
+    Zeros fill the last frame up, so that every sample lies in one.
+    """
+    n = -(-max(len(x) - FRAME, 0) // HOP) + 1
+    x = np.concatenate((x, np.zeros((n - 1) * HOP + FRAME - len(x), np.float32)))
     frames = np.lib.stride_tricks.sliding_window_view(x, FRAME)[::HOP]
     window = np.hanning(FRAME).astype(np.float32)
     mels, energy = np.empty((len(frames), MELS), np.float32), np.empty(len(frames), np.float32)
