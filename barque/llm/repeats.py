@@ -10,8 +10,11 @@ A byte goes when a `length`-byte string that covers it also starts elsewhere. No
 3.  One member of each class, and the runs equal to no other, are compared byte by byte: their windows are put in
     suffix order (prefix doubling), and previous and next smaller places in that order tell whether a window occurs
     earlier; the same arrays of larger places tell whether it occurs later.
-    Groups of one k-gram over `group_limit` runs are first cut into shorter runs with longer keys, at last into single
-    windows, where steps 1 and 2 alone decide. No group of unbounded size meets in a task.
+    Groups of one k-gram over `group_limit` runs are first cut into quarters with longer keys, again and again, at last
+    into single windows, where steps 1 and 2 alone decide. A run that leaves a passage common to many keeps one piece
+    undecided in each round, so its pieces stay few. No group of unbounded size meets in a task.
+
+Copies of a whole text are told by its hashes before all this, and one of them stands for the rest.
 """
 
 from __future__ import annotations
@@ -22,14 +25,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barque.llm.rolling import Rolling, anchors
-from barque.llm.storage import discard, partitions, stored
+from barque.llm.storage import discard, stored
 
 GRAM = 32
 GROUP_LIMIT = 256
+CHUNK = 1 << 18
 RUN = "id long, k1 long, p int, lo int, hi int, key long, class long"
 
 
@@ -119,38 +123,65 @@ def _run_batch(ids, k1, rows, parts) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["id", "k1", "p", "lo", "hi", "key", "class"])
 
 
+def _compared(table: pa.Table, length: int, earlier_only: bool) -> pa.RecordBatch:
+    """From runs with their bytes to the spans of their windows that repeat."""
+    lo = table.column("lo").to_numpy()
+    hi = table.column("hi").to_numpy()
+    rows = np.arange(len(lo))
+    data = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8)
+    base = np.concatenate(([0], np.cumsum(hi - lo + length)))[:-1].astype(np.int64)
+    n_windows = (hi - lo + 1).astype(np.int64)
+    row = np.repeat(rows, n_windows)
+    inner = np.arange(len(row)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
+    order, classes = suffix_classes(data, base[row] + inner, length)
+    ids, k1 = table.column("id").to_numpy(), table.column("k1").to_numpy()
+    by_place = np.lexsort((lo, k1, ids))
+    new = np.ones(len(rows), bool)
+    new[1:] = np.any([x[by_place][1:] != x[by_place][:-1] for x in (ids, k1, lo)], axis=0)
+    row_rank = np.empty(len(lo), np.int64)
+    row_rank[by_place] = np.cumsum(new)
+    place = (row_rank[row] * (int(n_windows.max(initial=0)) + 1) + inner)[order]
+    repeats = previous_factor(classes, place)
+    if not earlier_only:
+        repeats |= previous_factor(classes, -place)
+    mask = np.zeros(len(row), bool)
+    mask[order[repeats]] = True
+    hit = np.flatnonzero(mask)
+    fresh = np.ones(len(hit), bool)  # begins a span: another run, or not the next window
+    fresh[1:] = (np.diff(hit) > 1) | (row[hit][1:] != row[hit][:-1])
+    last = np.concatenate((np.flatnonzero(fresh)[1:] - 1, [len(hit) - 1])) if len(hit) else hit
+    starts, ends = hit[fresh], hit[last]
+    r = row[starts]
+    columns = [ids[r], k1[r], (lo[r] + inner[starts]).astype(np.int32), (lo[r] + inner[ends] + length).astype(np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "k1", "s", "e"])
+
+
 def _compare(length: int, earlier_only: bool):
-    """Bounded groups: from runs with their bytes to the spans that repeat."""
-
-    def task(table: pa.Table) -> pa.Table:
-        lo = table.column("lo").to_numpy()
-        hi = table.column("hi").to_numpy()
-        rows = np.arange(len(lo))
-        data = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8)
-        base = np.concatenate(([0], np.cumsum(hi - lo + length)))[:-1].astype(np.int64)
-        n_windows = (hi - lo + 1).astype(np.int64)
-        row = np.repeat(rows, n_windows)
-        inner = np.arange(len(row)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
-        order, classes = suffix_classes(data, base[row] + inner, length)
-        ids, k1 = table.column("id").to_numpy(), table.column("k1").to_numpy()
-        by_place = np.lexsort((lo, k1, ids))
-        new = np.ones(len(rows), bool)
-        new[1:] = np.any([x[by_place][1:] != x[by_place][:-1] for x in (ids, k1, lo)], axis=0)
-        row_rank = np.empty(len(lo), np.int64)
-        row_rank[by_place] = np.cumsum(new)
-        place = (row_rank[row] * (int(n_windows.max(initial=0)) + 1) + inner)[order]
-        repeats = previous_factor(classes, place)
-        if not earlier_only:
-            repeats |= previous_factor(classes, -place)
-        mask = np.zeros(len(row), bool)
-        mask[order[repeats]] = True
-        hit = np.flatnonzero(mask)
-        fresh = np.ones(len(hit), bool)  # begins a span: another run, or not the next window
-        fresh[1:] = (np.diff(hit) > 1) | (row[hit][1:] != row[hit][:-1])
-        last = np.concatenate((np.flatnonzero(fresh)[1:] - 1, [len(hit) - 1])) if len(hit) else hit
-        starts, ends = hit[fresh], hit[last]
-        r = row[starts]
-        return pa.table({"id": ids[r], "k1": k1[r], "s": (lo[r] + inner[starts]).astype(np.int32), "e": (lo[r] + inner[ends] + length).astype(np.int32)})
+    """Rows come sorted by key. Whole groups of one key are compared, about CHUNK bytes at a time, whatever the size of
+    the partition."""
+
+    def chunks(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        key = table.column("key").to_numpy()
+        size = np.cumsum(table.column("hi").to_numpy() - table.column("lo").to_numpy() + length)
+        starts = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1))
+        chunk = size[starts] // CHUNK
+        cuts = np.concatenate((starts[np.concatenate(([True], chunk[1:] != chunk[:-1]))], [len(key)]))
+        for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            yield _compared(table.slice(i, j - i), length, earlier_only)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            key = table.column("key").to_numpy()
+            new = np.flatnonzero(key[1:] != key[:-1]) + 1
+            if len(new):
+                yield from chunks(table.slice(0, int(new[-1])))
+                table = table.slice(int(new[-1]))
+            held = table
+        if held is not None and held.num_rows:
+            yield from chunks(held)
 
     return task
 
@@ -168,65 +199,94 @@ def merge_spans(spans: list, n: int) -> list[tuple[int, int]]:
 # ---- the operator ----------------------------------------------------------------------------------------------------
 
 
-def _resolve(runs: DataFrame, earlier_only: bool) -> tuple[DataFrame, DataFrame]:
-    """Runs whose key occurs twice or more, split into spans that surely repeat and runs still to compare.
+def _resolve(runs: DataFrame, earlier_only: bool) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Runs, split into spans that surely repeat and runs still to compare; and the tables to discard in the end.
 
-    The first of each class stays to compare if its key has another class; the rest of the class repeats it."""
+    The first of each class stays to compare if its key has another class; the rest of the class repeats it. Classes are
+    counted before they meet, so the joins have two shuffled tables, which Spark splits where a key is hot."""
     me = F.struct("id", "k1", "p", "lo", "hi")
-    classes = runs.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"), F.min(me).alias("first"))
+    classes = stored(runs.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"), F.min(me).alias("first")), "classes")
     keys = classes.groupBy("key").agg(F.count(F.lit(1)).alias("group"), F.min("n").alias("least"))
     several = (F.col("group") > 1) if earlier_only else (F.col("group") > 1) & (F.col("least") == 1)
-    todo = classes.join(keys.filter(several), "key").select("first.*", "key", "group")
+    keys = stored(keys.filter(several).select("key", "group"), "keys")
+    todo = classes.join(keys, "key").select("first.*", "key", "group")
     sure = runs.join(classes.filter("n > 1").select("key", "class", "first"), ["key", "class"])
     if earlier_only:
         sure = sure.filter(me != F.col("first"))
-    return sure.select("id", "k1", F.col("lo").alias("s"), F.col("hi").alias("e")), todo
+    return sure.select("id", "k1", F.col("lo").alias("s"), F.col("hi").alias("e")), todo, [classes, keys]
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
+    """Columns id, k1, k2 that name a text: its document and two hashes. A null id becomes one before all others, of the
+    text itself, so that texts under null ids don't meet."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    k2 = F.xxhash64(F.lit(1), text)
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)) + F.pmod(k2, F.lit(1 << 40))).alias("id"), F.xxhash64(text).alias("k1"), k2.alias("k2")]
 
 
 def repeated_spans(docs: DataFrame, length: int = 200, earlier_only: bool = False, group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """Spans of `docs` (id long, k1 long, data binary) whose windows of `length` bytes occur elsewhere too.
+    """Spans of `docs` (id, k1 and k2 of `keyed`, data binary) whose windows of `length` bytes occur elsewhere too.
 
     earlier_only: only windows that occur before, in the order of id, then of k1, then of place. Rows: id, k1, s, e;
-    spans of one document may overlap. k1 tells apart texts under one id; equal rows count as copies.
+    spans of one document may overlap. Copies of a whole text are found by its hashes; one of them stands for all from
+    there on. Rows equal in id and text are copies, but with earlier_only one document, which the other rows don't cut.
     """
-    spark = docs.sparkSession
+    texts = stored(docs.groupBy("id", "k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.max(F.length("data")).alias("size")), "texts")
+    copied = stored(texts.groupBy("k1", "k2").agg(F.min("id").alias("first"), F.sum("n").alias("n")).filter("n > 1").drop("n"), "copied")
+    of_copies = texts.filter(F.col("size") >= length).join(copied, ["k1", "k2"])
+    if earlier_only:
+        of_copies = of_copies.filter("id > first")
+    spans = [of_copies.select("id", "k1", F.lit(0).alias("s"), F.col("size").alias("e"))]
+
     k = min(GRAM, length)
     shift = length - k  # a window's anchor stands 0 to shift bytes after its start
     every = stored(docs.select("id", "k1", "data").mapInArrow(_runs(length, k), RUN), "runs")
-    twice = every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    runs = stored(every.join(twice, "key", "left_semi"), "repeated_runs")
-    discard(every)
-    sure, todo = _resolve(runs, earlier_only)
-    spans = [sure.withColumn("e", F.col("e") + length)]
+    # of two texts, or at two places of one
+    twice = every.groupBy("key").agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.min("p").alias("c"), F.max("p").alias("d"))
+    twice = stored(twice.filter("a < b or c < d").select("key"), "twice")
+    # grouped without the key, so that Spark sums up copies before it deals them anew, and may split a hot key in the join
+    once = every.join(twice, "key", "left_semi").groupBy("k1", "p", "lo", "hi").agg(F.min("key").alias("key"), F.min("class").alias("class"), F.min("id").alias("id"))
+    runs = stored(once, "repeated_runs")
+    discard(every, twice)
+    sure, todo, gone = _resolve(runs, earlier_only)
+    spans.append(sure.withColumn("e", F.col("e") + length))
+    gone += [texts, copied, runs]
 
     wanted = todo.groupBy("id", "k1").agg(F.collect_list(F.struct("p", "lo", "hi", "key", "group")).alias("wanted"))
-    found = wanted.join(docs.select("id", "k1", "data"), ["id", "k1"]).select("id", "k1", "data", F.explode("wanted").alias("r"))
+    rows = docs.select("id", "k1", "data")
+    if not texts.filter("n > 1").isEmpty():
+        rows = rows.dropDuplicates(["id", "k1"])
+    found = wanted.join(rows, ["id", "k1"]).select("id", "k1", "data", F.explode("wanted").alias("r"))
     todo = stored(found.select("id", "k1", "r.*", F.expr(f"substring(data, r.lo + 1, r.hi - r.lo + {length})").alias("bytes")), "compare")
+    gone.append(todo)
 
     small = todo.filter(F.col("group") <= group_limit)
     large, width = todo.filter(F.col("group") > group_limit), shift + 1
-    for cut in (-(-width // 8), 1):  # runs of an eighth, then single windows
-        if large.isEmpty():
-            break
-        first = f"(p - {shift} + j * {cut})"  # of the windows of piece j, as far from the anchor in each document
-        last = f"least(p, {first} + {cut - 1})"
-        pieces = large.withColumn("j", F.explode(F.expr(f"sequence((lo - p + {shift}) div {cut}, (hi - p + {shift}) div {cut})")))
+    while not large.isEmpty():
+        width = -(-width // 4)  # pieces of a quarter, down to single windows, where equal bytes alone decide
+        first = f"(p - {shift} + j * {width})"  # of the windows of piece j, as far from the anchor in each document
+        last = f"least(p, {first} + {width - 1})"
+        pieces = large.withColumn("j", F.explode(F.expr(f"sequence((lo - p + {shift}) div {width}, (hi - p + {shift}) div {width})")))
         pieces = pieces.select("*", F.expr(f"greatest(lo, {first})").alias("a"), F.expr(f"least(hi, {last})").alias("b"))
         common = F.expr(f"substring(bytes, {last} - lo + 1, {first} + {length} - {last})")  # in all windows of the piece
         whole = F.expr(f"substring(bytes, a - lo + 1, b - a + {length})")
         pieces = pieces.select("id", "k1", "p", "a", "b", F.xxhash64("key", "j", common).alias("k"), F.xxhash64("key", "j", F.expr("a - p"), F.expr("b - p"), whole).alias("class"), whole.alias("bytes"))
         pieces = stored(pieces.withColumnsRenamed({"a": "lo", "b": "hi", "k": "key"}), "pieces")
-        sure, rest = _resolve(pieces.drop("bytes"), earlier_only)
+        sure, rest, more = _resolve(pieces.drop("bytes"), earlier_only)
         spans.append(sure.withColumn("e", F.col("e") + length))
-        if cut == 1:
+        gone += [pieces, *more]
+        if width == 1:
             break
-        rest = stored(rest.join(pieces.select("id", "k1", "p", "lo", "bytes").dropDuplicates(["id", "k1", "p", "lo"]), ["id", "k1", "p", "lo"]), "compare")
+        rest = stored(rest.join(pieces.select("id", "k1", "p", "lo", "bytes"), ["id", "k1", "p", "lo"]), "compare")
+        gone.append(rest)
         small = small.unionByName(rest.filter(F.col("group") <= group_limit))
         large = rest.filter(F.col("group") > group_limit)
-    compare = small.select(F.pmod("key", F.lit(partitions(spark) * 4)).alias("bucket"), "id", "k1", "lo", "hi", "bytes")
-    out = compare.groupBy("bucket").applyInArrow(_compare(length, earlier_only), "id long, k1 long, s int, e int")
+    compare = small.select("key", "id", "k1", "lo", "hi", "bytes").repartition("key").sortWithinPartitions("key")
+    out = compare.mapInArrow(_compare(length, earlier_only), "id long, k1 long, s int, e int")
     for x in spans:
         out = out.unionByName(x)
+    out = stored(out, "spans")
+    discard(*gone)
     return out
 
 
@@ -240,9 +300,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, keep: str = "none", id_co
     repeated are copies of each other; a null id stands before all others; other columns are ignored.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    doc_id = F.col(id_col).cast("long")
-    rows = docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("k1"), F.encode(text, "UTF-8").alias("data"))
-    spans = repeated_spans(rows, length, keep == "first", group_limit)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *keyed(docs, id_col, text_col), F.encode(text, "UTF-8").alias("data"))
+    spans = repeated_spans(rows.drop("doc_id"), length, keep == "first", group_limit)
     spans = spans.groupBy("id", "k1").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
     joined = rows.join(spans, ["id", "k1"], "left").select("doc_id", "k1", "data", "spans")
 

@@ -34,7 +34,7 @@ def _powers(kind: str, base: int, n: int) -> np.ndarray:
             step = min(done, size - done)
             p[done : done + step] = p[:step] * np.uint64(pow(base, done, 1 << 64))
             done += step
-        if size <= 1 << 22:
+        if size <= 1 << 19:  # 4 MB of each kind stay with a worker
             _POWERS[kind] = p
     return p[:n]
 

@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; only where it is unset (tests) one of our own."""
+    """The folder named by spark.checkpoint.dir. Where it is unset, a local master (tests) gets one of our own; a cluster,
+    whose nodes share no local folder, gets an error."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
         at = f"file://{tempfile.mkdtemp(prefix='barque-')}"
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -25,13 +28,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Delete the folders of a table that `stored` returned, once nothing reads it any more."""
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession._jsc.hadoopConfiguration()
-    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+def discard(*tables: DataFrame) -> None:
+    """Delete the folders of tables that `stored` returned, once nothing reads them any more."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        conf = df.sparkSession._jsc.hadoopConfiguration()
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:
