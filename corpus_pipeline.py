@@ -51,11 +51,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut later copies of passages of 200 bytes and more; the first copy stays. No row goes."""
-    text = F.coalesce("text", F.lit(""))
-    keyed = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "__k1": F.xxhash64(text)})
-    rows = keyed.select(F.col("__id").alias("id"), F.col("__k1").alias("k1"), F.encode(text, "UTF-8").alias("data"))
-    spans = repeats.repeated_spans(rows, earlier_only=True).groupBy("id", "k1").agg(F.collect_list(F.struct("s", "e")).alias("__spans"))
+    data = F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("data")
+    names = repeats.keyed(docs, "doc_id", "text")
+    spans = repeats.repeated_spans(docs.select(*names, data), earlier_only=True).groupBy("id", "k1").agg(F.collect_list(F.struct("s", "e")).alias("__spans"))
     spans = spans.withColumnsRenamed({"id": "__id", "k1": "__k1"})
+    keyed = docs.withColumns({"__id": names[0], "__k1": names[1]})
     cut = repeats.cut_text()
     joined = keyed.join(spans, ["__id", "__k1"], "left")
     out = _with_text(joined, F.when(F.col("__spans").isNull(), F.col("text")).otherwise(cut("text", "__spans")))
