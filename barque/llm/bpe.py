@@ -1,16 +1,16 @@
 """Byte-level BPE with Spark higher-order functions over distinct words (operator 7).
 
-A text is cut at white space into pieces that the split pattern never crosses. The most frequent pieces of the corpus,
-at most `entries`, are split by the pattern and encoded once: a fold over a word's bytes that joins, step by step, the
-neighbours with the lowest rank, looked up in a literal rank map. Their ids go to the tasks as one table of bounded
-size. Pieces outside the table go through the same fold where they occur, as an array beside their document, so nothing
-but the counts of pieces is shuffled and a growing vocabulary needs no larger table.
+A text is cut into words at places that the split pattern never crosses: white space, and the edges between runs of
+letters, digits and other signs. All words are counted. The most frequent ones, down to a count that at most `entries`
+words reach, are encoded once: a fold over a word's bytes that joins, step by step, the neighbours with the lowest rank,
+looked up in a literal rank map. Their ids go to the tasks as one table of bounded size. Words outside the table, rare by
+choice of that count, go through the same fold where they occur, so that neither texts nor words of documents are
+shuffled and a growing vocabulary needs no larger table. Decoding looks up the bytes of each id and concatenates them.
 """
 
 from __future__ import annotations
 
 import base64
-import hashlib
 import json
 import re
 from collections.abc import Iterator
@@ -18,20 +18,26 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barque.llm.rolling import Rolling
+from barque.llm.storage import discard, stored
 
 ENTRIES = 1_000_000
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 1 << 18
 #: Unicode white space, as the split pattern has it.
 WS = r"\t-\r \x85\xa0  -     　"
 PIECE = re.compile(f"[{WS}]+(?![^{WS}])| ?[^{WS}]+|[{WS}]+")
-WIDE_SPACE = re.compile("[\x85\xa0  -     　]".encode().join([b"", b""]) or b"(?!)")
 WIDE_SPACE = re.compile(b"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Letters 1, digits 2, other signs 3; 0 where no edge is looked for: white space, apostrophes and most of what isn't ASCII.
+KIND = np.zeros(256, np.uint8)
+KIND[33:127] = 3
+KIND[48:58] = 2
+KIND[[*range(65, 91), *range(97, 123)]] = 1
+KIND[39] = 0
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -43,74 +49,84 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def rank_slots(ranks: dict[bytes, int]) -> tuple[list[int], list[int]]:
-    """The rank map as two literal arrays, hash and rank by slot: each key stands in one of the two slots that its
-    64-bit hash names (cuckoo hashing). The hash is Spark's xxhash64 of the bytes."""
-    size = 1 << max(4, (len(ranks) * 5 // 2).bit_length())
-    hashes = {token: xxhash.xxh64_intdigest(token, seed=42) for token in ranks}
-    if len(set(hashes.values())) < len(ranks):
+    """The rank map as two literal arrays: how far to shift a key's hash, by the hash's low 16 bits, and, by the low bits
+    of the shifted hash, the hash with the rank in place of its low 16 bits. The hash is Spark's xxhash64 of the bytes."""
+    size = 1 << max(4, (len(ranks) * 2 - 1).bit_length())
+    rank_of = {xxhash.xxh64_intdigest(token, seed=42): rank for token, rank in ranks.items()}
+    if len({h >> 16 for h in rank_of}) < len(ranks):
         raise ValueError("two keys of the rank map share a hash")
-    slots: list[bytes | None] = [None] * size
-    for token in ranks:
-        at = hashes[token] % size
-        for _ in range(500):
-            slots[at], token = token, slots[at]
-            if token is None:
+    sharing: dict[int, list[int]] = {}
+    for h in rank_of:
+        sharing.setdefault(h & 0xFFFF, []).append(h)
+    slots, shifts = [0] * size, [0] * 0x10000
+    for low, hashes in sorted(sharing.items(), key=lambda x: -len(x[1])):
+        for shift in range(1, 48):
+            at = [h >> shift & size - 1 for h in hashes]
+            if len({*at}) == len(at) and not any(slots[i] for i in at):
                 break
-            h = hashes[token]
-            at = (h >> 32) % size if at == h % size else h % size
         else:
             raise ValueError("the rank map doesn't fit its slots")
-    signed = lambda h: h - (1 << 64) if h >> 63 else h
-    return [signed(hashes[t]) if t is not None else 0 for t in slots], [ranks[t] if t is not None else -1 for t in slots]
+        shifts[low] = shift
+        for i, h in zip(at, hashes, strict=True):
+            slots[i] = h & ~0xFFFF | rank_of[h]
+    return shifts, [h - (1 << 64) if h >> 63 else h for h in slots]
 
 
-def encoded(pieces: Column, ranks: dict[bytes, int], pattern: str) -> Column:
-    """array<string> of pieces to array<array<int>> of their ids."""
-    keys, values = rank_slots(ranks)
-    literal = lambda x, kind: F.expr(f"from_json('{json.dumps(x)}', 'array<{kind}>')")
-    mask = F.lit(len(keys) - 1)
+def literal(values: list, kind: str) -> Column:
+    return F.expr(f"from_json('{json.dumps(values)}', 'array<{kind}>')")
 
-    def let(value: Column, then) -> Column:
-        return F.get(F.transform(F.array(value), then), F.lit(0))
 
-    def all_pieces(table: Column) -> Column:
-        def rank(key: Column) -> Column:
-            def slot(h: Column) -> Column:
-                first, second = h.bitwiseAND(mask).cast("int"), F.shiftrightunsigned(h, 32).bitwiseAND(mask).cast("int")
-                ranked = lambda at: F.get(table["ranks"], at)
-                return F.when(F.get(table["keys"], first) == h, ranked(first)).when(F.get(table["keys"], second) == h, ranked(second))
+def let(value: Column, then) -> Column:
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
-            return let(F.xxhash64(key), slot)
 
-        def word(w: Column) -> Column:
-            def merge(cuts: Column) -> Column:
-                """Leave out the cut inside the leftmost neighbours of the lowest rank; without any, the word is done."""
-                pairs = F.transform(F.slice(cuts, F.lit(1), F.size(cuts) - 2), lambda c, i: rank(F.substring(w, c, F.get(cuts, i + 2) - c)))
+NONE = 1 << 60  # above rank * 2**32 + place
 
-                def joined(ranked: Column) -> Column:
-                    done = F.struct(cuts.alias("cuts"), F.lit(True).alias("done"))
 
-                    def without(at: Column) -> Column:
-                        rest = F.filter(cuts, lambda c, i: i != at)
-                        return F.struct(rest.alias("cuts"), (F.size(cuts) < 4).alias("done"))
+def encoded(pieces: Column, ranks: dict[bytes, int], pattern: str) -> Column:
+    """array<string> of pieces to array<array<long>> of their ids."""
+    shifts, slots = rank_slots(ranks)
+    mask = len(slots) - 1
 
-                    lowest = F.array_min(ranked)
-                    return F.when(lowest.isNull(), done).otherwise(let(F.array_position(ranked, lowest).cast("int"), without))
+    def all_pieces(table: Column) -> Column:
+        def ranked(h: Column, i: Column | None = None) -> Column:
+            """The rank of a hash, with a place below it if one is given; NONE without a rank."""
+            shift = F.get(table["shifts"], h.bitwiseAND(0xFFFF).cast("int"))
+            found = F.get(table["slots"], F.call_function("shiftrightunsigned", h, shift).bitwiseAND(mask).cast("int"))
+            rank = found.bitwiseAND(0xFFFF)
+            return F.when(F.shiftright(found.bitwiseXOR(h), 16) == 0, rank if i is None else F.shiftleft(rank, 32) + i).otherwise(F.lit(NONE))
 
-                return let(pairs, joined)
+        def word(w: Column) -> Column:
+            def hashes(cuts: Column, n: int) -> Column:
+                """Of every n neighbours."""
+                return F.transform(F.slice(cuts, F.lit(1), F.size(cuts) - n), lambda c, i: F.xxhash64(F.substring(w, c, F.get(cuts, i + n) - c)))
 
-            def ids(cuts: Column) -> Column:
-                return F.transform(F.slice(cuts, F.lit(1), F.size(cuts) - 1), lambda c, i: rank(F.substring(w, c, F.get(cuts, i + 1) - c)))
+            def merge(cuts: Column) -> Column:
+                """Leave out the cut inside the leftmost neighbours of the lowest rank; without any, the word is done."""
+
+                def joined(lowest: Column) -> Column:
+                    at = lowest.bitwiseAND(0xFFFFFFFF).cast("int") + 1
+                    rest = F.concat(F.slice(cuts, F.lit(1), at), F.slice(cuts, at + 2, F.size(cuts)))
+                    merged = F.struct(rest.alias("cuts"), (F.size(cuts) < 4).alias("done"))
+                    return F.when(lowest == NONE, F.struct(cuts.alias("cuts"), F.lit(True).alias("done"))).otherwise(merged)
+
+                return let(F.array_min(F.transform(hashes(cuts, 2), ranked)), joined)
 
             n = F.length(w)
             start = F.struct(F.sequence(F.lit(1), n + 1).alias("cuts"), F.lit(False).alias("done"))
-            fold = F.aggregate(F.sequence(F.lit(2), F.greatest(n, F.lit(2))), start, lambda s, _: F.when(s["done"], s).otherwise(merge(s["cuts"])), lambda s: ids(s["cuts"]))
-            return let(rank(w), lambda r: F.when(r.isNotNull(), F.array(r)).otherwise(fold))
+            ids = lambda s: F.transform(hashes(s["cuts"], 1), lambda h: ranked(h))
+            fold = F.aggregate(F.sequence(F.lit(2), F.greatest(n, F.lit(2))), start, lambda s, _: F.when(s["done"], s).otherwise(merge(s["cuts"])), ids)
+            return let(let(F.xxhash64(w), lambda h: ranked(h)), lambda rank: F.when(rank != NONE, F.array(rank)).otherwise(fold))
 
         java = F.lit("(?U)" + pattern)
         return F.transform(pieces, lambda p: F.flatten(F.transform(F.regexp_extract_all(p, java, F.lit(0)), lambda x: let(x.cast("binary"), word))))
 
-    return let(F.struct(literal(keys, "bigint").alias("keys"), literal(values, "int").alias("ranks")), all_pieces)
+    return let(F.struct(literal(shifts, "int").alias("shifts"), literal(slots, "bigint").alias("slots")), all_pieces)
+
+
+def looked_up(ids: Column, values: list[str]) -> Column:
+    """The binary that the hexadecimal values of the ids make up, one after the other."""
+    return let(literal(values, "string"), lambda table: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table, i)), "")))
 
 
 # ---- pieces in tasks -------------------------------------------------------------------------------------------------
@@ -134,12 +150,16 @@ def piece_starts(data: np.ndarray, firsts: np.ndarray, raw: bytes) -> np.ndarray
     before_word[:-1] = ~space[1:]
     before_word[end] = False
     starts = begin | (~space & after_space & after_plain) | (space & before_word) | (space & ~after_space)
+    kind = KIND[data]
+    latin = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7))  # two-byte letters
+    kind[latin] = kind[latin + 1] = 1
+    starts[1:] |= (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
     if WIDE_SPACE.search(raw):  # those texts by the pattern itself
         ends = np.append(firsts[1:], n)
         for s, e in zip(firsts.tolist(), ends.tolist(), strict=True):
             part = raw[s:e]
             if WIDE_SPACE.search(part):
-                starts[s:e] = False
+                starts[s:e] = False  # edges of runs in them are left to the pattern
                 at = s
                 for m in PIECE.findall(part.decode()):
                     starts[at] = True
@@ -172,18 +192,20 @@ def hashed_pieces(texts: list[bytes]):
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces that a batch has twice or more, with their counts: candidates for the table."""
+    """The distinct words of a batch with their counts."""
     for batch in batches:
-        seen: list[tuple] = []
+        hashes, counts, words = [], [], []
         for _, _, texts in groups(batch):
             raw, _, starts, ends, h = hashed_pieces(texts)
             keys, first, n = np.unique(h, return_index=True, return_counts=True)
-            keep = n > 1
-            first = first[keep]
-            pieces = [raw[s:e].decode() for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-            seen.append((keys[keep].view(np.int64), n[keep], pieces))
-        for keys, n, pieces in seen:
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(pieces, pa.string()), pa.array(n.astype(np.int64))], ["h", "piece", "n"])
+            hashes.append(keys)
+            counts.append(n)
+            words.append(np.array([raw[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True)], object))
+        if hashes:
+            keys, first, back = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+            n = np.bincount(back, np.concatenate(counts), len(keys)).astype(np.int64)
+            found = pa.array(np.concatenate(words)[first], pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), found, pa.array(n)], ["h", "piece", "n"])
 
 
 class Table:
@@ -215,6 +237,8 @@ def gather(flat: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _lookup(table):
+    """Each text as its known ids, in one part more than it has rare words, and those words."""
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t: Table = table.value
         for batch in batches:
@@ -225,84 +249,58 @@ def _lookup(table):
                 sizes = np.where(known, t.sizes[found] if len(t.keys) else 0, 0)
                 ids = gather(t.ids, t.at[found[known]], sizes[known]) if known.any() else np.empty(0, np.uint16)
                 before = np.concatenate(([0], np.cumsum(sizes)))
-                first = np.searchsorted(starts, bounds)  # pieces of each text
+                first = np.searchsorted(starts, bounds)  # words of each text
                 first[-1] = len(starts)
                 rare = np.flatnonzero(~known)
                 of_text = np.searchsorted(rare, first)
-                words = [raw[s:e].decode() for s, e in zip(starts[rare].tolist(), ends[rare].tolist(), strict=True)]
-                rows_ids, rows_rare, rows_at = [], [], []
-                for k in range(j - i):
-                    a, b = before[first[k]], before[first[k + 1]]
-                    rows_ids.append(ids[a:b].tobytes())
-                    own = slice(of_text[k], of_text[k + 1])
-                    rows_rare.append(words[own])
-                    rows_at.append((before[rare[own]] - a).astype(np.int32).tobytes())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(rows_ids, pa.binary()), pa.array(rows_rare, pa.list_(pa.string())), pa.array(rows_at, pa.binary())], ["doc_id", "ids", "rare", "at"])
+                edges = np.empty(j - i + len(rare) + 1, np.int32)
+                outer = (np.arange(j - i + 1) + of_text).astype(np.int32)
+                edges[outer] = before[first]
+                edges[np.arange(len(rare)) + np.repeat(np.arange(j - i), np.diff(of_text)) + 1] = before[rare]
+                parts = pa.ListArray.from_arrays(pa.array(outer), pa.ListArray.from_arrays(pa.array(edges), pa.array(ids.astype(np.int32))))
+                words = pa.array([raw[s:e] for s, e in zip(starts[rare].tolist(), ends[rare].tolist(), strict=True)], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), parts, pa.ListArray.from_arrays(pa.array(of_text.astype(np.int32)), words)], ["doc_id", "parts", "rare"])
 
     return task
 
 
-def _finish(pieces_table, with_ids: bool):
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, at, sizes = pieces_table.value
-        for batch in batches:
-            n, ids_sha, decoded_sha, all_ids, all_text = [], [], [], [], []
-            rare = batch.column("rare")
-            flat_ids = rare.flatten().flatten().to_numpy(zero_copy_only=False).astype(np.uint16)
-            inner = np.asarray(rare.flatten().offsets)
-            outer = np.asarray(rare.offsets)
-            for k, (known, places) in enumerate(zip(batch.column("ids"), batch.column("at"), strict=True)):
-                ids = np.frombuffer(known.as_py(), np.uint16)
-                places = np.frombuffer(places.as_py(), np.int32)
-                if len(places):
-                    o = inner[outer[k] : outer[k] + len(places) + 1] - inner[0]
-                    ids = np.insert(ids, np.repeat(places, np.diff(o)), flat_ids[o[0] : o[-1]])
-                text = gather(flat, at[ids], sizes[ids]).tobytes()
-                wide = ids.astype("<u4").tobytes()
-                n.append(len(ids))
-                ids_sha.append(hashlib.sha256(wide).hexdigest())
-                decoded_sha.append(hashlib.sha256(text).hexdigest())
-                if with_ids:
-                    all_ids.append(wide)
-                    all_text.append(text)
-            columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                columns += [pa.array(all_ids, pa.binary()), pa.array(all_text, pa.binary())]
-                names += ["ids", "decoded"]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    return task
+def frequent(counts: DataFrame, entries: int) -> DataFrame:
+    """The words whose count no more than `entries` words reach. counts: one row per word, with n."""
+    reached = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).withColumn("upto", F.sum("words").over(Window.orderBy(F.desc("n"))))  # a row for each count that occurs
+    least = reached.filter(F.col("upto") <= entries).agg(F.min("n")).first()[0]
+    return counts.filter(F.lit(False) if least is None else F.col("n") >= least)
 
 
 def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, entries: int = ENTRIES, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
     """Encode each whole text, each match of `pattern` separately, and decode the ids again.
 
-    Returns doc_id, n_tokens, ids_sha256, decoded_sha256 and, with_ids, ids (4 bytes each) and decoded (bytes). A null or
-    empty text has no ids; repeated rows give repeated rows; a null id stays null; an empty table gives no rows; other
-    columns are ignored. Ranks must hold every single byte and stay under 65,536.
+    Returns doc_id, n_tokens, ids_sha256, decoded_sha256 and, with_ids, ids (array) and decoded (binary). A null or empty
+    text has no ids; repeated rows give repeated rows; a null id stays null; an empty table gives no rows; other columns
+    are ignored. Ranks must hold every single byte and stay under 65,536; the pattern must never match across white space
+    or an edge between letters, digits and other signs but at an apostrophe.
     """
     if max(ranks.values(), default=0) >= 1 << 16 or any(bytes([b]) not in ranks for b in range(256)):
         raise ValueError("ranks must be below 65,536 and hold every byte")
     sc = docs.sparkSession.sparkContext
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("data"))
-    counts = rows.select("data").mapInArrow(_count, "h long, piece string, n long").groupBy("h", "piece").agg(F.sum("n").alias("n"))
-    frequent = counts.orderBy(F.col("n").desc(), "h").limit(entries)
-    one = frequent.repartition(max(64, sc.defaultParallelism * 4)).select("h", F.get(encoded(F.array("piece"), ranks, pattern), F.lit(0)).alias("ids"))
-    got = one.toArrow()
+    counts = stored(rows.select("data").mapInArrow(_count, "h long, piece string, n long").groupBy("h", "piece").agg(F.sum("n").alias("n")), "words")
+    once = frequent(counts, entries).repartition(max(64, sc.defaultParallelism * 4)).select("h", F.get(encoded(F.array("piece"), ranks, pattern), F.lit(0)).cast("array<int>").alias("ids"))
+    got = once.toArrow()
+    discard(counts)
     ids = got.column("ids").combine_chunks()
-    sizes = ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64) if len(ids) else np.empty(0, np.int64)
+    sizes = ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int32) if len(ids) else np.empty(0, np.int32)
     flat = ids.flatten().to_numpy(zero_copy_only=False).astype(np.uint16) if len(ids) else np.empty(0, np.uint16)
     table = sc.broadcast(Table(got.column("h").to_numpy().view(np.uint64), sizes, flat))
-    by_id = [b""] * (max(ranks.values()) + 1)
+    hexes, wide = [""] * (max(ranks.values()) + 1), [i.to_bytes(4, "little").hex() for i in range(max(ranks.values()) + 1)]
     for token, rank in ranks.items():
-        by_id[rank] = token
-    lengths = np.array([len(x) for x in by_id], np.int64)
-    pieces = sc.broadcast((np.frombuffer(b"".join(by_id), np.uint8), np.cumsum(lengths) - lengths, lengths))
-    found = rows.mapInArrow(_lookup(table), "doc_id long, ids binary, rare array<string>, at binary")
-    found = found.withColumn("rare", encoded(F.col("rare"), ranks, pattern))
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids binary, decoded binary" if with_ids else "")
-    return found.mapInArrow(_finish(pieces, with_ids), schema)
+        hexes[rank] = token.hex()
+    found = rows.mapInArrow(_lookup(table), "doc_id long, parts array<array<int>>, rare array<string>")
+    of_rare = encoded(F.col("rare"), ranks, pattern).cast("array<array<int>>")
+    found = found.withColumn("rare", F.when(F.size("rare") > 0, of_rare).otherwise(F.array().cast("array<array<int>>")))
+    both = F.flatten(F.transform("parts", lambda x, i: F.concat(x, F.coalesce(F.get("rare", i), F.array().cast("array<int>")))))
+    found = found.select("doc_id", F.when(F.size("rare") > 0, both).otherwise(F.flatten("parts")).alias("ids"))
+    out = found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(looked_up(F.col("ids"), wide), 256).alias("ids_sha256"), "ids", looked_up(F.col("ids"), hexes).alias("decoded"))
+    return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"), *(["ids", "decoded"] if with_ids else []))
 
 
 def op7_bpe(spark, sf_dir: str) -> DataFrame:

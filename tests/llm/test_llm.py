@@ -191,12 +191,19 @@ def test_bpe(spark, docs, nothing, entries):
 
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    odd = ["a  b\n\n c\t\td  ", " \n x", "I'm you'll it's", "日本語　全角 a", "naïve\x1cfoo", "\x85a\x85\x85b", "🎉 émojis", "a   b"]
+    odd = ["it's,'s 'x ''s a1b2,c;;d é,é×é é'é 12é ,é 'tis I'LL x'll5",  "x" * 3000, "Ã©Ã—÷a", "a  b\n\n c\t\td  ", " \n x", "I'm you'll it's", "日本語　全角 a", "naïve\x1cfoo", "\x85a\x85\x85b", "🎉 émojis", "a   b"]
     rows = spark.createDataFrame([*((d, t) for d, t, *_ in corpus()), *((100 + i, t) for i, t in enumerate(odd))], "doc_id long, text string")
-    want = collections.Counter(np.array(plain.encode_ordinary(r.text or ""), "<u4").tobytes() for r in rows.collect())
+    want = collections.Counter(tuple(plain.encode_ordinary(r.text or "")) for r in rows.collect())
     got = bpe.encode_decode(rows, ranks, public_tokenizers.PATTERN, entries=entries).collect()
-    assert collections.Counter(r.ids for r in got) == want
+    assert collections.Counter(tuple(r.ids) for r in got) == want
     assert collections.Counter(r.decoded for r in got) == collections.Counter((r.text or "").encode() for r in rows.collect())
+    assert all(r.n_tokens == len(r.ids) and r.ids_sha256 == hashlib.sha256(np.array(r.ids, "<u4").tobytes()).hexdigest() and r.decoded_sha256 == hashlib.sha256(r.decoded).hexdigest() for r in got)
+    assert bpe.encode_decode(nothing, ranks, public_tokenizers.PATTERN, entries=entries).count() == 0
+
+
+def test_most_frequent_words(spark):
+    counts = spark.createDataFrame([("a", 9), ("b", 5), ("c", 5), ("d", 1)], "piece string, n long")
+    assert [sorted(r.piece for r in bpe.frequent(counts, n).collect()) for n in (0, 1, 2, 3, 9)] == [[], ["a"], ["a"], ["a", "b", "c"], ["a", "b", "c", "d"]]
 
 
 def test_audio(docs, nothing):
