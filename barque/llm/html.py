@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>""", re.S)
+NAME = re.compile(r"[A-Za-z][^\s/>]*")
+STOP = re.compile(r"""[>"']""")
 #: Every attribute of a tag in turn, its value whole: nothing is found inside names or values.
 ATTRIBUTE = re.compile(r"""([^\s/][^\s/=]*)(?:\s*=\s*(?:"([^"]*)(?:"|$)|'([^']*)(?:'|$)|([^\s>]+)))?""")
 WORD = re.compile(r"[A-Za-z]+")
@@ -27,39 +28,90 @@ ENDS = {
 KEEPS_P = BLOCK - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "legend", "html", "head", "body"}
 DROPPED = frozenset("nav footer aside form button select menu dialog head object canvas audio video".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
-#: Words of class and id that mark what surrounds an article.
+#: Words of class and id that mark what surrounds an article: the last word of a name ("site-footer"), or the first where
+#: only PLACES follow ("comments-area"). What holds an article or nearly all of the page's text is no surrounding, whatever its
+#: name.
 DROPPED_NAMES = frozenset("ad ads advert adverts advertisement advertisements advertising banner banners promo promotion sponsor sponsored sponsors sidebar menu menus nav navbar navigation breadcrumb breadcrumbs footer cookie cookies notice notices consent gdpr popup modal overlay newsletter subscribe signup login comment comments disqus respond share sharing social related recommended widget widgets toolbar pagination pager".split())
+PLACES = frozenset("area bar bars block blocks body bottom box boxes btn button buttons col column container content first group holder icon icons inner item items last left link links list main outer panel right row section slot text title top unit view wrap wrapper zone".split())
 TEXT_ROOTS = frozenset({"article", "main"})
+CLOSE = {name: re.compile(f"</{name}(?=[\\s/>]|$)", re.I) for name in RAW}
 #: What becomes of a node: it goes; it holds text roots only; its subtrees are judged without or with its own text; it stays.
 GONE, OUTSIDE, SPARSE, OPEN, TAKEN = range(5)
 NEVER_NAMED = frozenset({"html", "body", "article", "main"})
 
 
+class Scanner:
+    """Tags of a page one after the other, in time linear in its length: what was once looked for in vain isn't looked
+    for again. A quote counts only where a value begins."""
+
+    def __init__(self, html: str):
+        self.html, self.last, self.lacking = html, html.rfind(">"), set()
+
+    def upto(self, what: str, at: int) -> int:
+        """Behind the next `what`, or the end of the page."""
+        end = -1 if what in self.lacking else self.html.find(what, at)
+        if end < 0:
+            self.lacking.add(what)
+            return len(self.html)
+        return end + len(what)
+
+    def next(self, at: int) -> tuple[int, int, str, bool, str] | None:
+        """(start, end, name, whether it ends an element, attributes) of the first tag from `at` on; comments and
+        declarations have no name. A tag that never ends, ends with the page."""
+        html = self.html
+        while (start := html.find("<", at)) >= 0:
+            for opening, closing in (("<!--", "-->"), ("<![CDATA[", "]]>"), ("<!", ">"), ("<?", ">")):
+                if html.startswith(opening, start):
+                    return start, self.upto(closing, start + len(opening)), "", False, ""
+            ends = html.startswith("/", start + 1)
+            m = NAME.match(html, start + 1 + ends)
+            if m:
+                stop = self.stop(m.end())
+                return start, stop + 1, m[0].lower(), ends, html[m.end() : stop]
+            at = start + 1
+        return None
+
+    def stop(self, at: int) -> int:
+        """Where a tag ends whose name ends at `at`."""
+        html, j = self.html, at
+        while j <= self.last:
+            found = STOP.search(html, j)
+            j = found.end()
+            if found[0] == ">":
+                return found.start()
+            before = found.start() - 1
+            while before >= at and html[before] in " \t\n\r\f":
+                before -= 1
+            if html[before] == "=" and before >= at and (close := self.upto(found[0], j)) < len(html):
+                j = close
+        first = html.find(">", at) if at <= self.last else -1  # a quoted value that runs past all tags
+        return first if first >= 0 else len(html)
+
+
 class Page:
     """The tree of one page as parallel lists, in page order; text in pieces with their block and node."""
 
     def __init__(self, html: str):
-        self.tag, self.parent, self.dropped = ["#root"], [0], [False]
+        self.tag, self.parent, self.dropped, self.doubtful = ["#root"], [0], [False], [False]
         self.pieces: list[tuple[int, int, str]] = []
         self.block = 0
         self.open, self.open_tags = [0], {}
-        at = 0
-        while True:
-            m = TOKEN.search(html, at)
-            self.text(html[at : m.start()] if m else html[at:])
-            if not m:
-                break
-            at = m.end()
-            if name := m[2] or m[5]:
-                name = name.lower()
-                if m[1] or m[4]:
-                    self.end(name)
-                else:
-                    self.start(name, m[3] or m[6] or "")
-                    if name in RAW:
-                        self.end(name)
-                        close = re.compile(f"</{re.escape(name)}(?=[\\s/>]|$)", re.I).search(html, at)
-                        at = close.start() if close else len(html)
+        scanner, at = Scanner(html), 0
+        while tag := scanner.next(at):
+            start, end, name, ends, attributes = tag
+            self.text(html[at:start])
+            at = end
+            if not name:
+                continue
+            if ends:
+                self.end(name)
+                continue
+            self.start(name, attributes)
+            if name in RAW:
+                self.end(name)
+                close = CLOSE[name].search(html, at)
+                at = close.start() if close else len(html)
+        self.text(html[at:])
 
     def text(self, s: str) -> None:
         if s and not self.dropped[self.open[-1]]:
@@ -83,30 +135,33 @@ class Page:
         above = self.open[-1]
         self.tag.append(name)
         self.parent.append(above)
-        self.dropped.append(self.dropped[above] or name in RAW or name in DROPPED or self.named(name, attributes))
+        dropped, doubtful = self.named(name, attributes)
+        self.dropped.append(self.dropped[above] or name in RAW or name in DROPPED or dropped)
+        self.doubtful.append(doubtful)
         if name not in VOID:
             self.open.append(len(self.tag) - 1)
             self.open_tags[name] = self.open_tags.get(name, 0) + 1
 
-    def named(self, name: str, attributes: str) -> bool:
+    def named(self, name: str, attributes: str) -> tuple[bool, bool]:
+        """Whether an element goes by its tag, state or role, and whether its class or id tells of surroundings."""
         inside = any(self.open_tags.get(t) for t in TEXT_ROOTS)
         if name == "header" and not inside:
-            return True
+            return True, False
         if not attributes or name in NEVER_NAMED:
-            return False
-        seen = set()
+            return False, False
+        seen, doubtful = set(), False
         for m in ATTRIBUTE.finditer(attributes):
             key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if key in seen:  # the first of equal names holds
                 continue
             seen.add(key)
             if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value in DROPPED_ROLES:
-                return True
+                return True, False
             if key in ("class", "id"):
-                words = WORD.findall(value)
-                if not DROPPED_NAMES.isdisjoint(words) or ("header" in words and not inside):
-                    return True
-        return False
+                for words in map(WORD.findall, value.split()):
+                    if words and (words[-1] in DROPPED_NAMES or words[0] in DROPPED_NAMES and PLACES.issuperset(words[1:]) or words[-1] == "header" and not inside):
+                        doubtful = True
+        return False, doubtful
 
     def end(self, name: str) -> None:
         if self.open_tags.get(name):
@@ -124,28 +179,19 @@ class Page:
         del self.open[i:]
 
 
-def main_text(html: str) -> str:
-    """The blocks of the dense subtrees, each on a line.
-
-    For every node: characters per tag, adjusted for links. The node whose children's densities have the largest sum
-    is taken, with the outermost article or main element around it. The least density on the way from that node up to the body is
-    the threshold: every other subtree of the body that reaches it is taken too, or, where an article or main element
-    stands around the node, every other such element that reaches it. Inside what is taken, blocks
-    mostly of links under the threshold are left out.
-    """
-    page = Page(html)
+def tree_sums(page: Page) -> tuple[list[int], list[int], list[int], list[int], list[bool]]:
+    """Of every node: characters but spaces, those in links, tags and link tags, all of its whole subtree without what is
+    dropped; and whether it stands in a link."""
     n = len(page.tag)
     chars, links, tags, link_tags, in_link = [0] * n, [0] * n, [1] * n, [0] * n, [False] * n
     for i in range(1, n):
         in_link[i] = page.tag[i] == "a" or in_link[page.parent[i]]
         link_tags[i] = int(page.tag[i] == "a")
-    pieces = []
-    for block, node, s in page.pieces:
-        size = len(s) - s.count(" ") if s else 0
-        pieces.append((block, node, s))
-        chars[node] += size
-        if in_link[node]:
-            links[node] += size
+    for _, node, s in page.pieces:
+        if not page.dropped[node]:
+            size = len(s) - s.count(" ")
+            chars[node] += size
+            links[node] += size * in_link[node]
     for i in range(n - 1, 0, -1):
         if not page.dropped[i]:
             up = page.parent[i]
@@ -153,17 +199,44 @@ def main_text(html: str) -> str:
             links[up] += links[i]
             tags[up] += tags[i]
             link_tags[up] += link_tags[i]
-    body = next((i for i in range(n) if page.tag[i] == "body"), 0)
-    of_body = links[body] / max(chars[body], 1)
+    return chars, links, tags, link_tags, in_link
+
+
+def density(chars: int, links: int, tags: int, link_tags: int, of_body: float) -> float:
+    """Composite text density: characters per tag, made less by links. of_body: the share of link characters in the body."""
+    if not chars:
+        return 0.0
+    base = log(chars / max(chars - links, 1) * links + of_body * chars + e)
+    return chars / tags * log(max(chars / max(links, 1) * tags / max(link_tags, 1), 1.0)) / base
+
 
-    def density(i: int) -> float:
-        c, lc = chars[i], links[i]
-        if not c:
-            return 0.0
-        base = log(c / max(c - lc, 1) * lc + of_body * c + e)
-        return max(0.0, c / tags[i] * log(max(c / max(lc, 1) * tags[i] / max(link_tags[i], 1), 1.0)) / log(max(base, e))) if base > 1 else c / tags[i]
+def main_text(html: str) -> str:
+    """The blocks of the dense subtrees, each on a line.
 
-    densities = [0.0 if page.dropped[i] else density(i) for i in range(n)]
+    For every node: characters per tag, adjusted for links. The node whose children's densities have the largest sum
+    is taken, with the outermost article or main element around it. The least density on the way from that node up to the body is
+    the threshold: every other subtree of the body that reaches it is taken too, or, where an article or main element
+    stands around the node, every other such element that reaches it. Inside what is taken, blocks
+    mostly of links under the threshold are left out. Before all this go elements that are no text by their tag, state or
+    role, and those whose class or id tells of surroundings, unless they hold an article or nearly all of the page's text.
+    """
+    page = Page(html)
+    n = len(page.tag)
+    chars, *_ = tree_sums(page)
+    holds_root = [tag in TEXT_ROOTS for tag in page.tag]
+    for i in range(n - 1, 0, -1):
+        holds_root[page.parent[i]] |= holds_root[i]
+    in_root = [False] * n
+    for i in range(1, n):
+        up = page.parent[i]
+        in_root[i] = in_root[up] or page.tag[up] in TEXT_ROOTS
+        beside = holds_root[0] and not in_root[i] and not holds_root[i]
+        goes = page.doubtful[i] and (beside or not holds_root[i] and chars[i] * 10 < chars[0] * 9)
+        page.dropped[i] = page.dropped[i] or page.dropped[up] or goes
+    chars, links, tags, link_tags, in_link = tree_sums(page)
+    body = next((i for i in range(n) if page.tag[i] == "body"), 0)
+    of_body = links[body] / max(chars[body], 1)
+    densities = [0.0 if page.dropped[i] else density(chars[i], links[i], tags[i], link_tags[i], of_body) for i in range(n)]
     sums = [0.0] * n
     for i in range(1, n):
         sums[page.parent[i]] += densities[i]
@@ -191,10 +264,10 @@ def main_text(html: str) -> str:
         elif above == OUTSIDE and page.tag[i] not in TEXT_ROOTS or above == OPEN and (i in (0, body) or page.tag[i] == "html" or page.tag[i] not in BLOCK):
             state[i] = above
         else:
-            state[i] = TAKEN if densities[i] >= threshold else SPARSE
+            state[i] = TAKEN if densities[i] >= threshold and (above != SPARSE or page.tag[i] in BLOCK) else SPARSE
     blocks: dict[int, list[str]] = {}
     loose: dict[int, int] = {}
-    for block, node, s in pieces:
+    for block, node, s in page.pieces:
         if state[node] in (TAKEN, OPEN):
             blocks.setdefault(block, []).append(s)
             if state[node] == OPEN:

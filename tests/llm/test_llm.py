@@ -2,8 +2,10 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -134,6 +136,74 @@ def test_html_parts_of_an_article_stay_whole():
     assert html.main_text(page).split("\n") == ["Title", "x " * 299 + "x", "a", "b", "y " * 89 + "y"]
 
 
+@pytest.mark.parametrize("page", ["<a" * 20_000, '<a "' * 20_000, "<a x='" * 20_001, '<a x=">' * 20_001, "<!--" * 20_000, "<script>" * 20_000, "<p" + " a='\"" * 20_001, "<![CDATA[" * 20_000, "</" * 40_000])
+def test_html_malformed_tags_take_linear_time(page):
+    began = time.process_time()
+    assert "kept" in html.main_text(f"<p>{'kept ' * 50}</p>{page}")
+    assert time.process_time() - began < 5
+
+
+def test_html_odd_tags():
+    assert html.main_text("<article><p title='a > b'>one</p><p title=\"it's\">two</p><p it's>three</p><p x = 'y>z'>four<!-- > --><script>if (a < b) x = '<!--';</script> five</p></article> < 6") == "one\ntwo\nthree\nfour five"
+
+
+@pytest.mark.parametrize("name", ["share-price", "social-history", "comment-on-law", "ad"])
+def test_html_names_around_the_text_drop_nothing(name):
+    text = "<p>" + "word " * 80 + "</p>"
+    assert html.main_text(f"<article><h1>Title</h1><div class={name}>{text * 3}</div><p>end</p></article>").count("word") == 240
+
+
+@pytest.mark.parametrize("name", ["ad", "ad-box", "site-footer", "comments-area", "x cookie_notice"])
+def test_html_named_surroundings_go(name):
+    assert html.main_text(f"<article><p>{'word ' * 80}</p><div class='{name}'>Buy now</div></article>").split() == ["word"] * 80
+
+
+def brute_densities(page):
+    """Composite text density of every node by its definition, each subtree walked anew."""
+    n, out = len(page.tag), []
+    inside = lambda i, top: i == top or i > 0 and inside(page.parent[i], top)
+    linked = lambda i: i > 0 and (page.tag[i] == "a" or linked(page.parent[i]))
+    size = lambda s: sum(c != " " for c in s)
+
+    def counts(top):
+        nodes = [i for i in range(n) if inside(i, top)]
+        own = [(i, size(s)) for _, i, s in page.pieces if i in nodes]
+        return sum(c for _, c in own), sum(c for i, c in own if linked(i)), len(nodes), sum(page.tag[i] == "a" for i in nodes)
+
+    body = page.tag.index("body")
+    of_body = counts(body)[1] / max(counts(body)[0], 1)
+    for i in range(n):
+        c, lc, t, lt = counts(i)
+        base = math.log(c / max(c - lc, 1) * lc + of_body * c + math.e)
+        out.append(c / t * math.log(max(c / max(lc, 1) * t / max(lt, 1), 1)) / base if c else 0)
+    return out
+
+
+#: Neither article elements nor telling names: only density tells the text from what surrounds it.
+DENSE = [f"<p>{c * 9} {('long ' + c) * 40}.</p>" for c in "abcd"]
+AROUND = ["<div>" + "".join(f"<div><a href=/{i}>Link number {i}</a><span>1{i} May</span></div>" for i in range(9)) + "</div>", "<table><tr>" + "<td><a href=/>x y</a></td>" * 12 + "</tr></table>", "<ul>" + "<li><span>tag</span> <a href=/t>topic</a></li>" * 8 + "</ul>"]
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1), (1, 2, 0)])
+@pytest.mark.parametrize("wrap", ["<div>{}</div>", "<section><div>{}</div></section>", "<table><tr><td>{}</td></tr></table>", "{}"])
+def test_html_density_alone_finds_the_text(order, wrap):
+    a, b, c = (AROUND[i] for i in order)
+    source = f"<html><body>{a}{b}{wrap.format(''.join(DENSE))}{c}</body></html>"
+    page = html.Page(source)
+    chars, links, tags, link_tags, _ = html.tree_sums(page)
+    body = page.tag.index("body")
+    got = [html.density(*x, links[body] / chars[body]) for x in zip(chars, links, tags, link_tags, strict=True)]
+    assert got == pytest.approx(brute_densities(page))
+    assert html.main_text(source).split("\n") == [x[3:-4] for x in DENSE]
+
+
+def test_html_rows(spark):
+    rows = [(1, "u", "<p>same</p>", "x"), (1, "u", "<p>same</p>", "y"), (None, None, "<p>no id</p>", None), (2, "v", None, "z")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    assert sorted((repr(r.page_id), r.url, r.text, r.n_chars) for r in html.extract(frame).collect()) == [("1", "u", "same", 4), ("1", "u", "same", 4), ("2", "v", "", 0), ("None", None, "no id", 5)]
+    assert html.extract(frame.limit(0)).count() == 0
+
+
 def test_pack(docs, nothing):
     from tokenizers import Tokenizer
 
