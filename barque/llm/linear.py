@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Labelled rows that a model is fitted on at most, the first by hash of the id.
 FIT_ROWS = 8000
+#: Features of one text that a fit sees at most: of longer texts those with the least hashes. Scores see all of them.
+FIT_FEATURES = 8192
 
 
 class Model(NamedTuple):
@@ -104,9 +106,18 @@ def constant(y: np.ndarray, dim: int) -> Model:
     return Model(np.zeros(dim), 0.0, 1.0, float(np.log(p / (1 - p))), None if dim else np.empty(0, np.uint32))
 
 
+def bounded(ids: np.ndarray, most: int = FIT_FEATURES) -> np.ndarray:
+    """Distinct features, the `most` with the least hashes at most."""
+    ids = np.unique(ids)
+    if len(ids) <= most:
+        return ids
+    mixed = ids.astype(np.uint32) * np.uint32(0x9E3779B1)
+    return np.sort(ids[np.argsort(mixed ^ mixed >> np.uint32(15), kind="stable")[:most]])
+
+
 def fit_in_task(docs: DataFrame, labels: DataFrame, label: str, features: Callable[[bytes], np.ndarray], fit: Callable[[list, np.ndarray], Model], max_rows: int, id_col: str, text_col: str, kind: type = np.int32) -> Model:
-    """Fit on the first max_rows labelled rows (by hash of id) outside the held-out third. Only these rows' features
-    meet in a task; what comes back has the size of the model."""
+    """Fit on the first max_rows labelled documents (by hash of id) outside the held-out third; of several texts under one
+    id, on one. At most FIT_FEATURES distinct features of each meet in a task; what comes back has the size of the model."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).filter(F.col("y").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     known = known.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("data"))
@@ -114,7 +125,7 @@ def fit_in_task(docs: DataFrame, labels: DataFrame, label: str, features: Callab
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [features(x.as_py()).tobytes() for x in batch.column("data")]
+            ids = [bounded(features(x.as_py())).tobytes() for x in batch.column("data")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(ids, pa.binary())], ["doc_id", "y", "ids"])
 
     def fitted(table: pa.Table) -> pa.Table:
@@ -125,7 +136,7 @@ def fit_in_task(docs: DataFrame, labels: DataFrame, label: str, features: Callab
         binary = lambda x, kind: pa.array([None if x is None else x.astype(kind).tobytes()], pa.binary())
         return pa.table({"w": binary(m.w, np.float32), "bias": [float(m.bias)], "slope": [float(m.slope)], "shift": [float(m.shift)], "keys": binary(m.keys, np.uint32)})
 
-    sample = rows.mapInArrow(found, "doc_id long, y int, ids binary")
+    sample = rows.mapInArrow(found, "doc_id long, y int, ids binary").groupBy("doc_id").agg(F.min("y").alias("y"), F.min("ids").alias("ids"))
     got = sample.groupBy(F.lit(1).alias("one")).applyInArrow(fitted, "w binary, bias double, slope double, shift double, keys binary").first()
     if got is None:
         return fit([], np.empty(0, np.int64))

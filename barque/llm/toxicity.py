@@ -1,4 +1,11 @@
-"""Toxicity by weak supervision: lexicon and pattern voters, a generative label model, a linear classifier (operator 8)."""
+"""Toxicity by weak supervision: lexicon and pattern voters, a generative label model, a linear classifier (operator 8).
+
+Voters say toxic, clean or nothing. Three speak for a lexicon of insults written by hand; the rest for words and beginnings of
+words of a lexicon that is induced on the development part of the labelled sample, dealt into several voters by hash. For each kind of entry one voter says clean where a text has none. The label model sees the votes on the whole
+sample and no labels: it estimates, by expectation maximisation, how often each voter says what in either class, and which
+voters agree beyond that. A linear classifier is trained on its posteriors. Labels come back at the end alone, to turn
+margins into probabilities.
+"""
 
 from __future__ import annotations
 
@@ -12,7 +19,15 @@ from barque.llm.words import LOWER
 
 PREFIXES = (4, 5, 6, 7, 8)
 FIT_ROWS = 16_000
-VOTERS, LEAST, SHARE, Z, LINKED = 600, 3, 0.85, 1.64, 0.5
+ENTRIES, LEAST, SHARE, Z = 600, 3, 0.85, 1.64
+DEALT = 4  # voters of each kind of entry
+KINDS = 1 + len(PREFIXES)
+#: Insults that the first voters look for.
+LEXICON = (
+    "idiot idiots moron morons stupid loser losers trash worthless pathetic disgusting scum clown clowns dumb fool fools imbecile jerk bastard filthy vermin",
+    "dumm idiot depp trottel arschloch abschaum widerlich wertlos müll dreck versager idiote imbécile stupide ordure crétin connard dégoûtant",
+    "estúpido estúpida imbécil basura asqueroso idiota tonto tonta payaso inútil patético",
+)
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
 _LETTER[128:] = True
@@ -36,11 +51,16 @@ def features(data: bytes) -> np.ndarray:
     edge = np.diff(inside)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     roll = Rolling(low)
-    parts = [roll.spans(starts, ends)]
-    for n in PREFIXES:
+    parts = [_named(roll.spans(starts, ends), 0)]
+    for kind, n in enumerate(PREFIXES, 1):
         long = starts[ends - starts > n]
-        parts.append(roll.spans(long, long + n) * np.uint64(0x9E3779B97F4A7C15))
-    return (np.concatenate(parts) >> np.uint64(32)).astype(np.uint32)
+        parts.append(_named(roll.spans(long, long + n), kind))
+    return np.concatenate(parts)
+
+
+def _named(hashes: np.ndarray, kind: int) -> np.ndarray:
+    """32 bits of a hash, the last three of them for the kind of entry."""
+    return (hashes >> np.uint64(32)).astype(np.uint32) & np.uint32(0xFFFFFFF8) | np.uint32(kind)
 
 
 def numbered(rows: list[np.ndarray], least: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -84,9 +104,9 @@ def shares(rows: list[np.ndarray], dim: int, rare: int = 200, bands: int = 6, wi
     return 1 / np.bincount(group, minlength=len(rows))[group] if len(rows) else np.empty(0)
 
 
-def voters(rows: list[np.ndarray], y: np.ndarray, share_of: np.ndarray, dim: int, most: int = VOTERS) -> np.ndarray:
-    """The lexicon (words) and pattern (beginnings) voters: features whose texts are toxic in a share of SHARE, and
-    surely of one half by the lower Wilson bound; at most `most`, those that speak most often first."""
+def telling(rows: list[np.ndarray], y: np.ndarray, share_of: np.ndarray, dim: int, most: int = ENTRIES) -> np.ndarray:
+    """Features whose texts are toxic in a share of SHARE, and surely of one half by the lower Wilson bound; at most
+    `most`, those that speak most often first."""
     counts = np.zeros((2, dim))
     for ids, label, part in zip(rows, y, share_of, strict=True):
         counts[int(label > 0)][ids] += part
@@ -98,69 +118,83 @@ def voters(rows: list[np.ndarray], y: np.ndarray, share_of: np.ndarray, dim: int
     return np.argsort(-worth, kind="stable")[: min(most, int((worth > 0).sum()))]
 
 
-def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 30) -> np.ndarray:
-    """Posterior that each row is toxic, from votes (rows x voters, toxic or abstained) and the given label, one more
-    voter of unknown accuracy.
+def votes_of(rows: list[np.ndarray], keys: np.ndarray, entries: np.ndarray) -> np.ndarray:
+    """Votes (1 toxic, -1 clean, 0 nothing), rows x voters: the hand-written lexicons, the induced entries of each kind in
+    DEALT voters, and for each kind one voter that says clean without an entry of it."""
+    written = [np.unique(np.concatenate([features(w.encode())[:1] for w in words.split()])) for words in LEXICON]
+    kind, part = keys[entries] & 7, (keys[entries] >> np.uint32(3)) * np.uint32(0x9E3779B1) >> np.uint32(30)
+    voter = np.full(len(keys), -1)
+    voter[entries] = kind * DEALT + part % DEALT
+    by_hand = np.full(len(keys), -1)
+    for j, words in enumerate(written):
+        by_hand[np.isin(keys, words)] = j
+    n, first = len(written), len(written) + KINDS * DEALT
+    votes = np.zeros((len(rows), first + KINDS + 1), np.int8)
+    for i, ids in enumerate(rows):
+        votes[i, by_hand[ids][by_hand[ids] >= 0]] = 1
+        votes[i, n + voter[ids][voter[ids] >= 0]] = 1
+        votes[i, first:] = -1
+    for k in range(KINDS):
+        votes[votes[:, n + k * DEALT : n + (k + 1) * DEALT].any(axis=1), first + k] = 0
+    votes[votes[:, :n].any(axis=1), first + KINDS] = 0
+    return votes[:, np.abs(votes).any(axis=0)]
+
+
+def label_model(votes: np.ndarray, rounds: int = 50) -> np.ndarray:
+    """Posterior that each row is toxic, from votes alone.
 
-    Expectation maximisation over each voter's rate of speaking in either class; one more voter says "clean" where all
-    abstain. Voters that agree beyond what the class explains are correlated; each counts by the inverse of how many
-    speak with it.
+    Each voter has a rate of saying toxic, clean and nothing in either class; expectation maximisation starts from the
+    sums of votes. Correlations: what two voters share beyond the classes, by their residuals; a voter counts by the
+    inverse of the sum of its squared correlations, so that voters that say the same count once together.
     """
-    spoken = votes.any(axis=1)
-    post = np.where(spoken, 0.7, 0.05) * 0.5 + np.where(given > 0, 0.5, 0.0)
+    said = np.stack([votes == 1, votes == -1, votes == 0]).astype(np.float64)  # 3, rows, voters
+    speaks = np.where(votes > 0, 1.0, np.where(votes < 0, -0.5, 0.0)).sum(axis=1)
+    post = np.clip(1 / (1 + np.exp(-speaks)), 0.02, 0.98)
     weight = np.ones(votes.shape[1])
     for i in range(rounds):
-        prior = np.clip(post.mean(), 0.01, 0.99)
-        ones, zeros = post.sum(), (1 - post).sum()
-        speak1 = (post @ votes + 0.5) / (ones + 1)
-        speak0 = ((1 - post) @ votes + 0.05) / (zeros + 1)
-        clean = np.log(((post @ ~spoken) + 0.5) / (ones + 1)) - np.log((((1 - post) @ ~spoken) + 0.5) / (zeros + 1))
-        said1, said0 = (post @ (given > 0) + 1) / (ones + 2), ((1 - post) @ (given > 0) + 1) / (zeros + 2)
-        told = np.where(given > 0, np.log(said1 / said0), np.log((1 - said1) / (1 - said0)))
-        if i % 10 == 0:  # correlations given the class
-            rest = (votes - np.outer(post, speak1) - np.outer(1 - post, speak0)).astype(np.float32)
-            size = np.sqrt((rest**2).sum(axis=0)) + 1e-6
-            weight = 1 / np.maximum(1, ((rest.T @ rest) / np.outer(size, size) > LINKED).sum(axis=1))
-        logit = np.log(prior / (1 - prior)) + votes @ (weight * np.log(speak1 / speak0)) + np.where(spoken, 0.0, clean) + told
+        prior = np.clip(post.mean(), 0.005, 0.995)
+        toxic = (np.einsum("r,srv->sv", post, said) + 0.1) / (post.sum() + 0.3)
+        clean = (np.einsum("r,srv->sv", 1 - post, said) + 0.1) / ((1 - post).sum() + 0.3)
+        if i % 5 == 0:
+            rest = votes - np.outer(post, toxic[0] - toxic[1]) - np.outer(1 - post, clean[0] - clean[1])
+            size = np.sqrt((rest**2).sum(axis=0)) + 1e-9
+            weight = 1 / ((rest.T @ rest / np.outer(size, size)) ** 2).sum(axis=1)
+        logit = np.log(prior / (1 - prior)) + np.einsum("srv,sv->r", said, np.log(toxic / clean) * weight)
         new = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-        if np.abs(new - post).max() < 1e-4:
-            return new
-        post = new
+        moved, post = np.abs(new - post).max(), new
+        if moved < 1e-4 and i > 5:
+            break
     return post
 
 
 def fit(rows: list[np.ndarray], y: np.ndarray) -> Model:
-    """Voters, their label model, then a linear model on its posteriors and a probability curve on held-back labels."""
+    """Voters from the development part (four fifths), the label model on all, a linear model on its posteriors, and a
+    probability curve on the last fifth, which no earlier step but the label model sees."""
     if len(set(y)) < 2 or min((y > 0).sum(), (y < 0).sum()) < 5:
         return constant(y, 0)
-    rest = np.arange(len(rows)) % 5 == 4
+    fold = np.arange(len(rows)) % 10
+    rest, development = fold >= 8, fold < 8
     if len(set(y[rest])) < 2 or len(rows) < 1000:
-        rest[:] = True
-        train = np.arange(len(rows))
-    else:
-        train = np.flatnonzero(~rest)
-    keys, some = numbered([rows[i] for i in train], LEAST)
+        rest, development = np.ones(len(rows), bool), np.ones(len(rows), bool)
+    keys, some = numbered(rows, LEAST)
     dim = len(keys)
     share_of = shares(some, dim)
-    chosen = voters(some, y[train], share_of, dim)
-    if not len(chosen):
-        return constant(y, 0)
-    place = np.full(dim, -1)
-    place[chosen] = np.arange(len(chosen))
-    votes = np.zeros((len(some), len(chosen)), np.float32)
-    for i, ids in enumerate(some):
-        at = place[ids]
-        votes[i, at[at >= 0]] = 1
-    post = label_model(votes, y[train])
+    pick = lambda mask: [some[i] for i in np.flatnonzero(mask)]
+    entries = telling(pick(development), y[development], share_of[development], dim)
+    votes = votes_of(some, keys, entries)
+    post = label_model(votes) if votes.shape[1] else np.zeros(len(rows))
     label = np.where(post > 0.5, 1, -1)
     if len(set(label)) < 2:
         return constant(y, 0)
-    use = np.sort(voters(some, label, share_of, dim, dim))  # a word speaks for toxicity, none against it
+    train = ~rest | rest.all()
+    use = np.sort(telling(pick(train), label[train], share_of[train], dim, dim))  # a word speaks for toxicity, none against it
+    if not len(use):
+        return constant(y, 0)
     ratio = np.zeros(dim)
-    ratio[use] = np.maximum(log_ratios(some, label, dim, alpha=0.5), 0)[use]
-    ratio /= ratio.max()
+    ratio[use] = np.maximum(log_ratios(pick(train), label[train], dim, alpha=0.5), 0)[use]
+    ratio /= ratio.max() or 1
     even = len(label) / (2 * np.where(label > 0, (label > 0).sum(), (label < 0).sum()))
-    w, bias = dual_descent(some, label, even * np.abs(2 * post - 1) * 10, ratio)
+    w, bias = dual_descent(pick(train), label[train], (even * np.abs(2 * post - 1) * 10)[train], ratio)
     model = Model((w * ratio)[use], bias, 1.0, 0.0, keys[use])
     margin = np.array([model.margin(rows[i]) for i in np.flatnonzero(rest)])
     return model._replace(**dict(zip(("slope", "shift"), platt(margin, y[rest]), strict=True)))
