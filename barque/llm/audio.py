@@ -18,9 +18,9 @@ UNIT = 576
 RATE_IN, UP, DOWN = 24_000, 2, 3
 RATE = RATE_IN * UP // DOWN
 FRAME, HOP, FFT, MELS = 400, 160, 512, 40
-PATCH = 64  # frames in one tensor
+PATCH = 32  # frames in one tensor
 TAPS = 16  # of each phase
-BLOCK = 2048  # frames worked on at once
+BLOCK = 2048  # frames worked on at once; the rest of a long recording waits as bytes
 HIGH_DB, LOW_DB = 3.0, -3.0  # about the mean energy
 
 
@@ -54,17 +54,20 @@ def phases() -> np.ndarray:
     return np.stack([h[p::UP] / h[p::UP].sum() for p in range(UP)]).astype(np.float32)
 
 
-def resample(x: np.ndarray) -> np.ndarray:
-    """UP / DOWN of the samples; output m is phase (m * DOWN) mod UP at input (m * DOWN) div UP."""
-    n = len(x) * UP // DOWN
-    padded = np.concatenate((np.zeros(TAPS // 2, np.float32), x, np.zeros(TAPS, np.float32)))
-    out = np.empty(n, np.float32)
-    views = np.lib.stride_tricks.sliding_window_view(padded, TAPS)
-    for first in range(UP):
-        m = np.arange(first, n, UP)
-        at = m[0] * DOWN // UP if len(m) else 0
-        rows = views[at :: DOWN][: len(m)]
-        out[first::UP] = rows @ phases()[(first * DOWN) % UP][::-1]
+def resample(x: np.ndarray, first: int = 0, last: int | None = None) -> np.ndarray:
+    """Outputs [first, last) of UP / DOWN of the samples; output m is phase (m * DOWN) mod UP at input (m * DOWN) div UP.
+    Bytes stand for samples about 128."""
+    last = len(x) * UP // DOWN if last is None else last
+    out = np.empty(max(last - first, 0), np.float32)
+    if not len(out):
+        return out
+    low, high = first * DOWN // UP - TAPS // 2, (last - 1) * DOWN // UP - TAPS // 2 + TAPS
+    part, a, b = np.zeros(high - low, np.float32), max(low, 0), min(high, len(x))
+    part[a - low : b - low] = (x[a:b].astype(np.float32) - 128) / 128 if x.dtype == np.uint8 else x[a:b]
+    views = np.lib.stride_tricks.sliding_window_view(part, TAPS)
+    for m in range(first, min(first + UP, last)):
+        rows = views[m * DOWN // UP - TAPS // 2 - low :: DOWN][: len(range(m, last, UP))]
+        out[m - first :: UP] = rows @ phases()[(m * DOWN) % UP][::-1]
     return out
 
 
@@ -78,22 +81,23 @@ def mel_bank() -> np.ndarray:
     return np.maximum(0, np.minimum(up, down)).astype(np.float32)
 
 
-def log_mel(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Overlapped frames to (frames, MELS) log energies and each frame's energy in dB; at least one frame.
-
-    Zeros fill the last frame up, so that every sample lies in one.
-    """
-    n = -(-max(len(x) - FRAME, 0) // HOP) + 1
-    x = np.concatenate((x, np.zeros((n - 1) * HOP + FRAME - len(x), np.float32)))
-    frames = np.lib.stride_tricks.sliding_window_view(x, FRAME)[::HOP]
+def log_mel(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Overlapped frames of the resampled recording: (frames, MELS) log energies in half precision and each frame's energy
+    in dB; at least one frame. Zeros fill the last frame up, so that every sample lies in one."""
+    total = len(samples) * UP // DOWN
+    n = -(-max(total - FRAME, 0) // HOP) + 1
     window = np.hanning(FRAME).astype(np.float32)
-    mels, energy = np.empty((len(frames), MELS), np.float32), np.empty(len(frames), np.float32)
-    for at in range(0, len(frames), BLOCK):
-        part = frames[at : at + BLOCK] * window
+    mels, energy = np.empty((n, MELS), np.float16), np.empty(n, np.float32)
+    for at in range(0, n, BLOCK):
+        count = min(BLOCK, n - at)
+        size = (count - 1) * HOP + FRAME
+        x = resample(samples, at * HOP, min(total, at * HOP + size))
+        x = np.concatenate((x, np.zeros(size - len(x), np.float32)))
+        part = np.lib.stride_tricks.sliding_window_view(x, FRAME)[::HOP] * window
         spectrum = np.fft.rfft(part, FFT)
         power = spectrum.real**2 + spectrum.imag**2
-        mels[at : at + BLOCK] = np.log(power.astype(np.float32) @ mel_bank() + np.float32(1e-6))
-        energy[at : at + BLOCK] = 10 * np.log10((part**2).mean(axis=1) + 1e-9)
+        mels[at : at + count] = np.log(power.astype(np.float32) @ mel_bank() + np.float32(1e-6))
+        energy[at : at + count] = 10 * np.log10((part**2).mean(axis=1) + 1e-9)
     return mels, energy
 
 
@@ -109,7 +113,7 @@ def segments(energy: np.ndarray) -> list[tuple[int, int]]:
 def tensors(mels: np.ndarray) -> pa.Array:
     """Patches of PATCH frames as a fixed-shape tensor array; the last is filled up with zeros."""
     n = -(-len(mels) // PATCH)
-    full = np.zeros((n * PATCH, MELS), np.float32)
+    full = np.zeros((n * PATCH, MELS), np.float16)
     full[: len(mels)] = mels
     return pa.FixedShapeTensorArray.from_numpy_ndarray(full.reshape(n, PATCH, MELS))
 
@@ -122,19 +126,25 @@ def ipc(array: pa.Array) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-SCHEMA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, n_frames long, spans array<struct<start:double,end:double>>, feature string"
+def read_tensors(stored: bytes) -> np.ndarray:
+    """(patches, PATCH, MELS) of what `ipc` wrote."""
+    with pa.ipc.open_stream(stored) as source:
+        return source.read_all().column("log_mel").combine_chunks().to_numpy_ndarray()
+
+
+SCHEMA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, n_frames long, spans array<struct<start:double,end:double>>, feature string, media binary, log_mel binary"
 
 
-def audio_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_media: bool = True) -> DataFrame:
+def audio_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each text's UTF-8 bytes as an 8-bit recording, read back, with its features.
 
     Returns the digests of the contract, n_frames, spans (seconds of loud segments), feature (frames, segments, digest of
-    the log-mel tensors at a hundredth) and, with_media, media (the WAV file) and log_mel (an Arrow stream of one
-    fixed-shape tensor column, PATCH x MELS). Each document is worked on alone, so equal texts have equal values. A null
-    or empty text is one unit of bytes 255; a null id stays null; an empty table gives no rows; other columns are ignored.
+    the log-mel tensors at a hundredth, as read back), media (the WAV file) and log_mel (an Arrow stream of one
+    fixed-shape tensor column, PATCH x MELS in half precision). Each document is worked on alone, so equal texts have equal
+    values. A null or empty text is one unit of bytes 255; a null id stays null; an empty table gives no rows; other
+    columns are ignored.
     """
-    kinds = {"doc_id": pa.int64(), "n_bytes": pa.int64(), "payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "n_frames": pa.int64(), "spans": pa.list_(pa.struct([("start", pa.float64()), ("end", pa.float64())])), "feature": pa.string()}
-    kinds |= {"media": pa.binary(), "log_mel": pa.binary()} if with_media else {}
+    kinds = {"doc_id": pa.int64(), "n_bytes": pa.int64(), "payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "n_frames": pa.int64(), "spans": pa.list_(pa.struct([("start", pa.float64()), ("end", pa.float64())])), "feature": pa.string(), "media": pa.binary(), "log_mel": pa.binary()}
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,19 +153,17 @@ def audio_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 data = data.as_py()
                 media = to_wav(payload(data))
                 back = from_wav(media)
-                x = (np.frombuffer(back, np.uint8).astype(np.float32) - 128) / 128
-                mels, energy = log_mel(resample(x))
+                mels, energy = log_mel(np.frombuffer(back, np.uint8))
                 found = segments(energy)
-                patches = tensors(mels)
-                digest = hashlib.sha256(np.round(patches.to_numpy_ndarray() * 100).astype(np.int32).tobytes()).hexdigest()
+                patches = ipc(tensors(mels))
+                digest = hashlib.sha256(np.round(read_tensors(patches).astype(np.float32) * 100).astype(np.int32).tobytes()).hexdigest()
                 row = {
                     "doc_id": doc_id.as_py(), "n_bytes": len(data), "payload_bytes": len(back), "payload_sha256": hashlib.sha256(back).hexdigest(), "tail_crc32": zlib.crc32(back[-32:]),
                     "media_bytes": len(media), "media_sha256": hashlib.sha256(media).hexdigest(), "n_frames": len(mels),
                     "spans": [{"start": s * HOP / RATE, "end": ((e - 1) * HOP + FRAME) / RATE} for s, e in found], "feature": f"{len(mels)}x{MELS}:{len(found)}:{digest[:32]}",
                 }
-                if with_media:
-                    row |= {"media": media, "log_mel": ipc(patches)}
-                    held += len(media) + len(row["log_mel"])
+                row |= {"media": media, "log_mel": patches}
+                held += len(media) + len(patches)
                 rows.append(row)
                 if held > 16 << 20 or len(rows) >= 4096:
                     yield pa.RecordBatch.from_pylist(rows, pa.schema(kinds))
@@ -164,9 +172,10 @@ def audio_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield pa.RecordBatch.from_pylist(rows, pa.schema(kinds))
 
     data = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("data")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), data).mapInArrow(task, SCHEMA + (", media binary, log_mel binary" if with_media else ""))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), data).mapInArrow(task, SCHEMA)
 
 
 def op9_audio(spark, sf_dir: str) -> DataFrame:
-    out = audio_features(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_media=False)
-    return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    """With the stored recording, the tensors and their time spans beside the digests."""
+    out = audio_features(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "spans", "media", "log_mel")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from barque.llm.rolling import Rolling
 from barque.llm.storage import discard, stored
 
-ENTRIES = 1_000_000
+ENTRIES = 500_000
 GROUP_BYTES = 1 << 18
 #: Unicode white space, as the split pattern has it.
 WS = r"\t-\r \x85\xa0  -     　"

@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barque.llm.components import components
-from barque.llm.storage import partitions, stored
+from barque.llm.storage import discard, stored
+from barque.llm.streams import whole_groups
 from barque.llm.words import shingle_set
 
 BANDS, ROWS, BATCH, MISS = 32, 4, 16, 1e-6
-LEFT, RIGHT, STAR, SENT_IDS = 256, 1024, 1000, 1_000_000
+LEFT, RIGHT, STAR, SENT_IDS = 256, 1024, 1000, 200_000
+TABLE = 2048  # rows of blocks that are worked on at once, or one block
 _RNG = np.random.default_rng(20240607)
 _A = _RNG.integers(1, 1 << 32, 1024, dtype=np.uint32) | np.uint32(1)
 _B = _RNG.integers(1, 1 << 32, 1024, dtype=np.uint32)
@@ -109,22 +111,27 @@ def _block_pairs(table: pa.Table, threshold: float, miss: float, rows: int) -> I
         left, right = part[is_left[part]], part[~is_left[part]]
         for x in left[ids[left] != centre[left]]:
             other = right[(label[right] != label[x]) & (ids[right] != centre[x])]
-            agree = (sig[other] == sig[x]).reshape(len(other), -1, rows).all(axis=2)
+            agree = (sig[other] == sig[x]).reshape(len(other), sig.shape[1] // rows, rows).all(axis=2)
             other = other[agree.argmax(axis=1) == band[x]] if len(other) else other
             other = other[survivors(np.broadcast_to(sig[x], (len(other), sig.shape[1])), sig[other], threshold, miss)]
             if len(other):
                 yield x, other
 
 
+def _rows(table: pa.Table) -> np.ndarray:
+    return np.arange(1, table.num_rows + 1)
+
+
 def _narrow(threshold: float, miss: float, rows: int):
     """The rows of blocks that have a survivor: at most as many as came."""
 
-    def task(table: pa.Table) -> pa.Table:
-        keep = np.zeros(table.num_rows, bool)
-        for x, other in _block_pairs(table, threshold, miss, rows):
-            keep[x] = True
-            keep[other] = True
-        return table.filter(pa.array(keep))
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, "block", _rows, TABLE):
+            keep = np.zeros(table.num_rows, bool)
+            for x, other in _block_pairs(table, threshold, miss, rows):
+                keep[x] = True
+                keep[other] = True
+            yield from table.filter(pa.array(keep)).to_batches()
 
     return task
 
@@ -132,7 +139,7 @@ def _narrow(threshold: float, miss: float, rows: int):
 def _blocks(threshold: float, miss: float, words: int, percent: int, rows: int):
     """Survivors confirmed on their full sets; only links leave the task."""
 
-    def task(table: pa.Table) -> pa.Table:
+    def links(table: pa.Table) -> pa.RecordBatch:
         ids, texts = table.column("id").to_numpy(), table.column("data")
         sets, out = {}, set()
 
@@ -148,7 +155,11 @@ def _blocks(threshold: float, miss: float, words: int, percent: int, rows: int):
                 if 100 * both >= percent * (len(a) + len(b) - both):
                     out.add((min(ids[x], ids[y]), max(ids[x], ids[y])))
         a, b = zip(*out, strict=True) if out else ((), ())
-        return pa.table({"a": pa.array(np.array(a, np.int64)), "b": pa.array(np.array(b, np.int64))})
+        return pa.RecordBatch.from_arrays([pa.array(np.array(a, np.int64)), pa.array(np.array(b, np.int64))], ["a", "b"])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, "block", _rows, TABLE):
+            yield links(table)
 
     return task
 
@@ -198,8 +209,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Components of documents whose sets of `words`-word shingles have 100 * |A and B| >= percent * |A or B|.
 
     Returns doc_id, n_shingles, component_id (smallest id reachable), kept (doc_id = component_id). Texts without words
-    (also null, empty) have no shingles and stay alone. Rows with one id are one document; a null id stays alone with a
-    null component and is kept. An empty table gives no rows; other columns are ignored. A pair is missed only if no
+    (also null, empty) have no shingles and stay alone. Rows with one id are one document; of several texts under one id
+    the one with the least hash of its set is searched. A null id stays alone with a null component and is kept. An empty table gives no rows; other columns are ignored. A pair is missed only if no
     band agrees (5e-6 at similarity 0.75 with 32 bands of 4) or with probability `miss` by pruning.
     """
     spark = docs.sparkSession
@@ -208,6 +219,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), data)
     base = stored(texts.mapInArrow(_sketch(words, bands * rows), "doc_id long, n_shingles long, s1 long, s2 long, sig binary"), "sketches")
     in_play = base.filter("n_shingles > 0 and doc_id is not null")
+    several = stored(in_play.groupBy("doc_id").agg(F.min("s1").alias("a"), F.max("s1").alias("b")).filter("a < b").select("doc_id"), "several")
+    if not several.isEmpty():  # of an id's texts, one stands for it
+        one = in_play.join(several, "doc_id").groupBy("doc_id").agg(F.min(F.struct("s1", "s2")).alias("one"))
+        base = base.join(one, "doc_id", "left").withColumns({"s1": F.coalesce("one.s1", "s1"), "own": F.coalesce(F.struct("s1", "s2") == F.col("one"), F.lit(True)), "s2": F.coalesce("one.s2", "s2")})
+        base = stored(base.drop("one"), "sketches")
+        in_play = base.filter("own and n_shingles > 0 and doc_id is not null")
     classes = in_play.groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "sig")).alias("x")).select("s1", "s2", F.col("x.doc_id").alias("id"), F.col("x.sig").alias("sig"))
     classes = stored(classes, "classes")
     sigs = classes.select("id", "sig")
@@ -225,7 +242,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by_id = texts.withColumnRenamed("doc_id", "id")
     nearest = stored(members.groupBy("id").agg(F.min("centre").alias("first")), "nearest")
     star = nearest.filter("id > first").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    links = stored(confirmed(stored(pruned(star), "candidates"), by_id, words, percent), "links")
+    candidates = stored(pruned(star), "candidates")
+    links = stored(confirmed(candidates, by_id, words, percent), "links")
+    gone = [several, buckets, members, nearest, candidates]
     labels = stored(components(links), "labels")
 
     def labelled() -> DataFrame:
@@ -235,6 +254,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     apart = labelled().filter("label != centre_label").select("centre", "id").distinct().join(nearest, "id").filter("centre != first")
     apart = stored(pruned(apart.select(F.col("centre").alias("a"), F.col("id").alias("b"))), "candidates")
+    gone.append(apart)
     if not apart.isEmpty():
         links = links.unionByName(stored(confirmed(apart, by_id, words, percent), "links"))
         labels = stored(components(links), "labels")
@@ -244,19 +264,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # with two members left apart, the pair was compared already
     open_keys = open_keys.filter("labels > 1 and m > 2").select("key", F.col("top.label").alias("main"), F.ceil((F.col("m") - F.col("top.n")) / LEFT).cast("long").alias("lefts"), F.ceil(F.col("m") / RIGHT).cast("long").alias("rights"))
     rest = stored(labelled().drop("centre_label").join(stored(open_keys, "open"), "key"), "open_members")
+    gone.append(rest)
     if not rest.isEmpty():
         left = rest.filter("label != main").select("*", F.lit(True).alias("is_left"), F.expr("pmod(xxhash64(id), lefts)").alias("i"), F.explode(F.expr("sequence(0L, rights - 1)")).alias("j"))
         right = rest.select("*", F.lit(False).alias("is_left"), F.explode(F.expr("sequence(0L, lefts - 1)")).alias("i"), F.expr("pmod(xxhash64(id, 1), rights)").alias("j"))
         block = F.xxhash64("key", "i", "j").alias("block")
-        task = F.pmod("block", F.lit(partitions(spark) * 4))
-        sides = left.unionByName(right).select(block, "band", "id", "label", "is_left", "centre").join(sigs, "id").withColumn("task", task)
-        near = stored(sides.groupBy("task").applyInArrow(_narrow(threshold, miss, rows), sides.schema), "near")
+        sides = left.unionByName(right).select(block, "band", "id", "label", "is_left", "centre").join(sigs, "id")
+        by_block = lambda df: df.repartition("block").sortWithinPartitions("block")
+        near = stored(by_block(sides).mapInArrow(_narrow(threshold, miss, rows), sides.schema), "near")
+        gone.append(near)
         if not near.isEmpty():
             with_texts = near.hint("merge").join(needed(by_id, near.select("id")), "id")
-            more = stored(with_texts.groupBy("task").applyInArrow(_blocks(threshold, miss, words, percent, rows), "a long, b long").distinct(), "links")
+            more = stored(by_block(with_texts).mapInArrow(_blocks(threshold, miss, words, percent, rows), "a long, b long").distinct(), "links")
             if not more.isEmpty():
                 labels = stored(components(links.unionByName(more)), "labels")
 
+    discard(*gone)
     of_class = classes.select("s1", "s2", "id").join(labels, "id", "left").select("s1", "s2", F.coalesce("component", "id").alias("component_id"))
     out = base.select("doc_id", "n_shingles", "s1", "s2").join(of_class, ["s1", "s2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))

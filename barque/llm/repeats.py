@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from barque.llm.rolling import Rolling, anchors
 from barque.llm.storage import discard, stored
+from barque.llm.streams import whole_groups
 
 GRAM = 32
 GROUP_LIMIT = 256
@@ -160,28 +161,12 @@ def _compare(length: int, earlier_only: bool):
     """Rows come sorted by key. Whole groups of one key are compared, about CHUNK bytes at a time, whatever the size of
     the partition."""
 
-    def chunks(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        key = table.column("key").to_numpy()
-        size = np.cumsum(table.column("hi").to_numpy() - table.column("lo").to_numpy() + length)
-        starts = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1))
-        chunk = size[starts] // CHUNK
-        cuts = np.concatenate((starts[np.concatenate(([True], chunk[1:] != chunk[:-1]))], [len(key)]))
-        for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            yield _compared(table.slice(i, j - i), length, earlier_only)
+    def size(table: pa.Table) -> np.ndarray:
+        return np.cumsum(table.column("hi").to_numpy() - table.column("lo").to_numpy() + length)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = table if held is None else pa.concat_tables([held, table])
-            key = table.column("key").to_numpy()
-            new = np.flatnonzero(key[1:] != key[:-1]) + 1
-            if len(new):
-                yield from chunks(table.slice(0, int(new[-1])))
-                table = table.slice(int(new[-1]))
-            held = table
-        if held is not None and held.num_rows:
-            yield from chunks(held)
+        for table in whole_groups(batches, "key", size, CHUNK):
+            yield _compared(table, length, earlier_only)
 
     return task
 

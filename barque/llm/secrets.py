@@ -72,6 +72,13 @@ FOUND = f"array<struct<rule:string,spans:{SPANS}>>"
 LEDGER = f"blob binary, scanned array<string>, found {FOUND}"
 
 
+def address(versions: DataFrame, id_col: str, text_col: str) -> tuple[Column, Column]:
+    """The path's id, for a null one a number before all others from its text, and the text's SHA-256."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    own = F.lit(-(1 << 63)) + F.pmod(F.xxhash64(text), F.lit(1 << 40))
+    return F.coalesce(F.col(id_col).cast("long"), own), F.unhex(F.sha2(text, 256))
+
+
 def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """The paths (doc_id, id, blob) of one increment, and the rows that it adds to the ledger.
 
@@ -79,10 +86,9 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
     Repeated rows and copies have one blob and one scan; a null id stays null, its `id` comes from the text, so that texts
     under null ids don't meet; an empty table gives no rows; other columns are ignored.
     """
+    id_, blob = address(versions, id_col, text_col)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    own = F.lit(-(1 << 63)) + F.pmod(F.xxhash64(text), F.lit(1 << 40))
-    doc_id = F.col(id_col).cast("long")
-    rows = versions.select(doc_id.alias("doc_id"), F.coalesce(doc_id, own).alias("id"), F.unhex(F.sha2(text, 256)).alias("blob"), text.alias("text"))
+    rows = versions.select(F.col(id_col).cast("long").alias("doc_id"), id_.alias("id"), blob.alias("blob"), text.alias("text"))
     paths = stored(rows.select("doc_id", "id", "blob"), "paths")
     chosen = paths.groupBy("blob").agg(F.min("id").alias("id"))
     keys = F.array(*(F.lit(r.key) for r in rules))

@@ -13,14 +13,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barque.llm.storage import partitions, stored
 
 SCALE, K, EVERY = 1024, 10, 100
-CANDIDATES, QUERIES, BINS = 2048, 256, 4096
-MAX_SCORE = 1 << 62
+CANDIDATES, QUERIES, BINS = 1024, 2048, 4096
+MAX_SCORE = 1 << 61  # scores beyond it, of either sign, count as this
 
 
 def _vectors(batch: pa.RecordBatch) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -41,8 +42,14 @@ BLOCK = "dim int, reach double, ids binary, rows binary"
 
 
 def _block(dim: int, ids: np.ndarray, rows: np.ndarray) -> dict:
+    """Components as 32-bit integers where they fit, else as doubles, which are exact."""
     reach = float(np.sqrt((rows**2).sum(axis=1)).max(initial=0))
-    return {"dim": dim, "reach": reach, "ids": ids.tobytes(), "rows": rows.tobytes()}
+    small = np.abs(rows).max(initial=0) < 1 << 31
+    return {"dim": dim, "reach": reach, "ids": ids.tobytes(), "rows": rows.astype(np.int32 if small else np.float64).tobytes()}
+
+
+def _unpacked(rows: bytes, n: int, dim: int) -> np.ndarray:
+    return np.frombuffer(rows, np.int32 if len(rows) == n * dim * 4 else np.float64).astype(np.float64).reshape(n, dim)
 
 
 _BLOCK = pa.schema([("dim", pa.int32()), ("reach", pa.float64()), ("ids", pa.binary()), ("rows", pa.binary())])
@@ -55,26 +62,30 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_pylist([_block(dim, ids[at : at + CANDIDATES], rows[at : at + CANDIDATES])], _BLOCK)
 
 
-def _pack_queries(table: pa.Table) -> pa.Table:
-    found = []
-    for batch in table.combine_chunks().to_batches():
-        found += [{"qb": batch.column("qb")[0].as_py()} | _block(dim, *x) for dim, x in _vectors(batch).items()]
-    return pa.Table.from_pylist(found, pa.schema([("qb", pa.int64()), *_BLOCK]))
+def _pack_queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbered blocks of QUERIES rows at most, from rows dealt out evenly, whatever their ids."""
+    number = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for dim, (ids, rows) in _vectors(batch).items():
+            for at in range(0, len(ids), QUERIES):
+                block = {"qb": number} | _block(dim, ids[at : at + QUERIES], rows[at : at + QUERIES])
+                number += 1
+                yield pa.RecordBatch.from_pylist([block], pa.schema([("qb", pa.int64()), *_BLOCK]))
 
 
 def _scores(row: dict, q_rows: bytes, q_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Exact integer scores (queries x candidates), candidate ids, and which pairs count."""
     dim = row["dim"]
     ids = np.frombuffer(row["ids"], np.int64)
-    c = np.frombuffer(row["rows"], np.float64).reshape(len(ids), dim)
-    q = np.frombuffer(q_rows, np.float64).reshape(len(q_ids), dim)
+    c, q = _unpacked(row["rows"], len(ids), dim), _unpacked(q_rows, len(q_ids), dim)
     bound = dim * float(np.abs(c).max(initial=0)) * float(np.abs(q).max(initial=0))
     if bound < 2**53:
         scores = np.rint(q @ c.T).astype(np.int64)
     elif bound < MAX_SCORE:
         scores = q.astype(np.int64) @ c.astype(np.int64).T
-    else:
-        raise ValueError("scores don't fit a long")
+    else:  # integers of any size
+        whole = lambda x: np.array([[int(v) for v in r] for r in x], object).reshape(x.shape)
+        scores = np.clip(whole(q) @ whole(c).T, -MAX_SCORE, MAX_SCORE).astype(np.int64)
     return scores, ids, ids[None, :] != q_ids[:, None]
 
 
@@ -133,22 +144,22 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec
     Components become floor(1024 x) and scores are exact integer inner products. Returns query_id, rank, vec_id, score;
     ties go to smaller ids. Rows with a null id, a null vector or a null or non-finite component take no part; vectors
     of another length than the query's are no candidates for it. Repeated rows are queries and candidates each for
-    itself. Fewer than k candidates: all of them; empty tables: no rows; other columns are ignored.
+    itself. Scores beyond 2^61 count as that bound. Fewer than k candidates: all of them; empty tables: no rows; other columns are ignored.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     blocks = stored(rows.mapInArrow(_pack, BLOCK), "candidates")
     queries = rows.filter(F.col("vec_id") % every == 0)
     n_blocks = max(1, -(-queries.count() // QUERIES))
-    of_block = queries.withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)))
-    packed = stored(of_block.groupBy("qb").applyInArrow(_pack_queries, f"qb long, {BLOCK}"), "queries")
+    packed = stored(queries.repartition(n_blocks).mapInArrow(_pack_queries, f"qb long, {BLOCK}"), "queries")
     reach = blocks.agg(F.max("reach")).first()[0]
     if reach is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     packed = packed.select("qb", "dim", F.col("reach").alias("q_reach"), F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"))
 
     shares = partitions(spark)
-    candidates = blocks.select("dim", "ids", "rows", F.pmod(F.xxhash64("ids"), F.lit(shares)).alias("share"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))).alias("qb"))
+    of_query = packed.select("qb", "dim").distinct()
+    candidates = blocks.select("dim", "ids", "rows", F.pmod(F.xxhash64("ids"), F.lit(shares)).alias("share")).join(of_query, "dim")
     every_share = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))).alias("share")
 
     def scored(ranges: DataFrame) -> DataFrame:
@@ -159,7 +170,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                most = int(row["q_reach"] * reach) + 2
+                most = int(min(row["q_reach"] * reach, MAX_SCORE - 2)) + 2
                 n = len(row["q_ids"]) // 8
                 width = max(1, -(-(2 * most + 1) // BINS))
                 out = {"qb": row["qb"], "dim": row["dim"], "low": _ranges(np.full(n, -most)), "width": _ranges(np.full(n, width))}

@@ -10,11 +10,12 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from barque.llm import audio, bpe, html, neardup, packing, quality, repeats, secrets, topk, toxicity
+from barque.llm import audio, bpe, html, neardup, packing, quality, repeats, secrets, streams, topk, toxicity
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, key string, id string, p int, spans_hex string"
 
@@ -92,6 +93,43 @@ def test_near_duplicates(docs, nothing):
     assert neardup.near_duplicates(nothing).count() == 0
 
 
+def test_near_duplicates_with_texts_under_one_id(spark):
+    text = lambda c: " ".join(f"{c}{i}" for i in range(40))
+    rows = [(1, text("a")), (5, text("a")), (5, text("b")), (9, text("b")), (9, text("b")), (7, text("c")), (3, text("d")), (3, text("d"))]
+    got = sorted(set(map(tuple, neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())))
+    ids = {r[0]: {x[2] for x in got if x[0] == r[0]} for r in got}
+    assert all(len(x) == 1 for x in ids.values()) and ids[7] == {7} and ids[3] == {3} and ids[1] == {1}
+    assert neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).count() == len(rows)
+
+
+def test_whole_groups():
+    batch = lambda *keys: pa.record_batch({"k": list(keys)})
+    got = [t.column("k").to_pylist() for t in streams.whole_groups(iter([batch(1, 1, 2), batch(2, 3), batch(), batch(3, 3), batch(4)]), "k", lambda t: np.arange(1, t.num_rows + 1), 2)]
+    assert [x for t in got for x in t] == [1, 1, 2, 2, 3, 3, 3, 4] and not any(set(a) & set(b) for a, b in zip(got, got[1:]))
+
+
+@pytest.mark.parametrize("left_right", [(2, 3)])
+def test_blocks_of_open_buckets(spark, monkeypatch, left_right):
+    monkeypatch.setattr(neardup, "LEFT", left_right[0])
+    monkeypatch.setattr(neardup, "RIGHT", left_right[1])
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(40):  # chains of near copies around one text, each similar to some of the others only
+        words = list(base)
+        for j in rng.sample(range(300), rng.choice([2, 8, 14])):
+            words[j] = f"x{i}_{j}"
+        rows.append((i, " ".join(words)))
+    sets = {i: {tuple(t.split()[j : j + 5]) for j in range(296)} for i, t in rows}
+    top = {i: i for i in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                    top[a] = top[b] = min(top[a], top[b])
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == top
+
+
 def test_bayesian_bound():
     assert neardup.least_matches(16, 0.75, 1e-6) < 8 < neardup.least_matches(128, 0.75, 1e-6) < 96
 
@@ -220,7 +258,8 @@ def test_pack(docs, nothing):
         assert len(ids) == p.length and zlib.crc32(p.ids) == p.ids_crc32
         place[p.sequence_id * 64 + p.offset] = (p, ids)
     stream = [x for at in sorted(place) for x in place[at][1]]
-    assert sorted(place) == [at for at in sorted(place)] and len(stream) == max(at + len(place[at][1]) for at in place)
+    lengths = [len(place[at][1]) for at in sorted(place)]
+    assert sorted(place) == [0, *np.cumsum(lengths)[:-1].tolist()] and all(at % 64 + n <= 64 for at, n in zip(sorted(place), lengths, strict=True))
     found, at = collections.Counter(), 0
     while at < len(stream):
         n = place[at][0].doc_tokens
@@ -314,15 +353,60 @@ def test_most_frequent_words(spark):
     assert [sorted(r.piece for r in bpe.frequent(counts, n).collect()) for n in (0, 1, 2, 3, 9)] == [[], ["a"], ["a"], ["a", "b", "c"], ["a", "b", "c", "d"]]
 
 
-def test_audio(docs, nothing):
-    got = audio.audio_features(docs).collect()
+def plain_log_mel(samples):
+    """Resampled by the definition, one output at a time; each frame alone, its spectrum by a sum."""
+    x = (np.frombuffer(samples, np.uint8).astype(float) - 128) / 128
+    padded = np.concatenate((np.zeros(audio.TAPS // 2), x, np.zeros(audio.TAPS)))
+    y = np.array([sum(padded[m * 3 // 2 + t] * audio.phases()[m * 3 % 2][::-1][t] for t in range(audio.TAPS)) for m in range(len(x) * 2 // 3)])
+    n = max(0, -(-(len(y) - audio.FRAME) // audio.HOP)) + 1
+    y = np.concatenate((y, np.zeros(n * audio.HOP + audio.FRAME)))
+    turn = np.exp(-2j * np.pi * np.outer(np.arange(audio.FFT // 2 + 1), np.arange(audio.FRAME)) / audio.FFT)
+    frames = [y[i * audio.HOP : i * audio.HOP + audio.FRAME] * np.hanning(audio.FRAME) for i in range(n)]
+    return np.array([np.log(np.abs(turn @ f) ** 2 @ audio.mel_bank() + 1e-6) for f in frames]), np.array([10 * np.log10((f**2).mean() + 1e-9) for f in frames])
+
+
+def test_audio(spark, docs, nothing, tmp_path):
+    frame = docs.unionByName(spark.createDataFrame([(300, "loud ~~~ " * 300 + " " * 40 + "x" * 300)], "doc_id long, text string"), allowMissingColumns=True)
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    audio.op9_audio(spark, str(tmp_path)).write.parquet(f"{tmp_path}/stored")  # read back from disk
+    got = spark.read.parquet(f"{tmp_path}/stored").collect()
+    texts = {r[0]: (r[1] or "").encode() for r in corpus()} | {300: ("loud ~~~ " * 300 + " " * 40 + "x" * 300).encode()}
+    assert len(got) == len(corpus()) + 1
     for r in got:
-        assert audio.from_wav(r.media)[: r.n_bytes] + b"" == audio.from_wav(r.media)[: r.n_bytes] and r.payload_bytes % 576 == 0 < r.payload_bytes
-    assert collections.Counter(hashlib.sha256(audio.payload((t or "").encode())).hexdigest() for _, t, *_ in corpus()) == collections.Counter(r.payload_sha256 for r in got)
-    assert len({r.feature for r in got if r.doc_id in (6, 7, None)}) == 1
+        data = texts[r.doc_id]
+        samples = audio.from_wav(bytes(r.media))
+        assert samples == data + b"\xff" * (max(1, -(-len(data) // 576)) * 576 - len(data))
+        assert (r.n_bytes, r.payload_bytes, r.media_bytes) == (len(data), len(samples), len(r.media))
+        assert (r.payload_sha256, r.media_sha256) == (hashlib.sha256(samples).hexdigest(), hashlib.sha256(r.media).hexdigest())
+        assert r.tail_crc32 == zlib.crc32(samples[-32:])
+        tensor = audio.read_tensors(bytes(r.log_mel))
+        frames, n_segments, digest = r.feature.split(":")
+        assert tensor.shape[1:] == (audio.PATCH, audio.MELS) and digest == hashlib.sha256(np.round(tensor.astype(np.float32) * 100).astype(np.int32).tobytes()).hexdigest()[:32]
+        if len(data) < 3000:
+            mels, energy = plain_log_mel(samples)
+            assert frames == f"{len(mels)}x{audio.MELS}" and np.allclose(tensor.reshape(-1, audio.MELS)[: len(mels)], mels, atol=0.02) and not tensor.reshape(-1, audio.MELS)[len(mels) :].any()
+            loud, want = energy > energy.mean() + audio.LOW_DB, []
+            for i in range(len(loud)):
+                if loud[i] and (i == 0 or not loud[i - 1]):
+                    want.append([i, i])
+                if loud[i]:
+                    want[-1][1] = i
+            want = [(s, e) for s, e in want if energy[s : e + 1].max() > energy.mean() + audio.HIGH_DB]
+            assert int(n_segments) == len(want) and np.allclose(np.ravel([(x.start, x.end) for x in r.spans]), np.ravel([(s / 100, e / 100 + 0.025) for s, e in want]))
+    assert any(r.spans for r in got) and len({r.feature for r in got if r.doc_id in (6, 7, None)}) == 1
     assert audio.audio_features(nothing).count() == 0
 
 
+def test_long_recordings_go_in_blocks():
+    x = np.random.default_rng(2).integers(0, 256, 3 * audio.HOP * audio.BLOCK, dtype=np.uint8)
+    whole = audio.resample(x)
+    parts = [audio.resample(x, a, min(a + 7001, len(whole))) for a in range(0, len(whole), 7001)]
+    assert np.allclose(np.concatenate(parts), whole, atol=1e-5)
+    mels, _ = audio.log_mel(x)
+    at = audio.BLOCK * audio.HOP * 3 // 2  # the same samples a block later
+    assert np.allclose(mels[audio.BLOCK + 5 : audio.BLOCK + 50].astype(np.float32), audio.log_mel(x[at:])[0][5:50].astype(np.float32), atol=0.02)
+
+
 def test_resampling_keeps_a_tone():
     x = np.sin(2 * np.pi * 1000 * np.arange(24_000) / audio.RATE_IN).astype(np.float32)
     y = audio.resample(x)
@@ -331,19 +415,18 @@ def test_resampling_keeps_a_tone():
 
 @pytest.mark.parametrize("n", [1, 399, 400, 401, 560, 561, 720, 721, 768])
 def test_frames_cover_every_sample(n):
-    x = np.random.default_rng(1).normal(size=n).astype(np.float32)
+    x = np.random.default_rng(1).integers(0, 256, n * 3 // 2, dtype=np.uint8)
     mels, energy = audio.log_mel(x)
-    assert len(mels) == len(energy) == max(0, -(-(n - audio.FRAME) // audio.HOP)) + 1
+    total = len(x) * 2 // 3
+    assert len(mels) == len(energy) == max(0, -(-(total - audio.FRAME) // audio.HOP)) + 1
     y = x.copy()
-    y[-2:] += 9  # the window is zero on a frame's very last sample
-    again = audio.log_mel(y)[0]
-    assert n == 1 or not np.array_equal(mels[-1], again[-1])
+    y[-4:] ^= 0x80
+    assert n == 1 or not np.array_equal(mels[-1], audio.log_mel(y)[0][-1])
 
 
 def test_last_byte_of_content_reaches_the_last_frame():
     def mels(data):
-        x = (np.frombuffer(audio.payload(data), np.uint8).astype(np.float32) - 128) / 128
-        return audio.log_mel(audio.resample(x))[0]
+        return audio.log_mel(np.frombuffer(audio.payload(data), np.uint8))[0]
 
     data = b"a" * 1150
     assert len(audio.payload(data)) == 1152
@@ -364,6 +447,23 @@ def test_top_k(spark):
     assert topk.top_k(frame.limit(0)).count() == 0
 
 
+def plain_top_k(rows):
+    good = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for n, (q, v) in enumerate(good):
+        if q % 100 == 0:
+            scores = sorted((-max(-topk.MAX_SCORE, min(topk.MAX_SCORE, sum(a * b for a, b in zip(v, w, strict=True)))), i) for i, w in good if i != q and len(w) == len(v))
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:10])]
+    return sorted(out)
+
+
+def test_top_k_of_odd_rows(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(i), [float(x) for x in rng.normal(size=3)]) for i in rng.integers(0, 300, 60)] + [(100, [1.0, 2.0, 3.0])] * 5 + [(None, [1.0, 1.0, 1.0]), (200, [1e16, -1e16, 1.0]), (7, [1e16, 1e15, 0.0]), (300, [3e8, 1.0, 0.0]), (8, [2e9, 0.5, 0.25]), (9, [0.1, None, 0.2]), (400, [1e300, 1e300, -1e300]), (-100, [0.0, 0.0, 0.0])]
+    frame = spark.createDataFrame([(i, v, 1, "s") for i, v in rows], "vec_id long, embedding array<double>, rank int, score string")
+    assert sorted(map(tuple, topk.top_k(frame).collect())) == plain_top_k(rows)
+
+
 def test_classifiers(spark, docs, nothing):
     d = "/root/testdata/sf0.01"
     read = lambda t: spark.read.parquet(f"{d}/{t}.parquet")
@@ -376,7 +476,11 @@ def test_classifiers(spark, docs, nothing):
         assert scores(docs, read("labels").limit(0)).count() == docs.count()
 
 
-def test_pipeline(spark, docs, nothing):
+def texts_of(rows):
+    return collections.Counter((r.doc_id, r.text) for r in rows)
+
+
+def test_pipeline_runs_on_odd_and_empty_tables(spark, docs, nothing):
     for start in (docs, nothing):
         now = start
         for name, stage in corpus_pipeline.STAGES:
@@ -384,3 +488,59 @@ def test_pipeline(spark, docs, nothing):
             assert name == "packing" or now.columns == start.columns
             now = spark.createDataFrame(now.collect(), now.schema)
         assert now.count() >= (1 if start is docs else 0)
+
+
+def test_quality_stage_drops_what_the_classifier_rejects(spark):
+    d = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    scores = {r.doc_id: r.score for r in quality.quality_scores(docs, spark.read.parquet(f"{d}/labels.parquet")).collect()}
+    got = texts_of(corpus_pipeline.good_quality(spark, docs, d).collect())
+    assert got == texts_of(r for r in docs.collect() if scores[r.doc_id] >= 0.5) and 0 < sum(got.values()) < docs.count()
+
+
+def test_near_duplicate_stage_keeps_one_of_each_group(spark, docs):
+    rows = docs.collect()
+    groups = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs).collect() if r.doc_id is not None}
+    want = {(r.doc_id, r.text) for r in rows if r.doc_id is None or groups[r.doc_id] == r.doc_id}
+    got = texts_of(corpus_pipeline.one_of_each_group(spark, docs, "").collect())
+    assert set(got) == want and max(got.values()) == 1 and len(got) < len(rows)
+
+
+def test_repeats_stage_keeps_the_first_copy(spark):
+    passage = "".join(random.Random(3).choices("abcdefghij", k=400))
+    rows = [(3, f"\u00e9{passage}three"), (1, f"one {passage}\U0001f389"), (2, f"{passage[:210]} {passage[:150]}"), (4, None), (None, f"none {passage}")]
+    frame = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, n_chars int")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.without_repeats(spark, frame, "").collect()}
+    assert {k: v[0] for k, v in got.items()} == {None: f"none {passage}", 1: "one \U0001f389", 2: f" {passage[:150]}", 3: "\u00e9three", 4: None}
+    assert all(n == len(t) for t, n in got.values() if t)
+
+
+def test_secrets_stage_masks_every_span(spark, docs):
+    def plain(text):
+        spans = sorted(x for rule in secrets.RULES for x in plain_spans(text, rule))
+        out, at = "", 0
+        for i, (a, b) in enumerate(spans):
+            if i and a <= at:
+                at = max(at, b)
+                continue
+            out, at = out + text[at:a] + "[secret]", b
+        return out + text[at:]
+
+    got = corpus_pipeline.masked_secrets(spark, docs, "").collect()
+    assert texts_of(got) == collections.Counter((r.doc_id, r.text if r.text is None else plain(r.text)) for r in docs.collect())
+    assert any("[secret]" in (r.text or "") for r in got)
+
+
+def test_packing_stage_and_run(spark):
+    d = "/root/testdata/sf0.001"
+    pieces = corpus_pipeline.run(spark, d).collect()
+    places = sorted((p.sequence_id * 4096 + p.offset, p.length) for p in pieces)
+    assert [a for a, _ in places] == [0, *np.cumsum([n for _, n in places])[:-1].tolist()]
+    now = spark.read.parquet(f"{d}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, d)
+    whole = {r.doc_id: r.doc_tokens for r in pieces}
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing.vocabulary())
+    assert whole == {r.doc_id: len(t.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in now.collect()}
