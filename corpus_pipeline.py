@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and works on everything that the one before it kept. All but the last return the
 columns of `docs`; where a stage changes texts, n_chars follows. Nulls in any column, empty texts and tables, repeated
 rows and further columns pass; a null text counts as empty. Further columns may have any name but those that begin with
-two underscores.
+two underscores. Of rows equal in id and text the second stage keeps one; texts that differ under one id are one document
+to it, and all stay or go.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from barque.llm import neardup, packing, quality, repeats, secrets
 from barque.llm.linear import FIT_ROWS, fit_in_task
+from barque.llm.storage import discard, stored
 
 
 def _with_text(docs: DataFrame, text: Column) -> DataFrame:
@@ -42,11 +44,12 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the smallest id of each component of near duplicates, once. Documents without an id stay."""
     found = neardup.near_duplicates(docs)
-    keep = found.filter("kept").groupBy("doc_id").agg(F.max("n_shingles").alias("__n"))
-    kept = docs.join(keep.select(F.col("doc_id").alias("__id")), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    if docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").isEmpty():
-        return kept
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+    keep = found.filter("kept and doc_id is not null").select(F.col("doc_id").cast("long").alias("__id")).distinct()
+    known = docs.filter("doc_id is not null").withColumns({"__id": F.col("doc_id").cast("long"), "__k1": F.xxhash64("text"), "__k2": F.xxhash64(F.lit(1), F.col("text"))})
+    kept = known.join(keep, "__id", "left_semi")
+    if not known.groupBy("__id", "__k1", "__k2").count().filter("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["__id", "__k1", "__k2"])
+    return kept.select(docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,10 +67,12 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def masked_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace every secret by a mask. No row goes."""
-    found, _ = secrets.scan(docs)
+    paths, ledger = secrets.scan(docs)
+    found = secrets.findings(paths, ledger)
     kinds = [f"spans_{r.kind}" for r in secrets.RULES]
     hits = found.filter(" or ".join(f"size({k}) > 0" for k in kinds)).groupBy("id", "blob").agg(*(F.first(k).alias(f"__{k}") for k in kinds))
-    keyed = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "__blob": F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))})
+    id_, blob = secrets.address(docs, "doc_id", "text")
+    keyed = docs.withColumns({"__id": id_, "__blob": blob})
     joined = keyed.join(hits.withColumnsRenamed({"id": "__id", "blob": "__blob"}), ["__id", "__blob"], "left")
     masked = secrets.masked(F.coalesce("text", F.lit("")), prefix="__spans_")
     return _with_text(joined, F.when(F.col("__spans_hex").isNull(), F.col("text")).otherwise(masked)).select(docs.columns)
@@ -85,13 +90,16 @@ STAGES = [
     ("secrets", masked_secrets),
     ("packing", packed),
 ]
-#: SQL can't express the classifier, MinHash or the tokenizer; tests/llm compares each stage with a plain version.
+#: SQL can't express the classifier, MinHash or the tokenizer; tests/llm compares each stage with a plain version on a small table.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents, each on all that the one before it kept."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """Apply the stages to documents, each on all that the one before it kept, written as Parquet and read again."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES[:-1]:
+        after = stored(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            discard(before)
+        docs = before = after
+    return STAGES[-1][1](spark, docs, sf_dir)
