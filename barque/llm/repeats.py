@@ -184,6 +184,26 @@ def merge_spans(spans: list, n: int) -> list[tuple[int, int]]:
 # ---- the operator ----------------------------------------------------------------------------------------------------
 
 
+BUNDLE = "key long, class long, members array<struct<id:long,k1:long,p:int,lo:int,hi:int>>"
+MEMBERS = 64  # of one bundle at most
+
+
+def _bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch that share a class, together."""
+    for batch in batches:
+        key, own = batch.column("key").to_numpy(), batch.column("class").to_numpy()
+        order = np.lexsort((own, key))
+        key, own, at = key[order], own[order], np.arange(len(order))
+        new = np.ones(len(order), bool)
+        new[1:] = (key[1:] != key[:-1]) | (own[1:] != own[:-1])
+        new |= (at - np.maximum.accumulate(np.where(new, at, 0))) % MEMBERS == 0
+        starts = np.flatnonzero(new)
+        names = ["id", "k1", "p", "lo", "hi"]
+        members = pa.StructArray.from_arrays([batch.column(c).take(pa.array(order)) for c in names], names)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(order)).astype(np.int32)), members)
+        yield pa.RecordBatch.from_arrays([pa.array(key[starts]), pa.array(own[starts]), lists], ["key", "class", "members"])
+
+
 def _resolve(runs: DataFrame, earlier_only: bool) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
     """Runs, split into spans that surely repeat and runs still to compare; and the tables to discard in the end.
 
@@ -195,7 +215,10 @@ def _resolve(runs: DataFrame, earlier_only: bool) -> tuple[DataFrame, DataFrame,
     several = (F.col("group") > 1) if earlier_only else (F.col("group") > 1) & (F.col("least") == 1)
     keys = stored(keys.filter(several).select("key", "group"), "keys")
     todo = classes.join(keys, "key").select("first.*", "key", "group")
-    sure = runs.join(classes.filter("n > 1").select("key", "class", "first"), ["key", "class"])
+    # members of a class meet it in bundles, then bundles are dealt out evenly before they are opened
+    bundles = runs.select("key", "class", "id", "k1", *(F.col(c).cast("int").alias(c) for c in ("p", "lo", "hi"))).mapInArrow(_bundled, BUNDLE)
+    sure = bundles.join(classes.filter("n > 1").select("key", "class", "first"), ["key", "class"])
+    sure = sure.repartition(F.xxhash64("members")).select("first", F.inline("members"))
     if earlier_only:
         sure = sure.filter(me != F.col("first"))
     return sure.select("id", "k1", F.col("lo").alias("s"), F.col("hi").alias("e")), todo, [classes, keys]

@@ -508,10 +508,10 @@ def test_near_duplicate_stage_keeps_one_of_each_group(spark, docs):
 
 def test_repeats_stage_keeps_the_first_copy(spark):
     passage = "".join(random.Random(3).choices("abcdefghij", k=400))
-    rows = [(3, f"\u00e9{passage}three"), (1, f"one {passage}\U0001f389"), (2, f"{passage[:210]} {passage[:150]}"), (4, None), (None, f"none {passage}")]
+    rows = [(3, f"\u00e9{passage}three"), (1, f"uno_{passage}\U0001f389"), (2, f"{passage[:210]} {passage[:150]}"), (4, None), (None, f"none {passage}")]
     frame = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, n_chars int")
     got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.without_repeats(spark, frame, "").collect()}
-    assert {k: v[0] for k, v in got.items()} == {None: f"none {passage}", 1: "one \U0001f389", 2: f" {passage[:150]}", 3: "\u00e9three", 4: None}
+    assert {k: v[0] for k, v in got.items()} == {None: f"none {passage}", 1: "uno_\U0001f389", 2: f" {passage[:150]}", 3: "\u00e9three", 4: None}
     assert all(n == len(t) for t, n in got.values() if t)
 
 
