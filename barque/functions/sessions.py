@@ -39,11 +39,11 @@ def weekend_shut(ts: Column, friday_close: int = FRIDAY_CLOSE, sunday_open: int
 
 
 def daily_break(ts: Column, start: int, end: int) -> Column:
-    """Hour in [start, end), around midnight too; no break unless both are given (>= 0)."""
+    """Hour in [start, end), around midnight too, all of them where both are equal; no break unless both are given (>= 0)."""
     if start < 0 or end < 0:
         return F.lit(False)
     h = hour(ts)
-    return (h >= start) & (h < end) if start <= end else (h >= start) | (h < end)
+    return (h >= start) & (h < end) if start < end else (h >= start) | (h < end)
 
 
 def in_session(ts: Column, volume: Column, kind: str, step_ms: int) -> Column:
@@ -64,6 +64,8 @@ def expected_open(ts: Column, kind: str, step_ms: int, break_hours: tuple[int, i
 
 def open_prefix(kind: str, step_ms: int, break_hours: tuple[int, int] = (-1, -1)) -> list[int]:
     """Open slots in [0, i) of the week that begins with the epoch (a Thursday), for i up to the whole week."""
+    if kind not in ("strict", "weekend"):  # exchange calendars are tables: operators.runs.calendar_gaps
+        raise NotImplementedError(kind)
     out, n = [0], 7 if step_ms >= DAY else 168
     for i in range(n):
         day, h = (i + 3) % 7 if step_ms >= DAY else (i // 24 + 3) % 7, i % 24
@@ -74,7 +76,7 @@ def open_prefix(kind: str, step_ms: int, break_hours: tuple[int, int] = (-1, -1)
         else:
             shut = day == 5 or (day == 4 and h >= FRIDAY_CLOSE) or (day == 6 and h < SUNDAY_OPEN)
             s, e = break_hours
-            pause = s >= 0 and e >= 0 and (s <= h < e if s <= e else h >= s or h < e)
+            pause = s >= 0 and e >= 0 and (s <= h < e if s < e else h >= s or h < e)
             is_open = not shut and not pause
         out.append(out[-1] + is_open)
     return out

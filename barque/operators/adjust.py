@@ -28,11 +28,19 @@ def split_factor(dividends: DataFrame, splits: DataFrame, key: list[str]) -> Dat
     return d.unionByName(s).withColumn("factor", factor).filter("is_div = 1").select(*key, "ts", "value", "factor")
 
 
-def total_return(bars: DataFrame, dividends: DataFrame, key: list[str]) -> DataFrame:
-    """WIN27, WIN28: close with dividends reinvested: tr_t = tr_(t-1) (c_t + d_t) / c_(t-1)."""
-    placed = forward_asof(dividends, bars, key).groupBy(*key, F.col("bar_ts").alias("ts")).agg(F.sum("value").alias("d"))
+def total_return(bars: DataFrame, dividends: DataFrame, key: list[str], splits: DataFrame | None = None) -> DataFrame:
+    """WIN27, WIN28: close with dividends reinvested: tr_t = tr_(t-1) (c_t + d_t) / c_(t-1). With splits, a dividend is
+    divided by the ratios of the splits after it. Bars and dividends meet in one union, so the bars are read once and
+    everything from there on stays partitioned by the key."""
+    if splits is not None:
+        dividends = split_factor(dividends, splits, key).withColumn("value", F.col("value") / F.col("factor"))
+    e = dividends.select(*key, "ts", F.lit(0).alias("is_bar"), F.lit(None).cast("double").alias("close"), F.col("value").cast("double").alias("value"))
+    b = bars.select(*key, "ts", F.lit(1).alias("is_bar"), F.col("close").cast("double").alias("close"), F.lit(None).cast("double").alias("value"))
+    down = Window.partitionBy(*key).orderBy(F.desc("ts"), F.desc("is_bar")).rowsBetween(Window.unboundedPreceding, 0)
+    placed = e.unionByName(b).withColumn("bar_ts", F.last(F.when(F.col("is_bar") == 1, F.col("ts")), ignorenulls=True).over(down)).filter("bar_ts is not null")
+    rows = placed.groupBy(*key, F.col("bar_ts").alias("ts")).agg(F.max("close").alias("close"), F.sum("value").alias("d"))
     w = Window.partitionBy(*key).orderBy("ts")
-    rows = bars.join(placed, [*key, "ts"], "left").withColumn("before", F.lag("close").over(w))
+    rows = rows.withColumn("before", F.lag("close").over(w))
     step = F.when(F.col("before").isNull(), 1.0).when(F.col("before") == 0, F.raise_error(F.lit("zero close"))).otherwise((F.col("close") + F.coalesce("d", F.lit(0.0))) / F.col("before"))
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     return rows.withColumn("step", step).select(*key, "ts", (F.first("close").over(upto) * F.product("step").over(upto)).alias("tr_close"))

@@ -1,4 +1,4 @@
-"""Six-stage cleaning of series into segments (WIN1 to WIN10) and its reports (AGG12 to AGG17, AGG29, AGG30),
+"""Six-stage cleaning of series into segments (WIN1 to WIN10) and its reports (AGG13 to AGG16, AGG29),
 and the bars of its segments (JN4, FLT9).
 
 All windows are over the series or over pieces of it, so the rows are shuffled once.

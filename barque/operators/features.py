@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barque.functions.sessions import whole
+
 PAST = 256
 CLIP = 5.0
 PRICES = {"geo": ("gap", "body", "upper", "lower"), "ret": ("ret_open", "ret_high", "ret_low", "ret_close")}
@@ -33,25 +35,33 @@ def refusals(bars: DataFrame, key: list[str]) -> DataFrame:
     return bars.withColumn("before", F.lag("ts").over(w)).groupBy(*key).agg(code.alias("code")).filter("code is not null")
 
 
-def _past_median(key: list[str], columns: tuple[str, ...]):
-    def per_segment(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ts")
+BLOCK = 4096  # rows of a series whose past medians one group works out
+
+
+def _past_median(columns: tuple[str, ...]):
+    def per_block(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("n")
         for c in columns:
             pdf[f"past_{c}"] = pdf[c].shift(1).rolling(PAST, min_periods=1).median()
-        return pdf
+        return pdf[pdf["n"] // BLOCK == pdf["block"]].drop(columns=["n", "block"])
 
-    return per_segment
+    return per_block
 
 
 def raw_features(bars: DataFrame, key: list[str]) -> DataFrame:
     """WIN14 to WIN17: both price sets and the flows of rows 1.. of every segment; row 0 is only the anchor.
 
-    The strictly past median runs as a grouped map, bounded by a segment's length; the rest are window expressions.
+    The strictly past median runs as a grouped map over blocks of BLOCK rows, each behind the PAST rows before it, so that
+    a group is bounded however long the series is; the rest are window expressions.
     """
     w = Window.partitionBy(*key).orderBy("ts")
     rows = bars.select(*key, "ts", "open", "high", "low", "close", F.log1p("volume").alias("lv"), F.log1p("amount").alias("la"))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", past_lv double, past_la double"
-    rows = rows.groupBy(*key).applyInPandas(_past_median(key, ("lv", "la")), schema)
+    n = F.col("n")
+    own = whole(n / BLOCK)
+    blocks = F.when(F.pmod(n, F.lit(BLOCK)) >= BLOCK - PAST, F.array(own, own + 1)).otherwise(F.array(own))
+    rows = rows.withColumn("n", F.row_number().over(w).cast("long") - 1).withColumn("block", F.explode(blocks))
+    rows = rows.groupBy(*key, "block").applyInPandas(_past_median(("lv", "la")), schema)
     before = F.lag("close").over(w)
     out = rows.withColumn("before", before).filter("before is not null")
     ln = lambda a, b: F.ln(F.col(a) / F.col(b))

@@ -1,4 +1,4 @@
-"""Registry reports, universes and incremental sets over manifest-like rows (AGG7 to AGG12, AGG33, AGG35, AGG36, AGG38, TOP1 to TOP5, TOP7, JN6 to JN9, FLT12, FLT13, INC1 to INC5)."""
+"""Registry reports, universes and incremental sets over manifest-like rows (AGG7, AGG8, AGG10, AGG11, AGG33, TOP1 to TOP5, JN7 to JN9, FLT12, FLT13, INC1, INC3 to INC5)."""
 
 from __future__ import annotations
 
@@ -62,11 +62,13 @@ def top_counts(rows: DataFrame, column: str, limit: int) -> DataFrame:
 
 
 def candidates(listing: DataFrame, quote: str, excluded: list[str]) -> DataFrame:
-    """FLT12: symbols of one quote whose base is no excluded currency and no leveraged version of another base."""
-    rows = listing.filter(F.col("symbol").endswith(quote)).withColumn("base", F.expr(f"left(symbol, length(symbol) - {len(quote)})")).filter((F.col("base") != "") & ~F.col("base").isin(excluded))
+    """FLT12: symbols of one quote whose base is no excluded currency and no leveraged version of a base in the whole
+    listing, excluded ones too."""
+    listed = listing.filter(F.col("symbol").endswith(quote)).withColumn("base", F.expr(f"left(symbol, length(symbol) - {len(quote)})"))
+    rows = listed.filter((F.col("base") != "") & ~F.col("base").isin(excluded))
     plain = F.regexp_replace("base", "(UP|DOWN|BULL|BEAR)$", "")
     tagged = rows.withColumn("plain", F.when((plain != F.col("base")) & (F.length(plain) >= 2), plain))
-    return tagged.join(rows.select(F.col("base").alias("plain")), "plain", "left_anti").select("symbol", "base")
+    return tagged.join(listed.select(F.col("base").alias("plain")), "plain", "left_anti").select("symbol", "base")
 
 
 def in_both(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:
@@ -92,11 +94,14 @@ def of_config(index: DataFrame, config_hash: str) -> DataFrame:
 
 
 def content_hash(df: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """AGG33: SHA-256 of the rows as a set, whatever their order and partitions; two levels, so that no task holds all."""
+    """AGG33: SHA-256 over the rows as a multiset, whatever their order and partitions: sums of the four quarters of the
+    rows' own digests and their number, which Spark adds up before it shuffles; no task holds the rows."""
     row = F.sha2(F.to_json(F.struct(*sorted(c for c in df.columns if c not in (by or []))), {"ignoreNullFields": "false"}), 256)
-    rows = df.select(*(by or []), row.alias("h"))
-    first = rows.groupBy(*(by or []), F.substring("h", 1, 3).alias("p")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ""), 256).alias("h"))
-    return first.groupBy(*(by or [])).agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "h"))), lambda x: x["h"]), ""), 256).alias("content_hash"))
+    quarters = [F.conv(F.substring("h", 16 * i + 1, 16), 16, 10).cast("decimal(20,0)") for i in range(4)]
+    sums = [F.sum(x).alias(f"q{i}") for i, x in enumerate(quarters)]
+    out = df.select(*(by or []), row.alias("h")).groupBy(*(by or [])).agg(F.count(F.lit(1)).alias("n"), *sums)
+    parts = [F.col("n").cast("string"), *(F.pmod(F.coalesce(f"q{i}", F.lit(0)), F.lit(str(1 << 64)).cast("decimal(30,0)")).cast("string") for i in range(4))]
+    return out.select(*(by or []), F.sha2(F.concat_ws(":", *parts), 256).alias("content_hash"))
 
 
 def stamped(manifests: DataFrame, source: str, verdict: str) -> DataFrame:
