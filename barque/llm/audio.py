@@ -83,9 +83,10 @@ def mel_bank() -> np.ndarray:
 
 def log_mel(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Overlapped frames of the resampled recording: (frames, MELS) log energies in half precision and each frame's energy
-    in dB; at least one frame. Zeros fill the last frame up, so that every sample lies in one."""
+    in dB; at least two frames. Zeros fill up the last, which begins behind the first that reaches the end, so that every
+    sample lies well inside a frame, where the window isn't near zero."""
     total = len(samples) * UP // DOWN
-    n = -(-max(total - FRAME, 0) // HOP) + 1
+    n = -(-max(total - FRAME, 0) // HOP) + 2
     window = np.hanning(FRAME).astype(np.float32)
     mels, energy = np.empty((n, MELS), np.float16), np.empty(n, np.float32)
     for at in range(0, n, BLOCK):
