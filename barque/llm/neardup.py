@@ -213,7 +213,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the one with the least hash of its set is searched. A null id stays alone with a null component and is kept. An empty table gives no rows; other columns are ignored. A pair is missed only if no
     band agrees (5e-6 at similarity 0.75 with 32 bands of 4) or with probability `miss` by pruning.
     """
-    spark = docs.sparkSession
     threshold = percent / 100
     data = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("data")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), data)
