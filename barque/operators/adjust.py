@@ -29,7 +29,7 @@ def split_factor(dividends: DataFrame, splits: DataFrame, key: list[str]) -> Dat
 
 
 def total_return(bars: DataFrame, dividends: DataFrame, key: list[str], splits: DataFrame | None = None) -> DataFrame:
-    """WIN27, WIN28: close with dividends reinvested: tr_t = tr_(t-1) (c_t + d_t) / c_(t-1). With splits, a dividend is
+    """WIN27, WIN28: close, and tr_close with dividends reinvested: tr_t = tr_(t-1) (c_t + d_t) / c_(t-1). With splits, a dividend is
     divided by the ratios of the splits after it. Bars and dividends meet in one union, so the bars are read once and
     everything from there on stays partitioned by the key."""
     if splits is not None:
@@ -43,7 +43,7 @@ def total_return(bars: DataFrame, dividends: DataFrame, key: list[str], splits:
     rows = rows.withColumn("before", F.lag("close").over(w))
     step = F.when(F.col("before").isNull(), 1.0).when(F.col("before") == 0, F.raise_error(F.lit("zero close"))).otherwise((F.col("close") + F.coalesce("d", F.lit(0.0))) / F.col("before"))
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("step", step).select(*key, "ts", (F.first("close").over(upto) * F.product("step").over(upto)).alias("tr_close"))
+    return rows.withColumn("step", step).select(*key, "ts", "close", (F.first("close").over(upto) * F.product("step").over(upto)).alias("tr_close"))
 
 
 def close_agreement(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:

@@ -129,7 +129,7 @@ def total_return_tier(bars: DataFrame, dividends: DataFrame, verdicts: DataFrame
     """SNK5: total-return closes of series whose verdict is `accumulate`; and for every series whether it was derived,
     with its bars and dividends. verdicts: key, verdict."""
     ok = verdicts.filter("verdict = 'accumulate'").select(*key)
-    tier = total_return(bars.join(ok, key, "left_semi"), dividends.join(ok, key, "left_semi"), key)
+    tier = total_return(bars.join(ok, key, "left_semi"), dividends.join(ok, key, "left_semi"), key).drop("close")
     counts = bars.groupBy(*key).agg(F.count(F.lit(1)).alias("bars")).join(dividends.groupBy(*key).agg(F.count(F.lit(1)).alias("dividends")), key, "left")
     derived = F.coalesce(F.col("verdict") == "accumulate", F.lit(False))
     return tier, counts.join(verdicts, key, "left").select(*key, "bars", F.coalesce("dividends", F.lit(0)).alias("dividends"), derived.alias("derived"))

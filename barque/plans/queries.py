@@ -387,12 +387,16 @@ def split_factor_lineitem(spark, d):
     return rounded(adjust.split_factor(_dividends(spark, d), _splits(spark, d), ["symbol"]), ["factor"], 9)
 
 
+def _tr_factor(returns):
+    return returns.select("symbol", "ts", "close", F.round(F.col("tr_close") / F.col("close"), 6).alias("tr_factor"))
+
+
 @query(f"""WITH bars AS ({L_SQL}), placed AS (SELECT symbol, bar_ts AS ts, sum(value) AS d FROM (SELECT e.symbol, e.value, (SELECT min(b.ts) FROM bars b WHERE b.symbol = e.symbol AND b.ts >= e.ts) AS bar_ts FROM ({_DIV}) e) WHERE bar_ts IS NOT NULL GROUP BY 1, 2)
-SELECT symbol, ts, round(first_value(close) OVER w * exp(sum(ln(step)) OVER w) + 0.000123, 3) AS tr_close FROM (SELECT symbol, ts, close, coalesce((close + coalesce(d, 0)) / lag(close) OVER (PARTITION BY symbol ORDER BY ts), 1) AS step FROM bars LEFT JOIN placed USING (symbol, ts)) WINDOW w AS (PARTITION BY symbol ORDER BY ts ROWS UNBOUNDED PRECEDING)""")
+SELECT symbol, ts, close, round(first_value(close) OVER w * exp(sum(ln(step)) OVER w) / close, 6) AS tr_factor FROM (SELECT symbol, ts, close, coalesce((close + coalesce(d, 0)) / lag(close) OVER (PARTITION BY symbol ORDER BY ts), 1) AS step FROM bars LEFT JOIN placed USING (symbol, ts)) WINDOW w AS (PARTITION BY symbol ORDER BY ts ROWS UNBOUNDED PRECEDING)""")
 def total_return_lineitem(spark, d):
-    """Both sides are moved off the ties of rounding: prices over whole quantities often end in a half of the last digit."""
+    """The total return price over the close: 1 until the first dividend. Closes alone are full of ties of rounding."""
     out = adjust.total_return(daily(spark, d), _dividends(spark, d), ["symbol"])
-    return out.withColumn("tr_close", F.round(F.col("tr_close") + 0.000123, 3))
+    return _tr_factor(out)
 
 
 # The same over every row of lineitem: each a dividend and a split. Ratios near 1 keep the products finite.
@@ -423,11 +427,11 @@ def split_factor_all_lineitem(spark, d):
 
 
 @query(f"""WITH bars AS ({L_SQL}), placed AS (SELECT e.symbol, b.ts, sum(e.value) AS d FROM ({_DIV_ALL}) e ASOF JOIN bars b ON b.symbol = e.symbol AND e.ts <= b.ts GROUP BY 1, 2)
-SELECT symbol, ts, round(first_value(close) OVER w * product(step) OVER w + 0.0123, 1) AS tr_close FROM (SELECT symbol, ts, close, coalesce((close + coalesce(d, 0)) / lag(close) OVER (PARTITION BY symbol ORDER BY ts), 1) AS step FROM bars LEFT JOIN placed USING (symbol, ts)) WINDOW w AS (PARTITION BY symbol ORDER BY ts ROWS UNBOUNDED PRECEDING)""")
+SELECT symbol, ts, close, round(first_value(close) OVER w * product(step) OVER w / close, 6) AS tr_factor FROM (SELECT symbol, ts, close, coalesce((close + coalesce(d, 0)) / lag(close) OVER (PARTITION BY symbol ORDER BY ts), 1) AS step FROM bars LEFT JOIN placed USING (symbol, ts)) WINDOW w AS (PARTITION BY symbol ORDER BY ts ROWS UNBOUNDED PRECEDING)""")
 def total_return_all_lineitem(spark, d):
-    """Off the ties of rounding, as total_return_lineitem."""
+    """The total return price over the close, as total_return_lineitem."""
     out = adjust.total_return(daily(spark, d), _all_dividends(spark, d), ["symbol"])
-    return out.withColumn("tr_close", F.round(F.col("tr_close") + 0.0123, 1))
+    return _tr_factor(out)
 
 
 @query(f"SELECT symbol, split_ts, ratio, CASE WHEN ratio IS NULL THEN 'inconclusive' WHEN abs(ratio - 1) <= 0.25 THEN 'adjusted' ELSE 'unadjusted' END AS verdict FROM {_RATIO_ALL}")

@@ -200,11 +200,11 @@ def crypto_candidates_customer(spark, d):
     return registry.candidates(spark.read.parquet(f"{d}/customer.parquet").selectExpr(symbol), "USDT", ["B1", "B2"]).distinct()
 
 
-@q.query(q.SQL["total_return_all_lineitem"].replace(f"({q._DIV_ALL}) e", f"(SELECT symbol, ts, value / factor AS value FROM ({q.SQL['split_factor_all_lineitem']})) e"))
+@q.query(q.SQL["total_return_all_lineitem"].replace(f"({q._DIV_ALL}) e", f"(SELECT symbol, ts, value / factor AS value FROM ({q.SQL['split_factor_all_lineitem'].replace('round(coalesce(s.factor, 1.0), 9)', 'coalesce(s.factor, 1.0)')})) e"))
 def total_return_splits_lineitem(spark, d):
-    """Dividends are brought to the bars' scale by the splits after them; off the ties of rounding, as total_return_lineitem."""
+    """Dividends are brought to the bars' scale by the splits after them; the price over the close, as total_return_lineitem."""
     out = adjust.total_return(q.daily(spark, d), q._all_dividends(spark, d), ["symbol"], q._all_splits(spark, d))
-    return out.withColumn("tr_close", F.round(F.col("tr_close") + 0.0123, 1))
+    return q._tr_factor(out)
 
 
 # the event queries under their first names run over every row of lineitem too
