@@ -6,7 +6,8 @@ A byte goes when a `length`-byte string that covers it also starts elsewhere. No
     have equal anchors at equal distances. One row stands for the run of windows that share an anchor: about one row
     for 85 bytes. Runs whose k-gram occurs once hold no repeat.
 2.  Runs that are equal as a whole (same bytes, same distances) form classes. In a class of two or more, all are
-    repeats of its first member.
+    repeats of its first member. What belongs to a hot class is found in the order of the documents, and spans that
+    follow one another there become one.
 3.  One member of each class, and the runs equal to no other, are compared byte by byte: their windows are put in
     suffix order (prefix doubling), and previous and next smaller places in that order tell whether a window occurs
     earlier; the same arrays of larger places tell whether it occurs later.
@@ -184,44 +185,63 @@ def merge_spans(spans: list, n: int) -> list[tuple[int, int]]:
 # ---- the operator ----------------------------------------------------------------------------------------------------
 
 
-BUNDLE = "key long, class long, members array<struct<id:long,k1:long,p:int,lo:int,hi:int>>"
-MEMBERS = 64  # of one bundle at most
+HOT_CLASSES = 10_000  # that a task looks up, at most
+HOT_LEAST = 64  # members of a hot class
 
 
-def _bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of a batch that share a class, together."""
-    for batch in batches:
-        key, own = batch.column("key").to_numpy(), batch.column("class").to_numpy()
-        order = np.lexsort((own, key))
-        key, own, at = key[order], own[order], np.arange(len(order))
-        new = np.ones(len(order), bool)
-        new[1:] = (key[1:] != key[:-1]) | (own[1:] != own[:-1])
-        new |= (at - np.maximum.accumulate(np.where(new, at, 0))) % MEMBERS == 0
-        starts = np.flatnonzero(new)
-        names = ["id", "k1", "p", "lo", "hi"]
-        members = pa.StructArray.from_arrays([batch.column(c).take(pa.array(order)) for c in names], names)
-        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(order)).astype(np.int32)), members)
-        yield pa.RecordBatch.from_arrays([pa.array(key[starts]), pa.array(own[starts]), lists], ["key", "class", "members"])
+def _merged(hot: pa.Table, earlier_only: bool):
+    """Spans of windows of hot classes. Rows stand in the order of their documents, so windows that follow one another are
+    one span before anything is shuffled."""
+    hot = hot.sort_by("class")
+    known, keys = hot.column("class").to_numpy(), hot.column("key").to_numpy()
+    firsts = [hot.column(c).to_numpy() for c in ("id", "k1", "lo")]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, k1, lo, hi, key, own = (batch.column(c).to_numpy() for c in ("id", "k1", "lo", "hi", "key", "class"))
+            at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+            found = (known[at] == own) & (keys[at] == key)
+            if earlier_only:
+                found &= np.any([x != y[at] for x, y in zip((ids, k1, lo), firsts, strict=True)], axis=0)
+            r = np.flatnonzero(found)
+            fresh = np.ones(len(r), bool)
+            fresh[1:] = (np.diff(r) > 1) | (ids[r][1:] != ids[r][:-1]) | (k1[r][1:] != k1[r][:-1]) | (lo[r][1:] != hi[r][:-1] + 1)
+            starts, ends = r[fresh], r[np.append(fresh[1:], True)] if len(r) else r
+            yield pa.RecordBatch.from_arrays([pa.array(ids[starts]), pa.array(k1[starts]), pa.array(lo[starts].astype(np.int32)), pa.array(hi[ends].astype(np.int32))], ["id", "k1", "s", "e"])
+
+    return task
 
 
-def _resolve(runs: DataFrame, earlier_only: bool) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
-    """Runs, split into spans that surely repeat and runs still to compare; and the tables to discard in the end.
+def _resolve(runs: DataFrame, in_order: DataFrame, earlier_only: bool) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Runs, split into spans (last window for end) that surely repeat and runs still to compare; and the tables to discard
+    in the end.
 
-    The first of each class stays to compare if its key has another class; the rest of the class repeats it. Classes are
-    counted before they meet, so the joins have two shuffled tables, which Spark splits where a key is hot."""
+    The first of each class stays to compare if its key has another class; the rest of the class repeats it. Members of hot
+    classes are told where they stand, in_order, and merged by document; of those there can't be more than HOT_CLASSES, as
+    each has more than its share of the runs. Members of the others meet their class in a join.
+    """
     me = F.struct("id", "k1", "p", "lo", "hi")
     classes = stored(runs.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"), F.min(me).alias("first")), "classes")
     keys = classes.groupBy("key").agg(F.count(F.lit(1)).alias("group"), F.min("n").alias("least"))
     several = (F.col("group") > 1) if earlier_only else (F.col("group") > 1) & (F.col("least") == 1)
     keys = stored(keys.filter(several).select("key", "group"), "keys")
     todo = classes.join(keys, "key").select("first.*", "key", "group")
-    # members of a class meet it in bundles, then bundles are dealt out evenly before they are opened
-    bundles = runs.select("key", "class", "id", "k1", *(F.col(c).cast("int").alias(c) for c in ("p", "lo", "hi"))).mapInArrow(_bundled, BUNDLE)
-    sure = bundles.join(classes.filter("n > 1").select("key", "class", "first"), ["key", "class"])
-    sure = sure.repartition(F.xxhash64("members")).select("first", F.inline("members"))
+    total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    most = max(HOT_LEAST, total // HOT_CLASSES)
+    hot = classes.filter(F.col("n") > most).select("key", "class", "first.id", "first.k1", "first.lo")
+    at_once = hot.toArrow()
+    met = classes.filter((F.col("n") > 1) & (F.col("n") <= most)).select("key", "class", "first")
+    rest = runs
+    if at_once.num_rows:
+        rest = runs.join(F.broadcast(hot.select("key", "class")), ["key", "class"], "left_anti")
+    sure = rest.join(met, ["key", "class"])
     if earlier_only:
         sure = sure.filter(me != F.col("first"))
-    return sure.select("id", "k1", F.col("lo").alias("s"), F.col("hi").alias("e")), todo, [classes, keys]
+    sure = sure.select("id", "k1", F.col("lo").cast("int").alias("s"), F.col("hi").cast("int").alias("e"))
+    if at_once.num_rows:
+        columns = in_order.select("id", "k1", "lo", "hi", "key", "class")
+        sure = sure.unionByName(columns.mapInArrow(_merged(at_once, earlier_only), "id long, k1 long, s int, e int"))
+    return sure, todo, [classes, keys]
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
@@ -255,10 +275,10 @@ def repeated_spans(docs: DataFrame, length: int = 200, earlier_only: bool = Fals
     # grouped without the key, so that Spark sums up copies before it deals them anew, and may split a hot key in the join
     once = every.join(twice, "key", "left_semi").groupBy("k1", "p", "lo", "hi").agg(F.min("key").alias("key"), F.min("class").alias("class"), F.min("id").alias("id"))
     runs = stored(once, "repeated_runs")
-    discard(every, twice)
-    sure, todo, gone = _resolve(runs, earlier_only)
+    discard(twice)
+    sure, todo, gone = _resolve(runs, every, earlier_only)
     spans.append(sure.withColumn("e", F.col("e") + length))
-    gone += [texts, copied, runs]
+    gone += [texts, copied, every, runs]
 
     wanted = todo.groupBy("id", "k1").agg(F.collect_list(F.struct("p", "lo", "hi", "key", "group")).alias("wanted"))
     rows = docs.select("id", "k1", "data")
@@ -280,7 +300,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, earlier_only: bool = Fals
         whole = F.expr(f"substring(bytes, a - lo + 1, b - a + {length})")
         pieces = pieces.select("id", "k1", "p", "a", "b", F.xxhash64("key", "j", common).alias("k"), F.xxhash64("key", "j", F.expr("a - p"), F.expr("b - p"), whole).alias("class"), whole.alias("bytes"))
         pieces = stored(pieces.withColumnsRenamed({"a": "lo", "b": "hi", "k": "key"}), "pieces")
-        sure, rest, more = _resolve(pieces.drop("bytes"), earlier_only)
+        sure, rest, more = _resolve(pieces.drop("bytes"), pieces, earlier_only)
         spans.append(sure.withColumn("e", F.col("e") + length))
         gone += [pieces, *more]
         if width == 1:

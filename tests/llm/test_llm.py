@@ -51,8 +51,9 @@ def by_text(rows):
     return [(r[0], (r[1] or "").encode()) for r in rows]
 
 
-@pytest.mark.parametrize("limit", [256, 1])
-def test_repeats(docs, nothing, limit):
+@pytest.mark.parametrize("limit, least", [(256, 64), (1, 64), (256, 1), (1, 1)])
+def test_repeats(docs, nothing, limit, least, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT_LEAST", least)
     rows = by_text(corpus())
     n = collections.Counter(t[i : i + 200] for _, t in rows for i in range(len(t) - 199))
     got = sorted((repr(r.doc_id), r.n_bytes, r.n_removed, r.kept_sha256) for r in repeats.remove_repeats(docs, group_limit=limit).collect())
@@ -68,6 +69,20 @@ def test_repeats(docs, nothing, limit):
     assert repeats.remove_repeats(nothing).count() == 0
 
 
+def test_members_of_hot_classes_are_merged_by_document(spark):
+    rng = random.Random(12)
+    letters = lambda n: "".join(rng.choices("abcdefghijkl", k=n))
+    passage = letters(3000)
+    frame = spark.createDataFrame([(i, letters(300) + passage + letters(200)) for i in range(200)], "doc_id long, text string")
+    names = repeats.keyed(frame, "doc_id", "text")
+    spans = repeats.repeated_spans(frame.select(*names, F.encode("text", "UTF-8").alias("data"))).collect()
+    of_one = collections.Counter(r.id for r in spans)
+    assert len(of_one) == 200 and max(of_one.values()) <= 8  # about 35 runs each
+    for i in range(0, 200, 50):
+        ((s, e),) = repeats.merge_spans([(r.s, r.e) for r in spans if r.id == i], 3500)
+        assert 290 < s <= 300 and 3300 <= e < 3310  # neighbours may share letters by chance
+
+
 def test_previous_factor_arrays():
     place = np.array([3, 1, 4, 0, 2])
     assert repeats.nearest_smaller(place).tolist() == [-1, -1, 1, -1, 3]
@@ -506,7 +521,9 @@ def test_near_duplicate_stage_keeps_one_of_each_group(spark, docs):
     assert set(got) == want and max(got.values()) == 1 and len(got) < len(rows)
 
 
-def test_repeats_stage_keeps_the_first_copy(spark):
+@pytest.mark.parametrize("least", [64, 1])
+def test_repeats_stage_keeps_the_first_copy(spark, least, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT_LEAST", least)
     passage = "".join(random.Random(3).choices("abcdefghij", k=400))
     rows = [(3, f"\u00e9{passage}three"), (1, f"uno_{passage}\U0001f389"), (2, f"{passage[:210]} {passage[:150]}"), (4, None), (None, f"none {passage}")]
     frame = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, n_chars int")
