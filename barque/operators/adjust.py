@@ -80,10 +80,23 @@ def splice(prior: DataFrame, fresh: DataFrame, key: list[str]) -> DataFrame:
     return both.groupBy(*key, "ts").agg(F.max_by(F.struct(*rest), "version").alias("r")).select(*key, "ts", "r.*")
 
 
-def feed_diff(ours: DataFrame, theirs: DataFrame, key: list[str], value: str) -> DataFrame:
-    """JN2: full outer difference inside the window of theirs: missing, extra or another value."""
+def split_probes(probes: DataFrame, bars: DataFrame, key: list[str]) -> DataFrame:
+    """JN10: known splits (key, ts, and the ratio expected) against the stored series: missing where there is no such
+    series, else the verdict of `split_discontinuity`."""
+    found = split_discontinuity(bars.join(probes.select(*key).distinct(), key, "left_semi"), probes, key).withColumnsRenamed({"split_ts": "ts", "ratio": "measured"})
+    there = bars.select(*key).distinct().withColumn("__there", F.lit(True))
+    rows = probes.join(there, key, "left").join(found, [*key, "ts"], "left")
+    return rows.withColumn("verdict", F.when(F.col("__there").isNull(), "missing").otherwise(F.col("verdict"))).withColumn("measured", F.when(F.col("__there").isNotNull(), F.col("measured"))).drop("__there")
+
+
+def feed_diff(ours: DataFrame, theirs: DataFrame, key: list[str], values: str | list[str]) -> DataFrame:
+    """JN2: full outer difference inside the window of theirs: missing, extra or another value, with the columns that
+    differ. Values are compared as they are; null equals null and NaN NaN."""
+    values = [values] if isinstance(values, str) else values
     window = theirs.groupBy(*key).agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
-    mine = ours.select(*key, "ts", F.col(value).alias("mine")).join(window, key).filter("ts between lo and hi").drop("lo", "hi")
-    both = mine.join(theirs.select(*key, "ts", F.col(value).alias("other")), [*key, "ts"], "full_outer")
-    kind = F.when(F.col("mine").isNull(), "missing").when(F.col("other").isNull(), "extra").when(F.col("mine") != F.col("other"), "value")
-    return both.withColumn("kind", kind).filter("kind is not null").select(*key, "ts", "kind")
+    mine = ours.select(*key, "ts", F.struct(*values).alias("mine")).join(window, key).filter("ts between lo and hi").drop("lo", "hi")
+    both = mine.join(theirs.select(*key, "ts", F.struct(*values).alias("other")), [*key, "ts"], "full_outer")
+    differ = F.filter(F.array(*(F.when(~F.col(f"mine.{v}").eqNullSafe(F.col(f"other.{v}")), v) for v in values)), lambda v: v.isNotNull())
+    both = both.withColumn("columns", F.when(F.col("mine").isNotNull() & F.col("other").isNotNull(), differ).otherwise(F.array().cast("array<string>")))
+    kind = F.when(F.col("mine").isNull(), "missing").when(F.col("other").isNull(), "extra").when(F.size("columns") > 0, "value")
+    return both.withColumn("kind", kind).filter("kind is not null").select(*key, "ts", "kind", "columns")

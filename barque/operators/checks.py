@@ -1,11 +1,11 @@
-"""Guards, red flags and verdicts over the reports of other operators (FLT14, AGG17, AGG20, AGG28, AGG32, AGG38, AGG39, WIN26, SNK4, SNK5, INC6).
+"""Guards, red flags and verdicts over the reports of other operators (FLT14, AGG17, AGG20, AGG28, AGG32, AGG38, AGG39, WIN26, SNK5, INC6).
 
 The verdicts are columns; a refusal is an error of the job only where its rule says so.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barque.operators.adjust import total_return
@@ -111,20 +111,6 @@ def pinned_snapshots(segments: DataFrame, features: DataFrame, key: list[str], v
     return count.join(content_hash(rows, [*key, "segment_id"]), [*key, "segment_id"])
 
 
-def may_replace(index: DataFrame, partial: bool, forced: bool = False) -> bool:
-    """SNK4: whether a run may overwrite an index (with a column `partial`): a partial run never replaces a full one,
-    unless forced. An empty index may always be replaced."""
-    return forced or not partial or index.filter("not partial").isEmpty()
-
-
-def write_index(spark: SparkSession, new: DataFrame, path: str, partial: bool, forced: bool = False) -> None:
-    """SNK4: write segments as an index at path, behind `may_replace`."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop) and not may_replace(spark.read.parquet(path), partial, forced):
-        raise ValueError("a partial run would replace the full index")
-    new.withColumn("partial", F.lit(partial)).write.mode("overwrite").parquet(path)
-
-
 def total_return_tier(bars: DataFrame, dividends: DataFrame, verdicts: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
     """SNK5: total-return closes of series whose verdict is `accumulate`; and for every series whether it was derived,
     with its bars and dividends. verdicts: key, verdict."""

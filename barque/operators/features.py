@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
+from collections import deque
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barque.functions.sessions import whole
-
 PAST = 256
 CLIP = 5.0
 PRICES = {"geo": ("gap", "body", "upper", "lower"), "ret": ("ret_open", "ret_high", "ret_low", "ret_close")}
@@ -35,35 +37,38 @@ def refusals(bars: DataFrame, key: list[str]) -> DataFrame:
     return bars.withColumn("before", F.lag("ts").over(w)).groupBy(*key).agg(code.alias("code")).filter("code is not null")
 
 
-BLOCK = 4096  # rows of a series whose past medians one group works out
-
+def _past_medians(key: list[str], columns: tuple[str, ...]):
+    """Rows come sorted by key and time. A batch holds whole segments and the ends of two; of the last one the PAST rows are
+    kept that the next batch looks back to."""
 
-def _past_median(columns: tuple[str, ...]):
-    def per_block(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("n")
-        for c in columns:
-            pdf[f"past_{c}"] = pdf[c].shift(1).rolling(PAST, min_periods=1).median()
-        return pdf[pdf["n"] // BLOCK == pdf["block"]].drop(columns=["n", "block"])
+    def task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tail = None
+        for pdf in frames:
+            if pdf.empty:
+                continue
+            rows = pdf if tail is None else pd.concat([tail, pdf], ignore_index=True)
+            of = (rows[key] != rows[key].shift(1)).any(axis=1).cumsum()
+            for c in columns:
+                before = rows.groupby(of)[c].shift(1)
+                rows[f"past_{c}"] = before.groupby(of).rolling(PAST, min_periods=1).median().reset_index(level=0, drop=True)
+            yield rows.iloc[len(rows) - len(pdf) :]
+            last = rows[of == of.iloc[-1]]
+            tail = last.iloc[-PAST:][list(pdf.columns)].copy()
 
-    return per_block
+    return task
 
 
 def raw_features(bars: DataFrame, key: list[str]) -> DataFrame:
     """WIN14 to WIN17: both price sets and the flows of rows 1.. of every segment; row 0 is only the anchor.
 
-    The strictly past median runs as a grouped map over blocks of BLOCK rows, each behind the PAST rows before it, so that
-    a group is bounded however long the series is; the rest are window expressions.
+    One shuffle: the window deals out segments and sorts them, and the strictly past median reads its rows on in that order,
+    batch by batch, so that no task holds a segment whole; the rest are window expressions.
     """
     w = Window.partitionBy(*key).orderBy("ts")
-    rows = bars.select(*key, "ts", "open", "high", "low", "close", F.log1p("volume").alias("lv"), F.log1p("amount").alias("la"))
+    rows = bars.select(*key, "ts", "open", "high", "low", "close", F.lag("close").over(w).alias("before"), F.log1p("volume").alias("lv"), F.log1p("amount").alias("la"))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", past_lv double, past_la double"
-    n = F.col("n")
-    own = whole(n / BLOCK)
-    blocks = F.when(F.pmod(n, F.lit(BLOCK)) >= BLOCK - PAST, F.array(own, own + 1)).otherwise(F.array(own))
-    rows = rows.withColumn("n", F.row_number().over(w).cast("long") - 1).withColumn("block", F.explode(blocks))
-    rows = rows.groupBy(*key, "block").applyInPandas(_past_median(("lv", "la")), schema)
-    before = F.lag("close").over(w)
-    out = rows.withColumn("before", before).filter("before is not null")
+    rows = rows.sortWithinPartitions(*key, "ts").mapInPandas(_past_medians(key, ("lv", "la")), schema)
+    out = rows.filter("before is not null")
     ln = lambda a, b: F.ln(F.col(a) / F.col(b))
     return out.select(
         *key, "ts", ln("open", "before").alias("gap"), ln("close", "open").alias("body"), ln("high", "open").alias("upper"), ln("low", "open").alias("lower"),
@@ -100,18 +105,44 @@ def inverse_prices(raw: DataFrame, anchors: DataFrame, key: list[str]) -> DataFr
     return rows.select(*key, "ts", o.alias("open"), F.greatest(F.exp(F.col("o") + F.col("upper")), o, c).alias("high"), F.least(F.exp(F.col("o") + F.col("lower")), o, c).alias("low"), c.alias("close"))
 
 
+class PastMedian:
+    """Median of the last `window` numbers: they stand in a sorted list, where one is put in and one taken out by bisection,
+    and in a ring in the order in which they came."""
+
+    def __init__(self, window: int = PAST):
+        self.window, self.ring, self.sorted = window, deque(), []
+
+    def add(self, x: float) -> None:
+        if len(self.ring) == self.window:
+            del self.sorted[bisect_left(self.sorted, self.ring.popleft())]
+        self.ring.append(x)
+        insort(self.sorted, x)
+
+    def median(self) -> float:
+        n = len(self.sorted)
+        return self.sorted[n // 2] if n % 2 else (self.sorted[n // 2 - 1] + self.sorted[n // 2]) / 2
+
+
+def undone_flow(feature: np.ndarray, first: float) -> np.ndarray:
+    """Values whose logarithms less the median of those before them are `feature`; `first` is the logarithm of the one
+    before. Each needs the ones before it."""
+    past, out = PastMedian(), np.empty(len(feature))
+    past.add(float(first))
+    for i, x in enumerate(feature.tolist()):
+        y = out[i] = x + past.median()
+        past.add(y)
+    return np.maximum(np.expm1(out), 0)
+
+
 def inverse_flows(raw: DataFrame, anchors: DataFrame, key: list[str]) -> DataFrame:
-    """WIN22: y_t = feature_t + median of the past y; a recursion, so one grouped map per segment."""
+    """WIN22: y_t = feature_t + median of the past y; a recursion, so one grouped map per segment. key names a segment,
+    which bounds a group."""
     rows = raw.join(anchors.select(*key, F.log1p("volume").alias("v0"), F.log1p("amount").alias("a0")), key)
 
     def per_segment(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ts")
         for feature, start, out in (("rel_volume", "v0", "volume"), ("rel_amount", "a0", "amount")):
-            y = np.empty(len(pdf) + 1)
-            y[0] = pdf[start].iloc[0]
-            for i, x in enumerate(pdf[feature].to_numpy(), 1):
-                y[i] = x + np.median(y[max(0, i - PAST) : i])
-            pdf[out] = np.maximum(np.expm1(y[1:]), 0)
+            pdf[out] = undone_flow(pdf[feature].to_numpy(), pdf[start].iloc[0])
         return pdf[[*key, "ts", "volume", "amount"]]
 
     kinds = ", ".join(f"{k} {dict(raw.dtypes)[k]}" for k in key)

@@ -1,28 +1,31 @@
-"""Registry reports, universes and incremental sets over manifest-like rows (AGG7, AGG8, AGG10, AGG11, AGG33, TOP1 to TOP5, JN7 to JN9, FLT12, FLT13, INC1, INC3 to INC5)."""
+"""Registry reports, universes and incremental sets over manifest-like rows (AGG7, AGG8, AGG10, AGG11, AGG33, TOP1 to TOP5, JN7 to JN9, FLT12, FLT13, INC1, INC3, INC5)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barque.functions.sessions import DAY
 
 
 def registry_rows(stats: DataFrame) -> DataFrame:
-    """AGG7: statistics of series with their history in days."""
+    """AGG7: statistics of series with their history in days; what identifies a series and its file comes along as columns
+    of `stats`."""
     return stats.withColumn("history_days", F.bround((F.col("last_ts") - F.col("first_ts")) / DAY, 3))
 
 
 def coverage(registry: DataFrame, by: list[str]) -> DataFrame:
-    """AGG8, AGG9."""
-    return registry.groupBy(*by).agg(F.count(F.lit(1)).alias("series"), F.sum("row_count").alias("bars"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
+    """AGG8: series, bars and span; bytes where the registry has them (JN13)."""
+    size = [F.sum("bytes").alias("bytes")] if "bytes" in registry.columns else []
+    return registry.groupBy(*by).agg(F.count(F.lit(1)).alias("series"), F.sum("row_count").alias("bars"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"), *size)
 
 
 def group_stats(registry: DataFrame, by: list[str]) -> DataFrame:
-    """AGG11."""
+    """AGG11; the total of bars off the grid where the registry has them."""
+    off = [F.sum("off_grid").alias("off_grid")] if "off_grid" in registry.columns else []
     return registry.groupBy(*by).agg(
         F.count(F.lit(1)).alias("series"), F.sum("row_count").alias("n_rows"), F.round(F.min("history_days"), 1).alias("min_days"), F.round(F.percentile("history_days", 0.5), 1).alias("median_days"),
-        F.round(F.max("history_days"), 1).alias("max_days"), F.sum("gap_count").alias("gaps"), F.percentile("gap_count", 0.5).alias("median_gaps"), F.count_if(F.col("gap_count") == 0).alias("without_gaps"),
+        F.round(F.max("history_days"), 1).alias("max_days"), F.sum("gap_count").alias("gaps"), F.percentile("gap_count", 0.5).alias("median_gaps"), F.count_if(F.col("gap_count") == 0).alias("without_gaps"), *off,
     )
 
 
@@ -51,10 +54,17 @@ def universe(registry: DataFrame, by: list[str], measure: str, n: int, symbol: s
 
 
 def with_history(registry: DataFrame, years: float) -> DataFrame:
-    """FLT13: series with so many years of history at least."""
+    """FLT13: series with so many years of history at least, by first and last bar."""
     return registry.filter(F.col("history_days") >= years * 365.25)
 
 
+def listed_before(listing: DataFrame, now_month: str, years: int, first: str = "first_month") -> DataFrame:
+    """FLT13 before anything is downloaded: by the first month (yyyy-MM) that a listing names, that month `years` years before
+    now's or earlier; series without one stay out."""
+    year, month = map(int, now_month.split("-"))
+    return listing.filter(F.col(first) <= f"{year - years:04d}-{month:02d}")
+
+
 def top_counts(rows: DataFrame, column: str, limit: int) -> DataFrame:
     """TOP5: the most common values, equal counts by the value as a string; a report of `limit` rows."""
     counts = rows.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
@@ -104,11 +114,6 @@ def content_hash(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     return out.select(*(by or []), F.sha2(F.concat_ws(":", *parts), 256).alias("content_hash"))
 
 
-def stamped(manifests: DataFrame, source: str, verdict: str) -> DataFrame:
-    """INC4."""
-    return manifests.withColumn("adjustment_policy_verified", F.when(F.col("source") == source, F.lit(verdict)).otherwise(F.col("adjustment_policy_verified")))
-
-
 def verdicts(manifests: DataFrame) -> DataFrame:
     """INC5: one stamped verdict is used, none falls back to the recorded policy, several are an error."""
     found = F.collect_set("adjustment_policy_verified")
@@ -121,14 +126,6 @@ def current(plan: DataFrame, manifests: DataFrame) -> DataFrame:
     return plan.join(manifests.select("artifact", F.col("source_sha256s").alias("have")), "artifact").filter("source_sha256s = have").select("artifact")
 
 
-def read_manifests(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """SRC9: parsed manifests and the unreadable ones, reported and not dropped."""
-    rows = spark.read.schema(schema + ", broken string").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "broken").json(path)
-    rows = rows.withColumn("file", F.col("_metadata.file_path"))
-    return rows.filter("broken is null").drop("broken"), rows.filter("broken is not null").select("file", "broken")
-
-
 def query(registry: DataFrame, sql: str, limit: int = 50) -> DataFrame:
-    """SRC10: SQL over the view `registry`; a report of `limit` rows."""
-    registry.createOrReplaceTempView("registry")
-    return registry.sparkSession.sql(sql).limit(limit)
+    """SRC10: SQL in which {registry} stands for the table; a report of `limit` rows. The view lasts no longer than the call."""
+    return registry.sparkSession.sql(sql, registry=registry).limit(limit)

@@ -1,6 +1,6 @@
 """Runs over a corpus of series: sessions and calendars of artifacts, totals, sizes, work lists, manifests, publication
 (FLT8, FLT7, FLT10, FLT11, FLT15, JN6, JN13, WIN1 by calendar, WIN23, WIN29, AGG9, AGG12, AGG27, AGG30, AGG31, AGG34,
-AGG37, TOP6, SRC6, SRC8, SRC12, SRC13, SNK3, SNK6, INC7)."""
+AGG37, TOP6, SRC6, SRC8, SRC12, SRC13, SNK6, INC7)."""
 
 from __future__ import annotations
 
@@ -101,7 +101,8 @@ def frames_to_bars(frames: DataFrame) -> DataFrame:
 
 
 def corporate_events(raw: DataFrame, key: list[str]) -> DataFrame:
-    """SRC8: (key, ts, event_type, value) of splits and dividends; zero values go, another type is an error."""
+    """SRC8: (key, ts, event_type, value) of splits and dividends; zero values go, another type is an error. A series that
+    was captured and had no event has no row here: `captures` tells it from one that was not."""
     kind = F.when(F.col("event_type").isin("split", "dividend"), F.col("event_type")).otherwise(refuse("unknown event type"))
     return raw.withColumn("event_type", kind).filter("value <> 0").select(*key, "ts", "event_type", "value")
 
@@ -129,12 +130,19 @@ def clean_coverage(stats: DataFrame, by: list[str], artifact: str) -> DataFrame:
     return one.groupBy(*by).agg(F.count(F.lit(1)).alias("series"), F.sum("total").alias("bars"), F.sum("kept").alias("kept"))
 
 
-def series_invariants(stats: DataFrame, segs: DataFrame, key: list[str]) -> DataFrame:
-    """AGG30: series whose segments' bars aren't its kept bars, or that keep more than they have."""
+def series_invariants(stats: DataFrame, segs: DataFrame, key: list[str], bars: DataFrame | None = None) -> DataFrame:
+    """AGG30: series whose segments' bars aren't its kept bars, that keep more than they have, or whose segments are
+    inverted, overlap or, with the bars at hand, run out of the series."""
     kept = stats.groupBy(*key).agg(F.max("total_bars").alias("total"), F.max("kept_bars").alias("kept"))
-    own = segs.groupBy(*key).agg(F.sum("n_bars").alias("in_segments"))
-    rows = kept.join(own, key, "left").withColumn("in_segments", F.coalesce("in_segments", F.lit(0).cast("long")))
-    return rows.filter("in_segments <> kept or kept > total")
+    before = F.lag("end_ts").over(Window.partitionBy(*key).orderBy("start_ts", "end_ts"))
+    odd = (F.col("end_ts") < F.col("start_ts")) | F.coalesce(F.col("start_ts") <= before, F.lit(False))
+    own = segs.withColumn("odd", odd).groupBy(*key).agg(F.sum("n_bars").alias("in_segments"), F.count_if("odd").alias("odd"), F.min("start_ts").alias("from"), F.max("end_ts").alias("to"))
+    rows = kept.join(own, key, "left").fillna(0, ["in_segments", "odd"])
+    bad = "in_segments <> kept or kept > total or odd > 0"
+    if bars is not None:
+        rows = rows.join(bars.groupBy(*key).agg(F.min("ts").alias("first"), F.max("ts").alias("last")), key, "left")
+        bad += " or `from` < first or `to` > last"
+    return rows.filter(bad)
 
 
 def clip_flags(table: DataFrame, by: list[str], most: float = CLIP_RATE) -> DataFrame:
@@ -149,9 +157,17 @@ def run_totals(outcomes: DataFrame) -> DataFrame:
     return outcomes.agg(n("ok"), n("failed"), n("reused"), F.coalesce(F.sum("segments"), F.lit(0)).alias("segments"), total.alias("total_bars"), kept.alias("kept_bars"), (total - kept).alias("dropped_bars"), F.try_divide(kept, total).alias("coverage"))
 
 
-def with_events(registry: DataFrame, events: DataFrame, key: list[str]) -> DataFrame:
-    """JN6: series beside the number of their events, null where none were captured; events are counted before they meet."""
-    return registry.join(events.groupBy(*key).agg(F.count(F.lit(1)).alias("n_events")), key, "left")
+def captures(manifests: DataFrame, key: list[str], source: str = "yahoo", kind: str = "events") -> DataFrame:
+    """Series whose events were captured: those with an artifact of events in the manifests, whatever it holds."""
+    return manifests.filter((F.col("source") == source) & (F.col("kind") == kind)).select(*key).distinct()
+
+
+def with_events(registry: DataFrame, events: DataFrame, captured: DataFrame, key: list[str]) -> DataFrame:
+    """JN6: series beside the number of their events: null where none were captured, 0 where a capture holds none. Events
+    are counted before they meet."""
+    counts = events.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    known = captured.select(*key).distinct().join(counts, key, "left").select(*key, F.coalesce("n", F.lit(0).cast("long")).alias("n_events"))
+    return registry.join(known, key, "left")
 
 
 def tr_available(verdict: Column, captured: Column) -> Column:
@@ -160,10 +176,15 @@ def tr_available(verdict: Column, captured: Column) -> Column:
 
 
 def tr_coverage(series: DataFrame, by: list[str]) -> DataFrame:
-    """AGG31: tickers, those with total returns, their share in percent, and those with events. series: verdict, n_events."""
+    """AGG31: tickers, those with total returns, their share in percent, those with a capture, those that it fails (events
+    needed, none captured), and those captured without an event. series: verdict, n_events."""
     has = F.col("n_events").isNotNull()
-    ok = F.count_if(tr_available(F.col("verdict"), has))
-    return series.groupBy(*by).agg(F.count(F.lit(1)).alias("tickers"), ok.alias("available"), F.bround(100 * ok / F.count(F.lit(1)), 3).alias("pct"), F.count_if(has).alias("with_events"))
+    can = tr_available(F.col("verdict"), has)
+    ok = F.count_if(can)
+    return series.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("tickers"), ok.alias("available"), F.bround(100 * ok / F.count(F.lit(1)), 3).alias("pct"), F.count_if(has).alias("with_events"),
+        F.count_if(~can).alias("failed"), F.count_if(F.col("n_events") == 0).alias("without_an_event"),
+    )
 
 
 def inverse_table(anchors: DataFrame, prices: DataFrame, flows: DataFrame, key: list[str]) -> DataFrame:
@@ -173,15 +194,7 @@ def inverse_table(anchors: DataFrame, prices: DataFrame, flows: DataFrame, key:
     return rows.withColumns({c: F.lit(None).cast(kind) for c, kind in (("n_trades", "long"), ("taker_buy_volume", "double"), ("taker_buy_quote_volume", "double"))})
 
 
-# ---- publication -----------------------------------------------------------------------------------------------------
-
-
-def publish(segs: DataFrame, key: list[str], path: str) -> None:
-    """SNK3: write a segment index; refused with an error if a segment_id stands twice or segments overlap."""
-    w = Window.partitionBy(*key).orderBy("start_ts", "end_ts")
-    rows = segs.withColumn("__before", F.lag("end_ts").over(w)).withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("segment_id")))
-    bad = F.coalesce(F.col("start_ts") <= F.col("__before"), F.lit(False)) | (F.col("__n") > 1)
-    rows.withColumn("segment_id", F.when(bad, refuse("segments overlap or stand twice")).otherwise(F.col("segment_id"))).drop("__before", "__n").write.mode("overwrite").parquet(path)
+# ---- outputs ---------------------------------------------------------------------------------------------------------
 
 
 def constants_output(constants: DataFrame, by: list[str], features: list[str]) -> DataFrame:

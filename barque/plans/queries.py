@@ -5,13 +5,13 @@ events are ticks of hourly bars by type and of daily bars by user; lineitem and
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barque.functions import sessions
 from barque.operators import adjust, audit, checks, clean, features, registry, sketch, validate
+from barque.plans.catalog import SQL, query
+from barque.plans.scratch import kept
 from barque.sources import chunks
 from barque.sources.bars import bars_from_ticks, shard, synthesized_amount
 
@@ -19,18 +19,8 @@ H, D = sessions.HOUR, sessions.DAY
 RULE = clean.Thresholds(H, 30.0, 1, 3, 24, epsilon=1.0)
 DAY_RULE = clean.Thresholds(D, 0.9, 1, 3, 5)
 WEEK_RULE = clean.Thresholds(H, 30.0, 1, 3, 24, session="weekend", epsilon=1.0)
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
 
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
 
-    return add
 
 
 def rounded(df: DataFrame, columns: list[str], n: int = 6) -> DataFrame:
@@ -207,6 +197,15 @@ def clean_segments_lineitem(spark, d):
     return clean.segments(daily(spark, d), ["symbol"], DAY_RULE)
 
 
+USER_RULE = clean.Thresholds(D, 0.9, 1, 3, 2)
+
+
+@query(f"{_segments_sql(f'SELECT market || chr(58) || symbol AS symbol, * EXCLUDE (symbol, market) FROM ({U_SQL})', USER_RULE)} SELECT split_part(symbol, ':', 1) AS market, split_part(symbol, ':', 2) AS symbol, start_ts, end_ts, n_bars, start_reason, end_reason, segment_id FROM segments")
+def clean_segments_users(spark, d):
+    """Daily bars of every (type, user): many short series, a window a series."""
+    return clean.segments(by_user(spark, d), ["market", "symbol"], USER_RULE)
+
+
 @query(f"{_stats_of(E_SQL, RULE)} SELECT * FROM stats")
 def drop_stats_events(spark, d):
     return clean.drop_stats(hourly(spark, d), ["symbol"], RULE)
@@ -316,15 +315,6 @@ def fit_constants_events(spark, d):
 FIREWALL = 1_705_708_800_000  # 2024-01-20
 
 
-@query()
-def fit_constants_segments_events(spark, d):
-    """Constants of the bars of cleaned segments before the firewall."""
-    bars = hourly(spark, d)
-    rows = clean.segment_bars(bars, clean.segments(bars, ["symbol"], RULE), ["symbol"], FIREWALL)
-    long = features.long_features(features.raw_features(rows, ["segment_id"]), ["segment_id"], _NAMES)
-    return rounded(sketch.center_scale(sketch.sketch(long, ["feature"]), ["feature"]), ["center", "scale"], 8)
-
-
 @query(f"SELECT feature, count(*) AS n, count(*) FILTER (abs((x - center) / scale) > 5) AS clipped, round(avg(CAST(greatest(least((x - center) / scale, 5), -5) AS FLOAT)), 4) AS mean FROM ({_LONG}) JOIN ({_constants_sql()}) USING (feature) GROUP BY 1")
 def clip_table_events(spark, d):
     z = features.scaled(_long(spark, d), sketch.center_scale(_sketch(spark, d), ["feature"]), [])
@@ -359,84 +349,56 @@ def prefix_audit_events(spark, d):
 
 # ---- events, vendors -------------------------------------------------------------------------------------------------
 
-_DIV = f"SELECT CAST(l_linenumber AS VARCHAR) AS symbol, (epoch_ms(l_shipdate) // {D}) * {D} + 43200000 AS ts, l_discount AS value FROM lineitem WHERE l_orderkey % 50 = 0"
-_SPLIT = f"SELECT CAST(l_linenumber AS VARCHAR) AS symbol, (epoch_ms(l_shipdate) // {D}) * {D} AS ts, CASE WHEN l_orderkey % 2 = 0 THEN 2.0 ELSE 0.5 END AS value FROM lineitem WHERE l_orderkey % 997 = 0"
 
 
-def _events_of(spark, d, every: int, shift: int, value) -> DataFrame:
-    rows = spark.read.parquet(f"{d}/lineitem.parquet").filter(F.col("l_orderkey") % every == 0)
+def _events_of(spark, d, shift: int, value) -> DataFrame:
+    rows = spark.read.parquet(f"{d}/lineitem.parquet")
     day = F.expr("datediff(cast(l_shipdate as date), date'1970-01-01')").cast("long") * D + shift
     return rows.select(F.col("l_linenumber").cast("string").alias("symbol"), day.alias("ts"), value.alias("value"))
 
 
-def _dividends(spark, d):
-    return _events_of(spark, d, 50, 43_200_000, F.col("l_discount"))
-
-
-def _splits(spark, d):
-    return _events_of(spark, d, 997, 0, F.when(F.col("l_orderkey") % 2 == 0, 2.0).otherwise(0.5))
-
-
-@query(f"SELECT e.symbol, e.ts AS event_ts, (SELECT min(b.ts) FROM bars b WHERE b.symbol = e.symbol AND b.ts >= e.ts) AS bar_ts, e.value FROM ({_DIV}) e WHERE bar_ts IS NOT NULL".replace("FROM bars b", f"FROM ({L_SQL}) b"))
-def forward_asof_lineitem(spark, d):
-    return adjust.forward_asof(_dividends(spark, d), daily(spark, d), ["symbol"])
-
-
-@query(f"SELECT d.symbol, d.ts, d.value, round(coalesce(product(s.value), 1.0), 9) AS factor FROM (SELECT *, row_number() OVER () AS r FROM ({_DIV})) d LEFT JOIN ({_SPLIT}) s ON s.symbol = d.symbol AND s.ts > d.ts GROUP BY d.r, d.symbol, d.ts, d.value")
-def split_factor_lineitem(spark, d):
-    return rounded(adjust.split_factor(_dividends(spark, d), _splits(spark, d), ["symbol"]), ["factor"], 9)
-
-
 def _tr_factor(returns):
     return returns.select("symbol", "ts", "close", F.round(F.col("tr_close") / F.col("close"), 6).alias("tr_factor"))
 
 
-@query(f"""WITH bars AS ({L_SQL}), placed AS (SELECT symbol, bar_ts AS ts, sum(value) AS d FROM (SELECT e.symbol, e.value, (SELECT min(b.ts) FROM bars b WHERE b.symbol = e.symbol AND b.ts >= e.ts) AS bar_ts FROM ({_DIV}) e) WHERE bar_ts IS NOT NULL GROUP BY 1, 2)
-SELECT symbol, ts, close, round(first_value(close) OVER w * exp(sum(ln(step)) OVER w) / close, 6) AS tr_factor FROM (SELECT symbol, ts, close, coalesce((close + coalesce(d, 0)) / lag(close) OVER (PARTITION BY symbol ORDER BY ts), 1) AS step FROM bars LEFT JOIN placed USING (symbol, ts)) WINDOW w AS (PARTITION BY symbol ORDER BY ts ROWS UNBOUNDED PRECEDING)""")
-def total_return_lineitem(spark, d):
-    """The total return price over the close: 1 until the first dividend. Closes alone are full of ties of rounding."""
-    out = adjust.total_return(daily(spark, d), _dividends(spark, d), ["symbol"])
-    return _tr_factor(out)
-
-
-# The same over every row of lineitem: each a dividend and a split. Ratios near 1 keep the products finite.
+# Every row of lineitem is a dividend and a split. Ratios near 1 keep the products finite.
 
 _EACH = f"SELECT CAST(l_linenumber AS VARCHAR) AS symbol, (epoch_ms(l_shipdate) // {D}) * {D}"
-_DIV_ALL = f"{_EACH} + 43200000 AS ts, l_discount AS value FROM lineitem"
-_SPLIT_ALL = f"{_EACH} AS ts, CASE WHEN l_orderkey % 2 = 0 THEN 1.001 ELSE 1 / 1.001 END::DOUBLE AS value FROM lineitem"
-_RATIO_ALL = f"(SELECT s.symbol, s.ts AS split_ts, round(b.close / a.close, 4) AS ratio FROM (SELECT DISTINCT symbol, ts FROM ({_SPLIT_ALL})) s ASOF LEFT JOIN ({L_SQL}) b ON b.symbol = s.symbol AND s.ts > b.ts ASOF LEFT JOIN ({L_SQL}) a ON a.symbol = s.symbol AND s.ts <= a.ts)"
+_DIV = f"{_EACH} + 43200000 AS ts, l_discount AS value FROM lineitem"
+_SPLIT = f"{_EACH} AS ts, CASE WHEN l_orderkey % 2 = 0 THEN 1.001 ELSE 1 / 1.001 END::DOUBLE AS value FROM lineitem"
+_RATIO = f"(SELECT s.symbol, s.ts AS split_ts, round(b.close / a.close, 4) AS ratio FROM (SELECT DISTINCT symbol, ts FROM ({_SPLIT})) s ASOF LEFT JOIN ({L_SQL}) b ON b.symbol = s.symbol AND s.ts > b.ts ASOF LEFT JOIN ({L_SQL}) a ON a.symbol = s.symbol AND s.ts <= a.ts)"
 
 
-def _all_dividends(spark, d):
-    return _events_of(spark, d, 1, 43_200_000, F.col("l_discount"))
+def _dividends(spark, d):
+    return _events_of(spark, d, 43_200_000, F.col("l_discount"))
 
 
-def _all_splits(spark, d):
-    return _events_of(spark, d, 1, 0, F.when(F.col("l_orderkey") % 2 == 0, F.lit(1.001)).otherwise(F.lit(1.0) / 1.001))
+def _splits(spark, d):
+    return _events_of(spark, d, 0, F.when(F.col("l_orderkey") % 2 == 0, F.lit(1.001)).otherwise(F.lit(1.0) / 1.001))
 
 
-@query(f"SELECT e.symbol, e.ts AS event_ts, b.ts AS bar_ts, e.value FROM ({_DIV_ALL}) e ASOF JOIN ({L_SQL}) b ON b.symbol = e.symbol AND e.ts <= b.ts")
-def forward_asof_all_lineitem(spark, d):
-    return adjust.forward_asof(_all_dividends(spark, d), daily(spark, d), ["symbol"])
+@query(f"SELECT e.symbol, e.ts AS event_ts, b.ts AS bar_ts, e.value FROM ({_DIV}) e ASOF JOIN ({L_SQL}) b ON b.symbol = e.symbol AND e.ts <= b.ts")
+def forward_asof_lineitem(spark, d):
+    return adjust.forward_asof(_dividends(spark, d), daily(spark, d), ["symbol"])
 
 
-@query(f"""SELECT d.symbol, d.ts, d.value, round(coalesce(s.factor, 1.0), 9) AS factor FROM ({_DIV_ALL}) d ASOF LEFT JOIN
- (SELECT symbol, ts, product(p) OVER (PARTITION BY symbol ORDER BY ts DESC) AS factor FROM (SELECT symbol, ts, product(value) AS p FROM ({_SPLIT_ALL}) GROUP BY 1, 2)) s ON s.symbol = d.symbol AND d.ts < s.ts""")
-def split_factor_all_lineitem(spark, d):
-    return rounded(adjust.split_factor(_all_dividends(spark, d), _all_splits(spark, d), ["symbol"]), ["factor"], 9)
+@query(f"""SELECT d.symbol, d.ts, d.value, round(coalesce(s.factor, 1.0), 9) AS factor FROM ({_DIV}) d ASOF LEFT JOIN
+ (SELECT symbol, ts, product(p) OVER (PARTITION BY symbol ORDER BY ts DESC) AS factor FROM (SELECT symbol, ts, product(value) AS p FROM ({_SPLIT}) GROUP BY 1, 2)) s ON s.symbol = d.symbol AND d.ts < s.ts""")
+def split_factor_lineitem(spark, d):
+    return rounded(adjust.split_factor(_dividends(spark, d), _splits(spark, d), ["symbol"]), ["factor"], 9)
 
 
-@query(f"""WITH bars AS ({L_SQL}), placed AS (SELECT e.symbol, b.ts, sum(e.value) AS d FROM ({_DIV_ALL}) e ASOF JOIN bars b ON b.symbol = e.symbol AND e.ts <= b.ts GROUP BY 1, 2)
+@query(f"""WITH bars AS ({L_SQL}), placed AS (SELECT e.symbol, b.ts, sum(e.value) AS d FROM ({_DIV}) e ASOF JOIN bars b ON b.symbol = e.symbol AND e.ts <= b.ts GROUP BY 1, 2)
 SELECT symbol, ts, close, round(first_value(close) OVER w * product(step) OVER w / close, 6) AS tr_factor FROM (SELECT symbol, ts, close, coalesce((close + coalesce(d, 0)) / lag(close) OVER (PARTITION BY symbol ORDER BY ts), 1) AS step FROM bars LEFT JOIN placed USING (symbol, ts)) WINDOW w AS (PARTITION BY symbol ORDER BY ts ROWS UNBOUNDED PRECEDING)""")
-def total_return_all_lineitem(spark, d):
-    """The total return price over the close, as total_return_lineitem."""
-    out = adjust.total_return(daily(spark, d), _all_dividends(spark, d), ["symbol"])
+def total_return_lineitem(spark, d):
+    """The total return price over the close: 1 until the first dividend. Closes alone are full of ties of rounding."""
+    out = adjust.total_return(daily(spark, d), _dividends(spark, d), ["symbol"])
     return _tr_factor(out)
 
 
-@query(f"SELECT symbol, split_ts, ratio, CASE WHEN ratio IS NULL THEN 'inconclusive' WHEN abs(ratio - 1) <= 0.25 THEN 'adjusted' ELSE 'unadjusted' END AS verdict FROM {_RATIO_ALL}")
-def split_discontinuity_all_lineitem(spark, d):
-    return adjust.split_discontinuity(daily(spark, d), _all_splits(spark, d).select("symbol", "ts").distinct(), ["symbol"])
+@query(f"SELECT symbol, split_ts, ratio, CASE WHEN ratio IS NULL THEN 'inconclusive' WHEN abs(ratio - 1) <= 0.25 THEN 'adjusted' ELSE 'unadjusted' END AS verdict FROM {_RATIO}")
+def split_discontinuity_lineitem(spark, d):
+    return adjust.split_discontinuity(daily(spark, d), _splits(spark, d).select("symbol", "ts").distinct(), ["symbol"])
 
 
 _VENDOR = f"SELECT symbol, ts, close * (1 + ((ts // {D}) % 7) * 0.001) AS close FROM ({L_SQL}) WHERE (ts // {D}) % 5 <> 0"
@@ -452,15 +414,9 @@ def close_agreement_lineitem(spark, d):
     return rounded(rounded(adjust.close_agreement(daily(spark, d), _vendor(spark, d), ["symbol"]), ["max_diff", "median_diff"], 8), ["corr"], 6)
 
 
-@query(f"""SELECT symbol, split_ts, ratio, CASE WHEN ratio IS NULL THEN 'inconclusive' WHEN abs(ratio - 1) <= 0.25 THEN 'adjusted' ELSE 'unadjusted' END AS verdict FROM (SELECT s.symbol, s.ts AS split_ts,
- round((SELECT arg_max(close, ts) FROM ({L_SQL}) b WHERE b.symbol = s.symbol AND b.ts < s.ts) / (SELECT arg_min(close, ts) FROM ({L_SQL}) b WHERE b.symbol = s.symbol AND b.ts >= s.ts), 4) AS ratio FROM (SELECT DISTINCT symbol, ts FROM ({_SPLIT})) s)""")
-def split_discontinuity_lineitem(spark, d):
-    return adjust.split_discontinuity(daily(spark, d), _splits(spark, d).select("symbol", "ts").distinct(), ["symbol"])
-
-
 @query(f"SELECT coalesce(x.symbol, y.symbol) AS symbol, coalesce(x.ts, y.ts) AS ts, CASE WHEN x.ts IS NULL THEN 'missing' WHEN y.ts IS NULL THEN 'extra' ELSE 'value' END AS kind FROM (SELECT b.* FROM ({L_SQL}) b JOIN (SELECT symbol, min(ts) AS lo, max(ts) AS hi FROM ({_VENDOR}) GROUP BY 1) w ON b.symbol = w.symbol AND b.ts BETWEEN lo AND hi) x FULL JOIN ({_VENDOR}) y ON x.symbol = y.symbol AND x.ts = y.ts WHERE x.close IS DISTINCT FROM y.close")
 def feed_diff_lineitem(spark, d):
-    return adjust.feed_diff(daily(spark, d), _vendor(spark, d), ["symbol"], "close")
+    return adjust.feed_diff(daily(spark, d), _vendor(spark, d), ["symbol"], "close").drop("columns")
 
 
 @query(f"SELECT symbol, ts, coalesce(v.close, b.close) AS close FROM ({L_SQL}) b FULL JOIN ({_VENDOR}) v USING (symbol, ts)")
@@ -530,7 +486,7 @@ def stale_artifacts_events(spark, d):
     return registry.stale(r, r.filter("row_count % 3 = 0 and gap_count % 2 = 0")).select("market", "symbol")
 
 
-@query("SELECT r_name, sum(n) AS customers, list_sort(list(n_name) FILTER (n = 0)) IS NULL AS ok FROM (SELECT r_name, n_name, count(c_custkey) AS n FROM region JOIN nation ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1, 2) GROUP BY 1".replace("sum(n)", "CAST(sum(n) AS BIGINT)"))
+@query("SELECT r_name, CAST(sum(n) AS BIGINT) AS customers, list_sort(list(n_name) FILTER (n = 0)) IS NULL AS ok FROM (SELECT r_name, n_name, count(c_custkey) AS n FROM region JOIN nation ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1, 2) GROUP BY 1")
 def required_coverage_nation(spark, d):
     read = lambda t: spark.read.parquet(f"{d}/{t}.parquet")
     nations = read("nation").join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -552,23 +508,6 @@ def content_hash_events(spark, d):
     return registry.content_hash(hourly(spark, d).drop("amount"), ["symbol"])
 
 
-@query()
-def live_features_events(spark, d):
-    """STR1 run as a batch over the same bars: one state step per series."""
-    from barque.streaming.live import OUTPUT, _step
-
-    class Fresh:
-        exists = False
-
-        def update(self, _):
-            pass
-
-    def once(key, pdf):
-        return next(_step(key, iter([pdf]), Fresh()))
-
-    return hourly(spark, d).groupBy("symbol").applyInPandas(once, OUTPUT)
-
-
 # ---- guards, red flags, verdicts, choice of files -------------------------------------------------------------------
 
 _MAJOR = ("click", "view", "1", "2")
@@ -583,8 +522,7 @@ def red_flags_events(spark, d):
 
 
 @query(f"""WITH c AS (SELECT x.symbol, median(abs(x.close - y.close) / y.close) AS m, count(*) AS n FROM ({L_SQL}) x JOIN ({_VENDOR}) y USING (symbol, ts) WHERE x.close > 0 AND y.close > 0 GROUP BY 1 HAVING n >= 60),
- p AS (SELECT round((SELECT arg_max(close, ts) FROM ({L_SQL}) b WHERE b.symbol = s.symbol AND b.ts < s.ts) / (SELECT arg_min(close, ts) FROM ({L_SQL}) b WHERE b.symbol = s.symbol AND b.ts >= s.ts), 4) AS ratio FROM (SELECT DISTINCT symbol, ts FROM ({_SPLIT})) s),
- a AS (SELECT count(ratio) AS decided, count(*) FILTER (abs(ratio - 1) > 0.25) AS cliffs, (SELECT count(*) FROM c) AS compared, (SELECT list_sort(list(m))[len(list(m)) // 2 + 1] FROM c) AS agreement FROM p)
+ a AS (SELECT count(ratio) AS decided, count(*) FILTER (abs(ratio - 1) > 0.25) AS cliffs, (SELECT count(*) FROM c) AS compared, (SELECT list_sort(list(m))[len(list(m)) // 2 + 1] FROM c) AS agreement FROM {_RATIO})
  SELECT 'lineitem' AS source, decided, compared, round(agreement, 8) AS agreement, CASE WHEN decided = 0 THEN 'unknown' WHEN cliffs > 0 THEN 'unadjusted' WHEN agreement <= 0.02 THEN 'split+dividend' ELSE 'split' END AS policy FROM a""")
 def adjustment_class_lineitem(spark, d):
     bars, source = daily(spark, d), F.lit("lineitem").alias("source")
@@ -593,16 +531,6 @@ def adjustment_class_lineitem(spark, d):
     return rounded(checks.adjustment_class(probes, compared, ["source"]), ["agreement"], 8)
 
 
-@query(f"""WITH c AS (SELECT x.symbol, median(abs(x.close - y.close) / y.close) AS m, count(*) AS n FROM ({L_SQL}) x JOIN ({_VENDOR}) y USING (symbol, ts) WHERE x.close > 0 AND y.close > 0 GROUP BY 1 HAVING n >= 60),
- a AS (SELECT count(ratio) AS decided, count(*) FILTER (abs(ratio - 1) > 0.25) AS cliffs, (SELECT count(*) FROM c) AS compared, (SELECT list_sort(list(m))[len(list(m)) // 2 + 1] FROM c) AS agreement FROM {_RATIO_ALL})
- SELECT 'lineitem' AS source, decided, compared, round(agreement, 8) AS agreement, CASE WHEN decided = 0 THEN 'unknown' WHEN cliffs > 0 THEN 'unadjusted' WHEN agreement <= 0.02 THEN 'split+dividend' ELSE 'split' END AS policy FROM a""")
-def adjustment_class_all_lineitem(spark, d):
-    bars, source = daily(spark, d), F.lit("lineitem").alias("source")
-    probes = adjust.split_discontinuity(bars, _all_splits(spark, d).select("symbol", "ts").distinct(), ["symbol"]).select(source, "verdict")
-    compared = adjust.close_agreement(bars, _vendor(spark, d), ["symbol"]).select(source, "status", "median_diff")
-    return rounded(checks.adjustment_class(probes, compared, ["source"]), ["agreement"], 8)
-
-
 @query(f"SELECT market, count(*) FILTER (m > 0) AS ranked, count(*) FILTER (m <= 0) AS zero_volume, count(*) FILTER (m IS NULL) AS unrankable, count(*) FILTER (m IS NULL) > 0.01 * count(*) AS refused FROM (SELECT market, CASE WHEN row_count >= 2 THEN median_dollar_volume END AS m FROM ({_REG})) GROUP BY 1")
 def ranking_summary_events(spark, d):
     measured = _registry(spark, d).withColumn("m", F.when(F.col("row_count") >= 2, F.col("median_dollar_volume")))
@@ -635,8 +563,9 @@ def contract_qa_events(spark, d):
 @query()
 def pinned_snapshots_events(spark, d):
     """WIN26; the digest is of Spark's rows, not of another engine's bytes."""
-    segs = clean.segments(hourly(spark, d), ["symbol"], RULE)
-    return checks.pinned_snapshots(segs, _raw(spark, d), ["symbol"], ["gap", "body", "upper", "lower", "rel_volume", "rel_amount"])
+    bars = kept(hourly(spark, d), "pinned_snapshots_events")
+    segs = clean.segments(bars, ["symbol"], RULE)
+    return checks.pinned_snapshots(segs, features.raw_features(bars, ["symbol"]), ["symbol"], ["gap", "body", "upper", "lower", "rel_volume", "rel_amount"])
 
 
 @query("""WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS period, o_orderpriority FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01'), f AS (SELECT DISTINCT o_orderpriority, 'monthly' AS kind, period FROM m UNION ALL SELECT DISTINCT o_orderpriority, 'daily', strftime(o_orderdate, '%Y-%m-%d') FROM orders),

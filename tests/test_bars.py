@@ -6,9 +6,11 @@ import duckdb
 import pytest
 
 from barque.functions import sessions
-from barque.operators import adjust, checks, clean, features, registry
+from barque.operators import adjust, checks, clean, features, publication, registry
 from barque.sources import chunks
-from barque.plans.queries import QUERIES, SQL
+from barque.plans.catalog import QUERIES, SQL, load
+
+load()
 
 SF = "/root/testdata/sf0.001"
 HOUR = sessions.HOUR
@@ -87,7 +89,8 @@ def test_crypto_candidates(spark):
 def test_live_features_equal_batch(spark):
     a = {(r.symbol, r.ts): r for r in QUERIES["live_features_events"](spark, SF).collect()}
     b = QUERIES["features_events"](spark, SF).collect()
-    assert len(a) == len(b) and all(math.isclose(a[r.symbol, r.ts].rel_amount, r.rel_amount, abs_tol=2e-6) for r in b)
+    names = ("gap", "body", "upper", "lower", "rel_volume", "rel_amount")
+    assert len(a) == len(b) and all(math.isclose(a[r.symbol, r.ts][c], r[c], abs_tol=2e-6) for r in b for c in names)
 
 
 def test_rules_must_be_verified(spark):
@@ -120,11 +123,11 @@ def test_spec_comparison(spark):
 
 def test_partial_runs_dont_replace_the_full_index(spark, tmp_path):
     path, rows = str(tmp_path / "index"), spark.createDataFrame([("s", 1)], "segment_id string, n_bars long")
-    checks.write_index(spark, rows, path, partial=False)
+    publication.write_index(spark, rows, path, partial=False)
     with pytest.raises(ValueError, match="partial"):
-        checks.write_index(spark, rows, path, partial=True)
-    checks.write_index(spark, rows, path, partial=True, forced=True)
-    checks.write_index(spark, rows, path, partial=True)
+        publication.write_index(spark, rows, path, partial=True)
+    publication.write_index(spark, rows, path, partial=True, forced=True)
+    publication.write_index(spark, rows, path, partial=True)
     assert spark.read.parquet(path).first().partial
 
 
@@ -144,7 +147,7 @@ def test_archive_members(spark):
     assert got == ["keep", "too_short", "not_text", "not_us", "not_equity", "not_text"]
 
 
-@pytest.mark.parametrize("name", ["forward_asof_all_lineitem", "split_factor_all_lineitem"])
+@pytest.mark.parametrize("name", ["forward_asof_lineitem", "split_factor_lineitem"])
 def test_events_of_every_row(spark, name):
     rows = spark.read.parquet(f"{SF}/lineitem.parquet").count()
     got = QUERIES[name](spark, SF)

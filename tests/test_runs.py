@@ -53,16 +53,6 @@ def test_sessions_lists_and_events_refuse(spark):
         spark.range(1).select(runs.tr_available(F.lit("odd"), F.lit(True))).collect()
 
 
-def test_publication_is_refused(spark, tmp_path):
-    schema = "symbol string, segment_id string, start_ts long, end_ts long"
-    good = spark.createDataFrame([("a", "a:0", 0, 5), ("a", "a:6", 6, 9), ("b", "b:0", 0, 5)], schema)
-    runs.publish(good, ["symbol"], f"{tmp_path}/index")
-    assert spark.read.parquet(f"{tmp_path}/index").count() == 3
-    for bad in ([("a", "a:0", 0, 5), ("a", "a:5", 5, 9)], [("a", "x", 0, 5), ("b", "x", 6, 9)]):
-        with pytest.raises(Exception, match="overlap or stand twice"):
-            runs.publish(spark.createDataFrame(bad, schema), ["symbol"], f"{tmp_path}/other")
-
-
 def test_constants_output(spark):
     rows = spark.createDataFrame([("s", "f", 1 / 3, 2e-9 / 7), ("s", "g", 1.0, 2.0)], "slice string, feature string, center double, scale double")
     got = {r.feature: (r.center, r.scale) for r in runs.constants_output(rows, ["slice"], ["f", "g"]).collect()}
@@ -86,15 +76,24 @@ def test_content_hash_is_of_rows_as_a_multiset(spark):
     assert of(frame(rows)) == of(frame(rows[::-1]).repartition(3)) and of(frame(rows))["a"] != of(frame(rows[:2] + rows[3:]))["a"]
 
 
-def test_features_over_many_blocks(spark, monkeypatch):
-    monkeypatch.setattr(features, "BLOCK", 300)
-    rows = [("s", i, 1.0 + i % 7, 2.0 + i % 7, 0.5 + i % 7, 1.5 + i % 7, float(i * i % 101), float(i * i * i % 103)) for i in range(1000)]
-    bars = spark.createDataFrame(rows, "symbol string, ts long, open double, high double, low double, close double, volume double, amount double")
+def test_features_over_many_batches(spark):
+    rows = [(s, i, 1.0 + i % 7, 2.0 + i % 7, 0.5 + i % 7, 1.5 + i % 7, float(i * i % (101 + ord(s))), float(i * i * i % 103)) for s, n in (("s", 1000), ("t", 1), ("u", 299), ("v", 2)) for i in range(n)]
+    bars = spark.createDataFrame(rows, "symbol string, ts long, open double, high double, low double, close double, volume double, amount double").repartition(5)
     import numpy as np
 
-    got = {r.ts: r.rel_volume for r in features.raw_features(bars, ["symbol"]).collect()}
-    lv = np.log1p([r[6] for r in rows])
-    assert sorted(got) == list(range(1, 1000)) and all(got[i] == pytest.approx(lv[i] - np.median(lv[max(0, i - 256) : i])) for i in got)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        plan = features.raw_features(bars, ["symbol"])
+        got = {(r.symbol, r.ts): r.rel_volume for r in plan.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(got) == 999 + 298 + 1
+    for s in "su":
+        lv = np.log1p([r[6] for r in rows if r[0] == s])
+        assert all(got[s, i] == pytest.approx(lv[i] - np.median(lv[max(0, i - 256) : i])) for i in range(1, len(lv)))
+    tree = plan._jdf.queryExecution().executedPlan().toString().rpartition("Initial Plan")[2]
+    assert tree.count("Exchange hashpartitioning") == 1 and tree.count("Sort [") == 1
 
 
 def test_total_return_divides_by_later_splits(spark):
