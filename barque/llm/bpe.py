@@ -5,7 +5,9 @@ letters, digits and other signs. All words are counted. The most frequent ones,
 words reach, are encoded once: a fold over a word's bytes that joins, step by step, the neighbours with the lowest rank,
 looked up in a literal rank map. Their ids go to the tasks as one table of bounded size. Words outside the table, rare by
 choice of that count, go through the same fold where they occur, so that neither texts nor words of documents are
-shuffled and a growing vocabulary needs no larger table. Decoding looks up the bytes of each id and concatenates them.
+shuffled and a growing vocabulary needs no larger table. The fold takes time with the square of a word, so words of over
+LONG bytes are merged in passes by rank instead: each pass joins all neighbours of the lowest rank at once, and after it
+only the neighbours of what was joined are looked up anew. Decoding looks up the bytes of each id and concatenates them.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +29,7 @@ from barque.llm.storage import discard, stored
 
 ENTRIES = 500_000
 GROUP_BYTES = 1 << 18
+LONG = 512  # bytes of a word that the fold still takes
 #: Unicode white space, as the split pattern has it.
 WS = r"\t-\r \x85\xa0  -     　"
 PIECE = re.compile(f"[{WS}]+(?![^{WS}])| ?[^{WS}]+|[{WS}]+")
@@ -129,6 +133,59 @@ def looked_up(ids: Column, values: list[str]) -> Column:
     return let(literal(values, "string"), lambda table: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table, i)), "")))
 
 
+# ---- long words ------------------------------------------------------------------------------------------------------
+
+NO_RANK = np.int64(1 << 40)
+
+
+class Ranks:
+    """Ranks by the hash of a token's bytes, for arrays of hashes."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        ends = np.cumsum([len(t) for t in ranks])
+        starts = np.concatenate(([0], ends[:-1]))
+        hashes = Rolling(b"".join(ranks)).spans(starts, ends)
+        order = np.argsort(hashes)
+        self.keys, self.values = hashes[order], np.array(list(ranks.values()), np.int64)[order]
+        if (self.keys[1:] == self.keys[:-1]).any():
+            raise ValueError("two keys of the rank map share a hash")
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.keys, hashes)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == hashes, self.values[at], NO_RANK)
+
+
+def merged(word: bytes, ranks: Ranks) -> np.ndarray:
+    """The ids of one word by passes over all neighbours of the lowest rank.
+
+    That is the order of single merges, the lowest rank first and of equal ones the leftmost, as long as no new pair ranks
+    below the pass; where one would, the pass joins only its leftmost pair.
+    """
+    roll, n = Rolling(word), len(word)
+    whole = ranks.of(roll.spans(np.array([0]), np.array([n])))
+    if whole[0] < NO_RANK:
+        return whole
+    cuts = np.arange(n + 1)
+    pairs = ranks.of(roll.spans(cuts[:-2], cuts[2:]))
+    while len(pairs) and (lowest := pairs.min()) < NO_RANK:
+        at = np.flatnonzero(pairs == lowest)
+        in_run = np.arange(len(at)) - np.maximum.accumulate(np.where(np.concatenate(([True], np.diff(at) > 1)), np.arange(len(at)), 0))
+        at = at[in_run % 2 == 0]  # of overlapping pairs every other one, from the left
+        after = ranks.of(roll.spans(cuts[at[at + 3 < len(cuts)]], cuts[at[at + 3 < len(cuts)] + 3]))  # joined, and the next one not yet
+        for joined in (at, at[:1]) if after.min(initial=NO_RANK) > lowest else (at[:1],):
+            left = np.delete(cuts, joined + 1)
+            now = np.delete(pairs, joined)  # the pair itself goes; its neighbours are other pairs now
+            place = joined - np.arange(len(joined))  # of the joined token among the tokens that are left
+            near = np.unique(np.concatenate((place - 1, place)))
+            near = near[(near >= 0) & (near < len(now))]
+            now[near] = ranks.of(roll.spans(left[near], left[near + 2]))
+            if not len(near) or now[near].min() > lowest:
+                break
+        cuts, pairs = left, now
+    return ranks.of(roll.spans(cuts[:-1], cuts[1:]))
+
+
 # ---- pieces in tasks -------------------------------------------------------------------------------------------------
 
 
@@ -197,6 +254,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts, words = [], [], []
         for _, _, texts in groups(batch):
             raw, _, starts, ends, h = hashed_pieces(texts)
+            short = ends - starts <= LONG
+            starts, ends, h = starts[short], ends[short], h[short]
             keys, first, n = np.unique(h, return_index=True, return_counts=True)
             hashes.append(keys)
             counts.append(n)
@@ -236,19 +295,31 @@ def gather(flat: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return flat[step + np.arange(total)]
 
 
-def _lookup(table):
-    """Each text as its known ids, in one part more than it has rare words, and those words."""
+def _lookup(table, ranks, pattern: str):
+    """Each text as its known ids, in one part more than it has rare words, and those words. Long words are merged here."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t: Table = table.value
+        words_of = regex.compile(pattern).findall
         for batch in batches:
             for i, j, texts in groups(batch):
                 raw, bounds, starts, ends, h = hashed_pieces(texts)
                 found = t.find(h)
+                long = np.flatnonzero(ends - starts > LONG)
                 known = found >= 0
-                sizes = np.where(known, t.sizes[found] if len(t.keys) else 0, 0)
-                ids = gather(t.ids, t.at[found[known]], sizes[known]) if known.any() else np.empty(0, np.uint16)
+                known[long] = True
+                short = known.copy()
+                short[long] = False
+                sizes = np.zeros(len(h), np.int64)
+                sizes[short] = t.sizes[found[short]]
+                of_long = [np.concatenate([merged(w.encode(), ranks.value) for w in words_of(raw[starts[x] : ends[x]].decode())]) for x in long.tolist()]
+                sizes[long] = [len(x) for x in of_long]
                 before = np.concatenate(([0], np.cumsum(sizes)))
+                ids = np.empty(before[-1], np.int32)
+                if short.any():
+                    ids[np.repeat(short, sizes)] = gather(t.ids, t.at[found[short]], sizes[short])
+                for x, own in zip(long.tolist(), of_long, strict=True):
+                    ids[before[x] : before[x + 1]] = own
                 first = np.searchsorted(starts, bounds)  # words of each text
                 first[-1] = len(starts)
                 rare = np.flatnonzero(~known)
@@ -257,7 +328,7 @@ def _lookup(table):
                 outer = (np.arange(j - i + 1) + of_text).astype(np.int32)
                 edges[outer] = before[first]
                 edges[np.arange(len(rare)) + np.repeat(np.arange(j - i), np.diff(of_text)) + 1] = before[rare]
-                parts = pa.ListArray.from_arrays(pa.array(outer), pa.ListArray.from_arrays(pa.array(edges), pa.array(ids.astype(np.int32))))
+                parts = pa.ListArray.from_arrays(pa.array(outer), pa.ListArray.from_arrays(pa.array(edges), pa.array(ids)))
                 words = pa.array([raw[s:e] for s, e in zip(starts[rare].tolist(), ends[rare].tolist(), strict=True)], pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), parts, pa.ListArray.from_arrays(pa.array(of_text.astype(np.int32)), words)], ["doc_id", "parts", "rare"])
 
@@ -294,7 +365,7 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, entrie
     hexes, wide = [""] * (max(ranks.values()) + 1), [i.to_bytes(4, "little").hex() for i in range(max(ranks.values()) + 1)]
     for token, rank in ranks.items():
         hexes[rank] = token.hex()
-    found = rows.mapInArrow(_lookup(table), "doc_id long, parts array<array<int>>, rare array<string>")
+    found = rows.mapInArrow(_lookup(table, sc.broadcast(Ranks(ranks)), pattern), "doc_id long, parts array<array<int>>, rare array<string>")
     of_rare = encoded(F.col("rare"), ranks, pattern).cast("array<array<int>>")
     found = found.withColumn("rare", F.when(F.size("rare") > 0, of_rare).otherwise(F.array().cast("array<array<int>>")))
     both = F.flatten(F.transform("parts", lambda x, i: F.concat(x, F.coalesce(F.get("rare", i), F.array().cast("array<int>")))))
