@@ -17,11 +17,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barque.llm.storage import partitions, stored
+from barque.llm.storage import discard, partitions, stored
 
 SCALE, K, EVERY = 1024, 10, 100
 CANDIDATES, QUERIES, BINS = 1024, 2048, 4096
-MAX_SCORE = 1 << 61  # scores beyond it, of either sign, count as this
+LONGEST = (1 << 63) - 1  # what a long holds
+OFFSET = 1 << 63  # histograms are over score + OFFSET, which 64 bits without a sign hold
 
 
 def _vectors(batch: pa.RecordBatch) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -81,11 +82,11 @@ def _scores(row: dict, q_rows: bytes, q_ids: np.ndarray) -> tuple[np.ndarray, np
     bound = dim * float(np.abs(c).max(initial=0)) * float(np.abs(q).max(initial=0))
     if bound < 2**53:
         scores = np.rint(q @ c.T).astype(np.int64)
-    elif bound < MAX_SCORE:
+    elif bound < 2**62:
         scores = q.astype(np.int64) @ c.astype(np.int64).T
-    else:  # integers of any size
+    else:  # integers of any size; what a long can't hold becomes the nearest that it holds
         whole = lambda x: np.array([[int(v) for v in r] for r in x], object).reshape(x.shape)
-        scores = np.clip(whole(q) @ whole(c).T, -MAX_SCORE, MAX_SCORE).astype(np.int64)
+        scores = np.clip(whole(q) @ whole(c).T, -LONGEST - 1, LONGEST).astype(np.int64)
     return scores, ids, ids[None, :] != q_ids[:, None]
 
 
@@ -105,10 +106,12 @@ def _histogram(k: int):
             for row in batch.to_pylist():
                 q_ids = np.frombuffer(row["q_ids"], np.int64)
                 scores, _, counts = _scores(row, row["q_rows"], q_ids)
-                low = np.frombuffer(row["low"], np.int64)[:, None]
-                width = np.frombuffer(row["width"], np.int64)[:, None]
-                counts = _best(scores, counts, k) & (scores >= low)
-                bins = np.minimum((scores - low) // width, BINS)  # BINS: above the range, counted before
+                low = np.frombuffer(row["low"], np.uint64)[:, None]
+                width = np.frombuffer(row["width"], np.uint64)[:, None]
+                counts = _best(scores, counts, k)
+                scores = scores.view(np.uint64) ^ np.uint64(OFFSET)  # score + OFFSET
+                counts = counts & (scores >= low)
+                bins = np.minimum((scores - np.minimum(low, scores)) // width, np.uint64(BINS)).astype(np.int64)  # BINS: above the range, counted before
                 q, c = np.nonzero(counts)
                 key, n = np.unique(q * (BINS + 1) + bins[q, c], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), row["qb"])), pa.array(row["dim"] + np.zeros(len(key), np.int32), pa.int32()), pa.array((key // (BINS + 1)).astype(np.int32)), pa.array((key % (BINS + 1)).astype(np.int32)), pa.array(n.astype(np.int64))], ["qb", "dim", "q", "bin", "n"])
@@ -122,7 +125,7 @@ def _select(k: int):
             for row in batch.to_pylist():
                 q_ids = np.frombuffer(row["q_ids"], np.int64)
                 scores, ids, counts = _scores(row, row["q_rows"], q_ids)
-                kth = np.frombuffer(row["low"], np.int64)[:, None]
+                kth = (np.frombuffer(row["low"], np.uint64) ^ np.uint64(OFFSET)).view(np.int64)[:, None]
                 q, c = np.nonzero(_best(scores, counts, k) & (scores >= kth))
                 order = np.lexsort((ids[c], -scores[q, c], q))
                 q, c = q[order], c[order]
@@ -135,7 +138,7 @@ def _select(k: int):
 
 
 def _ranges(found: np.ndarray) -> bytes:
-    return found.astype(np.int64).tobytes()
+    return found.astype(np.uint64).tobytes()
 
 
 def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -144,7 +147,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec
     Components become floor(1024 x) and scores are exact integer inner products. Returns query_id, rank, vec_id, score;
     ties go to smaller ids. Rows with a null id, a null vector or a null or non-finite component take no part; vectors
     of another length than the query's are no candidates for it. Repeated rows are queries and candidates each for
-    itself. Scores beyond 2^61 count as that bound. Fewer than k candidates: all of them; empty tables: no rows; other columns are ignored.
+    itself. Scores are exact as far as a long holds them; beyond they are the nearest long. Fewer than k candidates: all of them; empty tables: no rows; other columns are ignored.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
@@ -158,9 +161,10 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec
     packed = packed.select("qb", "dim", F.col("reach").alias("q_reach"), F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"))
 
     shares = partitions(spark)
-    of_query = packed.select("qb", "dim").distinct()
-    candidates = blocks.select("dim", "ids", "rows", F.pmod(F.xxhash64("ids"), F.lit(shares)).alias("share")).join(of_query, "dim")
     every_share = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))).alias("share")
+    of_query = packed.select("qb", "dim").distinct().select("qb", "dim", every_share)
+    # by length and share, so that the one length of most tables is no hot key
+    candidates = blocks.select("dim", "ids", "rows", F.pmod(F.xxhash64("ids"), F.lit(shares)).alias("share")).join(of_query, ["dim", "share"])
 
     def scored(ranges: DataFrame) -> DataFrame:
         """Each candidate block with each query block of its length, and that block's ranges."""
@@ -170,10 +174,11 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                most = int(min(row["q_reach"] * reach, MAX_SCORE - 2)) + 2
+                span = row["q_reach"] * reach * 1.000001 + 2  # no number where a vector is beyond what a double holds
+                most = int(span) if span < OFFSET else OFFSET
                 n = len(row["q_ids"]) // 8
                 width = max(1, -(-(2 * most + 1) // BINS))
-                out = {"qb": row["qb"], "dim": row["dim"], "low": _ranges(np.full(n, -most)), "width": _ranges(np.full(n, width))}
+                out = {"qb": row["qb"], "dim": row["dim"], "low": _ranges(np.full(n, OFFSET - most, np.uint64)), "width": _ranges(np.full(n, width, np.uint64))}
                 yield pa.RecordBatch.from_pylist([out], _RANGES)
 
     ranges = stored(packed.select("qb", "dim", "q_reach", "q_ids").mapInArrow(start, RANGES), "ranges")
@@ -183,11 +188,14 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec
         down = Window.partitionBy("qb", "dim", "q").orderBy(F.col("bin").desc())
         at = n.withColumn("cum", F.sum("n").over(down)).groupBy("qb", "dim", "q").agg(F.max(F.when(F.col("cum") >= k, F.col("bin"))).alias("bin"))
         at = at.groupBy("qb", "dim").agg(F.collect_list(F.struct("q", F.coalesce("bin", F.lit(-1)).alias("bin"))).alias("at"))
-        ranges = stored(ranges.join(at, ["qb", "dim"], "left").mapInArrow(_narrow, RANGES), "ranges")
+        ranges, last = stored(ranges.join(at, ["qb", "dim"], "left").mapInArrow(_narrow, RANGES), "ranges"), ranges
+        discard(last)
         open_ = bool(ranges.filter("more").limit(1).count())
     found = scored(ranges).mapInArrow(_select(k), "qb long, dim int, q int, query_id long, vec_id long, score long")
     best = Window.partitionBy("qb", "dim", "q").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    out = stored(found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "best")
+    discard(blocks, packed, ranges)
+    return out
 
 
 RANGES = "qb long, dim int, low binary, width binary, more boolean"
@@ -198,14 +206,14 @@ def _narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Go to the bin that holds the k-th score; without one (fewer than k candidates) everything passes."""
     for batch in batches:
         for row in batch.to_pylist():
-            low, width = (np.frombuffer(row[c], np.int64).copy() for c in ("low", "width"))
+            low, width = (np.frombuffer(row[c], np.uint64).copy() for c in ("low", "width"))
             bins = np.full(len(low), -1)
             for x in row["at"] or []:
                 bins[x["q"]] = x["bin"]
             none = bins < 0
-            low = np.where(none, low, low + np.minimum(bins, BINS) * width)
-            width = np.where(none, 1, -(-width // BINS) * (width > 1) + (width == 1))
-            done = none | (np.frombuffer(row["width"], np.int64) == 1)
+            low = np.where(none, low, low + np.clip(bins, 0, BINS).astype(np.uint64) * width)
+            done = none | (width == 1)
+            width = np.where(done, np.uint64(1), (width + np.uint64(BINS - 1)) // np.uint64(BINS))
             yield pa.RecordBatch.from_pylist([{"qb": row["qb"], "dim": row["dim"], "low": _ranges(low), "width": _ranges(width), "more": bool((~done).any())}], _RANGES)
 
 
