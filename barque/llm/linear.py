@@ -7,13 +7,15 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barque.llm.storage import discard, stored
+
 #: Labelled rows that a model is fitted on at most, the first by hash of the id.
 FIT_ROWS = 8000
-#: Features of one text that a fit sees at most: of longer texts those with the least hashes. Scores see all of them.
-FIT_FEATURES = 8192
+#: Features of all its rows that a fit takes at most: rows come in as long as they fit, each with all of its features.
+FIT_FEATURES = 40_000_000
 
 
 class Model(NamedTuple):
@@ -106,15 +108,6 @@ def constant(y: np.ndarray, dim: int) -> Model:
     return Model(np.zeros(dim), 0.0, 1.0, float(np.log(p / (1 - p))), None if dim else np.empty(0, np.uint32))
 
 
-def bounded(ids: np.ndarray, most: int = FIT_FEATURES) -> np.ndarray:
-    """Distinct features, the `most` with the least hashes at most."""
-    ids = np.unique(ids)
-    if len(ids) <= most:
-        return ids
-    mixed = ids.astype(np.uint32) * np.uint32(0x9E3779B1)
-    return np.sort(ids[np.argsort(mixed ^ mixed >> np.uint32(15), kind="stable")[:most]])
-
-
 def fit_in_task(docs: DataFrame, labels: DataFrame, label: str, features: Callable[[bytes], np.ndarray], fit: Callable[[list, np.ndarray], Model], max_rows: int, id_col: str, text_col: str, kind: type = np.int32) -> Model:
     """Fit on the first max_rows labelled documents (by hash of id) outside the held-out third; of several texts under one
     id, on one. At most FIT_FEATURES distinct features of each meet in a task; what comes back has the size of the model."""
@@ -125,8 +118,9 @@ def fit_in_task(docs: DataFrame, labels: DataFrame, label: str, features: Callab
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [bounded(features(x.as_py())).tobytes() for x in batch.column("data")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(ids, pa.binary())], ["doc_id", "y", "ids"])
+            for i, x in enumerate(batch.column("data")):
+                ids = np.unique(features(x.as_py()))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, 1), batch.column("y").slice(i, 1), pa.array([len(ids)], pa.int64()), pa.array([ids.tobytes()], pa.binary())], ["doc_id", "y", "n", "ids"])
 
     def fitted(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("ids", "ascending")])
@@ -136,8 +130,13 @@ def fit_in_task(docs: DataFrame, labels: DataFrame, label: str, features: Callab
         binary = lambda x, kind: pa.array([None if x is None else x.astype(kind).tobytes()], pa.binary())
         return pa.table({"w": binary(m.w, np.float32), "bias": [float(m.bias)], "slope": [float(m.slope)], "shift": [float(m.shift)], "keys": binary(m.keys, np.uint32)})
 
-    sample = rows.mapInArrow(found, "doc_id long, y int, ids binary").groupBy("doc_id").agg(F.min("y").alias("y"), F.min("ids").alias("ids"))
+    every = stored(rows.mapInArrow(found, "doc_id long, y int, n long, ids binary"), "labelled")
+    sizes = every.groupBy("doc_id").agg(F.max("n").alias("n"))  # max_rows pairs at most
+    upto = F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    fitting = sizes.select("doc_id", upto.alias("upto")).filter(F.col("upto") <= FIT_FEATURES).select("doc_id")
+    sample = every.join(F.broadcast(fitting), "doc_id").groupBy("doc_id").agg(F.min("y").alias("y"), F.min("ids").alias("ids"))
     got = sample.groupBy(F.lit(1).alias("one")).applyInArrow(fitted, "w binary, bias double, slope double, shift double, keys binary").first()
+    discard(every)
     if got is None:
         return fit([], np.empty(0, np.int64))
     keys = None if got["keys"] is None else np.frombuffer(got["keys"], np.uint32)

@@ -1,7 +1,9 @@
 """Toxicity by weak supervision: lexicon and pattern voters, a generative label model, a linear classifier (operator 8).
 
 Voters say toxic, clean or nothing. Three speak for a lexicon of insults written by hand; the rest for words and beginnings of
-words of a lexicon that is induced on the development part of the labelled sample, dealt into several voters by hash. For each kind of entry one voter says clean where a text has none. The label model sees the votes on the whole
+words of a lexicon that is induced on the development part of the labelled sample, dealt into several voters by hash: words,
+beginnings, and beginnings that come back in two or three words of a text, which tell a manner of speech where no single
+word does. For each kind of entry one voter says clean where a text has none. The label model sees the votes on the whole
 sample and no labels: it estimates, by expectation maximisation, how often each voter says what in either class, and which
 voters agree beyond that. A linear classifier is trained on its posteriors. Labels come back at the end alone, to turn
 margins into probabilities.
@@ -21,7 +23,8 @@ PREFIXES = (4, 5, 6, 7, 8)
 FIT_ROWS = 16_000
 ENTRIES, LEAST, SHARE, Z = 600, 3, 0.85, 1.64
 DEALT = 4  # voters of each kind of entry
-KINDS = 1 + len(PREFIXES)
+TIMES = (2, 3)  # a beginning that so many words of a text share is an entry of its own
+KINDS = 1 + len(PREFIXES) * (1 + len(TIMES))
 #: Insults that the first voters look for.
 LEXICON = (
     "idiot idiots moron morons stupid loser losers trash worthless pathetic disgusting scum clown clowns dumb fool fools imbecile jerk bastard filthy vermin",
@@ -42,7 +45,7 @@ def lower(raw: np.ndarray) -> np.ndarray:
 
 
 def features(data: bytes) -> np.ndarray:
-    """Indicators of words (runs of letters) and of their beginnings."""
+    """Indicators of words (runs of letters), of their beginnings, and of beginnings that two or three words share."""
     if not data:
         return np.empty(0, np.uint32)
     low = lower(np.frombuffer(data, np.uint8))
@@ -54,13 +57,15 @@ def features(data: bytes) -> np.ndarray:
     parts = [_named(roll.spans(starts, ends), 0)]
     for kind, n in enumerate(PREFIXES, 1):
         long = starts[ends - starts > n]
-        parts.append(_named(roll.spans(long, long + n), kind))
+        found, count = np.unique(roll.spans(long, long + n), return_counts=True)
+        parts.append(_named(found, kind))
+        parts += [_named(found[count >= times], kind + len(PREFIXES) * i) for i, times in enumerate(TIMES, 1)]
     return np.concatenate(parts)
 
 
 def _named(hashes: np.ndarray, kind: int) -> np.ndarray:
-    """32 bits of a hash, the last three of them for the kind of entry."""
-    return (hashes >> np.uint64(32)).astype(np.uint32) & np.uint32(0xFFFFFFF8) | np.uint32(kind)
+    """32 bits of a hash, the last four of them for the kind of entry."""
+    return (hashes >> np.uint64(32)).astype(np.uint32) & np.uint32(0xFFFFFFF0) | np.uint32(kind)
 
 
 def numbered(rows: list[np.ndarray], least: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -122,7 +127,7 @@ def votes_of(rows: list[np.ndarray], keys: np.ndarray, entries: np.ndarray) -> n
     """Votes (1 toxic, -1 clean, 0 nothing), rows x voters: the hand-written lexicons, the induced entries of each kind in
     DEALT voters, and for each kind one voter that says clean without an entry of it."""
     written = [np.unique(np.concatenate([features(w.encode())[:1] for w in words.split()])) for words in LEXICON]
-    kind, part = keys[entries] & 7, (keys[entries] >> np.uint32(3)) * np.uint32(0x9E3779B1) >> np.uint32(30)
+    kind, part = keys[entries] & 15, (keys[entries] >> np.uint32(4)) * np.uint32(0x9E3779B1) >> np.uint32(30)
     voter = np.full(len(keys), -1)
     voter[entries] = kind * DEALT + part % DEALT
     by_hand = np.full(len(keys), -1)

@@ -3,6 +3,7 @@
 import collections
 import dataclasses
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -15,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from barque.llm import audio, bpe, html, neardup, packing, quality, repeats, secrets, streams, topk, toxicity
+from barque.llm import audio, bpe, html, linear, neardup, packing, quality, repeats, secrets, streams, topk, toxicity
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, key string, id string, p int, spans_hex string"
 
@@ -363,6 +364,34 @@ def test_bpe(spark, docs, nothing, entries):
     assert bpe.encode_decode(nothing, ranks, public_tokenizers.PATTERN, entries=entries).count() == 0
 
 
+def test_long_words(spark):
+    """A word of 100,000 letters takes seconds; all of them as the library has them."""
+    import public_tokenizers
+    import tiktoken
+
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    whole = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(1)
+    word = lambda n, letters: "".join(rng.choices(letters, k=n))
+    texts = [f"one {word(4000, 'abcdefghijklmnopqrstuvwxyz')} two", word(100_000, "etaoinshrdlu"), "a" * 3000 + "'s", word(700, "aé1'ß\u4e2d") + " end", word(513, "ab"), word(512, "ab"), "x" * 600 + "\n\n" + "7" * 900]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    began = time.time()
+    got = {r.doc_id: (list(r.ids), bytes(r.decoded).decode()) for r in bpe.encode_decode(frame, ranks, public_tokenizers.PATTERN, entries=10).collect()}
+    assert got == {i: (whole.encode_ordinary(t), t) for i, t in enumerate(texts)}
+    assert time.time() - began < 90  # the fold took 93 s for 16,000 letters
+    table = bpe.Ranks(ranks)
+    for n in range(1, 60):
+        for letters in ("ab", "aab", "theingand", "éßa"):
+            w = word(n, letters).encode()
+            assert bpe.merged(w, table).tolist() == whole._core_bpe.encode_single_piece(w)
+
+
+def test_passes_by_rank_where_a_new_pair_ranks_lower():
+    ranks = bpe.Ranks({bytes([b]): 1000 + b for b in range(256)} | {b"ab": 200, b"aba": 100, b"bc": 150})
+    assert bpe.merged(b"abab", ranks).tolist() == [100, 1000 + 98]  # ab, then aba before the second ab
+    assert bpe.merged(b"abcab", ranks).tolist() == [1097, 150, 200]
+
+
 def test_most_frequent_words(spark):
     counts = spark.createDataFrame([("a", 9), ("b", 5), ("c", 5), ("d", 1)], "piece string, n long")
     assert [sorted(r.piece for r in bpe.frequent(counts, n).collect()) for n in (0, 1, 2, 3, 9)] == [[], ["a"], ["a"], ["a", "b", "c"], ["a", "b", "c", "d"]]
@@ -467,7 +496,7 @@ def plain_top_k(rows):
     out = []
     for n, (q, v) in enumerate(good):
         if q % 100 == 0:
-            scores = sorted((-max(-topk.MAX_SCORE, min(topk.MAX_SCORE, sum(a * b for a, b in zip(v, w, strict=True)))), i) for i, w in good if i != q and len(w) == len(v))
+            scores = sorted((-max(-(1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(v, w, strict=True)))), i) for i, w in good if i != q and len(w) == len(v))
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:10])]
     return sorted(out)
 
@@ -479,6 +508,102 @@ def test_top_k_of_odd_rows(spark):
     assert sorted(map(tuple, topk.top_k(frame).collect())) == plain_top_k(rows)
 
 
+def test_top_k_is_exact_as_far_as_a_long_holds(spark):
+    rng = random.Random(2)
+    base = [2.0e6, 1.0e6, -3.0e5]  # scores of about 5.3e18, between 2^61 and 2^63
+    rows = [(i, [x + rng.randint(-3, 3) / 1024 for x in base]) for i in range(1, 300)] + [(i, [-x for x in base]) for i in (300, 301)]
+    assert all(1 << 61 < r[3] < 1 << 63 for r in plain_top_k(rows) if r[0] != 300)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk.top_k(frame).collect())) == plain_top_k(rows)
+
+
+def plain_descent(rows, y, cost, scale, epochs, seed):
+    """Dual coordinate descent with dictionaries and loops."""
+    order, w, bias, alpha = np.random.default_rng(seed), collections.Counter(), 0.0, [0.0] * len(rows)
+    for _ in range(epochs):
+        for i in order.permutation(len(rows)):
+            x = {int(f): float(scale[f]) for f in rows[i]}
+            gradient = y[i] * (sum(w[f] * v for f, v in x.items()) + bias) - 1
+            new = min(max(alpha[i] - gradient / (sum(v * v for v in x.values()) + 1), 0.0), cost[i])
+            for f, v in x.items():
+                w[f] += (new - alpha[i]) * y[i] * v
+            bias += (new - alpha[i]) * y[i]
+            alpha[i] = new
+    return w, bias
+
+
+def test_fit_of_quality_by_plain_loops():
+    """Log-count ratios by counting, weights by loops: the same margins as the vectorised fit."""
+    rng = np.random.default_rng(4)
+    y = np.where(rng.random(60) < 0.4, 1, -1)
+    rows = [np.unique(rng.integers(0, 30, rng.integers(1, 12)) + (5 if label > 0 else 0)).astype(np.int32) for label in y]
+    dim = 40
+    ratio = linear.log_ratios(rows, y, dim)
+    of = {s: [1 + sum(f in set(r.tolist()) for r, label in zip(rows, y, strict=True) if label == s) for f in range(dim)] for s in (1, -1)}
+    assert np.allclose(ratio, [math.log(of[1][f] / sum(of[1])) - math.log(of[-1][f] / sum(of[-1])) for f in range(dim)])
+    cost = np.where(y > 0, 2.0, 0.5)
+    w, bias = linear.dual_descent(rows, y, cost, ratio, epochs=9, seed=3)
+    plain, plain_bias = plain_descent(rows, y, cost, ratio, 9, 3)
+    assert math.isclose(bias, plain_bias, abs_tol=1e-9) and np.allclose(w, [plain[f] for f in range(dim)])
+    texts = ["good words here, many good words", "bad bad", "", "good words"]
+    model = quality.fit([np.unique(quality.features(t.encode())) for t in texts * 5], np.array([1, -1, -1, 1] * 5))
+    margins = [model.margin(quality.features(t.encode())) for t in texts]
+    assert min(margins[0], margins[3]) > max(margins[1], margins[2])
+
+
+def test_label_model_by_plain_loops():
+    """The same expectation maximisation, one row and one voter at a time."""
+    rng = np.random.default_rng(5)
+    truth = rng.random(120) < 0.3
+    votes = np.array([[(1 if t else -1) if rng.random() < a else 0 if rng.random() < 0.5 else (-1 if t else 1) for a in (0.9, 0.8, 0.7)] + [0] for t in truth], np.int8)
+    votes[:, 3] = votes[:, 0]  # says what another says
+    n, m = votes.shape
+    post = [min(0.98, max(0.02, 1 / (1 + math.exp(-sum(1.0 if v > 0 else -0.5 if v < 0 else 0.0 for v in r))))) for r in votes]
+    weight = [1.0] * m
+    for i in range(50):
+        prior = min(0.995, max(0.005, sum(post) / n))
+        rate = lambda p, j, s: (sum(x for x, r in zip(p, votes, strict=True) if r[j] == s) + 0.1) / (sum(p) + 0.3)
+        rest_of = [1 - p for p in post]
+        toxic = [{s: rate(post, j, s) for s in (1, -1, 0)} for j in range(m)]
+        clean = [{s: rate(rest_of, j, s) for s in (1, -1, 0)} for j in range(m)]
+        if i % 5 == 0:
+            rest = [[r[j] - p * (toxic[j][1] - toxic[j][-1]) - (1 - p) * (clean[j][1] - clean[j][-1]) for j in range(m)] for r, p in zip(votes, post, strict=True)]
+            size = [math.sqrt(sum(r[j] ** 2 for r in rest)) + 1e-9 for j in range(m)]
+            weight = [1 / sum((sum(r[j] * r[k] for r in rest) / size[j] / size[k]) ** 2 for k in range(m)) for j in range(m)]
+        logit = [math.log(prior / (1 - prior)) + sum(weight[j] * math.log(toxic[j][r[j]] / clean[j][r[j]]) for j in range(m)) for r in votes]
+        new = [1 / (1 + math.exp(-max(-30, min(30, x)))) for x in logit]
+        moved, post = max(abs(a - b) for a, b in zip(new, post, strict=True)), new
+        if moved < 1e-4 and i > 5:
+            break
+    got = toxicity.label_model(votes)
+    assert np.allclose(got, post, atol=1e-6) and ((got > 0.5) == truth).mean() > 0.85
+
+
+def test_beginnings_that_words_share(spark):
+    features = toxicity.features("Achlichau achlichen, bomente achkeit".encode())
+    kinds = collections.Counter((features & 15).tolist())
+    n = len(toxicity.PREFIXES)
+    assert [kinds[k] for k in range(1, n + 1)] == [3, 3, 3, 3, 2] or kinds[0] == 4
+    assert all(kinds[n + k] == 1 for k in range(1, 5)) and all(kinds[2 * n + k] == 0 for k in range(1, n + 1))
+
+
+def test_fits_take_whole_texts_of_rows_that_fit(spark, monkeypatch):
+    words = ["".join(x) for x in itertools.product("abcd", repeat=3)]
+    rows = spark.createDataFrame([(i, " ".join(words[:50])) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    seen = []
+
+    def fit(ids, y):
+        return linear.Model(np.array([len(ids), min(map(len, ids), default=0)], np.float32), 0.0, 1.0, 0.0)
+
+    for most in (10**9, 1000):
+        monkeypatch.setattr(linear, "FIT_FEATURES", most)
+        m = linear.fit_in_task(rows, labels, "toxic", toxicity.features, fit, 1000, "doc_id", "text", np.uint32)
+        seen.append(tuple(m.w.tolist()))
+    (every, size), (some, same) = seen
+    assert size == same and some == 1000 // size < every
+
+
 def test_classifiers(spark, docs, nothing):
     d = "/root/testdata/sf0.01"
     read = lambda t: spark.read.parquet(f"{d}/{t}.parquet")
