@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from barque.llm.storage import discard, stored
 
 
-def _hooked(pairs: DataFrame) -> DataFrame:
-    """Each (u, v) becomes (v, least neighbour of u)."""
+def _hooked(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each (u, v) beside the least neighbour of u; and the table of those, to discard afterwards."""
     least = stored(pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
-    return pairs.join(least, "u")
+    return pairs.join(least, "u"), least
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -24,14 +24,15 @@ def components(edges: DataFrame) -> DataFrame:
     mark = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _hooked(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
+        hooked, least = _hooked(both)
+        large = hooked.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
         large = stored(large, "large")
-        small = _hooked(large)
+        discard(least)
+        small, least = _hooked(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
         after = stored(small.filter("u > v").distinct(), "small")
         seen = tuple(after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
-        discard(now)
-        discard(large)
+        discard(now, large, least)
         now = after
         if seen == mark or not seen[0]:
             break

@@ -97,9 +97,13 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to documents, each on all that the one before it kept, written as Parquet and read again."""
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
-    for name, stage in STAGES[:-1]:
-        after = stored(stage(spark, docs, sf_dir), name)
+    try:
+        for name, stage in STAGES[:-1]:
+            after = stored(stage(spark, docs, sf_dir), name)
+            if before is not None:
+                discard(before)
+            docs = before = after
+        return STAGES[-1][1](spark, docs, sf_dir)  # packing has stored the tokens when it returns
+    finally:
         if before is not None:
             discard(before)
-        docs = before = after
-    return STAGES[-1][1](spark, docs, sf_dir)
