@@ -38,6 +38,10 @@ CLOSE = {name: re.compile(f"</{name}(?=[\\s/>]|$)", re.I) for name in RAW}
 #: What becomes of a node: it goes; it holds text roots only; its subtrees are judged without or with its own text; it stays.
 GONE, OUTSIDE, SPARSE, OPEN, TAKEN = range(5)
 NEVER_NAMED = frozenset({"html", "body", "article", "main"})
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: The form of contributions by readers: siblings of one shape, each a short line that tells a time, and a text below it.
+BYLINE, LEAST_ENTRIES, MOST_SHARE = 80, 2, 0.5
+TIME_WORD = re.compile(r"\d")
 
 
 class Scanner:
@@ -92,7 +96,7 @@ class Page:
     """The tree of one page as parallel lists, in page order; text in pieces with their block and node."""
 
     def __init__(self, html: str):
-        self.tag, self.parent, self.dropped, self.doubtful = ["#root"], [0], [False], [False]
+        self.tag, self.parent, self.dropped, self.doubtful, self.shape = ["#root"], [0], [False], [False], [""]
         self.pieces: list[tuple[int, int, str]] = []
         self.block = 0
         self.open, self.open_tags = [0], {}
@@ -136,6 +140,8 @@ class Page:
         self.tag.append(name)
         self.parent.append(above)
         dropped, doubtful = self.named(name, attributes)
+        kind = next((m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes) if m[1].lower() == "class"), "") if attributes else ""
+        self.shape.append(f"{name} {kind}" if kind else "")
         self.dropped.append(self.dropped[above] or name in RAW or name in DROPPED or dropped)
         self.doubtful.append(doubtful)
         if name not in VOID:
@@ -202,6 +208,45 @@ def tree_sums(page: Page) -> tuple[list[int], list[int], list[int], list[int], l
     return chars, links, tags, link_tags, in_link
 
 
+def contributions(page: Page, chars: list[int]) -> list[int]:
+    """Nodes that hold what readers wrote below a text, by form alone: their entries are siblings with the same tag and class,
+    none holds a heading or a text root, each begins with a short line with a time (an element for it, or a number) and has
+    more below, and together they are not most of the page."""
+    n = len(page.tag)
+    groups: dict[tuple[int, str], list[int]] = {}
+    for i in range(1, n):
+        if page.shape[i] and page.tag[i] in BLOCK and not page.dropped[i] and page.tag[i] not in ("tr", "td", "th", "p"):
+            groups.setdefault((page.parent[i], page.shape[i]), []).append(i)
+    groups = {k: v for k, v in groups.items() if len(v) >= LEAST_ENTRIES}
+    if not groups:
+        return []
+    end = list(range(1, n + 1))
+    for i in range(n - 1, 0, -1):
+        end[page.parent[i]] = max(end[page.parent[i]], end[i])
+    starts: dict[int, list[int]] = {}
+    for at, (_, node, _) in enumerate(page.pieces):
+        starts.setdefault(node, []).append(at)
+
+    def is_entry(i: int) -> bool:
+        tags = page.tag[i : end[i]]
+        if not TEXT_ROOTS.isdisjoint(tags) or not HEADINGS.isdisjoint(tags):
+            return False
+        inside = sorted(at for node in range(i, end[i]) for at in starts.get(node, ()))
+        lines: dict[int, str] = {}
+        for at in inside:
+            block, _, text = page.pieces[at]
+            lines[block] = lines.get(block, "") + text
+        told = [x for x in (" ".join(x.split()) for x in lines.values()) if x]
+        return len(told) > 1 and len(told[0]) <= BYLINE and ("time" in tags or TIME_WORD.search(told[0]) is not None)
+
+    out = []
+    for members in groups.values():
+        size = sum(chars[i] for i in members)
+        if size and size < MOST_SHARE * chars[0] and all(is_entry(i) for i in members):
+            out += members
+    return out
+
+
 def density(chars: int, links: int, tags: int, link_tags: int, of_body: float) -> float:
     """Composite text density: characters per tag, made less by links. of_body: the share of link characters in the body."""
     if not chars:
@@ -218,7 +263,8 @@ def main_text(html: str) -> str:
     the threshold: every other subtree of the body that reaches it is taken too, or, where an article or main element
     stands around the node, every other such element that reaches it. Inside what is taken, blocks
     mostly of links under the threshold are left out. Before all this go elements that are no text by their tag, state or
-    role, and those whose class or id tells of surroundings, unless they hold an article or nearly all of the page's text.
+    role, those whose class or id tells of surroundings, unless they hold an article or nearly all of the page's text, and
+    what readers wrote, told by its form (see contributions), whatever it is named.
     """
     page = Page(html)
     n = len(page.tag)
@@ -233,6 +279,16 @@ def main_text(html: str) -> str:
         beside = holds_root[0] and not in_root[i] and not holds_root[i]
         goes = page.doubtful[i] and (beside or not holds_root[i] and chars[i] * 10 < chars[0] * 9)
         page.dropped[i] = page.dropped[i] or page.dropped[up] or goes
+    wrote = contributions(page, chars)
+    above = {e: page.parent[e] for e in wrote}
+    beside: dict[int, int] = {}  # text that stands in a container beside its entries
+    for i in range(1, n):
+        beside[page.parent[i]] = beside.get(page.parent[i], 0) + (0 if i in above else chars[i])
+    for entry, up in above.items():
+        whole = page.tag[up] not in NEVER_NAMED and beside[up] <= 2 * BYLINE and not holds_root[up]
+        page.dropped[up if whole else entry] = True
+    for i in range(1, n):
+        page.dropped[i] = page.dropped[i] or page.dropped[page.parent[i]]
     chars, links, tags, link_tags, in_link = tree_sums(page)
     body = next((i for i in range(n) if page.tag[i] == "body"), 0)
     of_body = links[body] / max(chars[body], 1)

@@ -253,6 +253,36 @@ def test_html_density_alone_finds_the_text(order, wrap):
     assert html.main_text(source).split("\n") == [x[3:-4] for x in DENSE]
 
 
+def entries(n, kind="remark", line="Ann on 3 May", more="I liked this a lot, thank you."):
+    return "".join(f'<div class="{kind}"><div>{line}</div><p>{more} {i}</p></div>' for i in range(n))
+
+
+@pytest.mark.parametrize("wrap", ["<article>{}{}</article>", "<main>{}{}</main>", "<div>{}{}</div>", "<main><article>{}</article>{}</main>"])
+@pytest.mark.parametrize("line", ["Ann on 3 May", '<time datetime="2024">yesterday</time> Ann'])
+def test_html_what_readers_wrote_goes_by_its_form(wrap, line):
+    text = "".join(f"<p>{'A long paragraph of the article itself goes here. ' * 6}{i}</p>" for i in range(4))
+    remarks = f'<div class="reader-thoughts"><h3>Readers say</h3>{entries(3, line=line)}</div>'
+    page = f"<html><body>{wrap.format(text, remarks)}</body></html>"
+    got = html.main_text(page)
+    assert "liked" not in got and got.count("itself") == 24
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "".join(f'<section class="part"><h2>{i}. Heading</h2><p>{"Words of this part. " * 20}</p></section>' for i in range(3)),
+        "".join(f'<div class="step"><p>{"No line with a time above it, only words here. " * 3}</p><p>More of it.</p></div>' for i in range(3)),
+        '<ul class="facts">' + "".join(f'<li class="fact">Fact {i} stands alone</li>' for i in range(5)) + "</ul>",
+        '<div class="note"><div>Ann on 3 May</div><p>One only</p></div>',
+    ],
+)
+def test_html_other_repeated_parts_stay(part):
+    text = "".join(f"<p>{'A long paragraph of the article itself goes here. ' * 9}{i}</p>" for i in range(4))
+    got = html.main_text(f"<html><body><article>{text}{part}</article></body></html>")
+    plain = re.sub(r"<[^>]+>", " ", part).split()
+    assert got.split()[-len(plain) :] == plain
+
+
 def test_html_rows(spark):
     rows = [(1, "u", "<p>same</p>", "x"), (1, "u", "<p>same</p>", "y"), (None, None, "<p>no id</p>", None), (2, "v", None, "z")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
