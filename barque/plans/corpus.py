@@ -11,6 +11,7 @@ from barque.plans import queries as q
 from barque.plans.catalog import query
 from barque.plans.scratch import emptied, folder, kept
 from barque.sources import bars as sources
+from barque.sources.tier import register
 
 H, D = q.H, q.D
 _SEGMENTS = q._segments_sql(q.E_SQL, q.RULE)
@@ -286,3 +287,18 @@ def publication_lineitem(spark, d):
     except publication.Refused:
         refused = True
     return spark.read.parquet(at).groupBy("symbol").agg(F.count(F.lit(1)).alias("segments")).withColumn("kept", F.lit(refused and not publication.abandoned(spark, at)))
+
+
+@query(f"SELECT symbol, CASE WHEN symbol = 'click' THEN '24x7' ELSE '24x5' END AS session_id, count(*) AS bars, min(ts) AS first_ts, max(ts) AS last_ts, round(sum(close), 4) AS closes FROM ({q.E_SQL}) WHERE symbol <> 'view' GROUP BY 1, 2")
+def bar_tier_events(spark, d):
+    """Written as the tier and scanned again with filters on what identifies a file; one series has no session in its
+    footer and gets the fallback."""
+    at = emptied(spark, folder(spark, "bar_tier_events"))
+    register(spark)
+    bars = q.hourly(spark, d)
+    none = {c: F.lit(None).cast(kind) for c, kind in (("n_trades", "long"), ("taker_buy_volume", "double"), ("taker_buy_quote_volume", "double"))}
+    whole = bars.withColumns({c: F.lit(v) for c, v in (("source", "events"), ("market", "m"), ("asset_class", "x"), ("frequency", "1h"))} | none | {"session_id": F.when(F.col("symbol") != "click", "24x5")})
+    columns = [x.split()[0] for x in sources.BARS.split(", ")]
+    whole.select(columns).repartition(*sources.SERIES).sortWithinPartitions(*sources.SERIES, "ts").write.format("bar_tier").mode("append").save(at)
+    back = spark.read.format("bar_tier").option("fallback_session", "24x7").load(at).filter("source = 'events' and symbol <> 'view'")
+    return back.groupBy("symbol", "session_id").agg(F.count(F.lit(1)).alias("bars"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.round(F.sum("close"), 4).alias("closes"))

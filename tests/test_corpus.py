@@ -361,3 +361,39 @@ def test_counts_come_once_and_late_rows_are_dropped(spark, tmp_path):
         live.count_available(live.validation_counts(stream(spark, at)), at)
     got = sorted((r.start // H, r.bars, r.volume_negative) for r in spark.read.parquet(f"{at}/counts").collect())
     assert got == [(0, 24, 3), (24, 24, 2)]
+
+
+# ---- the bar tier ----------------------------------------------------------------------------------------------------
+
+
+def tier(spark, rows):
+    whole = spark.createDataFrame(rows, BARS).withColumns({c: F.lit(v) for c, v in (("source", "s"), ("asset_class", "x"), ("frequency", "1h"))})
+    return whole.selectExpr("source", "CASE WHEN symbol < 'c' THEN 'm' ELSE 'n' END AS market", "asset_class", "symbol", "frequency", "CASE WHEN symbol <> 'b' THEN '24x5' END AS session_id", "ts", "open", "high", "low", "close", "volume", "amount", "cast(null as bigint) AS n_trades", "cast(null as double) AS taker_buy_volume", "cast(null as double) AS taker_buy_quote_volume")
+
+
+def test_bar_tier_by_footers(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from barque.sources.tier import register
+
+    register(spark)
+    rows = [r for i, s in enumerate("abcd") for r in walk(s, 250, i)]
+    at = str(tmp_path / "tier")
+    bars = tier(spark, rows)
+    together = lambda x: x.repartition(*sources.SERIES).sortWithinPartitions(*sources.SERIES, "ts")
+    together(bars).write.format("bar_tier").option("row_group", 100).mode("append").save(at)
+    files = sorted((tmp_path / "tier").rglob("*.parquet"))
+    assert len(files) == 4 and not list((tmp_path / "tier").rglob(".*")) and all(pq.ParquetFile(f).num_row_groups == 3 for f in files)
+    read = lambda: spark.read.format("bar_tier").option("fallback_session", "24x7").load(at)
+    want = {tuple(r) for r in bars.fillna({"session_id": "24x7"}).collect()}
+    assert {tuple(r) for r in read().collect()} == want
+    assert read().filter("symbol = 'b'").select("session_id").distinct().collect()[0][0] == "24x7"
+    assert read().filter("market = 'n' and symbol in ('a', 'c') and ts < 360000000").count() == 100
+    for f in (tmp_path / "tier" / "source=s" / "market=n").rglob("*.parquet"):
+        f.write_bytes(b"broken")  # pruned folders are not opened
+    assert read().filter("market = 'm'").count() == 500
+    with pytest.raises(Exception, match="no session_id in its footer"):
+        spark.read.format("bar_tier").load(at).filter("symbol = 'b' and market = 'm'").collect()
+    with pytest.raises(Exception, match="must come together"):
+        bars.repartition(4).write.format("bar_tier").mode("append").save(str(tmp_path / "other"))
+    assert not list((tmp_path / "other").rglob("*.parquet"))
