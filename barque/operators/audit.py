@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,12 +11,12 @@ from barque.functions.sessions import DAY, expected_open, missing_slots, open_pr
 from barque.operators.features import raw_features
 
 
-def prefix_audit(bars: DataFrame, key: list[str], splits: DataFrame) -> DataFrame:
-    """WIN24: features of the bars up to a split equal the first features of all bars, bit for bit. splits: key,
-    split_row. Returns (key, split_row, rows, differing)."""
+def prefix_audit(bars: DataFrame, key: list[str], splits: DataFrame, made: Callable[[DataFrame, list[str]], DataFrame] = raw_features) -> DataFrame:
+    """WIN24: features (made of bars and key) of the bars up to a split equal the first features of all bars, bit for bit.
+    splits: key, split_row. Returns (key, split_row, n_rows, differing)."""
     numbered = bars.withColumn("i", F.row_number().over(Window.partitionBy(*key).orderBy("ts")))
     cut = numbered.join(splits, key).filter("i <= split_row").drop("i")
-    full, part = raw_features(bars, key), raw_features(cut, [*key, "split_row"])
+    full, part = made(bars, key), made(cut, [*key, "split_row"])
     names = [c for c in full.columns if c not in (*key, "ts")]
     same = F.struct(*(part[c] for c in names)).eqNullSafe(F.struct(*(full[c] for c in names)))
     on = [part[k] == full[k] for k in (*key, "ts")]

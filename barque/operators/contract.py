@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from barque.operators import features, runs
 from barque.operators.features import FLOWS, PRICES
-from barque.operators.sketch import quantiles, sketch
+from barque.operators.sketch import center_scale, quantiles, sketch
 
 NEEDED = {"ts": "bigint"} | dict.fromkeys(("open", "high", "low", "close", "volume", "amount"), "double")
 MOST_SLICES = 10_000  # rows of constants that every task gets
@@ -165,3 +165,27 @@ def of_specs(bars: DataFrame, specs: tuple[Spec, ...], constants: DataFrame, key
         part = joined.select(F.lit(spec.name).alias("spec"), *by, F.inline(each))
         long = part if long is None else long.unionByName(part)
     return long, refused
+
+
+def fit(bars: DataFrame, specs: tuple[Spec, ...], key: list[str], by: list[str] | None = None, before_ts: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """AGG25: constants (spec, by, feature, center, scale) of each slice from the segments' bars before the firewall, out of
+    one sketch; and the segments that took no part (key, code): refused by the contract, or behind_firewall. A slice whose
+    bars give a feature no spread is an error."""
+    by = by or []
+    check_columns(bars)
+    rows = bars if before_ts is None else bars.filter(F.col("ts") < before_ts)
+    ordered = rows if "row" in rows.columns else rows.withColumn("row", F.col("ts"))
+    refused = features.refusals(ordered, key)
+    left = bars.select(*key).distinct().join(rows.select(*key).distinct(), key, "left_anti").withColumn("code", F.lit("behind_firewall"))
+    raw = features.raw_features(rows.join(refused.select(*key), key, "left_anti"), [*by, *[k for k in key if k not in by]])
+    names = list(dict.fromkeys(f for spec in specs for f in spec.features))
+    found = sketch_constants(features.long_features(raw, by, names), by)
+    of = F.array(*(F.struct(F.lit(s.name).alias("spec"), F.array(*map(F.lit, s.features)).alias("names")) for s in specs))
+    each = found.select("*", F.inline(of)).filter(F.array_contains("names", F.col("feature")))
+    return each.select("spec", *by, "feature", "center", "scale"), refused.select(*key, "code").unionByName(left.select(*key, "code"))
+
+
+def sketch_constants(long: DataFrame, by: list[str]) -> DataFrame:
+    """(by, feature, center, scale) of (by, feature, x); values on a grid of 1e-6, a little off its points, so that a last
+    digit can't move one over the edge of a bin."""
+    return center_scale(sketch(long.withColumn("x", F.round("x", 6) + 3e-7), [*by, "feature"]), [*by, "feature"])

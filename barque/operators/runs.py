@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barque.functions.sessions import DAY, whole
+from barque.operators.registry import content_hash
 
 DERIVED = ("derived/", "clean/", "registry/", "staging/")
 CLIP_RATE = 0.005
@@ -76,6 +77,15 @@ def pinned(listing: DataFrame, symbol: str = "symbol") -> DataFrame:
     return listing.withColumn(symbol, F.when(n == 1, F.col(symbol)).otherwise(refuse("a symbol stands twice")))
 
 
+def pinned_as_recorded(listing: DataFrame, recorded: DataFrame, by: list[str]) -> DataFrame:
+    """SRC13: the rows of lists whose content hash (registry.content_hash by list) is the recorded one; a list that has
+    changed since, or was never recorded, is an error."""
+    now = content_hash(listing, by).join(recorded.select(*by, F.col("content_hash").alias("then")), by, "left")
+    same = F.coalesce(F.col("content_hash") == F.col("then"), F.lit(False))
+    checked = now.select(*by, F.when(same, F.lit(True)).otherwise(refuse("a pinned list has changed").cast("boolean")).alias("ok"))
+    return listing.join(checked, by).filter("ok").drop("ok")
+
+
 def with_sizes(registry: DataFrame, files: DataFrame, path: str = "artifact") -> DataFrame:
     """JN13: bytes of each artifact by a listing (path, bytes); 0 where it lacks the file."""
     return registry.join(files.select(path, "bytes"), path, "left").withColumn("bytes", F.coalesce("bytes", F.lit(0).cast("long")))

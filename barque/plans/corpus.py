@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from barque.operators import adjust, audit, clean, contract, features, manifests, publication, sketch
+from barque.operators import adjust, audit, checks, clean, contract, features, manifests, publication, registry, runs
 from barque.plans import queries as q
 from barque.plans.catalog import query
 from barque.plans.scratch import emptied, folder, kept
@@ -43,10 +43,9 @@ _CONSTANTS = f"{_SEGMENTS}, bins AS ({_BINS}), quantiles AS ({_AT}), constants A
 
 
 def _constants(bars):
-    """Of the segments before the firewall, on the grid of 1e-6 that keeps a last digit from moving a value over a bin's edge."""
+    """Of the segments before the firewall."""
     rows = clean.kept_bars(bars, ["symbol"], q.RULE).filter(F.col("ts") < q.FIREWALL)
-    long = features.long_features(features.raw_features(rows, ["segment_id"]), ["segment_id"], q._NAMES)
-    return sketch.center_scale(sketch.sketch(long.withColumn("x", F.round("x", 6) + 3e-7), ["feature"]), ["feature"])
+    return contract.sketch_constants(features.long_features(features.raw_features(rows, ["segment_id"]), [], q._NAMES), [])
 
 
 @query(f"{_CONSTANTS} SELECT feature, round(center, 8) AS center, round(scale, 8) AS scale FROM constants")
@@ -209,6 +208,117 @@ def inverse_segments_events(spark, d):
     return q.rounded(q.rounded(out, ["open", "high", "low", "close", "volume"], 4), ["amount"], 3)
 
 
+_SLICE = "CASE WHEN symbol < 'm' THEN 'a' ELSE 'b' END"
+_CUTS = 1_705_000_000_000
+
+
+def _slices_sql() -> str:
+    fitted = f"SELECT symbol, unnest([{', '.join(repr(c) for c in q._NAMES)}]) AS feature, round(unnest([{', '.join(q._NAMES)}]), 6) + 3e-7 AS x FROM ({_segment_features(_IN_SEGMENTS, f'ts < {_CUTS}')})"
+    bins = f"SELECT cls, feature, CAST(CASE WHEN b < 0 THEN -1 WHEN b >= 60000 THEN 60000 ELSE b END AS INTEGER) AS bin, count(*) AS n FROM (SELECT {_SLICE} AS cls, feature, floor((asinh(x / 1e-4) + 15) / 0.0005) AS b FROM ({fitted})) GROUP BY ALL"
+    at = """SELECT cls, feature, q, bin, sinh(CASE WHEN bin < 0 THEN -15 WHEN bin >= 60000 THEN 15 ELSE -15 + (bin + (q * total - (cum - n)) / n) * 0.0005 END) * 1e-4 AS value
+ FROM (SELECT *, row_number() OVER (PARTITION BY cls, feature, q ORDER BY bin) AS r FROM (SELECT *, unnest([0.01, 0.25, 0.5, 0.75, 0.99]::DOUBLE[]) AS q FROM (SELECT *, sum(n) OVER (PARTITION BY cls, feature ORDER BY bin) AS cum, sum(n) OVER (PARTITION BY cls, feature) AS total FROM bins)) WHERE cum >= q * total) WHERE r = 1"""
+    scales = _SCALES.replace("SELECT feature, center, greatest", "SELECT cls, feature, center, greatest", 1).replace("(SELECT feature, max(value)", "(SELECT cls, feature, max(value)", 1).replace("GROUP BY feature", "GROUP BY cls, feature", 1)
+    specs = " UNION ALL ".join(f"SELECT '{s.name}' AS spec, cls, feature, round(center, 8) AS center, round(scale, 8) AS scale FROM constants WHERE feature IN ({', '.join(repr(f) for f in s.features)})" for s in _SPECS)
+    refused = f"SELECT 'refused' AS spec, symbol AS cls, CASE WHEN n = 0 THEN 'behind_firewall' ELSE 'too_short' END AS feature, NULL::DOUBLE AS center, count(*)::DOUBLE AS scale FROM (SELECT segment_id, min(x.symbol) AS symbol, count(*) FILTER (ts < {_CUTS}) AS n FROM ({_IN_SEGMENTS}) x GROUP BY 1) WHERE n < 2 GROUP BY 2, 3"
+    return f"{_SEGMENTS}, bins AS ({bins}), quantiles AS ({at}), constants AS ({scales}) {specs} UNION ALL {refused}"
+
+
+@query(_slices_sql())
+def fit_slices_events(spark, d):
+    """Constants of both specs for two slices of series, from the segments before a firewall; beside them the segments that
+    took no part, counted by series and reason."""
+    rows = clean.kept_bars(kept(q.hourly(spark, d), "fit_slices_events"), ["symbol"], q.RULE).withColumn("cls", F.expr(_SLICE))
+    constants, refused = contract.fit(rows, _SPECS, ["segment_id"], ["cls"], _CUTS)
+    symbol = F.split_part("segment_id", F.lit(":"), F.lit(1)).alias("cls")
+    out = refused.groupBy(symbol, F.col("code").alias("feature")).agg(F.count(F.lit(1)).cast("double").alias("scale"))
+    out = out.select(F.lit("refused").alias("spec"), "cls", "feature", F.lit(None).cast("double").alias("center"), "scale")
+    return q.rounded(constants, ["center", "scale"], 8).unionByName(out)
+
+
+@query(f"""SELECT symbol, s.i AS split_row, s.i - 1 AS n_rows, CASE WHEN symbol = 'view' THEN s.i - 1 ELSE 0 END AS differing FROM (SELECT symbol, count(*) AS n FROM ({q.E_SQL}) GROUP BY 1), (SELECT unnest([50, 300]) AS i) s WHERE s.i <= n""")
+def prefix_audit_faults_events(spark, d):
+    """Features that know the future: those of one series are made to hang on its last bar, and every row of it differs."""
+    bars = q.hourly(spark, d)
+    n = bars.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+    splits = n.select("symbol", "n", F.explode(F.array(F.lit(50), F.lit(300))).alias("split_row")).filter("split_row <= n").drop("n")
+
+    def leaky(rows, key):
+        last = F.max("ts").over(Window.partitionBy(*key))
+        raw = features.raw_features(rows, key)
+        return raw.withColumn("gap", F.when(F.col("symbol") == "view", F.col("gap") + last).otherwise(F.col("gap")))
+
+    return audit.prefix_audit(bars, ["symbol"], splits, leaky)
+
+
+@query(f"""WITH n AS (SELECT count(*) - count(DISTINCT symbol) AS n_rows, count(DISTINCT symbol) AS s FROM ({q.E_SQL})) SELECT spec, n_rows * 6 AS n_rows, CASE WHEN spec = 'ret-v1' THEN (SELECT count(*) - 1 FROM ({q.E_SQL}) WHERE symbol = 'view') ELSE 0 END AS nans, s AS audits, CASE WHEN spec = 'geo-v1' THEN s - 1 ELSE s END AS passed, CASE WHEN spec = 'geo-v1' THEN 1 ELSE 0 END AS failures, true AS fatal FROM n, (VALUES ('geo-v1'), ('ret-v1')) v(spec)""")
+def contract_qa_faults_events(spark, d):
+    """Both specs with faults of each kind: values that are no number in one; a leak and a refused segment in the other."""
+    bars = kept(q.hourly(spark, d), "contract_qa_faults_events")
+    raw, rows = features.raw_features(bars, ["symbol"]), None
+    for spec in _SPECS:
+        values = [F.when((F.col("symbol") == "view") & (F.lit(f) == "ret_low"), float("nan")).otherwise(F.col(f)) for f in spec.features]
+        part = raw.select(F.lit(spec.name).alias("spec"), F.explode(F.array(*values)).alias("x"))
+        rows = part if rows is None else rows.unionByName(part)
+    splits = bars.groupBy("symbol").agg((F.count(F.lit(1)) / 2).cast("int").alias("split_row"))
+    audits = audit.prefix_audit(bars, ["symbol"], splits)
+    audits = audits.select(F.explode(F.array(F.lit("geo-v1"), F.lit("ret-v1"))).alias("spec"), "symbol", "differing")
+    audits = audits.withColumn("differing", F.when((F.col("spec") == "geo-v1") & (F.col("symbol") == "view"), F.lit(3).cast("long")).otherwise(F.col("differing")))
+    lone = bars.filter("symbol = 'view'").groupBy("symbol").agg(F.min_by(F.struct("ts", "open", "high", "low", "close", "volume", "amount"), "ts").alias("r")).select("symbol", "r.*")
+    refused = features.refusals(lone.withColumn("row", F.col("ts")), ["symbol"]).select(F.lit("geo-v1").alias("spec"), "code")
+    return checks.contract_qa(rows, audits, refused, ["spec"])
+
+
+# ---- rebuilding ------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT DISTINCT event_type AS symbol, CASE event_type WHEN 'click' THEN 'mismatch' WHEN 'view' THEN 'drifted' WHEN 'error' THEN 'failed' ELSE 'identical' END AS status FROM events")
+def rebuilt_events(spark, d):
+    """Bars are rebuilt from their ticks and held against what was recorded when they were stored. Since then one series'
+    file was edited, another's ticks have changed, and a third can't be rebuilt."""
+    ticks = spark.read.parquet(f"{d}/events.parquet").select(F.col("event_type").alias("symbol"), "ts", "event_id", "value")
+    then = ticks.filter("symbol <> 'view' or event_id % 97 <> 0")
+
+    def bars_of(t):
+        return sources.bars_from_ticks(t, "symbol", "ts", "value", "1", "event_id", H)
+
+    stored = bars_of(then).withColumn("close", F.when((F.col("symbol") == "click") & (F.col("ts") % 7 == 0), F.col("close") + 1).otherwise(F.col("close")))
+    stored = kept(stored, "rebuilt_events")
+    key = ["symbol"]
+    of = lambda t, bars: registry.content_hash(t, key).withColumnRenamed("content_hash", "source_hash").join(registry.content_hash(bars, key), key)
+    again = of(ticks, bars_of(ticks)).withColumn("content_hash", F.when(F.col("symbol") != "error", F.col("content_hash")))
+    return checks.reproduced(of(then, stored), again, key)
+
+
+# ---- lists, members, tiers -------------------------------------------------------------------------------------------
+
+
+@query("SELECT s_suppkey, 'nation ' || s_nationkey AS source, n_name AS label FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+def source_literals_supplier(spark, d):
+    rows = spark.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", F.concat(F.lit("nation "), F.col("s_nationkey").cast("string")).alias("source"))
+    literals = spark.read.parquet(f"{d}/nation.parquet").select(F.concat(F.lit("nation "), F.col("n_nationkey").cast("string")).alias("source"), F.col("n_name").alias("label"))
+    return runs.with_literals(rows, literals).select("s_suppkey", "source", "label")
+
+
+@query("SELECT n_name AS market, count(*) AS symbols FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1")
+def pinned_lists_customer(spark, d):
+    """A pinned list for each market, its rows held against the hash that was recorded when it was pinned."""
+    rows = spark.read.parquet(f"{d}/customer.parquet").join(spark.read.parquet(f"{d}/nation.parquet"), F.col("c_nationkey") == F.col("n_nationkey"))
+    listing = rows.select(F.col("n_name").alias("market"), F.col("c_custkey").cast("string").alias("symbol"))
+    recorded = registry.content_hash(listing, ["market"])
+    return runs.pinned_as_recorded(runs.pinned(listing), recorded, ["market"]).groupBy("market").agg(F.count(F.lit(1)).alias("symbols"))
+
+
+@query(f"""WITH tr AS ({q.SQL["total_return_lineitem"]}) SELECT b.symbol, CAST(b.symbol AS INTEGER) % 2 = 1 AS derived, b.bars, e.dividends, CASE WHEN derived THEN (SELECT count(*) FROM tr t WHERE t.symbol = b.symbol) ELSE 0 END AS tier_rows, CASE WHEN derived THEN (SELECT round(avg(tr_factor * close), 2) FROM tr t WHERE t.symbol = b.symbol) END AS mean_close
+FROM (SELECT symbol, count(*) AS bars FROM ({q.L_SQL}) GROUP BY 1) b JOIN (SELECT symbol, count(*) AS dividends FROM ({q._DIV}) GROUP BY 1) e USING (symbol)""")
+def total_return_tier_lineitem(spark, d):
+    """Total-return closes of the series that need them, beside the coverage of all."""
+    bars = q.daily(spark, d)
+    verdicts = bars.select("symbol").distinct().withColumn("verdict", F.when(F.col("symbol").cast("int") % 2 == 1, "accumulate").otherwise("split+dividend"))
+    tier, coverage = checks.total_return_tier(bars, q._dividends(spark, d), verdicts, ["symbol"])
+    sizes = tier.groupBy("symbol").agg(F.count(F.lit(1)).alias("tier_rows"), F.round(F.avg("tr_close"), 2).alias("mean_close"))
+    return coverage.join(sizes, "symbol", "left").select("symbol", "derived", "bars", "dividends", F.coalesce("tier_rows", F.lit(0).cast("long")).alias("tier_rows"), "mean_close")
+
+
 # ---- vendors ---------------------------------------------------------------------------------------------------------
 
 _SIX = ["open", "high", "low", "close", "volume", "amount"]

@@ -306,6 +306,25 @@ def test_registry_by_sql_and_listings(spark):
     assert [r.symbol for r in registry.listed_before(rows, "2024-06", 1).collect()] == ["a", "b"] and [r.symbol for r in registry.listed_before(rows, "2024-05", 1).collect()] == ["a"]
 
 
+def test_pinned_lists_are_as_recorded(spark):
+    rows = spark.createDataFrame([("m", "a"), ("m", "b"), ("n", "a")], "market string, symbol string")
+    then = registry.content_hash(rows, ["market"])
+    assert runs.pinned_as_recorded(rows, then, ["market"]).count() == 3
+    for other in (rows.filter("symbol <> 'b'"), rows.unionByName(spark.createDataFrame([("o", "c")], rows.schema))):
+        with pytest.raises(Exception, match="has changed"):
+            runs.pinned_as_recorded(other, then, ["market"]).collect()
+
+
+def test_constants_of_slices_and_who_took_no_part(spark):
+    bars = spark.createDataFrame([*walk("a", 200), *walk("b", 200, 2), *walk("c", 1, 3), *walk("d", 9, 4, 500 * H)], BARS).withColumn("cls", F.when(F.col("symbol") == "b", "y").otherwise("x"))
+    constants, refused = contract.fit(bars, (contract.GEO, contract.RET), ["symbol"], ["cls"], 400 * H)
+    assert {r.symbol: r.code for r in refused.collect()} == {"c": "too_short", "d": "behind_firewall"}
+    got = {(r.spec, r.cls, r.feature): r.center for r in constants.collect()}
+    assert len(got) == 24 and got["geo-v1", "x", "gap"] != got["geo-v1", "y", "gap"] and got["geo-v1", "x", "rel_volume"] == got["ret-v1", "x", "rel_volume"]
+    alone = contract.fit(bars.filter("symbol = 'a'"), (contract.GEO,), ["symbol"])[0]
+    assert {r.feature: r.center for r in alone.collect()} == {f: c for (s, cls, f), c in got.items() if (s, cls) == ("geo-v1", "x")}
+
+
 def test_split_probes_and_sketch_merge(spark):
     bars = spark.createDataFrame([("a", t, 100.0 if t < 5 else 25.0) for t in range(10)] + [("b", t, 10.0) for t in range(10)], "symbol string, ts long, close double")
     probes = spark.createDataFrame([("a", 5, 4.0), ("b", 5, 2.0), ("b", 50, 2.0), ("c", 5, 2.0)], "symbol string, ts long, ratio double")
