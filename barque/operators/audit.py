@@ -26,7 +26,12 @@ def prefix_audit(bars: DataFrame, key: list[str], splits: DataFrame, made: Calla
 
 def sample(segments: DataFrame, n: int, least_bars: int, seed: int) -> DataFrame:
     """WIN25: a deterministic choice of n segments."""
-    return segments.filter(F.col("n_bars") >= least_bars).orderBy(F.xxhash64("segment_id", F.lit(seed)), "segment_id").limit(n)
+    return seeded_sample(segments.filter(F.col("n_bars") >= least_bars), ["segment_id"], n, seed)
+
+
+def seeded_sample(rows: DataFrame, names: list[str], n: int, seed: int) -> DataFrame:
+    """TOP7: n rows that depend on their names and the seed alone, whatever the order and the partitions; a report of n rows."""
+    return rows.orderBy(F.xxhash64(*names, F.lit(seed)), *names).limit(n)
 
 
 def probe_gaps(bars: DataFrame, key: list[str], step_ms: int) -> DataFrame:

@@ -60,7 +60,7 @@ def wide(constants: DataFrame, spec: Spec, by: list[str]) -> DataFrame:
     if rows.count() > MOST_SLICES:
         raise ContractError("too_many_constants", f"over {MOST_SLICES} rows")
     of = lambda c: F.map_from_entries(F.collect_list(F.struct("feature", c)))
-    rows = rows.groupBy(*by).agg(of("center").alias("__center"), of("scale").alias("__scale"))
+    rows = rows.groupBy(*by).agg(of("center").alias("__center"), of("scale").alias("__scale")).filter(F.size("__center") > 0)
     whole = F.size(F.map_keys("__center")) == len(spec.features)
     return rows.withColumn("__center", F.when(whole, F.col("__center")).otherwise(runs.refuse("a slice lacks a feature").cast("map<string,double>")))
 

@@ -35,13 +35,19 @@ def flags(step_ms: int, key: list[str], daily_exchange: bool = False, closed: bo
     return out
 
 
-def validation_report(bars: DataFrame, key: list[str], step_ms: int, daily_exchange: bool = False, closed: bool = False) -> DataFrame:
-    """AGG1: (key, rule, severity, n, first_row) of every rule that some row breaks. bars needs `row`, its input order."""
+def validation_report(bars: DataFrame, key: list[str], step_ms: int, daily_exchange: bool = False, closed: bool = False, expected: DataFrame | None = None) -> DataFrame:
+    """AGG1: (key, rule, severity, n, first_row) of every rule that some row breaks. bars needs `row`, its input order.
+    expected: the series that there should be; one of them without a row breaks the rule `empty`."""
     rules = flags(step_ms, key, daily_exchange, closed)
     marked = bars.select(*key, "row", *(F.coalesce(c, F.lit(False)).alias(r) for r, (_, c) in rules.items()))
     counted = marked.groupBy(*key).agg(*(x for r in rules for x in (F.count_if(r).alias(f"n_{r}"), F.min(F.when(F.col(r), F.col("row"))).alias(f"first_{r}"))))
     each = F.array(*(F.struct(F.lit(r).alias("rule"), F.lit(s).alias("severity"), F.col(f"n_{r}").alias("n"), F.col(f"first_{r}").alias("first_row")) for r, (s, _) in rules.items()))
-    return counted.select(*key, F.inline(F.filter(each, lambda x: x["n"] > 0)))
+    out = counted.select(*key, F.inline(F.filter(each, lambda x: x["n"] > 0)))
+    if expected is None:
+        return out
+    none = expected.select(*key).distinct().join(counted.select(*key), key, "left_anti")
+    order = dict(bars.dtypes)["row"]
+    return out.unionByName(none.select(*key, F.lit("empty").alias("rule"), F.lit("violation").alias("severity"), F.lit(0).cast("long").alias("n"), F.lit(None).cast(order).alias("first_row")))
 
 
 def offending_rows(bars: DataFrame, key: list[str], step_ms: int, limit: int = LISTED) -> DataFrame:

@@ -449,7 +449,7 @@ def coverage_events(spark, d):
     return registry.coverage(_registry(spark, d), ["market"])
 
 
-@query(f"SELECT market, count(*) AS series, CAST(sum(row_count) AS BIGINT) AS n_rows, round(min(history_days), 1) AS min_days, round(median(history_days), 1) AS median_days, round(max(history_days), 1) AS max_days, CAST(sum(gap_count) AS BIGINT) AS gaps, CAST(median(gap_count) AS DOUBLE) AS median_gaps, count(*) FILTER (gap_count = 0) AS without_gaps FROM ({_REG}) GROUP BY 1")
+@query(f"SELECT market, count(*) AS series, CAST(sum(row_count) AS BIGINT) AS n_rows, round(min(history_days), 1) AS min_days, round(median(history_days), 1) AS median_days, round(max(history_days), 1) AS max_days, CAST(sum(gap_count) AS BIGINT) AS gaps, CAST(median(gap_count) AS DOUBLE) AS median_gaps, count(*) FILTER (gap_count = 0) AS without_gaps, CAST(sum(off_grid) AS BIGINT) AS off_grid FROM ({_REG}) GROUP BY 1")
 def group_stats_events(spark, d):
     return registry.group_stats(_registry(spark, d), ["market"])
 

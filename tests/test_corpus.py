@@ -416,3 +416,37 @@ def test_bar_tier_by_footers(spark, tmp_path):
     with pytest.raises(Exception, match="must come together"):
         bars.repartition(4).write.format("bar_tier").mode("append").save(str(tmp_path / "other"))
     assert not list((tmp_path / "other").rglob("*.parquet"))
+
+
+# ---- incremental sets, samples, empty series -------------------------------------------------------------------------
+
+
+def test_incremental_sets(spark):
+    plan = spark.createDataFrame([("a", ["x", "y"]), ("b", ["x"]), ("c", ["z"])], "artifact string, source_sha256s array<string>")
+    have = spark.createDataFrame([("a", ["x", "y"]), ("b", ["y"]), ("d", ["z"])], plan.schema)
+    assert [r.artifact for r in registry.current(plan, have).collect()] == ["a"]
+    old = spark.createDataFrame([("a", 1), ("b", 2)], "artifact string, n int")
+    new = spark.createDataFrame([("b", 3)], old.schema)
+    assert sorted(map(tuple, registry.carried(old, spark.createDataFrame([("a",)], "artifact string"), new).collect())) == [("a", 1), ("b", 3)]
+    rows = [("s", "split", "none"), ("s", "split", "none"), ("t", None, "vendor"), ("t", None, "vendor")]
+    of = lambda r: spark.createDataFrame(r, "source string, adjustment_policy_verified string, adjustment_policy string")
+    assert {r.source: r.verdict for r in registry.verdicts(of(rows)).collect()} == {"s": "split", "t": "vendor"}
+    with pytest.raises(Exception, match="several verdicts"):
+        registry.verdicts(of([*rows, ("s", "none", "none")])).collect()
+
+
+def test_samples_depend_on_names_and_seed_alone(spark):
+    rows = [(f"s{i}", i) for i in range(200)]
+    a, b = spark.createDataFrame(rows, "segment_id string, n_bars int"), spark.createDataFrame(rows[::-1], "segment_id string, n_bars int").repartition(5)
+    of = lambda df, seed: [r.segment_id for r in audit.sample(df, 10, 50, seed).collect()]
+    assert of(a, 1) == of(b, 1) != of(a, 2) and len(of(a, 1)) == 10 and all(int(x[1:]) >= 50 for x in of(a, 1))
+    assert [r.segment_id for r in audit.seeded_sample(a, ["segment_id"], 3, 7).collect()] == [r.segment_id for r in audit.seeded_sample(b, ["segment_id"], 3, 7).collect()]
+
+
+def test_a_series_without_bars_is_a_violation(spark):
+    from barque.operators import validate
+
+    bars = spark.createDataFrame(walk("a", 5), BARS).withColumn("row", F.col("ts"))
+    expected = spark.createDataFrame([("a",), ("b",)], "symbol string")
+    assert [(r.symbol, r.rule, r.severity, r.n) for r in validate.validation_report(bars, ["symbol"], H, expected=expected).collect()] == [("b", "empty", "violation", 0)]
+    assert validate.validation_report(bars, ["symbol"], H).count() == 0
