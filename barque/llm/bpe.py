@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from barque.llm.rolling import Rolling
 from barque.llm.storage import discard, stored
 
-ENTRIES = 750_000
+ENTRIES = 1_000_000
 GROUP_BYTES = 1 << 18
 LONG = 512  # bytes of a word that the fold still takes
 #: Unicode white space, as the split pattern has it.
