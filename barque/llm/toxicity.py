@@ -22,6 +22,7 @@ from barque.llm.words import LOWER
 PREFIXES = (4, 5, 6, 7, 8)
 FIT_ROWS = 16_000
 ENTRIES, LEAST, SHARE, Z = 600, 3, 0.85, 1.64
+SHARED_LEAST = 5  # toxic texts of an entry of shared beginnings
 DEALT = 4  # voters of each kind of entry
 TIMES = (2, 3)  # a beginning that so many words of a text share is an entry of its own
 KINDS = 1 + len(PREFIXES) * (1 + len(TIMES))
@@ -109,9 +110,11 @@ def shares(rows: list[np.ndarray], dim: int, rare: int = 200, bands: int = 6, wi
     return 1 / np.bincount(group, minlength=len(rows))[group] if len(rows) else np.empty(0)
 
 
-def telling(rows: list[np.ndarray], y: np.ndarray, share_of: np.ndarray, dim: int, most: int = ENTRIES) -> np.ndarray:
+def telling(rows: list[np.ndarray], y: np.ndarray, share_of: np.ndarray, keys: np.ndarray, most: int = ENTRIES) -> np.ndarray:
     """Features whose texts are toxic in a share of SHARE, and surely of one half by the lower Wilson bound; at most
-    `most`, those that speak most often first."""
+    `most`, those that speak most often first. Beginnings that words share need more toxic texts than the other kinds,
+    as there are more of them to look right by chance."""
+    dim = len(keys)
     counts = np.zeros((2, dim))
     for ids, label, part in zip(rows, y, share_of, strict=True):
         counts[int(label > 0)][ids] += part
@@ -119,6 +122,7 @@ def telling(rows: list[np.ndarray], y: np.ndarray, share_of: np.ndarray, dim: in
     share, z2 = counts[1] / n, Z * Z
     low = (share + z2 / (2 * n) - Z * np.sqrt(share * (1 - share) / n + z2 / (4 * n * n))) / (1 + z2 / n)
     least = LEAST if share_of[y > 0].sum() < 40 * LEAST else LEAST + 2
+    least = np.where((keys & 15) > len(PREFIXES), max(least, SHARED_LEAST), least)
     worth = np.where((low > 0.5) & (share >= SHARE) & (counts[1] >= least), counts[1] * low, 0)
     return np.argsort(-worth, kind="stable")[: min(most, int((worth > 0).sum()))]
 
@@ -185,14 +189,14 @@ def fit(rows: list[np.ndarray], y: np.ndarray) -> Model:
     dim = len(keys)
     share_of = shares(some, dim)
     pick = lambda mask: [some[i] for i in np.flatnonzero(mask)]
-    entries = telling(pick(development), y[development], share_of[development], dim)
+    entries = telling(pick(development), y[development], share_of[development], keys)
     votes = votes_of(some, keys, entries)
     post = label_model(votes) if votes.shape[1] else np.zeros(len(rows))
     label = np.where(post > 0.5, 1, -1)
     if len(set(label)) < 2:
         return constant(y, 0)
     train = ~rest | rest.all()
-    use = np.sort(telling(pick(train), label[train], share_of[train], dim, dim))  # a word speaks for toxicity, none against it
+    use = np.sort(telling(pick(train), label[train], share_of[train], keys, dim))  # a word speaks for toxicity, none against it
     if not len(use):
         return constant(y, 0)
     ratio = np.zeros(dim)
