@@ -21,6 +21,14 @@ def finite(c: Column) -> Column:
     return ~F.isnan(c) & (F.abs(c) < float("inf"))
 
 
+def log_ratio(a: str, b: str) -> Column:
+    """ln(a / b) as of IEEE numbers: prices of zero give infinities, neither null nor an error; 0 / 0 is no number."""
+    x, y, inf, nan = F.col(a), F.col(b), F.lit(float("inf")), F.lit(float("nan"))
+    r = F.try_divide(x, y)
+    by_zero = F.when(x.isNull() | F.isnan(x) | (x <= 0), F.when(x.isNotNull(), nan)).otherwise(inf)
+    return F.when(y == 0, by_zero).when(r == 0, -inf).when(r < 0, nan).otherwise(F.ln(r))
+
+
 def refusals(bars: DataFrame, key: list[str]) -> DataFrame:
     """WIN19: segments that may not be transformed, with the first failing code; never repaired."""
     w = Window.partitionBy(*key).orderBy("row")
@@ -69,10 +77,9 @@ def raw_features(bars: DataFrame, key: list[str]) -> DataFrame:
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", past_lv double, past_la double"
     rows = rows.sortWithinPartitions(*key, "ts").mapInPandas(_past_medians(key, ("lv", "la")), schema)
     out = rows.filter("before is not null")
-    ln = lambda a, b: F.ln(F.col(a) / F.col(b))
     return out.select(
-        *key, "ts", ln("open", "before").alias("gap"), ln("close", "open").alias("body"), ln("high", "open").alias("upper"), ln("low", "open").alias("lower"),
-        *(ln(c, "before").alias(f"ret_{c}") for c in ("open", "high", "low", "close")), (F.col("lv") - F.col("past_lv")).alias("rel_volume"), (F.col("la") - F.col("past_la")).alias("rel_amount"),
+        *key, "ts", log_ratio("open", "before").alias("gap"), log_ratio("close", "open").alias("body"), log_ratio("high", "open").alias("upper"), log_ratio("low", "open").alias("lower"),
+        *(log_ratio(c, "before").alias(f"ret_{c}") for c in ("open", "high", "low", "close")), (F.col("lv") - F.col("past_lv")).alias("rel_volume"), (F.col("la") - F.col("past_la")).alias("rel_amount"),
     )
 
 
@@ -99,8 +106,9 @@ def inverse_prices(raw: DataFrame, anchors: DataFrame, key: list[str]) -> DataFr
     """WIN21: closes by the running sum of gap + body from the anchor's close; high and low clamped to the body."""
     w = Window.partitionBy(*key).orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
     rows = raw.join(anchors.select(*key, F.col("close").alias("anchor_close")), key)
-    close = F.ln("anchor_close") + F.sum(F.col("gap") + F.col("body")).over(w)
-    rows = rows.withColumn("c", close).withColumn("o", F.col("c") - F.col("body"))
+    moved = F.sum(F.col("gap") + F.col("body"))
+    before = F.coalesce(moved.over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))  # c - body is no number where a close is 0
+    rows = rows.withColumn("c", F.ln("anchor_close") + moved.over(w)).withColumn("o", F.ln("anchor_close") + before + F.col("gap"))
     o, c = F.exp("o"), F.exp("c")
     return rows.select(*key, "ts", o.alias("open"), F.greatest(F.exp(F.col("o") + F.col("upper")), o, c).alias("high"), F.least(F.exp(F.col("o") + F.col("lower")), o, c).alias("low"), c.alias("close"))
 

@@ -30,3 +30,36 @@ def equal(spark, name, folder, tables):
 
 def test_most_cut_has_the_columns_of_its_sql(spark):
     assert equal(spark, "most_cut_events", SF, ["events"])
+
+
+def ticks(spark, folder, price, hours=40):
+    """events of two series with four ticks an hour; price: of series, hour and tick."""
+    rows = [(4 * (hours * s + h) + i, h, i, s, f"s{s}", float(price(s, h, i))) for s in (0, 1) for h in range(hours) for i in range(4)]
+    df = spark.createDataFrame(rows, "event_id long, h int, i int, user_id long, event_type string, value double")
+    ts = "cast(timestampadd(MINUTE, 60 * h + 10 * i, timestamp_ntz'2024-01-08 00:00:00') AS timestamp_ntz) AS ts"
+    df.selectExpr("event_id", ts, "user_id", "event_type", "value", "'{}' AS props").coalesce(1).write.parquet(f"{folder}/all")
+    (part,) = (folder / "all").glob("*.parquet")
+    part.rename(folder / "events.parquet")
+    return folder
+
+
+def wave(s, h, i):
+    return 100 + s + (h * 7 + i * 5) % 11
+
+
+def low_of_zero(s, h, i):
+    return 0.0 if (s, h, i) == (0, 33, 2) else wave(s, h, i)
+
+
+def test_features_of_a_zero_price(spark, tmp_path):
+    rows = equal(spark, "features_events", ticks(spark, tmp_path, low_of_zero), ["events"])
+    assert len(rows) == 78 and [r["lower"] for r in rows].count(float("-inf")) == 1
+
+
+def test_features_after_a_close_of_zero(spark, tmp_path):
+    rows = equal(spark, "features_events", ticks(spark, tmp_path, lambda s, h, i: 0.0 if (s, h, i) == (1, 20, 3) else wave(s, h, i)), ["events"])
+    assert [r["gap"] for r in rows].count(float("inf")) == 1 and [r["body"] for r in rows].count(float("-inf")) == 1
+
+
+def test_a_low_of_zero_comes_back(spark, tmp_path):
+    assert 0.0 in [r["low"] for r in equal(spark, "inverse_events", ticks(spark, tmp_path, low_of_zero), ["events"])]
