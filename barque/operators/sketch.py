@@ -9,8 +9,8 @@ UNIT, REACH, WIDTH, BINS = 1e-4, 15.0, 0.0005, 60_000
 
 
 def bin_of(x: Column) -> Column:
-    """asinh-spaced bin; -1 and BINS hold what lies beyond."""
-    at = F.floor((F.asinh(x / UNIT) + REACH) / WIDTH)
+    """asinh-spaced bin; -1 and BINS hold what lies beyond. By the size of x: Spark's asinh of -70,000 is off by some 1e-6."""
+    at = F.floor((F.signum(x) * F.asinh(F.abs(x) / UNIT) + REACH) / WIDTH)
     return F.when(at < 0, -1).when(at >= BINS, BINS).otherwise(at).cast("int")
 
 

@@ -1,7 +1,11 @@
 """Queries against their SQL on small tables of cases that the given ones lack at the smallest scale."""
 
+import math
+
 import duckdb
+from pyspark.sql import functions as F
 
+from barque.operators import sketch
 from barque.plans.catalog import QUERIES, SQL, load
 
 load()
@@ -33,8 +37,8 @@ def test_most_cut_has_the_columns_of_its_sql(spark):
 
 
 def ticks(spark, folder, price, hours=40):
-    """events of two series with four ticks an hour; price: of series, hour and tick."""
-    rows = [(4 * (hours * s + h) + i, h, i, s, f"s{s}", float(price(s, h, i))) for s in (0, 1) for h in range(hours) for i in range(4)]
+    """events of two series with three or four ticks an hour; price: of series, hour and tick."""
+    rows = [(4 * (hours * s + h) + i, h, i, s, ("click", "view")[s], float(price(s, h, i))) for s in (0, 1) for h in range(hours) for i in range(4) if h % 3 or i < 3]
     df = spark.createDataFrame(rows, "event_id long, h int, i int, user_id long, event_type string, value double")
     ts = "cast(timestampadd(MINUTE, 60 * h + 10 * i, timestamp_ntz'2024-01-08 00:00:00') AS timestamp_ntz) AS ts"
     df.selectExpr("event_id", ts, "user_id", "event_type", "value", "'{}' AS props").coalesce(1).write.parquet(f"{folder}/all")
@@ -48,7 +52,7 @@ def wave(s, h, i):
 
 
 def low_of_zero(s, h, i):
-    return 0.0 if (s, h, i) == (0, 33, 2) else wave(s, h, i)
+    return 0.0 if (s, h, i) == (0, 34, 2) else wave(s, h, i)
 
 
 def test_features_of_a_zero_price(spark, tmp_path):
@@ -63,3 +67,18 @@ def test_features_after_a_close_of_zero(spark, tmp_path):
 
 def test_a_low_of_zero_comes_back(spark, tmp_path):
     assert 0.0 in [r["low"] for r in equal(spark, "inverse_events", ticks(spark, tmp_path, low_of_zero), ["events"])]
+
+
+def test_constants_and_clips_of_a_zero_price(spark, tmp_path):
+    folder = ticks(spark, tmp_path, low_of_zero)
+    for name in ("sketch_events", "fit_constants_events", "fit_constants_segments_events", "clip_table_events", "clip_flags_events"):
+        rows = equal(spark, name, folder, ["events"])
+        if name == "clip_flags_events":
+            assert {r["feature"] for r in rows} >= {"lower", "ret_low"}
+
+
+def test_bins_of_negative_values(spark):
+    """A millionth on either side of a bin's edge, where x + sqrt(x * x + 1) cancels."""
+    at = [(b, side, math.sinh(b * sketch.WIDTH - sketch.REACH + side * 1e-6) * sketch.UNIT) for b in range(5000, 7000, 7) for side in (-1, 1)]
+    rows = spark.createDataFrame(at, "b int, side int, x double").withColumn("bin", sketch.bin_of(F.col("x"))).collect()
+    assert all(r.bin == r.b - (r.side < 0) for r in rows)
