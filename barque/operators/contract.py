@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from barque.operators import features, runs
@@ -85,16 +85,16 @@ class Transformed:
     spec: Spec
 
 
-def transform(bars: DataFrame, spec: Spec, constants: DataFrame | None, key: list[str], by: list[str] | None = None, allow_leaky: bool = False) -> Transformed:
+def transform(bars: DataFrame, spec: Spec, constants: DataFrame | None, key: list[str], by: list[str] | None = None, allow_leaky: bool = False, zero_prices: bool = False) -> Transformed:
     """Segments to feature rows. bars: key (a segment), by (the slice of its constants; bars of a segment share one), ts and
     the six values, in the order of `row`, or of ts where there is no such column. The first bar of a segment is its anchor
-    and has no row."""
+    and has no row. zero_prices: as of features.refusals, here and below; infinities count among the clips, not the nans."""
     by = by or []
     check_columns(bars)
     if spec.leaky and not allow_leaky:
         raise ContractError("leaky_spec", f"{spec.name} scales a segment by itself; allow_leaky=True means to")
     ordered = bars if "row" in bars.columns else bars.withColumn("row", F.col("ts"))
-    refused = features.refusals(ordered, key)
+    refused = features.refusals(ordered, key, zero_prices)
     good = bars.join(refused.select(*key), key, "left_anti")
     raw = features.raw_features(good, [*by, *[k for k in key if k not in by]])
     if spec.leaky:
@@ -107,7 +107,7 @@ def transform(bars: DataFrame, spec: Spec, constants: DataFrame | None, key: lis
         scored = joined.select(*by, *[k for k in key if k not in by], "ts", *(c.alias(f) for f, c in z.items()))
     clips = Observation(f"clips of {spec.name}")
     moved = lambda f: (F.col(f) < spec.low) | (F.col(f) > spec.high)
-    nan = sum((F.when(features.finite(F.col(f)), 0).otherwise(1) for f in spec.features), F.lit(0))
+    nan = sum((F.when(number(F.col(f), zero_prices), 0).otherwise(1) for f in spec.features), F.lit(0))
     scored = scored.observe(clips, F.count(F.lit(1)).alias("rows"), *(F.count_if(moved(f)).alias(f) for f in spec.features), F.sum(nan).alias("nans"))
     return Transformed(scored.withColumns({f: F.greatest(F.least(f, F.lit(spec.high)), F.lit(spec.low)).cast("float") for f in spec.features}), refused, clips, spec)
 
@@ -133,11 +133,15 @@ def inverse(rows: DataFrame, anchors: DataFrame, spec: Spec, constants: DataFram
     return out.unionByName(without.select(*key, *(error.cast(kind).alias(c) for c, kind in out.dtypes if c not in key)))
 
 
-def distribution(long: DataFrame, low: float, high: float, by: list[str]) -> DataFrame:
+def number(c: Column, zero_prices: bool) -> Column:
+    return ~F.isnan(c) if zero_prices else features.finite(c)
+
+
+def distribution(long: DataFrame, low: float, high: float, by: list[str], zero_prices: bool = False) -> DataFrame:
     """AGG26: of scaled values before the clip (by, feature, z), by slice and feature: the values, those clipped and their
     rate, those that are no number, and nine quantiles of the clipped values out of a sketch."""
     z = F.col("z")
-    good = F.coalesce(features.finite(z), F.lit(False))
+    good = F.coalesce(number(z, zero_prices), F.lit(False))
     rows = long.select(*by, "feature", F.greatest(F.least(z, F.lit(high)), F.lit(low)).alias("x"), (good & ((z < low) | (z > high))).alias("clipped"), (~good).alias("bad"))
     counts = rows.groupBy(*by, "feature").agg(F.count_if(~F.col("bad")).alias("n"), F.count_if("clipped").alias("clipped"), F.count_if("bad").alias("n_nan"))
     found = quantiles(sketch(rows.filter("not bad"), [*by, "feature"]), [*by, "feature"], list(REPORT))
@@ -151,12 +155,12 @@ def flagged(table: DataFrame, by: list[str], most: float = runs.CLIP_RATE) -> Da
     return table.filter(F.col("clip_rate") > most).select(*by, "feature", "clip_rate")
 
 
-def of_specs(bars: DataFrame, specs: tuple[Spec, ...], constants: DataFrame, key: list[str], by: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+def of_specs(bars: DataFrame, specs: tuple[Spec, ...], constants: DataFrame, key: list[str], by: list[str] | None = None, zero_prices: bool = False) -> tuple[DataFrame, DataFrame]:
     """AGG25 to AGG27 over several specs from one set of raw features: (spec, by, feature, z) and the refused segments."""
     by = by or []
     check_columns(bars)
     ordered = bars if "row" in bars.columns else bars.withColumn("row", F.col("ts"))
-    refused = features.refusals(ordered, key)
+    refused = features.refusals(ordered, key, zero_prices)
     raw = features.raw_features(bars.join(refused.select(*key), key, "left_anti"), [*by, *[k for k in key if k not in by]])
     long = None
     for spec in specs:
@@ -167,7 +171,7 @@ def of_specs(bars: DataFrame, specs: tuple[Spec, ...], constants: DataFrame, key
     return long, refused
 
 
-def fit(bars: DataFrame, specs: tuple[Spec, ...], key: list[str], by: list[str] | None = None, before_ts: int | None = None) -> tuple[DataFrame, DataFrame]:
+def fit(bars: DataFrame, specs: tuple[Spec, ...], key: list[str], by: list[str] | None = None, before_ts: int | None = None, zero_prices: bool = False) -> tuple[DataFrame, DataFrame]:
     """AGG25: constants (spec, by, feature, center, scale) of each slice from the segments' bars before the firewall, out of
     one sketch; and the segments that took no part (key, code): refused by the contract, or behind_firewall. A slice whose
     bars give a feature no spread is an error."""
@@ -175,7 +179,7 @@ def fit(bars: DataFrame, specs: tuple[Spec, ...], key: list[str], by: list[str]
     check_columns(bars)
     rows = bars if before_ts is None else bars.filter(F.col("ts") < before_ts)
     ordered = rows if "row" in rows.columns else rows.withColumn("row", F.col("ts"))
-    refused = features.refusals(ordered, key)
+    refused = features.refusals(ordered, key, zero_prices)
     left = bars.select(*key).distinct().join(rows.select(*key).distinct(), key, "left_anti").withColumn("code", F.lit("behind_firewall"))
     raw = features.raw_features(rows.join(refused.select(*key), key, "left_anti"), [*by, *[k for k in key if k not in by]])
     names = list(dict.fromkeys(f for spec in specs for f in spec.features))

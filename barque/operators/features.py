@@ -29,14 +29,15 @@ def log_ratio(a: str, b: str) -> Column:
     return F.when(y == 0, by_zero).when(r == 0, -inf).when(r < 0, nan).otherwise(F.ln(r))
 
 
-def refusals(bars: DataFrame, key: list[str]) -> DataFrame:
-    """WIN19: segments that may not be transformed, with the first failing code; never repaired."""
+def refusals(bars: DataFrame, key: list[str], zero_prices: bool = False) -> DataFrame:
+    """WIN19: segments that may not be transformed, with the first failing code; never repaired. zero_prices: prices of zero
+    are let through; their logarithms are infinities, which the clip bounds."""
     w = Window.partitionBy(*key).orderBy("row")
     numbers = [F.col(c) for c in ("open", "high", "low", "close", "volume", "amount")]
     tests = {
         "too_short": F.count(F.lit(1)) < 2,
         "non_finite": F.count_if(~F.least(*(F.coalesce(finite(c), F.lit(False)) for c in numbers))) > 0,
-        "non_positive_price": F.count_if(F.least(*numbers[:4]) <= 0) > 0,
+        "non_positive_price": F.count_if(F.least(*numbers[:4]) < 0 if zero_prices else F.least(*numbers[:4]) <= 0) > 0,
         "negative_flow": F.count_if(F.least(*numbers[4:]) < 0) > 0,
         "ts_not_increasing": F.count_if(F.col("ts") <= F.col("before")) > 0,
         "ohlc_inconsistent": F.count_if((F.col("high") < F.greatest("open", "close", "low")) | (F.col("low") > F.least("open", "close"))) > 0,

@@ -3,9 +3,10 @@
 import math
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
-from barque.operators import sketch
+from barque.operators import features, sketch
 from barque.plans.catalog import QUERIES, SQL, load
 
 load()
@@ -82,3 +83,15 @@ def test_bins_of_negative_values(spark):
     at = [(b, side, math.sinh(b * sketch.WIDTH - sketch.REACH + side * 1e-6) * sketch.UNIT) for b in range(5000, 7000, 7) for side in (-1, 1)]
     rows = spark.createDataFrame(at, "b int, side int, x double").withColumn("bin", sketch.bin_of(F.col("x"))).collect()
     assert all(r.bin == r.b - (r.side < 0) for r in rows)
+
+
+@pytest.mark.parametrize("name", ["contract_features_events"])
+def test_contract_of_a_zero_price(spark, tmp_path, name):
+    rows = equal(spark, name, ticks(spark, tmp_path, low_of_zero, 60), ["events"])
+    assert rows and all(r.get("off", 0) == 0 for r in rows)
+
+
+def test_zero_prices_are_let_through_on_request_alone(spark):
+    bars = spark.createDataFrame([(s, i, 2.0, 3.0, low, 2.0, 1.0, 1.0) for s, low in (("zero", 0.0), ("below", -1.0)) for i in range(3)], "symbol string, ts long, open double, high double, low double, close double, volume double, amount double")
+    codes = lambda **how: {r.symbol: r.code for r in features.refusals(bars.withColumn("row", F.col("ts")), ["symbol"], **how).collect()}
+    assert codes() == dict.fromkeys(("zero", "below"), "non_positive_price") and codes(zero_prices=True) == {"below": "non_positive_price"}
