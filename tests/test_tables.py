@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from barque.operators import features, sketch
+from barque.operators import adjust, features, sketch
 from barque.plans.catalog import QUERIES, SQL, load
 
 load()
@@ -95,3 +95,38 @@ def test_zero_prices_are_let_through_on_request_alone(spark):
     bars = spark.createDataFrame([(s, i, 2.0, 3.0, low, 2.0, 1.0, 1.0) for s, low in (("zero", 0.0), ("below", -1.0)) for i in range(3)], "symbol string, ts long, open double, high double, low double, close double, volume double, amount double")
     codes = lambda **how: {r.symbol: r.code for r in features.refusals(bars.withColumn("row", F.col("ts")), ["symbol"], **how).collect()}
     assert codes() == dict.fromkeys(("zero", "below"), "non_positive_price") and codes(zero_prices=True) == {"below": "non_positive_price"}
+
+
+def below_windows(df):
+    """The kinds of steps on each way from a window to a table."""
+
+    def ways(plan, above):
+        above = [*above, plan.nodeName()]
+        below = plan.children()
+        return [w for i in range(below.size()) for w in ways(below.apply(i), above)] if below.size() else [above]
+
+    return [w[w.index("Window") :] for w in ways(df._jdf.queryExecution().optimizedPlan(), []) if "Window" in w]
+
+
+def dated(spark, rows):
+    return spark.createDataFrame(rows, "symbol string, ts long, value double")
+
+
+def test_windows_hold_times_not_dividends_and_splits(spark):
+    ways = below_windows(QUERIES["split_factor_lineitem"](spark, SF)) + below_windows(QUERIES["forward_asof_lineitem"](spark, SF))
+    assert len(ways) >= 4 and all("Aggregate" in w for w in ways)
+
+
+def test_factors_of_shared_and_null_times(spark):
+    dividends = [("a", 1, 1.0), ("a", 1, 2.0), ("a", 5, 3.0), ("a", None, 4.0), (None, 1, 5.0), ("b", 9, 6.0), ("a", 1, 1.0), ("a", 5, None)]
+    splits = [("a", 5, 2.0), ("a", 5, 3.0), ("a", 7, 5.0), (None, 2, 7.0), ("c", 9, 9.0), ("a", 7, None)]
+    got = sorted((tuple(r) for r in adjust.split_factor(dated(spark, dividends), dated(spark, splits), ["symbol"]).collect()), key=repr)
+    factors = {("a", 1): 30.0, ("a", 5): 5.0, ("a", None): 30.0, (None, 1): 7.0, ("b", 9): 1.0}
+    assert got == sorted(((*d, factors[d[:2]]) for d in dividends), key=repr)
+
+
+def test_events_of_shared_times_find_their_bars(spark):
+    bars = dated(spark, [("a", 2, 0.0), ("a", 6, 0.0), (None, 3, 0.0)])
+    events = dated(spark, [("a", 1, 1.0), ("a", 1, 1.0), ("a", 2, None), ("a", 3, 2.0), ("a", 7, 3.0), (None, 3, 4.0), ("b", 1, 5.0)])
+    got = sorted((tuple(r) for r in adjust.forward_asof(events, bars, ["symbol"]).collect()), key=repr)
+    assert got == sorted([("a", 1, 2, 1.0), ("a", 1, 2, 1.0), ("a", 2, 2, None), ("a", 3, 6, 2.0), (None, 3, 3, 4.0)], key=repr)
