@@ -130,3 +130,15 @@ def test_events_of_shared_times_find_their_bars(spark):
     events = dated(spark, [("a", 1, 1.0), ("a", 1, 1.0), ("a", 2, None), ("a", 3, 2.0), ("a", 7, 3.0), (None, 3, 4.0), ("b", 1, 5.0)])
     got = sorted((tuple(r) for r in adjust.forward_asof(events, bars, ["symbol"]).collect()), key=repr)
     assert got == sorted([("a", 1, 2, 1.0), ("a", 1, 2, 1.0), ("a", 2, 2, None), ("a", 3, 6, 2.0), (None, 3, 3, 4.0)], key=repr)
+
+
+def test_total_return_windows_hold_times(spark):
+    ways = below_windows(QUERIES["total_return_splits_lineitem"](spark, SF)) + below_windows(QUERIES["total_return_lineitem"](spark, SF))
+    assert len(ways) >= 5 and all("Aggregate" in w for w in ways)
+
+
+def test_total_return_of_dividends_of_one_time(spark):
+    bars = spark.createDataFrame([("a", t, 100.0) for t in (0, 2, 4)], "symbol string, ts long, close double")
+    dividends, splits = dated(spark, [("a", 1, 4.0), ("a", 1, 6.0), ("a", 3, 1.0), ("a", 9, 50.0)]), dated(spark, [("a", 3, 2.0), ("a", 4, 5.0)])
+    got = [round(r.tr_close, 9) for r in adjust.total_return(bars, dividends, ["symbol"], splits).orderBy("ts").collect()]
+    assert got == [100.0, 101.0, round(101.0 * 1.002, 9)]
