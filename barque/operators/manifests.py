@@ -44,20 +44,36 @@ def _stamped_text(texts: pd.Series, verdicts: pd.Series) -> pd.Series:
     return pd.Series([canonical(json.loads(t) | {"adjustment_policy_verified": v}) for t, v in zip(texts, verdicts, strict=True)])
 
 
-def read_manifests(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """SRC9: the sound manifests at path (file, FIELDS, identity, text), and the broken files with why:
+def checked(texts: DataFrame) -> DataFrame:
+    """SRC9: (file, text), a row a manifest, to (file, FIELDS, identity, text, why): why is null for a sound one, and else
     not_json (no JSON object), edited (its own hash isn't that of its fields), unpaired (parallel lists of unequal length).
-    A manifest without a recorded hash is not edited. Each file is read whole, by one task."""
-    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
+    A manifest without a recorded hash is not edited."""
     is_object = F.coalesce(F.schema_of_variant(F.try_parse_json("text")).startswith("OBJECT"), F.lit(False))
-    rows = rows.withColumn("json", F.when(is_object, F.col("text")))
+    rows = texts.withColumn("json", F.when(is_object, F.col("text")))
     rows = rows.withColumn("identity", F.sha2(_identity_text("json"), 256)).withColumn("m", F.from_json("json", f"{FIELDS}, {HASH} string"))
     recorded = F.col(f"m.{HASH}")
     unpaired = ~F.coalesce(F.size("m.source_urls") == F.size("m.source_sha256s"), F.col("m.source_urls").isNull() & F.col("m.source_sha256s").isNull())
     why = F.when(F.col("json").isNull(), "not_json").when(recorded.isNotNull() & (recorded != F.col("identity")), "edited").when(unpaired, "unpaired")
-    rows = rows.withColumn("why", why)
     names = [f.split()[0] for f in FIELDS.split(", ")]
-    return rows.filter("why is null").select("file", *(f"m.{n}" for n in names), "identity", "text"), rows.filter("why is not null").select("file", "why")
+    return rows.withColumn("why", why).select("file", *(f"m.{n}" for n in names), "identity", "text", "why")
+
+
+def read_manifests(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """SRC9: the sound manifests at path (file, FIELDS, identity, text), and the broken files with why (see `checked`). Each
+    file is read whole, by one task; many small files are better packed."""
+    rows = checked(spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text")))
+    return rows.filter("why is null").drop("why"), rows.filter("why is not null").select("file", "why")
+
+
+def pack(texts: DataFrame, path: str) -> None:
+    """Manifests (file, text) as rows of Parquet files, many in one, whatever characters they hold: a store of a file for
+    each manifest costs some milliseconds a file to write, list and open."""
+    texts.select("file", "text").write.parquet(path)
+
+
+def read_packed(spark: SparkSession, path: str) -> DataFrame:
+    """`checked` over manifests that `pack` wrote, sound and broken in one pass."""
+    return checked(spark.read.schema("file string, text string").parquet(path))
 
 
 def stamped(manifests: DataFrame, source: str, verdict: str) -> tuple[DataFrame, DataFrame]:

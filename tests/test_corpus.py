@@ -5,6 +5,7 @@ import json
 import math
 import random
 import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from barque.functions import sessions
 from barque.operators import adjust, audit, clean, contract, features, manifests, publication, registry, runs, sketch
 from barque.plans import catalog
+from barque.plans.scratch import folder
 from barque.sources import bars as sources
 from barque.streaming import live
 
@@ -306,6 +308,27 @@ def test_registry_by_sql_and_listings(spark):
     assert [r.symbol for r in registry.listed_before(rows, "2024-06", 1).collect()] == ["a", "b"] and [r.symbol for r in registry.listed_before(rows, "2024-05", 1).collect()] == ["a"]
 
 
+def test_packed_manifests_are_verified_like_files(spark, tmp_path):
+    texts = {"a": json.dumps(manifest(1), indent=2), "b": json.dumps(manifest(2) | {"row_count": 5}), "c": "{", "d": "\n", "e": json.dumps(manifest(4, source_urls=["u", "v"]), ensure_ascii=False)}
+    (tmp_path / "files").mkdir()
+    for name, text in texts.items():
+        (tmp_path / "files" / f"{name}.json").write_text(text)
+    good, broken = manifests.read_manifests(spark, f"{tmp_path}/files/*.json")
+    of = lambda r: r.file.rpartition("/")[2][0]
+    files = {of(r): (None, r.identity, r.text) for r in good.collect()} | {of(r): (r.why,) for r in broken.collect()}
+    manifests.pack(spark.createDataFrame(list(texts.items()), "file string, text string"), f"{tmp_path}/packed")
+    rows = manifests.read_packed(spark, f"{tmp_path}/packed").collect()
+    assert {r.file: (r.why,) if r.why else (None, r.identity, r.text) for r in rows} == files and len(rows) == 5 and files["a"][2] == texts["a"]
+
+
+def test_manifest_scan_makes_no_file_a_manifest(spark, tmp_path):
+    spark.range(1000).selectExpr("id AS c_custkey", "CAST(id % 25 AS INT) AS c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    rows = catalog.QUERIES["manifest_scan_customer"](spark, str(tmp_path)).collect()
+    assert len({r.artifact for r in rows}) == len(rows) == 1000 and sum(r.status == "sound" for r in rows) == 700 == sum(r.identity is not None for r in rows)
+    at = Path(folder(spark, "manifest_scan_customer").removeprefix("file://"))
+    assert 0 < sum(f.is_file() for f in at.rglob("part-*")) <= 8
+
+
 def test_pinned_lists_are_as_recorded(spark):
     rows = spark.createDataFrame([("m", "a"), ("m", "b"), ("n", "a")], "market string, symbol string")
     then = registry.content_hash(rows, ["market"])
