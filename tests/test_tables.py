@@ -52,6 +52,26 @@ def wave(s, h, i):
     return 100 + s + (h * 7 + i * 5) % 11
 
 
+def late_ticks(spark, folder):
+    """Ticks of which the fourth of an hour comes some microseconds before the hour ends."""
+    (folder / "plain").mkdir()
+    ticks(spark, folder / "plain", wave, 41)
+    df = spark.read.parquet(f"{folder}/plain/events.parquet")
+    at = "timestampadd(MICROSECOND, 3600000000 - element_at(array(1, 499, 500, 501, 999), cast(hour(ts) % 5 + 1 AS int)), date_trunc('HOUR', ts))"
+    df.withColumn("ts", F.when(F.col("event_id") % 4 == 3, F.expr(f"cast({at} AS timestamp_ntz)")).otherwise(F.col("ts"))).coalesce(1).write.parquet(f"{folder}/late")
+    (part,) = (folder / "late").glob("*.parquet")
+    part.rename(folder / "events.parquet")
+    return folder
+
+
+LATE = ["bars_events"]
+
+
+@pytest.mark.parametrize("name", LATE)
+def test_ticks_of_the_last_half_millisecond_of_an_hour(spark, tmp_path, name):
+    assert equal(spark, name, late_ticks(spark, tmp_path), ["events"])
+
+
 def low_of_zero(s, h, i):
     return 0.0 if (s, h, i) == (0, 34, 2) else wave(s, h, i)
 
