@@ -72,6 +72,15 @@ def test_ticks_of_the_last_half_millisecond_of_an_hour(spark, tmp_path, name):
     assert equal(spark, name, late_ticks(spark, tmp_path), ["events"])
 
 
+def test_session_predicates_of_the_last_half_millisecond(spark, tmp_path):
+    """The query's clock is moved by 2e12 ms, so its hours end at 33:20 minutes."""
+    times = [f"{y}-01-01 {h:02}:33:19.999{us}" for y in (1960, 2024) for h in (0, 7, 23) for us in (499, 500, 501, 999)]
+    spark.createDataFrame(list(enumerate(times)), "event_id long, t string").selectExpr("event_id", "cast(t AS timestamp_ntz) AS ts").coalesce(1).write.parquet(f"{tmp_path}/all")
+    (part,) = (tmp_path / "all").glob("*.parquet")
+    part.rename(tmp_path / "events.parquet")
+    assert len({r["hour"] for r in equal(spark, "session_predicates_events", tmp_path, ["events"])}) > 3
+
+
 def low_of_zero(s, h, i):
     return 0.0 if (s, h, i) == (0, 34, 2) else wave(s, h, i)
 
