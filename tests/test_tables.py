@@ -64,7 +64,7 @@ def late_ticks(spark, folder):
     return folder
 
 
-LATE = ["bars_events", "bar_statistics_events", "bar_tier_events", "features_events", "frames_events", "inverse_events", "inverse_segments_events", "inverse_table_events", "klines_events", "leaky_zscore_events", "live_features_events"]
+LATE = ["bars_events", "bar_statistics_events", "bar_tier_events", "features_events", "frames_events", "inverse_events", "inverse_segments_events", "inverse_table_events", "klines_events", "leaky_zscore_events", "live_features_events", "sketch_events"]
 
 
 @pytest.mark.parametrize("name", LATE)
